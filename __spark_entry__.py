@@ -20,7 +20,7 @@ import flood_oracle as o  # noqa: E402
 from inundation import fixtures as fx  # noqa: E402
 from inundation.functions import bands as B  # noqa: E402
 from inundation.functions import geometry as G  # noqa: E402
-from inundation.functions.grid import METERS_PER_DEGREE, STEP_DEG, center_lat, center_lon  # noqa: E402
+from inundation.functions.grid import METERS_PER_DEGREE, STEP_DEG  # noqa: E402
 from inundation.operators import change, layers, regions  # noqa: E402
 from inundation.operators.area import area_km2  # noqa: E402
 from inundation.operators.components import connected_pixel_count  # noqa: E402
@@ -31,6 +31,7 @@ from inundation.operators.terrain import dem_cell, regrid_nearest, slope_degrees
 from inundation.plans import optical, report, sar  # noqa: E402
 from inundation.plans.scope import make_scope  # noqa: E402
 from inundation.sources import catalog  # noqa: E402
+from inundation.sources.control import shared_folder  # noqa: E402
 from inundation.sources.export import SAR_EXPORT_NAME, export_name, export_raster  # noqa: E402
 
 SF_SMOKE = "/root/testdata/sf0.001"
@@ -57,7 +58,7 @@ def s2_catalog_scan(spark, d):
 
 
 def _matched(spark, d):
-    scenes = fx.view(spark, d, "catalog").where(catalog.radar_quality())
+    scenes = fx.view(spark, d, "catalog").where(catalog.RADAR_QUALITY)
     events = fx.catalog_events(spark, d)
     return catalog.match_scenes(scenes, events, fx.CATALOG_EVENT_DAYS), events
 
@@ -67,7 +68,7 @@ def event_scene_counts(spark, d):
 
 
 def _nearest(spark, d, side):
-    picks = catalog.nearest_scenes(_matched(spark, d)[0])
+    picks = catalog.nearest_scenes(catalog.scene_choice(*_matched(spark, d)))
     return picks.where(F.col("side") == side).select("event_id", "scene_id", _day("acquired_at"))
 
 
@@ -84,20 +85,20 @@ def first_post_scene(spark, d):
 
 def edge_mask(spark, d):
     px = fx.view(spark, d, "s1_px")
-    return px.select("scene_id", "x", "y", *[B.edge_masked(F.col(b)).alias(b.lower()) for b in ("VV", "VH")])
+    return px.selectExpr("scene_id", "x", "y", *[f"{B.edge_masked(b)} AS {b.lower()}" for b in ("VV", "VH")])
 
 
 def cloud_mask(spark, d):
     px = fx.view(spark, d, "s2_px")
-    clear = [B.cloud_masked_reflectance(F.col(b), F.col("QA60")).alias(b.lower()) for b in ("B3", "B8")]
-    return px.select("scene_id", "x", "y", *clear)
+    clear = [f"{B.cloud_masked_reflectance(b)} AS {b.lower()}" for b in ("B3", "B8")]
+    return px.selectExpr("scene_id", "x", "y", *clear)
 
 
 def band_validity(spark, d):
     """Validity within the main area, after the cloud mask."""
     _, area, _ = fx.main_event(spark, d)
     px = fx.view(spark, d, "s2_px")
-    clear = px.withColumns({b: B.cloud_masked_reflectance(F.col(b), F.col("QA60")) for b in ("B3", "B8")})
+    clear = px.withColumns({b: F.expr(B.cloud_masked_reflectance(b)) for b in ("B3", "B8")})
     inside = regions.clip(clear, regions.polygon_spans(area))
     flagged = change.band_validity(inside, fx.raster_scenes(spark, d))
     return flagged.select("scene_id", F.col("has_required_bands_pixels").cast("int").alias("valid"))
@@ -105,38 +106,32 @@ def band_validity(spark, d):
 
 def ndwi_water(spark, d):
     px = fx.view(spark, d, "s2_px")
-    return px.select(
-        "scene_id", "x", "y",
-        B.ndwi(F.col("B3"), F.col("B8")).alias("ndwi"),
-        B.ndwi_water(F.col("B3"), F.col("B8")).cast("int").alias("water"),
-    )
+    return px.selectExpr("scene_id", "x", "y", f"{B.ndwi()} AS ndwi", f"CAST({B.ndwi_water()} AS INT) AS water")
 
 
 def vv_minus_vh(spark, d):
     px = fx.view(spark, d, "s1_px")
-    return px.select("scene_id", "x", "y", B.band_difference(F.col("VV"), F.col("VH")).alias("vv_minus_vh"))
+    return px.selectExpr("scene_id", "x", "y", f"{B.band_difference('VV', 'VH')} AS vv_minus_vh")
 
 
 def _scene_pairs(spark, d, view, bands):
     """Raster scenes 1 and 2 as before and after, aligned by cell."""
     px = fx.view(spark, d, view).where("scene_id IN (1, 2)")
-    tagged = px.withColumns(
-        {"event_id": F.lit(0).cast("bigint"), "side": F.when(F.col("scene_id") == 1, "pre").otherwise("post")}
-    ).drop("scene_id")
-    return change.align(tagged.select("event_id", "side", "x", "y", *bands), bands)
+    tagged = px.selectExpr("0L AS event_id", "IF(scene_id = 1, 'pre', 'post') AS side", "x", "y", *bands)
+    return change.align(tagged, bands)
 
 
 def mask_algebra(spark, d):
     water = optical.ndwi_pairs(_scene_pairs(spark, d, "s2_px", ["B3", "B8"]))
-    pre, post = F.col("pre_water") == 1, F.col("post_water") == 1
-    return water.select(
-        "x", "y",
-        B.binary(pre & post).cast("int").alias("both"),
-        B.binary(pre | post).cast("int").alias("either"),
-        B.binary(~pre).cast("int").alias("dry_before"),
-        B.self_mask(F.col("post_water")).cast("int").alias("wet_after"),
-        B.update_mask(F.col("pre_water"), post).cast("int").alias("pre_where_post"),
-    )
+    pre, post = "pre_water = 1", "post_water = 1"
+    masks = {
+        "both": B.binary(f"{pre} AND {post}"),
+        "either": B.binary(f"{pre} OR {post}"),
+        "dry_before": B.binary(f"NOT {pre}"),
+        "wet_after": B.self_mask("post_water"),
+        "pre_where_post": B.update_mask("pre_water", post),
+    }
+    return water.selectExpr("x", "y", *[f"CAST({e} AS INT) AS `{name}`" for name, e in masks.items()])
 
 
 # --- areas ----------------------------------------------------------------------------------------------------------
@@ -159,13 +154,8 @@ def clip_many(spark, d):
 
 
 def _center(spark, d):
-    w = fx.view(spark, d, "dims")
-    return w.select(
-        F.lit(0).cast("bigint").alias("aoi_id"),
-        F.expr(fx.lon_sql("0.5 * w")).alias("lon"),
-        F.expr(fx.lat_sql("0.5 * w")).alias("lat"),
-        (F.col("w") * 3.3).alias("meters"),
-    )
+    lon, lat = fx.lon_sql("0.5D * w"), fx.lat_sql("0.5D * w")
+    return fx.view(spark, d, "dims").selectExpr("0L AS aoi_id", f"{lon} AS lon", f"{lat} AS lat", "w * 3.3D AS meters")
 
 
 def within_buffer(spark, d):
@@ -216,9 +206,7 @@ def terrain_slope(spark, d):
 
 def regrid_30m(spark, d):
     """Sum of water pixels per scene after nearest-neighbour resampling to 30 m, with the resampled cells."""
-    water = fx.view(spark, d, "s2_px").select(
-        "scene_id", "x", "y", B.ndwi_water(F.col("B3"), F.col("B8")).cast("int").alias("water")
-    )
+    water = fx.view(spark, d, "s2_px").selectExpr("scene_id", "x", "y", f"CAST({B.ndwi_water()} AS INT) AS water")
     return regrid_nearest(water, STEP_DEG, SCALE_30).groupBy("scene_id").agg(
         F.sum("water").alias("water_px"), F.count("*").alias("cells"), F.min("x").alias("x_min"), F.max("y").alias("y_max")
     )
@@ -260,9 +248,8 @@ def otsu_histogram(spark, d):
 
 def otsu_threshold_query(spark, d):
     """Thresholds of every catalog scene on VV - VH, edges masked; orders without pixels get the default."""
-    px = fx.view(spark, d, "s1_px").withColumn(
-        "diff", B.band_difference(B.edge_masked(F.col("VV")), B.edge_masked(F.col("VH")))
-    )
+    diff = B.band_difference(f"({B.edge_masked('VV')})", f"({B.edge_masked('VH')})")
+    px = fx.view(spark, d, "s1_px").selectExpr("scene_id", "x", "y", f"{diff} AS diff")
     # Scene -1 has no pixels.
     listed = fx.raster_scenes(spark, d).select("scene_id")
     wanted = listed.unionByName(listed.agg(F.lit(-1).cast("bigint").alias("scene_id")))
@@ -290,7 +277,7 @@ def _main_optical(spark, d, scope):
 def sar_pre_post(spark, d):
     scope = _main_scope(spark, d)
     picks, _ = sar.sar_scenes(fx.raster_scenes(spark, d), scope)
-    return _lower(sar.smoothed_pairs(fx.view(spark, d, "s1_px"), picks, scope, scope.aoi, ["VV", "VH"]))
+    return _lower(sar.smoothed_pairs(fx.view(spark, d, "s1_px"), picks, scope.aoi, ["VV", "VH"]))
 
 
 def s2_pre_post(spark, d):
@@ -320,7 +307,7 @@ def connected_pixels(spark, d):
 
 def connected_water(spark, d):
     """Same-valued patches of the water masks of all scenes, saturating at 20."""
-    px = fx.view(spark, d, "s2_px").withColumn("water", B.ndwi_water(F.col("B3"), F.col("B8")).cast("int"))
+    px = fx.view(spark, d, "s2_px").selectExpr("scene_id", "x", "y", f"CAST({B.ndwi_water()} AS INT) AS water")
     return connected_pixel_count(px, ["scene_id"], "water", max_size=20).groupBy(
         "scene_id", "water", "component_size"
     ).agg(F.count("*").alias("pixels"))
@@ -350,9 +337,7 @@ def flood_area(spark, d):
 
 def water_area(spark, d):
     """Water area of every scene, masked and dry pixels left out."""
-    px = fx.view(spark, d, "s2_px").select(
-        "scene_id", "y", B.ndwi_water(F.col("B3"), F.col("B8")).alias("water")
-    )
+    px = fx.view(spark, d, "s2_px").selectExpr("scene_id", "y", f"{B.ndwi_water()} AS water")
     return _km2(area_km2(px, ["scene_id"], "water"))
 
 
@@ -393,7 +378,7 @@ def layer_stretch(spark, d):
 
 
 def layer_water(spark, d):
-    px = fx.view(spark, d, "s2_px").withColumn("water", B.ndwi_water(F.col("B3"), F.col("B8")))
+    px = fx.view(spark, d, "s2_px").selectExpr("scene_id", "x", "y", f"{B.ndwi_water()} AS water")
     return layers.layer(px, "water", layers.WATER_RANGE, layers.WATER_PALETTE, water_only=True, by=["scene_id"])
 
 
@@ -405,14 +390,9 @@ def layer_zoom(spark, d):
 def export_roundtrip(spark, d):
     """Export the refined extent under the cluster's shared folder and read it back."""
     scope = _main_scope(spark, d)
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("Set spark.checkpoint.dir to a folder all executors share")
-        shared = "/tmp/inundation"
     name = export_name(SAR_EXPORT_NAME, fx.EVENT_DATE, uuid.uuid4().hex)
     path = export_raster(
-        refined_extent(spark, d).withColumn("flood", F.lit(1)), f"{shared}/", name, scope.aoi.spans, "event_id"
+        refined_extent(spark, d).withColumn("flood", F.lit(1)), f"{shared_folder(spark)}/", name, scope.aoi.spans, "event_id"
     )
     back = spark.read.parquet(path)
     return back.groupBy("tile_x", "tile_y").agg(F.count("*").alias("pixels"), F.sum("flood").alias("flood_px"))
@@ -420,8 +400,6 @@ def export_roundtrip(spark, d):
 
 # --- registration ---------------------------------------------------------------------------------------------------
 
-_OFFS = "offs"
-_SMOOTH = "sum(p.{0}) / count(p.{0})"
 _CENTER = (fx.lon_sql("0.5 * (SELECT w FROM dims)"), fx.lat_sql("0.5 * (SELECT w FROM dims)"))
 _HAV = (
     "2.0 * {R} * asin(sqrt(least(pow(sin(radians(lat - lat0) / 2), 2) + cos(radians(lat0)) * cos(radians(lat)) "

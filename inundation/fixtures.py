@@ -9,7 +9,6 @@ sums are exact in any order.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from .functions.grid import STEP_DEG
 
@@ -170,8 +169,8 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _dated(df: DataFrame, start: str, name: str) -> DataFrame:
-    day = F.lit(start).cast("timestamp_ntz") + F.expr("make_dt_interval(day_offset)")
-    return df.withColumn(name, day).drop("day_offset")
+    day = f"CAST('{start}' AS TIMESTAMP_NTZ) + make_dt_interval(day_offset) AS {name}"
+    return df.selectExpr("*", day).drop("day_offset")
 
 
 def raster_scenes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -182,23 +181,21 @@ def catalog_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _dated(view(spark, sf_dir, "catalog_events"), CATALOG_EVENT_START, "event_ts")
 
 
-def _area(df: DataFrame, rings, key) -> DataFrame:
-    point = lambda p: F.struct(
-        F.expr(lon_sql(p[0])).alias("lon"), F.expr(lat_sql(p[1])).alias("lat")
-    )
-    arrays = F.array(*[F.array(*[point(p) for p in ring]) for ring in rings])
-    return df.select(key.cast("bigint").alias("aoi_id"), F.lit(0).alias("part"), F.posexplode(arrays).alias("ring", "pts"))
+def _area(df: DataFrame, rings, key: str) -> DataFrame:
+    point = lambda p: f"named_struct('lon', {lon_sql(p[0])}, 'lat', {lat_sql(p[1])})"
+    arrays = ", ".join(f"array({', '.join(point(p) for p in ring)})" for ring in rings)
+    return df.selectExpr(f"CAST({key} AS BIGINT) AS aoi_id", "0 AS part", f"posexplode(array({arrays})) AS (ring, pts)")
 
 
 def main_event(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Event, area and threshold region of the main event."""
     dims = view(spark, sf_dir, "dims")
-    event = dims.select(F.lit(0).cast("bigint").alias("event_id"), F.lit(EVENT_DATE).cast("timestamp_ntz").alias("event_ts"))
-    return event, _area(dims, main_rings(), F.lit(0)), _area(dims, main_rings(MAIN_OTSU_RINGS), F.lit(0))
+    event = dims.selectExpr("0L AS event_id", f"CAST('{EVENT_DATE}' AS TIMESTAMP_NTZ) AS event_ts")
+    return event, _area(dims, main_rings(), "0"), _area(dims, main_rings(MAIN_OTSU_RINGS), "0")
 
 
 def site_events(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Events of all sites and their areas."""
     sites = view(spark, sf_dir, "sites")
     events = _dated(sites.select("event_id", "day_offset"), EVENT_DATE, "event_ts")
-    return events, _area(sites, SITE_RINGS, F.col("event_id"))
+    return events, _area(sites, SITE_RINGS, "event_id")

@@ -8,10 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .grid import EARTH_RADIUS_M
+from .grid import EARTH_RADIUS_M, num
 
 AREA_SCHEMA = "aoi_id bigint, part int, ring int, pts array<struct<lon:double,lat:double>>"
 
@@ -46,106 +46,102 @@ def areas(spark: SparkSession, polygons: Mapping[int, Sequence[Ring]]) -> DataFr
     return spark.createDataFrame(rows, AREA_SCHEMA)
 
 
-def ring_edges(pts: Column) -> Column:
-    """Array of edges, closing edge included; linear in the number of vertices."""
-    following = F.concat(F.slice(pts, F.lit(2), F.greatest(F.size(pts) - 1, F.lit(0))), F.slice(pts, 1, 1))
-    return F.zip_with(
-        pts,
-        following,
-        lambda a, b: F.struct(a.lon.alias("lon1"), a.lat.alias("lat1"), b.lon.alias("lon2"), b.lat.alias("lat2")),
+def ring_edges(pts: str) -> str:
+    """Array of edges of a ring, closing edge included; linear in the number of vertices."""
+    following = f"concat(slice({pts}, 2, greatest(size({pts}) - 1, 0)), slice({pts}, 1, 1))"
+    return (
+        f"zip_with({pts}, {following}, (a, b) -> "
+        "named_struct('lon1', a.lon, 'lat1', a.lat, 'lon2', b.lon, 'lat2', b.lat))"
     )
 
 
 def edges(area: DataFrame) -> DataFrame:
     """One row per polygon edge, with the ring's first vertex as a local origin."""
-    first = F.element_at("pts", 1)
-    return area.where(F.size("pts") > 0).select(
-        "aoi_id",
-        "part",
-        "ring",
-        first.lon.alias("lon0"),
-        first.lat.alias("lat0"),
-        F.inline(ring_edges(F.col("pts"))),
+    return area.where("size(pts) > 0").selectExpr(
+        "aoi_id", "part", "ring", "pts[0].lon AS lon0", "pts[0].lat AS lat0", f"inline({ring_edges('pts')})"
     )
 
 
 def bounds(area: DataFrame) -> DataFrame:
     """Bounding box per area."""
-    v = area.select("aoi_id", F.inline("pts"))
-    return v.groupBy("aoi_id").agg(
-        F.min("lon").alias("min_lon"),
-        F.min("lat").alias("min_lat"),
-        F.max("lon").alias("max_lon"),
-        F.max("lat").alias("max_lat"),
+    over = lambda f, axis: f"array_{f}(transform(pts, p -> p.{axis}))"
+    return area.groupBy("aoi_id").agg(
+        *[F.expr(f"{f}({over(f, axis)}) AS {f}_{axis}") for f in ("min", "max") for axis in ("lon", "lat")]
     )
 
 
 def measures(area: DataFrame) -> DataFrame:
     """Bounding box, centroid and spherical area in m2 per area; holes count negative."""
-    e = edges(area)
-    x1, y1 = F.col("lon1") - F.col("lon0"), F.col("lat1") - F.col("lat0")
-    x2, y2 = F.col("lon2") - F.col("lon0"), F.col("lat2") - F.col("lat0")
-    cross = x1 * y2 - x2 * y1
-    sin_mid = (F.sin(F.radians("lat1")) + F.sin(F.radians("lat2"))) / 2 - F.sin(F.radians("lat0"))
-    rings = e.groupBy("aoi_id", "part", "ring").agg(
-        F.first("lon0").alias("lon0"),
-        F.first("lat0").alias("lat0"),
-        (F.sum(cross) / 2).alias("a"),
-        (F.sum((x1 + x2) * cross) / 6).alias("mx"),
-        (F.sum((y1 + y2) * cross) / 6).alias("my"),
-        F.abs(F.sum(F.radians(F.col("lon2") - F.col("lon1")) * sin_mid)).alias("solid"),
+    local = edges(area).selectExpr(
+        "*",
+        "lon1 - lon0 AS x1",
+        "lat1 - lat0 AS y1",
+        "lon2 - lon0 AS x2",
+        "lat2 - lat0 AS y2",
+        "(lon1 - lon0) * (lat2 - lat0) - (lon2 - lon0) * (lat1 - lat0) AS cr",
+        "radians(lon2 - lon1) * ((sin(radians(lat1)) + sin(radians(lat2))) / 2 - sin(radians(lat0))) AS strip",
+    )
+    rings = local.groupBy("aoi_id", "part", "ring").agg(
+        *[
+            F.expr(e)
+            for e in (
+                "first(lon0) AS lon0",
+                "first(lat0) AS lat0",
+                "sum(cr) / 2 AS a",
+                "sum((x1 + x2) * cr) / 6 AS mx",
+                "sum((y1 + y2) * cr) / 6 AS my",
+                "abs(sum(strip)) AS solid",
+            )
+        ]
     )
     # Rings may be wound either way: the sign comes from shell or hole, not from the winding.
-    sign = F.when(F.col("ring") == 0, 1.0).otherwise(-1.0) * F.signum("a")
-    total = rings.groupBy("aoi_id").agg(
-        F.sum(sign * F.col("a")).alias("w"),
-        F.sum(sign * (F.col("mx") + F.col("a") * F.col("lon0"))).alias("sx"),
-        F.sum(sign * (F.col("my") + F.col("a") * F.col("lat0"))).alias("sy"),
-        F.sum(F.when(F.col("ring") == 0, F.col("solid")).otherwise(-F.col("solid"))).alias("solid"),
+    signed = rings.selectExpr("*", "CASE WHEN ring = 0 THEN 1.0D ELSE -1.0D END AS s")
+    total = signed.groupBy("aoi_id").agg(
+        F.expr("sum(s * abs(a)) AS w"),
+        F.expr("sum(s * signum(a) * (mx + a * lon0)) AS sx"),
+        F.expr("sum(s * signum(a) * (my + a * lat0)) AS sy"),
+        F.expr("sum(s * solid) AS solid"),
     )
-    return bounds(area).join(total, "aoi_id").select(
+    return bounds(area).join(total, "aoi_id").selectExpr(
         "aoi_id",
         "min_lon",
         "min_lat",
         "max_lon",
         "max_lat",
-        F.try_divide("sx", "w").alias("centroid_lon"),
-        F.try_divide("sy", "w").alias("centroid_lat"),
-        (F.col("solid") * F.lit(EARTH_RADIUS_M**2)).alias("area_m2"),
+        "try_divide(sx, w) AS centroid_lon",
+        "try_divide(sy, w) AS centroid_lat",
+        f"solid * {num(EARTH_RADIUS_M**2)} AS area_m2",
     )
 
 
-def _crosses(e: Column, f: Column) -> Column:
-    """Do two edges share a point?  Orientation test, touching included."""
+def _share_a_point(e: str, f: str) -> str:
+    """Do two edges touch or cross?  Boxes first, then orientations."""
 
-    def turn(ax, ay, bx, by, cx, cy):
-        return F.signum((bx - ax) * (cy - ay) - (by - ay) * (cx - ax))
+    def turn(a, b, n):
+        """Side of edge ``a`` on which end ``n`` of edge ``b`` lies."""
+        return (
+            f"signum(({a}.lon2 - {a}.lon1) * ({b}.lat{n} - {a}.lat1) - ({a}.lat2 - {a}.lat1) * ({b}.lon{n} - {a}.lon1))"
+        )
 
-    d1 = turn(f.lon1, f.lat1, f.lon2, f.lat2, e.lon1, e.lat1)
-    d2 = turn(f.lon1, f.lat1, f.lon2, f.lat2, e.lon2, e.lat2)
-    d3 = turn(e.lon1, e.lat1, e.lon2, e.lat2, f.lon1, f.lat1)
-    d4 = turn(e.lon1, e.lat1, e.lon2, e.lat2, f.lon2, f.lat2)
-    boxes = (
-        (F.least(e.lon1, e.lon2) <= F.greatest(f.lon1, f.lon2))
-        & (F.least(f.lon1, f.lon2) <= F.greatest(e.lon1, e.lon2))
-        & (F.least(e.lat1, e.lat2) <= F.greatest(f.lat1, f.lat2))
-        & (F.least(f.lat1, f.lat2) <= F.greatest(e.lat1, e.lat2))
+    boxes = " AND ".join(
+        f"least({p}.{c}1, {p}.{c}2) <= greatest({q}.{c}1, {q}.{c}2)" for c in ("lon", "lat") for p, q in ((e, f), (f, e))
     )
-    return boxes & (d1 * d2 <= 0) & (d3 * d4 <= 0)
+    return f"({boxes} AND {turn(f, e, 1)} * {turn(f, e, 2)} <= 0 AND {turn(e, f, 1)} * {turn(e, f, 2)} <= 0)"
 
 
-def _contains(ring_edges_: Column, lon: Column, lat: Column) -> Column:
-    """Even-odd containment of a point in the edges of one part (shell and holes together)."""
-    hit = lambda e: ((e.lat1 > lat) != (e.lat2 > lat)) & (
-        lon < (e.lon2 - e.lon1) * (lat - e.lat1) / (e.lat2 - e.lat1) + e.lon1
+def _point_inside(edges_: str, lon: str, lat: str, v: str) -> str:
+    """Even-odd containment of a point in the edges of one part, shell and holes together."""
+    crossed = (
+        f"CASE WHEN ({v}.lat1 > {lat}) != ({v}.lat2 > {lat}) "
+        f"THEN {lon} < ({v}.lon2 - {v}.lon1) * ({lat} - {v}.lat1) / ({v}.lat2 - {v}.lat1) + {v}.lon1 ELSE false END"
     )
-    # The division is only reached where the latitudes differ.
-    safe = lambda e: F.when((e.lat1 > lat) != (e.lat2 > lat), hit(e)).otherwise(False)
-    return F.size(F.filter(ring_edges_, safe)) % 2 == 1
+    return f"size(filter({edges_}, {v} -> {crossed})) % 2 = 1"
 
 
-def polygons_meet(edges_a: Column, edges_b: Column) -> Column:
-    """Do two polygons, each an array of edges, overlap or touch?"""
-    touching = F.exists(edges_a, lambda e: F.exists(edges_b, lambda f: _crosses(e, f)))
-    a, b = F.element_at(edges_a, 1), F.element_at(edges_b, 1)
-    return touching | _contains(edges_b, a.lon1, a.lat1) | _contains(edges_a, b.lon1, b.lat1)
+def polygons_meet(edges_a: str, edges_b: str) -> str:
+    """Do two polygons, each an array of edges, overlap or touch?  Some edges meet, or one holds a vertex of the other."""
+    return (
+        f"(exists({edges_a}, e -> exists({edges_b}, f -> {_share_a_point('e', 'f')}))"
+        f" OR exists({edges_a}, e -> {_point_inside(edges_b, 'e.lon1', 'e.lat1', 'f')})"
+        f" OR exists({edges_b}, f -> {_point_inside(edges_a, 'f.lon1', 'f.lat1', 'e')}))"
+    )

@@ -1,16 +1,16 @@
-"""The analysis grid: integer cells of 10 m, as column expressions.
+"""The analysis grid: integer cells of 10 m, as SQL expressions.
 
 Cell ``(x, y)`` spans ``x * STEP_DEG`` degrees east of -180 and ``y * STEP_DEG`` degrees south of +90.  Everything that has
 to line up pixel by pixel is an equi-join or a ``groupBy`` on these integers.
+
+Helpers here and in :mod:`.bands` build SQL text rather than trees of ``Column`` calls: a whole formula is one call into the
+JVM, which is what planning time is made of.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 METERS_PER_DEGREE = 111319.49
 SCALE_M = 10.0
 STEP_DEG = SCALE_M / METERS_PER_DEGREE
@@ -20,36 +20,38 @@ EARTH_RADIUS_M = 6371008.8
 TILE = 256
 
 
-def cell_x(lon: Column, step: float = STEP_DEG) -> Column:
-    return F.floor((lon + 180.0) / step)
+def num(v: float) -> str:
+    """A double literal."""
+    return f"{float(v)!r}D"
+
 
+def cell_x(lon: str, step: float = STEP_DEG) -> str:
+    return f"floor(({lon} + 180.0D) / {num(step)})"
 
-def cell_y(lat: Column, step: float = STEP_DEG) -> Column:
-    return F.floor((90.0 - lat) / step)
 
+def cell_y(lat: str, step: float = STEP_DEG) -> str:
+    return f"floor((90.0D - ({lat})) / {num(step)})"
 
-def center_lon(x: Column, step: float = STEP_DEG) -> Column:
-    return (x + 0.5) * step - 180.0
 
+def center_lon(x: str = "x", step: float = STEP_DEG) -> str:
+    return f"(({x} + 0.5D) * {num(step)} - 180.0D)"
 
-def center_lat(y: Column, step: float = STEP_DEG) -> Column:
-    return 90.0 - (y + 0.5) * step
 
+def center_lat(y: str = "y", step: float = STEP_DEG) -> str:
+    return f"(90.0D - ({y} + 0.5D) * {num(step)})"
 
-def block_of(v: Column, size: int = TILE) -> Column:
-    return F.floor(v / size)
 
+def block_of(v: str, size: int = TILE) -> str:
+    return f"floor(({v}) / {size})"
 
-def pixel_area_m2(y: Column, step: float = STEP_DEG) -> Column:
+
+def pixel_area_m2(y: str = "y", step: float = STEP_DEG) -> str:
     """Spherical area of a cell; depends on its row only.
 
     ``sin(top) - sin(bottom)`` is written as a product, which does not cancel for small cells.
     """
     width = math.radians(step)
-    return (
-        F.cos(F.radians(center_lat(y, step)))
-        * F.lit(2.0 * EARTH_RADIUS_M**2 * width * math.sin(width / 2.0))
-    )
+    return f"(cos(radians({center_lat(y, step)})) * {num(2.0 * EARTH_RADIUS_M**2 * width * math.sin(width / 2.0))})"
 
 
 def radius_in_cells(radius_m: float, step: float = STEP_DEG) -> int:
@@ -57,9 +59,10 @@ def radius_in_cells(radius_m: float, step: float = STEP_DEG) -> int:
     return int(math.floor(radius_m / (step * METERS_PER_DEGREE) + 1e-9))
 
 
-def distance_m(lon: Column, lat: Column, lon0: Column, lat0: Column) -> Column:
+def distance_m(lon: str, lat: str, lon0: str, lat0: str) -> str:
     """Great-circle (haversine) distance."""
-    a = F.pow(F.sin(F.radians(lat - lat0) / 2), 2) + F.cos(F.radians(lat0)) * F.cos(F.radians(lat)) * F.pow(
-        F.sin(F.radians(lon - lon0) / 2), 2
+    a = (
+        f"pow(sin(radians({lat} - ({lat0})) / 2), 2) + cos(radians({lat0})) * cos(radians({lat}))"
+        f" * pow(sin(radians({lon} - ({lon0})) / 2), 2)"
     )
-    return 2.0 * EARTH_RADIUS_M * F.asin(F.sqrt(F.least(a, F.lit(1.0))))
+    return f"({num(2.0 * EARTH_RADIUS_M)} * asin(sqrt(least({a}, 1.0D))))"

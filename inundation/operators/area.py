@@ -24,13 +24,10 @@ def area_km2(
     fits, each sampled cell standing for k x k.  Off by default: Spark can read all of it.
     """
     by = list(by)
-    wet = F.lit(True) if value is None else F.coalesce(F.col(value) != 0, F.lit(False))
-    weight = F.lit(1.0)
-    sampled = F.lit(True)
+    counted, weight = "true" if value is None else f"`{value}` != 0", "1"
     if max_pixels is not None:
-        steps = extent.groupBy(*by).agg(F.ceil(F.sqrt(F.count("*") / max_pixels)).alias("step"))
+        steps = extent.groupBy(*by).agg(F.expr(f"ceil(sqrt(count(*) / {int(max_pixels)})) AS step"))
         extent = lookup_join(extent, steps, by, n_images, salt=["x", "y"])
-        sampled = (F.pmod("x", "step") == 0) & (F.pmod("y", "step") == 0)
-        weight = F.col("step") * F.col("step")
-    area = F.when(wet & sampled, pixel_area_m2(F.col("y")) * weight)
-    return extent.groupBy(*by).agg((F.coalesce(F.sum(area), F.lit(0.0)) / 1e6).alias("area_km2"))
+        counted, weight = f"({counted}) AND pmod(x, step) = 0 AND pmod(y, step) = 0", "step * step"
+    total = f"sum(CASE WHEN {counted} THEN {pixel_area_m2('y')} * {weight} END)"
+    return extent.groupBy(*by).agg(F.expr(f"coalesce({total}, 0.0D) / 1e6D AS area_km2"))

@@ -6,15 +6,15 @@ from collections.abc import Callable, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..functions.grid import block_of
 
+_SHIFT = 1 << 28
 
-def with_halo(cells: DataFrame, halo: int, block: int, x: str = "x", y: str = "y") -> DataFrame:
-    """Send each cell to every block whose extent, grown by ``halo`` cells, holds it; adds ``bx``, ``by``."""
-    spread = lambda v: F.explode(F.sequence(block_of(v - halo, block), block_of(v + halo, block)))
-    return cells.withColumn("bx", spread(F.col(x))).withColumn("by", spread(F.col(y)))
+
+def spread(v: str, halo: int, block: int) -> str:
+    """All blocks along one axis whose extent, grown by ``halo`` cells, holds the coordinate."""
+    return f"explode(sequence({block_of(f'{v} - {halo}', block)}, {block_of(f'{v} + {halo}', block)}))"
 
 
 def map_blocks(
@@ -24,43 +24,42 @@ def map_blocks(
     halo: int,
     block: int,
     fn: Callable[[pd.DataFrame], pd.DataFrame],
-    result: str,
+    result: Sequence[str],
+    result_type: str,
 ) -> DataFrame:
     """Apply ``fn`` to each block of each image, halo included.
 
     ``fn`` gets the ``values`` and ``at``, the cell's position ``row * side + column`` in the grown block
-    (``side = block + 2 * halo``), and returns the columns named in ``result`` plus ``at`` for cells of the core.  Coordinates
-    travel packed in one integer, since the transfer to Python costs by the column.
+    (``side = block + 2 * halo``), and returns the ``result`` columns plus ``at`` for cells of the core.  Coordinates and block
+    travel packed in one integer each, since sorting and the transfer to Python cost by the column.
     """
-    keys, n = list(keys), len(keys)
+    n = len(keys)
     side = block + 2 * halo
-    local = lambda v, b: F.col(v) - F.col(b) * block + halo
-    cells = with_halo(images, halo, block).select(
-        *[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)],
-        F.struct("bx", "by").alias("_b"),
-        (local("y", "by") * side + local("x", "bx")).cast("int").alias("at"),
-        *values,
+    names = [f"k{i}" for i in range(n)]
+    packed = (
+        images.selectExpr("*", f"{spread('x', halo, block)} AS _bx")
+        .selectExpr("*", f"{spread('y', halo, block)} AS _by")
+        .selectExpr(
+            *[f"`{k}` AS {name}" for k, name in zip(keys, names)],
+            f"_by * {_SHIFT} + _bx AS b",
+            f"CAST((y - _by * {block} + {halo}) * {side} + x - _bx * {block} + {halo} AS INT) AS at",
+            *[f"`{v}`" for v in values],
+        )
     )
-    types = dict(cells.dtypes)
-    # The block id is one sortable integer: fewer key columns to sort by and to ship.
-    packed = cells.withColumn("b", F.col("_b.by") * (1 << 28) + F.col("_b.bx")).select(
-        *[f"k{i}" for i in range(n)], "b", "at", *values
+    types = dict(packed.dtypes)
+    schema = ", ".join(
+        [*[f"`{k}` {types[k]}" for k in names], "b bigint", "at int", *[f"`{r}` {result_type}" for r in result]]
     )
-    key_names = [f"k{i}" for i in range(n)]
-    schema = ", ".join([*[f"`{k}` {types[k]}" for k in key_names], "b bigint", "at int", result])
 
     def run(key, pdf):
         out = fn(pdf)
-        for name, k in zip([*key_names, "b"], key):
+        for name, k in zip([*names, "b"], key):
             out[name] = k
         return out
 
-    out = packed.groupBy(*key_names, "b").applyInPandas(run, schema)
-    names = [c.split()[0].strip("`") for c in result.split(",")]
-    col, row = F.col("at") % side, F.floor(F.col("at") / side)
-    return out.select(
-        *[F.col(f"k{i}").alias(k) for i, k in enumerate(keys)],
-        (F.pmod(F.col("b"), F.lit(1 << 28)) * block + col - halo).alias("x"),
-        (F.floor(F.col("b") / (1 << 28)) * block + row - halo).alias("y"),
-        *names,
+    return packed.groupBy(*names, "b").applyInPandas(run, schema).selectExpr(
+        *[f"{name} AS `{k}`" for k, name in zip(keys, names)],
+        f"pmod(b, {_SHIFT}) * {block} + at % {side} - {halo} AS x",
+        f"floor(b / {_SHIFT}) * {block} + floor(at / {side}) - {halo} AS y",
+        *[f"`{r}`" for r in result],
     )

@@ -19,33 +19,29 @@ SIDES = ("pre", "post")
 
 def valid_pixel_count(images: DataFrame, bands: Sequence[str], by: Sequence[str]) -> DataFrame:
     """Valid pixels of each band per image, as ``<band>_px``."""
-    return images.groupBy(*by).agg(*[F.count(b).alias(f"{b}_px") for b in bands])
+    return images.groupBy(*by).agg(*[F.expr(f"count(`{b}`) AS `{b}_px`") for b in bands])
 
 
 def band_validity(images: DataFrame, scenes: DataFrame, bands: Sequence[str] = ("B3", "B8"), key: str = "scene_id"):
     """Flag every scene that has at least one valid pixel in each band; scenes without pixels are false."""
     counts = valid_pixel_count(images, bands, [key])
-    enough = F.lit(True)
-    for b in bands:
-        enough = enough & (F.coalesce(f"{b}_px", F.lit(0)) > 0)
-    return scenes.join(counts, key, "left").withColumn("has_required_bands_pixels", enough).drop(
-        *[f"{b}_px" for b in bands]
-    )
+    enough = " AND ".join(f"coalesce(`{b}_px`, 0) > 0" for b in bands)
+    flagged = scenes.join(counts, key, "left").withColumn("has_required_bands_pixels", F.expr(enough))
+    return flagged.drop(*[f"{b}_px" for b in bands])
 
 
 def side_by_side(images: DataFrame, bands: Sequence[str]) -> DataFrame:
     """Rows tagged pre or post, with the bands moved to the columns of their side; one row per input row."""
     kept = [c for c in images.columns if c not in bands and c != "side"]
-    return images.select(
-        *kept, *[F.when(F.col("side") == s, F.col(b)).alias(f"{s}_{b}") for s in SIDES for b in bands]
+    return images.selectExpr(
+        *kept, *[f"CASE WHEN side = '{s}' THEN `{b}` END AS `{s}_{b}`" for s in SIDES for b in bands]
     )
 
 
 def align(images: DataFrame, bands: Sequence[str], by: Sequence[str] = ("event_id",)) -> DataFrame:
     """Pair frame from tagged rows: one hash aggregation by cell, in place of a join of two scans."""
-    wide = side_by_side(images, bands)
     names = [f"{s}_{b}" for s in SIDES for b in bands]
-    return wide.groupBy(*by, "x", "y").agg(*[F.max(n).alias(n) for n in names])
+    return side_by_side(images, bands).groupBy(*by, "x", "y").agg(*[F.expr(f"max(`{n}`) AS `{n}`") for n in names])
 
 
 def pair_counts(
@@ -60,15 +56,12 @@ def pair_counts(
     Both sides are counted within the footprint of the image before the event, where one is given
     (``by``, x_lo, x_hi, y_lo, y_hi).
     """
-    inside = F.lit(True)
+    inside = "true"
     if footprint is not None:
-        pairs = lookup_join(pairs, footprint, by, n_events)
-        inside = F.col("x").between(F.col("x_lo"), F.col("x_hi")) & F.col("y").between(F.col("y_lo"), F.col("y_hi"))
-    return (
-        pairs.groupBy(*by)
-        .agg(*[F.count(F.when(inside, F.col(f"{s}_{band}"))).alias(f"{s}_px") for s in SIDES])
-        .withColumn("same_count", F.col("pre_px") == F.col("post_px"))
-    )
+        pairs = lookup_join(pairs, footprint, by, n_events, salt=["x", "y"])
+        inside = "x BETWEEN x_lo AND x_hi AND y BETWEEN y_lo AND y_hi"
+    counts = [F.expr(f"count(CASE WHEN {inside} THEN `{s}_{band}` END) AS {s}_px") for s in SIDES]
+    return pairs.groupBy(*by).agg(*counts).withColumn("same_count", F.expr("pre_px = post_px"))
 
 
 def common_mask(
@@ -81,13 +74,11 @@ def common_mask(
     """Where the counts of an event differ, mask each band wherever either side is masked; equal counts change nothing."""
     flagged = lookup_join(pairs, counts.select(*by, "same_count"), by, n_events, salt=["x", "y"])
     masked = {
-        f"{s}_{b}": update_mask(
-            F.col(f"{s}_{b}"), F.col("same_count") | both_valid(F.col(f"pre_{b}"), F.col(f"post_{b}"))
-        )
+        f"{s}_{b}": update_mask(f"`{s}_{b}`", f"same_count OR {both_valid(f'`pre_{b}`', f'`post_{b}`')}")
         for s in SIDES
         for b in bands
     }
-    return flagged.withColumns(masked).drop("same_count")
+    return flagged.selectExpr(*[f"{masked[c]} AS `{c}`" if c in masked else f"`{c}`" for c in pairs.columns])
 
 
 def with_threshold_band(pairs: DataFrame, band: str) -> DataFrame:
@@ -96,7 +87,7 @@ def with_threshold_band(pairs: DataFrame, band: str) -> DataFrame:
         if band == "VV_minus_VH":
             if not {f"{s}_VV", f"{s}_VH"} <= set(pairs.columns):
                 raise ValueError(f"The image {s} the event needs bands VV and VH to derive VV_minus_VH")
-            pairs = pairs.withColumn(f"{s}_{band}", band_difference(F.col(f"{s}_VV"), F.col(f"{s}_VH")))
+            pairs = pairs.selectExpr("*", f"{band_difference(f'{s}_VV', f'{s}_VH')} AS {s}_{band}")
         elif f"{s}_{band}" not in pairs.columns:
             raise ValueError(f"The image {s} the event has no band {band}")
     return pairs
@@ -105,15 +96,9 @@ def with_threshold_band(pairs: DataFrame, band: str) -> DataFrame:
 def water_below(pairs: DataFrame, band: str, thresholds: DataFrame, by=("event_id",), n_events: int | None = None):
     """Water on each side (strictly below its threshold) and the flood: water after that was not there before."""
     t = lookup_join(pairs, thresholds.select(*by, "threshold_pre", "threshold_post"), by, n_events, salt=["x", "y"])
-    return with_flood(
-        t.select(
-            *by,
-            "x",
-            "y",
-            *[binary(F.col(f"{s}_{band}") < F.col(f"threshold_{s}")).alias(f"water_{s}") for s in SIDES],
-        )
-    )
+    water = [f"{binary(f'`{s}_{band}` < threshold_{s}')} AS water_{s}" for s in SIDES]
+    return with_flood(t.selectExpr(*by, "x", "y", *water))
 
 
 def with_flood(water: DataFrame) -> DataFrame:
-    return water.withColumn("flood", new_water(F.col("water_pre"), F.col("water_post")))
+    return water.selectExpr("*", f"{new_water('water_pre', 'water_post')} AS flood")

@@ -7,7 +7,6 @@ from collections.abc import Sequence
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from .blocks import map_blocks
 
@@ -71,7 +70,7 @@ def connected_pixel_count(
     block = block or max(BLOCK, 2 * halo)
     pixels = images.select(*keys, "x", "y")
     if value:
-        pixels = pixels.where(F.col(value).isNotNull())
+        pixels = pixels.where(f"`{value}` IS NOT NULL")
     side = block + 2 * halo
 
     def label(cells):
@@ -81,7 +80,7 @@ def connected_pixel_count(
         sizes = np.minimum(_component_sizes(x, y, side), max_size).astype(np.int32)
         return pd.DataFrame({"at": at[core], "component_size": sizes[core]})
 
-    return map_blocks(pixels, keys, [], halo, block, label, "component_size int")
+    return map_blocks(pixels, keys, [], halo, block, label, ["component_size"], "int")
 
 
 def drop_small_patches(
@@ -96,4 +95,4 @@ def drop_small_patches(
     if min_connected <= 1:
         return extent.select(*by, "x", "y")
     sized = connected_pixel_count(extent, by, max_size=min_connected)
-    return sized.where(F.col("component_size") >= min_connected).drop("component_size")
+    return sized.where(f"component_size >= {int(min_connected)}").drop("component_size")

@@ -7,7 +7,6 @@ from collections.abc import Sequence
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..functions.grid import radius_in_cells
 from .blocks import map_blocks
@@ -62,11 +61,10 @@ def speckle_smooth(
     """
     bands = list(bands)
     r = radius_in_cells(radius_m)
-    needed = images.select(*by, "x", "y", *[F.col(b).cast("double").alias(b) for b in bands]).where(
-        F.coalesce(*bands).isNotNull()
-    )
+    valid = " OR ".join(f"`{b}` IS NOT NULL" for b in bands)
+    needed = images.where(valid).selectExpr(*by, "x", "y", *[f"CAST(`{b}` AS DOUBLE) AS `{b}`" for b in bands])
 
     def smooth(cells):
         return _smooth_block(cells, bands, r, block, fill_masked)
 
-    return map_blocks(needed, by, bands, r, block, smooth, ", ".join(f"`{b}` double" for b in bands))
+    return map_blocks(needed, by, bands, r, block, smooth, bands, "double")

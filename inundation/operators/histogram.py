@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.bands import DEFAULT_OTSU_THRESHOLD
+from ..functions.grid import num
 from .lookup import lookup_join
 
 # Fixed values.
@@ -26,46 +26,40 @@ def band_histogram(
     bounds the number of images; see :func:`lookup_join`.
     """
     by = list(by)
-    values = images.select(*by, "x", "y", F.col(band).cast("double").alias("v")).where("v IS NOT NULL AND NOT isnan(v)")
-    extent = values.groupBy(*by).agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
-    fit = F.pow(F.lit(2.0), F.ceil(F.log2((F.col("hi") - F.col("lo")) / max_buckets) - 1e-9))
+    values = images.selectExpr(*by, "x", "y", f"CAST(`{band}` AS DOUBLE) AS v").where("v IS NOT NULL AND NOT isnan(v)")
+    fit = f"pow(2.0D, ceil(log2((hi - lo) / {max_buckets}) - 1e-9D))"
     widths = (
-        extent.withColumn("w", F.when(F.col("hi") > F.col("lo"), fit).otherwise(1.0))
-        .withColumn("used", F.floor(F.col("hi") / F.col("w")) - F.floor(F.col("lo") / F.col("w")) + 1)
+        values.groupBy(*by)
+        .agg(F.expr("min(v) AS lo"), F.expr("max(v) AS hi"))
+        .selectExpr("*", f"CASE WHEN hi > lo THEN {fit} ELSE 1.0D END AS w")
         # The range may straddle one border more than it fills.
-        .select(*by, F.when(F.col("used") > max_buckets, F.col("w") * 2).otherwise(F.col("w")).alias("width"))
+        .selectExpr(*by, f"CASE WHEN floor(hi / w) - floor(lo / w) + 1 > {max_buckets} THEN w * 2 ELSE w END AS width")
     )
-    bucketed = lookup_join(values, widths, by, n_images, salt=["x", "y"]).withColumn(
-        "bucket", F.floor(F.col("v") / F.col("width"))
-    )
-    mean = F.sum("v") / F.count("v")
+    bucketed = lookup_join(values, widths, by, n_images, salt=["x", "y"]).withColumn("bucket", F.expr("floor(v / width)"))
     return bucketed.groupBy(*by, "width", "bucket").agg(
-        F.count("v").alias("n"),
-        F.sum("v").alias("total"),
+        F.expr("count(v) AS n"),
+        F.expr("sum(v) AS total"),
         # A mean lies between the extremes; rounding must not push it past them, or a constant bucket would test as water.
-        F.least(F.greatest(mean, F.min("v")), F.max("v")).alias("mean"),
+        F.expr("least(greatest(sum(v) / count(v), min(v)), max(v)) AS mean"),
     )
 
 
 def otsu_curve(histogram: DataFrame, by: Sequence[str]) -> DataFrame:
     """Between-class variance at each bucket and the bucket chosen: the first with the largest variance."""
-    by = list(by)
-    everything = W.partitionBy(*by)
-    so_far = W.partitionBy(*by).orderBy("bucket").rowsBetween(W.unboundedPreceding, 0)
-    n_all, sum_all = F.sum("n").over(everything), F.sum("total").over(everything)
-    omega = F.sum("n").over(so_far) / n_all
-    mu = F.sum("total").over(so_far) / n_all
-    curve = histogram.withColumns({"omega": omega, "mu": mu, "mu_all": sum_all / n_all}).withColumn(
-        "sigma_b2",
-        F.pow(F.col("mu_all") * F.col("omega") - F.col("mu"), 2)
-        / (F.col("omega") * (1 - F.col("omega")) + VARIANCE_EPSILON),
-    )
-    finite = F.when(F.isnan("sigma_b2") | (F.col("sigma_b2") == float("inf")), 0.0).otherwise(F.col("sigma_b2"))
-    best = W.partitionBy(*by).orderBy(F.col("sigma_b2").desc(), "bucket")
+    group = f"PARTITION BY {', '.join(by)}"
+    upto = f"OVER ({group} ORDER BY bucket ROWS UNBOUNDED PRECEDING)"
     return (
-        curve.withColumn("sigma_b2", finite)
-        .withColumn("is_threshold", F.row_number().over(best) == 1)
-        .select(*by, "bucket", "width", "n", "mean", "sigma_b2", "is_threshold")
+        histogram.selectExpr(
+            "*",
+            f"sum(n) {upto} / sum(n) OVER ({group}) AS omega",
+            f"sum(total) {upto} / sum(n) OVER ({group}) AS mu",
+            f"sum(total) OVER ({group}) / sum(n) OVER ({group}) AS mu_all",
+        )
+        .selectExpr("*", f"pow(mu_all * omega - mu, 2) / (omega * (1 - omega) + {num(VARIANCE_EPSILON)}) AS s")
+        .selectExpr(
+            *by, "bucket", "width", "n", "mean", "CASE WHEN isnan(s) OR s = double('inf') THEN 0.0D ELSE s END AS sigma_b2"
+        )
+        .selectExpr("*", f"row_number() OVER ({group} ORDER BY sigma_b2 DESC, bucket) = 1 AS is_threshold")
     )
 
 
@@ -84,11 +78,9 @@ def otsu_threshold(
     """
     by = list(by)
     curve = otsu_curve(band_histogram(images, band, by, max_buckets, n_images), by)
-    found = curve.where("is_threshold").select(*by, F.col("mean").alias("threshold"))
+    found = curve.where("is_threshold").selectExpr(*by, "mean AS threshold")
     if wanted is None:
-        return found.withColumn("threshold_defaulted", F.lit(False))
-    return wanted.select(*by).join(found, by, "left").select(
-        *by,
-        F.coalesce("threshold", F.lit(default)).alias("threshold"),
-        F.col("threshold").isNull().alias("threshold_defaulted"),
+        return found.selectExpr("*", "false AS threshold_defaulted")
+    return lookup_join(wanted.select(*by), found, by, n_images, "left").selectExpr(
+        *by, f"coalesce(threshold, {num(default)}) AS threshold", "threshold IS NULL AS threshold_defaulted"
     )

@@ -24,13 +24,13 @@ def lookup_join(
 
     ``rows`` is an upper bound for the rows of ``small``.  Up to ``BROADCAST_ROWS`` it is broadcast.  Beyond, or with no bound
     known, the join shuffles; with ``salt`` columns a key holding much of ``big`` is spread over ``SALTS`` partitions, and
-    ``small`` is repeated for each.  Salting needs ``how`` to be inner, left or left_semi.
+    ``small`` is repeated for each.  ``how`` is inner, left or left_semi.
     """
     on = list(on)
     if rows is not None and rows <= BROADCAST_ROWS:
         return big.join(F.broadcast(small), on, how)
     if not salt:
         return big.join(small, on, how)
-    salted = big.withColumn("_salt", F.pmod(F.xxhash64(*salt), F.lit(SALTS)).cast("int"))
-    repeated = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = big.withColumn("_salt", F.expr(f"CAST(pmod(xxhash64({', '.join(salt)}), {SALTS}) AS INT)"))
+    repeated = small.withColumn("_salt", F.expr(f"explode(sequence(0, {SALTS - 1}))"))
     return salted.join(repeated, [*on, "_salt"], how).drop("_salt")

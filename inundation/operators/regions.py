@@ -10,7 +10,6 @@ A polygon becomes *spans*: for each grid row the intervals of cells whose centre
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.geometry import edges
@@ -23,135 +22,127 @@ from ..functions.grid import (
     center_lat,
     center_lon,
     distance_m,
+    num,
 )
 from .lookup import lookup_join
 
+#: Metres per degree of latitude, a little low, so that boxes around circles come out a little large.
+_DEGREE_M = 111000.0
+
 
 def _split_by_tile(rows: DataFrame) -> DataFrame:
     """Cut spans at tile borders so that they can be joined by tile."""
-    t = F.col("tile_x")
-    return rows.withColumn(
-        "tile_x", F.explode(F.sequence(block_of(F.col("x_lo")), block_of(F.col("x_hi"))))
-    ).select(
+    return rows.withColumn("tile_x", F.expr(f"explode(sequence({block_of('x_lo')}, {block_of('x_hi')}))")).selectExpr(
         "aoi_id",
         "tile_x",
         "y",
-        F.greatest("x_lo", t * TILE).alias("x_lo"),
-        F.least("x_hi", t * TILE + (TILE - 1)).alias("x_hi"),
+        f"greatest(x_lo, tile_x * {TILE}) AS x_lo",
+        f"least(x_hi, tile_x * {TILE} + {TILE - 1}) AS x_hi",
     )
 
 
-def _first_cell_from(lon, step):
-    """Smallest x whose centre is at or east of ``lon``; exact against ``center_lon``."""
-    x = F.ceil((lon + 180.0) / step - 0.5)
-    return (
-        F.when(center_lon(x - 1, step) >= lon, x - 1).when(center_lon(x, step) >= lon, x).otherwise(x + 1)
-    ).cast("bigint")
-
-
 def polygon_spans(area: DataFrame, step: float = STEP_DEG) -> DataFrame:
     """Cells whose centre is inside: even-odd within a part, union over the parts of an area."""
-    e = edges(area).where(F.col("lat1") != F.col("lat2"))
-    lo, hi = F.least("lat1", "lat2"), F.greatest("lat1", "lat2")
-    rows = e.withColumn("y", F.explode(F.sequence(cell_y(hi, step) - 1, cell_y(lo, step) + 1)))
-    lat = center_lat(F.col("y"), step)
-    crossing = (F.col("lon2") - F.col("lon1")) * (lat - F.col("lat1")) / (F.col("lat2") - F.col("lat1")) + F.col("lon1")
-    crossings = (
-        rows.where((F.col("lat1") > lat) != (F.col("lat2") > lat))
-        .select("aoi_id", "part", "y", _first_cell_from(crossing, step).alias("x"))
-        # One shuffle serves the three windows below.
-        .repartition("aoi_id", "y")
+    top, bottom = cell_y("greatest(lat1, lat2)", step), cell_y("least(lat1, lat2)", step)
+    rows = edges(area).selectExpr("*", f"explode(sequence({top} - 1, {bottom} + 1)) AS y")
+    crossed = rows.withColumn("lat", F.expr(center_lat("y", step))).where("(lat1 > lat) != (lat2 > lat)")
+    at = crossed.selectExpr(
+        "aoi_id", "part", "y", "(lon2 - lon1) * (lat - lat1) / (lat2 - lat1) + lon1 AS lon"
+    ).selectExpr("*", f"CAST(ceil((lon + 180.0D) / {num(step)} - 0.5D) AS BIGINT) AS c")
+    # The first cell with its centre at or east of the crossing; rounding can put the estimate one off either way.
+    first = (
+        f"CASE WHEN {center_lon('(c - 1)', step)} >= lon THEN c - 1 WHEN {center_lon('c', step)} >= lon THEN c ELSE c + 1 END"
     )
-    by_part = W.partitionBy("aoi_id", "y", "part").orderBy("x")
-    inside = (
-        crossings.withColumn("n", F.row_number().over(by_part))
-        .withColumn("x_hi", F.lead("x").over(by_part) - 1)
-        .where((F.col("n") % 2 == 1) & (F.col("x_hi") >= F.col("x")))
-        .select("aoi_id", "y", F.col("x").alias("x_lo"), "x_hi")
-    )
-    by_row = W.partitionBy("aoi_id", "y").orderBy("x_lo", "x_hi")
-    reach = F.max("x_hi").over(by_row.rowsBetween(W.unboundedPreceding, -1))
+    # One shuffle serves the windows and the aggregation.
+    crossings = at.selectExpr("aoi_id", "part", "y", f"{first} AS x").repartition("aoi_id", "y")
+    inside = crossings.selectExpr(
+        "aoi_id",
+        "y",
+        "x AS x_lo",
+        "lead(x) OVER (PARTITION BY aoi_id, y, part ORDER BY x) - 1 AS x_hi",
+        "row_number() OVER (PARTITION BY aoi_id, y, part ORDER BY x) AS n",
+    ).where("n % 2 = 1 AND x_hi >= x_lo")
+    by_row = "OVER (PARTITION BY aoi_id, y ORDER BY x_lo, x_hi ROWS BETWEEN UNBOUNDED PRECEDING AND"
     merged = (
-        inside.withColumn("opens", F.when(F.col("x_lo") <= reach + 1, 0).otherwise(1))
-        .withColumn("run", F.sum("opens").over(by_row.rowsBetween(W.unboundedPreceding, 0)))
+        inside.selectExpr(
+            "aoi_id", "y", "x_lo", "x_hi",
+            f"CASE WHEN x_lo <= max(x_hi) {by_row} 1 PRECEDING) + 1 THEN 0 ELSE 1 END AS opens",
+        )
+        .selectExpr("aoi_id", "y", "x_lo", "x_hi", f"sum(opens) {by_row} CURRENT ROW) AS run")
         .groupBy("aoi_id", "y", "run")
-        .agg(F.min("x_lo").alias("x_lo"), F.max("x_hi").alias("x_hi"))
+        .agg(F.expr("min(x_lo) AS x_lo"), F.expr("max(x_hi) AS x_hi"))
     )
     return _split_by_tile(merged)
 
 
-def within_buffer(lon, lat, lon0, lat0, meters):
+def within_buffer(lon: str, lat: str, lon0: str, lat0: str, meters: float) -> str:
     """Is a point within ``meters`` of the centre?  A latitude band is tested first; it is cheap and can be pushed down."""
-    reach = meters / 111194.0 * 1.001
-    return lat.between(lat0 - reach, lat0 + reach) & (distance_m(lon, lat, lon0, lat0) <= meters)
+    reach = num(meters / _DEGREE_M)
+    return (
+        f"({lat} BETWEEN {lat0} - {reach} AND {lat0} + {reach} AND {distance_m(lon, lat, lon0, lat0)} <= {num(meters)})"
+    )
 
 
 def buffer_spans(centers: DataFrame, step: float = STEP_DEG) -> DataFrame:
     """Spans of circles: ``centers`` has aoi_id, lon, lat, meters."""
-    reach = F.col("meters") / 111194.0 * 1.001
-    rows = centers.withColumn(
-        "y",
-        F.explode(F.sequence(cell_y(F.col("lat") + reach, step), cell_y(F.col("lat") - reach, step))),
-    )
-    row_lat = center_lat(F.col("y"), step)
+    reach = f"meters / {num(_DEGREE_M)}"
+    rows = centers.selectExpr(
+        "*", f"explode(sequence({cell_y(f'lat + {reach}', step)}, {cell_y(f'lat - {reach}', step)})) AS y"
+    ).withColumn("row_lat", F.expr(center_lat("y", step)))
     # Half-width of the circle in this row, from the haversine formula solved for the longitude difference.
-    left = F.pow(F.sin(F.col("meters") / (2 * EARTH_RADIUS_M)), 2) - F.pow(
-        F.sin(F.radians(row_lat - F.col("lat")) / 2), 2
+    left = f"pow(sin(meters / {num(2 * EARTH_RADIUS_M)}), 2) - pow(sin(radians(row_lat - lat) / 2), 2)"
+    ratio = f"greatest({left}, 0.0D) / (cos(radians(lat)) * cos(radians(row_lat)))"
+    ends = rows.withColumn("half", F.expr(f"degrees(2 * asin(sqrt(least({ratio}, 1.0D))))")).selectExpr(
+        "*",
+        f"CAST(ceil((lon - half + 180.0D) / {num(step)} - 0.5D) AS BIGINT) AS a",
+        f"CAST(floor((lon + half + 180.0D) / {num(step)} - 0.5D) AS BIGINT) AS b",
     )
-    ratio = F.greatest(left, F.lit(0.0)) / (F.cos(F.radians("lat")) * F.cos(F.radians(row_lat)))
-    half = F.degrees(2 * F.asin(F.sqrt(F.least(ratio, F.lit(1.0)))))
 
     def inside(x):
-        return distance_m(center_lon(x, step), row_lat, F.col("lon"), F.col("lat")) <= F.col("meters")
+        return f"{distance_m(center_lon(x, step), 'row_lat', 'lon', 'lat')} <= meters"
 
-    ends = rows.withColumns(
-        {
-            "a": F.ceil((F.col("lon") - half + 180.0) / step - 0.5).cast("bigint"),
-            "b": F.floor((F.col("lon") + half + 180.0) / step - 0.5).cast("bigint"),
-        }
-    )
-    a, b = F.col("a"), F.col("b")
     # Rounding can put an end one cell off; settle it with the distance itself.
-    spans = ends.select(
+    spans = ends.selectExpr(
         "aoi_id",
         "y",
-        F.when(inside(a - 1), a - 1).when(inside(a), a).otherwise(a + 1).alias("x_lo"),
-        F.when(inside(b + 1), b + 1).when(inside(b), b).otherwise(b - 1).alias("x_hi"),
+        f"CASE WHEN {inside('(a - 1)')} THEN a - 1 WHEN {inside('a')} THEN a ELSE a + 1 END AS x_lo",
+        f"CASE WHEN {inside('(b + 1)')} THEN b + 1 WHEN {inside('b')} THEN b ELSE b - 1 END AS x_hi",
     )
-    return _split_by_tile(spans.where(F.col("x_lo") <= F.col("x_hi")))
+    return _split_by_tile(spans.where("x_lo <= x_hi"))
 
 
 def footprints(images: DataFrame, by: list[str], step: float = STEP_DEG) -> DataFrame:
     """Extent of each image, from its cells."""
     cells = images.groupBy(*by).agg(
-        F.min("x").alias("x_lo"), F.max("x").alias("x_hi"), F.min("y").alias("y_lo"), F.max("y").alias("y_hi")
+        *[F.expr(f"{f}({c}) AS {c}_{f}") for f in ("min", "max") for c in ("x", "y")]
     )
-    return cells.select(
+    s = num(step)
+    return cells.selectExpr(
         *by,
-        (F.col("x_lo") * step - 180.0).alias("min_lon"),
-        (90.0 - (F.col("y_hi") + 1) * step).alias("min_lat"),
-        ((F.col("x_hi") + 1) * step - 180.0).alias("max_lon"),
-        (90.0 - F.col("y_lo") * step).alias("max_lat"),
+        f"x_min * {s} - 180.0D AS min_lon",
+        f"90.0D - (y_max + 1) * {s} AS min_lat",
+        f"(x_max + 1) * {s} - 180.0D AS max_lon",
+        f"90.0D - y_min * {s} AS max_lat",
     )
 
 
 def cover(spans: DataFrame, halo: int = 0) -> DataFrame:
     """Tiles touched by an area grown by ``halo`` cells."""
     return (
-        spans.select(
+        spans.selectExpr(
             "aoi_id",
-            F.explode(F.sequence(block_of(F.col("x_lo") - halo), block_of(F.col("x_hi") + halo))).alias("tile_x"),
-            block_of(F.col("y") - halo).alias("t0"),
-            block_of(F.col("y") + halo).alias("t1"),
+            f"explode(sequence({block_of(f'x_lo - {halo}')}, {block_of(f'x_hi + {halo}')})) AS tile_x",
+            f"{block_of(f'y - {halo}')} AS t0",
+            f"{block_of(f'y + {halo}')} AS t1",
         )
         .distinct()
-        .select("aoi_id", "tile_x", F.explode(F.sequence("t0", "t1")).alias("tile_y"))
+        .selectExpr("aoi_id", "tile_x", "explode(sequence(t0, t1)) AS tile_y")
         .distinct()
     )
 
 
 def with_tile(images: DataFrame) -> DataFrame:
-    return images.withColumns({"tile_x": block_of(F.col("x")), "tile_y": block_of(F.col("y"))})
+    return images.selectExpr("*", f"{block_of('x')} AS tile_x", f"{block_of('y')} AS tile_y")
 
 
 def clip(images: DataFrame, spans: DataFrame, by: str | None = None, rows: int | None = None) -> DataFrame:
@@ -161,11 +152,7 @@ def clip(images: DataFrame, spans: DataFrame, by: str | None = None, rows: int |
     be of one area.  ``rows`` bounds the number of spans; see :func:`lookup_join`.
     """
     # Spans of one row are disjoint, so a pixel meets at most one and the join cannot repeat it.
-    s = spans.select(*([F.col("aoi_id").alias(by)] if by else []), "tile_x", "y", "x_lo", "x_hi")
+    s = spans.selectExpr(*([f"aoi_id AS {by}"] if by else []), "tile_x", "y", "x_lo", "x_hi")
     on = [*([by] if by else []), "tile_x", "y"]
-    tiled = images.withColumn("tile_x", block_of(F.col("x")))
-    return (
-        lookup_join(tiled, s, on, rows)
-        .where(F.col("x").between(F.col("x_lo"), F.col("x_hi")))
-        .select(*images.columns)
-    )
+    tiled = images.withColumn("tile_x", F.expr(block_of("x")))
+    return lookup_join(tiled, s, on, rows).where("x BETWEEN x_lo AND x_hi").select(*images.columns)

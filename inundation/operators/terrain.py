@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.grid import METERS_PER_DEGREE, STEP_DEG, block_of, center_lat, center_lon
+from ..functions.grid import METERS_PER_DEGREE, STEP_DEG, block_of, cell_x, cell_y, center_lat, center_lon, num
+from .blocks import spread
 
 #: Elevation grid: 3 arc-seconds.
 DEM_STEP_DEG = 1.0 / 1200.0
@@ -22,38 +21,36 @@ def slope_degrees(dem: DataFrame, step: float = DEM_STEP_DEG, block: int = DEM_B
     Cells go to their block plus a one-cell halo; the windows along both axes contain the block key, so one shuffle serves
     both and a window never holds more than a block row.
     """
-    spread = lambda v: F.explode(F.sequence(block_of(v - 1, block), block_of(v + 1, block)))
     blocked = (
-        dem.select(F.col("gx").cast("bigint"), F.col("gy").cast("bigint"), F.col("elevation").cast("double"))
-        .withColumn("bx", spread(F.col("gx")))
-        .withColumn("by", spread(F.col("gy")))
+        dem.selectExpr("CAST(gx AS BIGINT) AS gx", "CAST(gy AS BIGINT) AS gy", "CAST(elevation AS DOUBLE) AS z")
+        .selectExpr("*", f"{spread('gx', 1, block)} AS bx")
+        .selectExpr("*", f"{spread('gy', 1, block)} AS by")
         .repartition("bx", "by")
     )
-    along_x = W.partitionBy("bx", "by", "gy").orderBy("gx")
-    along_y = W.partitionBy("bx", "by", "gx").orderBy("gy")
 
-    def neighbour(side, axis, window):
-        ahead = F.lead if side > 0 else F.lag
-        return F.when(ahead(axis).over(window) == F.col(axis) + side, ahead("elevation").over(window))
+    def neighbours(axis, across):
+        window = f"OVER (PARTITION BY bx, by, {across} ORDER BY {axis})"
+        return [
+            f"CASE WHEN lead({axis}) {window} = {axis} + 1 THEN lead(z) {window} END AS {axis}_up",
+            f"CASE WHEN lag({axis}) {window} = {axis} - 1 THEN lag(z) {window} END AS {axis}_down",
+        ]
 
-    z = (
-        blocked.withColumns({"east": neighbour(1, "gx", along_x), "west": neighbour(-1, "gx", along_x)})
-        .withColumns({"south": neighbour(1, "gy", along_y), "north": neighbour(-1, "gy", along_y)})
-        .where((block_of(F.col("gx"), block) == F.col("bx")) & (block_of(F.col("gy"), block) == F.col("by")))
-    )
     cell = step * METERS_PER_DEGREE
-    gx = (F.col("east") - F.col("west")) / (2 * cell * F.cos(F.radians(center_lat(F.col("gy"), step))))
-    gy = (F.col("north") - F.col("south")) / (2 * cell)
-    return z.select("gx", "gy", "elevation", F.degrees(F.atan(F.sqrt(gx * gx + gy * gy))).alias("slope_deg"))
+    per_x = f"(gx_up - gx_down) / ({num(2 * cell)} * cos(radians({center_lat('gy', step)})))"
+    per_y = f"(gy_down - gy_up) / {num(2 * cell)}"
+    return (
+        blocked.selectExpr("*", *neighbours("gx", "gy"))
+        .selectExpr("*", *neighbours("gy", "gx"))
+        .where(f"{block_of('gx', block)} = bx AND {block_of('gy', block)} = by")
+        .selectExpr("gx", "gy", "z AS elevation", f"{per_x} AS px", f"{per_y} AS py")
+        .selectExpr("gx", "gy", "elevation", "degrees(atan(sqrt(px * px + py * py))) AS slope_deg")
+    )
 
 
 def dem_cell(images: DataFrame, step: float = STEP_DEG, dem_step: float = DEM_STEP_DEG) -> DataFrame:
     """Add the elevation cell (gx, gy) holding each pixel centre: nearest-neighbour sampling."""
-    return images.withColumns(
-        {
-            "gx": F.floor((center_lon(F.col("x"), step) + 180.0) / dem_step),
-            "gy": F.floor((90.0 - center_lat(F.col("y"), step)) / dem_step),
-        }
+    return images.selectExpr(
+        "*", f"{cell_x(center_lon('x', step), dem_step)} AS gx", f"{cell_y(center_lat('y', step), dem_step)} AS gy"
     )
 
 
@@ -63,18 +60,15 @@ def dem_near(dem: DataFrame, cover: DataFrame, tile: int, step: float = STEP_DEG
     size = max(1, int(tile * ratio))
 
     def blocks(t):
-        first = F.floor((t * tile * ratio - 2) / size)
-        last = F.floor(((t + 1) * tile * ratio + 2) / size)
-        return F.explode(F.sequence(first, last))
+        return (
+            f"explode(sequence(floor(({t} * {num(tile * ratio)} - 2) / {size}), "
+            f"floor((({t} + 1) * {num(tile * ratio)} + 2) / {size})))"
+        )
 
     wanted = (
-        cover.select("tile_x", "tile_y")
-        .distinct()
-        .select("tile_y", blocks(F.col("tile_x")).alias("_bx"))
-        .select("_bx", blocks(F.col("tile_y")).alias("_by"))
-        .distinct()
+        cover.selectExpr("tile_y", f"{blocks('tile_x')} AS _bx").selectExpr("_bx", f"{blocks('tile_y')} AS _by").distinct()
     )
-    keyed = dem.withColumns({"_bx": F.floor(F.col("gx") / size), "_by": F.floor(F.col("gy") / size)})
+    keyed = dem.selectExpr("*", f"floor(gx / {size}) AS _bx", f"floor(gy / {size}) AS _by")
     return keyed.join(wanted, ["_bx", "_by"], "left_semi").drop("_bx", "_by")
 
 
@@ -82,29 +76,26 @@ def drop_steep(
     extent: DataFrame, slope: DataFrame, max_slope_deg: float = 5.0, dem_step: float = DEM_STEP_DEG
 ) -> DataFrame:
     """Keep pixels whose slope is known and below the limit."""
-    gentle = slope.where(F.col("slope_deg") < max_slope_deg).select("gx", "gy")
+    gentle = slope.where(f"slope_deg < {num(max_slope_deg)}").select("gx", "gy")
     return dem_cell(extent, dem_step=dem_step).join(gentle, ["gx", "gy"], "left_semi").select(*extent.columns)
 
 
-def regrid_nearest(images: DataFrame, src_step: float, dst_step: float, by: Sequence[str] = ()) -> DataFrame:
+def regrid_nearest(images: DataFrame, src_step: float, dst_step: float) -> DataFrame:
     """Nearest-neighbour resampling: a target cell takes the source cell holding its centre.
 
     Written from the source side: each source cell emits the target cells whose centres it holds, none or many.  Both ends use
     one formula, so every target cell comes from exactly one source cell, and no join or shuffle is needed.
     """
-    ratio = src_step / dst_step
-    # An integer coarsening is a plain filter on the coordinates, which can be pushed down.
     k = dst_step / src_step
     if math.isclose(k, round(k), rel_tol=1e-9) and round(k) >= 1:
+        # An integer coarsening is a plain filter on the coordinates.
         n = int(round(k))
-        keep = (F.pmod(F.col("x"), F.lit(n)) == n // 2) & (F.pmod(F.col("y"), F.lit(n)) == n // 2)
-        return images.where(keep).withColumns({"x": F.floor(F.col("x") / n), "y": F.floor(F.col("y") / n)})
+        kept = images.where(f"pmod(x, {n}) = {n // 2} AND pmod(y, {n}) = {n // 2}")
+        return kept.withColumns({"x": F.expr(f"floor(x / {n})"), "y": F.expr(f"floor(y / {n})")})
+    ratio = num(src_step / dst_step)
 
     def targets(v):
-        first = F.ceil(v * ratio - 0.5)
-        last = F.ceil((v + 1) * ratio - 0.5) - 1
-        return F.when(first <= last, F.sequence(first, last))
+        first, last = f"ceil({v} * {ratio} - 0.5D)", f"ceil(({v} + 1) * {ratio} - 0.5D) - 1"
+        return F.expr(f"explode(CASE WHEN {first} <= {last} THEN sequence({first}, {last}) END)")
 
-    return (
-        images.withColumn("x", F.explode(targets(F.col("x")))).withColumn("y", F.explode(targets(F.col("y"))))
-    )
+    return images.withColumn("x", targets("x")).withColumn("y", targets("y"))

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.bands import cloud_masked_reflectance, ndwi_water
 from ..operators.change import common_mask, pair_counts, with_flood
 from ..operators.composite import median_of
+from ..operators.lookup import lookup_join
 from ..operators.regions import clip
 from ..sources import catalog
+from ..sources.control import settle
 from ..sources.rasters import read_pixels
-from .sar import Branch, footprint_before, usable
+from .sar import Branch, footprint_before
 from .scope import Scope
 
 BANDS = ("B3", "B8")
@@ -21,9 +24,10 @@ def optical_scenes(
     scenes: DataFrame, scope: Scope, days: int = catalog.OPTICAL_DAYS, max_cloud: float = catalog.MAX_CLOUD_PERCENT
 ) -> tuple[DataFrame, DataFrame]:
     """All usable scenes of both sides, and coverage per event."""
-    matched = catalog.match_scenes(scenes.where(catalog.optical_quality(max_cloud)), scope.events, days)
-    coverage = catalog.scene_coverage(matched, scope.events)
-    return usable(matched, coverage), coverage
+    matched = settle(catalog.match_scenes(scenes.where(catalog.optical_quality(max_cloud)), scope.events, days))
+    coverage = settle(catalog.scene_coverage(matched, scope.events))
+    ok = coverage.where("status = 'ok'").select("event_id")
+    return lookup_join(matched, ok, ["event_id"], scope.n_events, "left_semi"), coverage
 
 
 def median_pairs(
@@ -44,29 +48,30 @@ def median_pairs(
         envelope=area.envelope,
     )
     if cloud_mask:
-        rows = rows.withColumns({b: cloud_masked_reflectance(F.col(b), F.col("QA60")) for b in BANDS})
-    outputs = {f"{s}_{b}": F.when(F.col("side") == s, F.col(b)) for s in ("pre", "post") for b in BANDS}
+        rows = rows.withColumns({b: F.expr(cloud_masked_reflectance(b)) for b in BANDS})
+    outputs = {f"{s}_{b}": f"CASE WHEN side = '{s}' THEN {b} END" for s in ("pre", "post") for b in BANDS}
     return median_of(clip(rows, area.spans, "event_id", area.span_rows), outputs, ["event_id", "x", "y"])
 
 
 def ndwi_pairs(medians: DataFrame) -> DataFrame:
     """Water masks of both sides."""
-    return medians.select(
-        "event_id", "x", "y", *[ndwi_water(F.col(f"{s}_B3"), F.col(f"{s}_B8")).alias(f"{s}_water") for s in ("pre", "post")]
-    )
+    water = [f"{ndwi_water(f'{s}_B3', f'{s}_B8')} AS {s}_water" for s in ("pre", "post")]
+    return medians.selectExpr("event_id", "x", "y", *water)
 
 
-def detect_ndwi(water: DataFrame, footprint: DataFrame | None = None, n_events: int | None = None) -> Branch:
+def detect_ndwi(
+    water: DataFrame, coverage: DataFrame, footprint: DataFrame | None = None, n_events: int | None = None
+) -> Branch:
     """Change between two water masks (``pre_water``, ``post_water``); unequal valid counts restrict both to common pixels."""
     missing = {"pre_water", "post_water"} - set(water.columns)
     if missing:
         raise ValueError(f"Water masks of both sides are needed; missing {sorted(missing)}")
-    counts = pair_counts(water, "water", footprint=footprint, n_events=n_events)
+    counts = settle(pair_counts(water, "water", footprint=footprint, n_events=n_events))
     masked = common_mask(water, ["water"], counts, n_events=n_events)
     detected = with_flood(
-        masked.select("event_id", "x", "y", F.col("pre_water").alias("water_pre"), F.col("post_water").alias("water_post"))
+        masked.selectExpr("event_id", "x", "y", "pre_water AS water_pre", "post_water AS water_post")
     )
-    return Branch(None, counts, detected)
+    return Branch(coverage, counts, detected)
 
 
 def optical_branch(
@@ -77,9 +82,13 @@ def optical_branch(
     max_cloud: float = catalog.MAX_CLOUD_PERCENT,
     cloud_mask: bool = False,
 ) -> Branch:
-    """Everything from catalog to water and flood pixels for all events of the scope."""
+    """Everything from catalog to water and flood pixels for all events of the scope.
+
+    The water masks, two bytes a pixel, are persisted between the counts and the change, so the medians are computed once.
+    """
     picks, coverage = optical_scenes(scenes, scope, days, max_cloud)
     most = coverage.agg(F.max("n_scenes")).first()[0] or 0
     medians = median_pairs(pixels, picks, scope, cloud_mask, most)
-    found = detect_ndwi(ndwi_pairs(medians), footprint_before(picks), scope.n_events)
-    return Branch(coverage, found.counts, found.detected, None, medians)
+    water = ndwi_pairs(medians).persist(StorageLevel.MEMORY_AND_DISK)
+    found = detect_ndwi(water, coverage, footprint_before(picks), scope.n_events)
+    return Branch(coverage, found.counts, found.detected, None, (water,))

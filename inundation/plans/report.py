@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..functions.grid import TILE
 from ..operators.area import area_km2
@@ -11,6 +10,7 @@ from ..operators.components import drop_small_patches
 from ..operators.lookup import lookup_join
 from ..operators.terrain import DEM_STEP_DEG, dem_near, drop_steep, slope_degrees
 from ..sources import catalog
+from ..sources.control import settle
 from .optical import optical_branch
 from .sar import SMOOTHING_RADIUS_M, Branch, sar_branch
 from .scope import Scope, make_scope
@@ -41,7 +41,7 @@ def refine_extent(
 
 
 def flooded(branch: Branch) -> DataFrame:
-    return branch.detected.where(F.col("flood") == 1).select("event_id", "x", "y")
+    return branch.detected.where("flood = 1").select("event_id", "x", "y")
 
 
 def extents(
@@ -80,21 +80,20 @@ def branch_report(name: str, branch: Branch, refined: DataFrame, n_events: int)
     out = lookup_join(out, area_km2(refined), ["event_id"], n_events, "left")
     out = lookup_join(out, branch.counts.select("event_id", "pre_px", "post_px"), ["event_id"], n_events, "left")
     if branch.thresholds is None:
-        out = out.withColumns({c: F.lit(None).cast("double") for c in ("threshold_pre", "threshold_post")})
+        out = out.selectExpr("*", *[f"CAST(NULL AS DOUBLE) AS threshold_{s}" for s in ("pre", "post")])
     else:
         t = branch.thresholds.select("event_id", "threshold_pre", "threshold_post")
         out = lookup_join(out, t, ["event_id"], n_events, "left")
-    ok = F.col("status") == "ok"
-    zero = F.lit(0)
-    return out.select(
+    available = lambda v: f"CASE WHEN status = 'ok' THEN coalesce({v}, 0) END AS {v}"
+    return out.selectExpr(
         "event_id",
-        F.lit(name).alias("method"),
+        f"'{name}' AS method",
         "status",
-        F.when(ok, F.coalesce("area_km2", zero.cast("double"))).alias("area_km2"),
+        available("area_km2"),
         "threshold_pre",
         "threshold_post",
-        F.when(ok, F.coalesce("pre_px", zero)).alias("pre_px"),
-        F.when(ok, F.coalesce("post_px", zero)).alias("post_px"),
+        available("pre_px"),
+        available("post_px"),
     )
 
 
@@ -121,4 +120,8 @@ def flood_report(
     out = reports[0]
     for r in reports[1:]:
         out = out.unionByName(r)
+    # The report is a few rows per event: settle it, then the pixels behind it can go.
+    out = settle(out)
+    for branch, _ in found.values():
+        branch.release()
     return out

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +15,7 @@ from ..operators.focal import speckle_smooth
 from ..operators.histogram import otsu_threshold
 from ..operators.regions import clip
 from ..sources import catalog
+from ..sources.control import settle
 from ..sources.rasters import read_pixels
 from .scope import Area, Scope
 
@@ -28,26 +30,26 @@ class Branch:
     counts: DataFrame
     detected: DataFrame
     thresholds: DataFrame | None = None
-    pairs: DataFrame | None = None
+    kept: tuple[DataFrame, ...] = ()
 
-
-def usable(matched: DataFrame, coverage: DataFrame) -> DataFrame:
-    """Scenes of events that can be processed."""
-    return matched.join(coverage.where("status = 'ok'").select("event_id"), "event_id", "left_semi")
+    def release(self) -> None:
+        """Give back the storage of pixels kept for reuse."""
+        for df in self.kept:
+            df.unpersist()
 
 
 def footprint_before(picks: DataFrame) -> DataFrame:
     """Cell range of the scenes before each event."""
     return picks.where("side = 'pre'").groupBy("event_id").agg(
-        F.min(cell_x(F.col("min_lon"))).alias("x_lo"),
-        F.max(cell_x(F.col("max_lon"))).alias("x_hi"),
-        F.min(cell_y(F.col("max_lat"))).alias("y_lo"),
-        F.max(cell_y(F.col("min_lat"))).alias("y_hi"),
+        F.expr(f"min({cell_x('min_lon')}) AS x_lo"),
+        F.expr(f"max({cell_x('max_lon')}) AS x_hi"),
+        F.expr(f"min({cell_y('max_lat')}) AS y_lo"),
+        F.expr(f"max({cell_y('min_lat')}) AS y_hi"),
     )
 
 
 def smoothed_pairs(
-    pixels: DataFrame, picks: DataFrame, scope: Scope, area: Area, bands: Sequence[str], radius_m: float = SMOOTHING_RADIUS_M
+    pixels: DataFrame, picks: DataFrame, area: Area, bands: Sequence[str], radius_m: float = SMOOTHING_RADIUS_M
 ) -> DataFrame:
     """Smoothed images before and after each event, aligned by cell and clipped to ``area``.
 
@@ -57,7 +59,7 @@ def smoothed_pairs(
     halo = radius_in_cells(radius_m)
     rows = read_pixels(
         pixels, picks, area.cover(halo), bands, rows=2 * area.tile_rows, envelope=area.envelope
-    ).drop("scene_id")
+    )
     names = [f"{s}_{b}" for s in ("pre", "post") for b in bands]
     smooth = speckle_smooth(side_by_side(rows, bands), names, by=["event_id"], radius_m=radius_m)
     return clip(smooth, area.spans, "event_id", area.span_rows)
@@ -78,38 +80,32 @@ def detect_sar(
     differ, thresholds and water masks use the pixels valid on both sides only.
     """
     bands = list(bands)
-    counts = pair_counts(pairs, bands[0], footprint=footprint, n_events=n_events)
+    counts = settle(pair_counts(pairs, bands[0], footprint=footprint, n_events=n_events))
 
     def prepared(frame):
         return with_threshold_band(common_mask(frame, bands, counts, n_events=n_events), band)
 
     two = None if n_events is None else 2 * n_events
-    stacked = prepared(otsu_pairs).select(
-        "event_id",
-        "x",
-        "y",
-        F.inline(
-            F.array(
-                *[F.struct(F.lit(s).alias("side"), F.col(f"{s}_{band}").alias("value")) for s in ("pre", "post")]
-            )
-        ),
-    )
-    wanted = events.select("event_id", F.explode(F.array(F.lit("pre"), F.lit("post"))).alias("side"))
+    sides = ", ".join(f"named_struct('side', '{s}', 'value', {s}_{band})" for s in ("pre", "post"))
+    stacked = prepared(otsu_pairs).selectExpr("event_id", "x", "y", f"inline(array({sides}))")
+    wanted = events.selectExpr("event_id", "explode(array('pre', 'post')) AS side")
     per_side = otsu_threshold(stacked, "value", ["event_id", "side"], wanted, n_images=two)
-    thresholds = per_side.groupBy("event_id").agg(
-        F.max(F.when(F.col("side") == "pre", F.col("threshold"))).alias("threshold_pre"),
-        F.max(F.when(F.col("side") == "post", F.col("threshold"))).alias("threshold_post"),
-        F.max("threshold_defaulted").alias("threshold_defaulted"),
+    thresholds = settle(
+        per_side.groupBy("event_id").agg(
+            F.expr("max(CASE WHEN side = 'pre' THEN threshold END) AS threshold_pre"),
+            F.expr("max(CASE WHEN side = 'post' THEN threshold END) AS threshold_post"),
+            F.expr("max(threshold_defaulted) AS threshold_defaulted"),
+        )
     )
     detected = water_below(prepared(pairs), band, thresholds, n_events=n_events)
-    return Branch(None, counts, detected, thresholds, pairs)
+    return Branch(events, counts, detected, thresholds)
 
 
 def sar_scenes(scenes: DataFrame, scope: Scope, days: int = catalog.SAR_DAYS) -> tuple[DataFrame, DataFrame]:
-    """Chosen scenes (one per side) and coverage per event."""
-    matched = catalog.match_scenes(scenes.where(catalog.radar_quality()), scope.events, days)
-    coverage = catalog.scene_coverage(matched, scope.events)
-    return catalog.nearest_scenes(usable(matched, coverage)), coverage
+    """Chosen scenes (one per side) of the usable events, and coverage of all."""
+    matched = catalog.match_scenes(scenes.where(catalog.RADAR_QUALITY), scope.events, days)
+    choice = settle(catalog.scene_choice(matched, scope.events))
+    return catalog.nearest_scenes(choice.where("status = 'ok'")), choice.drop("pre", "post")
 
 
 def sar_branch(
@@ -123,13 +119,18 @@ def sar_branch(
 ) -> Branch:
     """Everything from catalog to water and flood pixels for all events of the scope.
 
-    The threshold region is usually a small part of the area, so it is read and smoothed by itself, from its own tiles.
+    The smoothed pairs are read for the counts, then for the change, so they are persisted: a lost executor costs only its
+    own blocks.  The threshold region is usually a small part of the area, so it is read and smoothed from its own tiles.
     """
     picks, coverage = sar_scenes(scenes, scope, days)
-    pairs = smoothed_pairs(pixels, picks, scope, scope.aoi, bands, radius_m)
-    otsu = clip(
-        smoothed_pairs(pixels, picks, scope, scope.otsu, bands, radius_m), scope.aoi.spans, "event_id", scope.aoi.span_rows
-    )
+    pairs = smoothed_pairs(pixels, picks, scope.aoi, bands, radius_m).persist(StorageLevel.MEMORY_AND_DISK)
+    kept = [pairs]
+    if scope.otsu is scope.aoi:
+        otsu = pairs
+    else:
+        region = smoothed_pairs(pixels, picks, scope.otsu, bands, radius_m)
+        otsu = clip(region, scope.aoi.spans, "event_id", scope.aoi.span_rows).persist(StorageLevel.MEMORY_AND_DISK)
+        kept.append(otsu)
     ok = coverage.where("status = 'ok'")
     found = detect_sar(pairs, otsu, ok, bands, band, footprint_before(picks), scope.n_events)
-    return Branch(coverage, found.counts, found.detected, found.thresholds, pairs)
+    return Branch(coverage, found.counts, found.detected, found.thresholds, tuple(kept))

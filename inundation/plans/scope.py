@@ -7,15 +7,16 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geometry import DEFAULT_OTSU_AOI, bounds, edges, ring_edges
-from ..functions.grid import STEP_DEG, TILE
+from ..functions.geometry import DEFAULT_OTSU_AOI, ring_edges
+from ..functions.grid import TILE, block_of
 from ..operators.regions import cover, polygon_spans
 from ..sources.aoi import same_area_for
+from ..sources.control import settle
 
 
 @dataclass(frozen=True)
 class Area:
-    """Spans of an area per event, with upper bounds for the rows of its spans and of its tile cover."""
+    """Spans of an area per event: their number, a bound for the rows of a tile cover, and the tiles around all of them."""
 
     spans: DataFrame
     span_rows: int
@@ -37,57 +38,52 @@ class Scope:
 def make_scope(events: DataFrame, aois: DataFrame, otsu_aois: DataFrame | None = None) -> Scope:
     """Bind events (event_id, event_ts) to their areas (``aoi_id`` is the event id).
 
-    One small job over the geometry measures all bounds; nothing per pixel runs here.  Without ``otsu_aois`` thresholds come
-    from the default polygon.
+    Works on geometry only, nothing per pixel runs here.  Without ``otsu_aois`` thresholds come from the default polygon; pass
+    ``aois`` itself to take them from the whole area, which then also shares its reads.
     """
     if otsu_aois is None:
         otsu_aois = same_area_for(events, DEFAULT_OTSU_AOI)
-    sizes = _sizes(aois, 0).unionByName(_sizes(otsu_aois, 1))
-    found = {r.kind: r for r in sizes.collect()}
-    n_events = events.count()
-    box = bounds(aois).withColumnRenamed("aoi_id", "event_id")
-    parts = (
-        aois.select(F.col("aoi_id").alias("event_id"), "part", ring_edges(F.col("pts")).alias("e"))
-        .groupBy("event_id", "part")
-        .agg(F.flatten(F.collect_list("e")).alias("e"))
-        .groupBy("event_id")
-        .agg(F.collect_list("e").alias("parts"))
-    )
-    placed = events.select("event_id", "event_ts").join(box, "event_id").join(parts, "event_id")
-
-    def area(frame, kind):
-        r = found.get(kind)
-        if r is None:
-            return Area(polygon_spans(frame), 0, 0, (0, 0, 0, 0))
-        return Area(polygon_spans(frame), r.span_rows, r.tile_rows, (r.x0 - 1, r.x1 + 1, r.y0 - 1, r.y1 + 1))
-
-    return Scope(placed, n_events, area(aois, 0), area(otsu_aois, 1))
-
-
-def _sizes(area: DataFrame, kind: int) -> DataFrame:
-    """Upper bounds from the geometry alone: spans are half the row crossings, plus one per tile column and row."""
-    per_area = (
-        edges(area)
+    same = otsu_aois is aois
+    spans = polygon_spans(aois).selectExpr("*", "0 AS kind")
+    if not same:
+        spans = spans.unionByName(polygon_spans(otsu_aois).selectExpr("*", "1 AS kind"))
+    spans = settle(spans)
+    shapes = (
+        aois.groupBy("aoi_id", "part")
+        .agg(
+            F.expr(f"flatten(collect_list({ring_edges('pts')})) AS e"),
+            *[
+                F.expr(f"{f}(array_{f}(transform(pts, p -> p.{axis}))) AS {f}_{axis}")
+                for f in ("min", "max")
+                for axis in ("lon", "lat")
+            ],
+        )
         .groupBy("aoi_id")
         .agg(
-            F.sum(F.ceil(F.abs(F.col("lat2") - F.col("lat1")) / STEP_DEG) + 1).alias("crossings"),
-            *[F.min(c).alias(f"{c}_lo") for c in ("lon1", "lat1")],
-            *[F.max(c).alias(f"{c}_hi") for c in ("lon1", "lat1")],
+            F.expr("collect_list(e) AS parts"),
+            *[F.expr(f"{f}({f}_{axis}) AS {f}_{axis}") for f in ("min", "max") for axis in ("lon", "lat")],
         )
     )
-    height = (F.col("lat1_hi") - F.col("lat1_lo")) / STEP_DEG + 2
-    width = (F.col("lon1_hi") - F.col("lon1_lo")) / STEP_DEG + 2
-    tiles = (width / TILE + 3) * (height / TILE + 3)
-    tile = lambda v: F.floor(v / STEP_DEG / TILE)
-    return (
-        per_area.agg(
-            F.sum(F.col("crossings") + height * (width / TILE + 2)).cast("bigint").alias("span_rows"),
-            F.sum(tiles).cast("bigint").alias("tile_rows"),
-            tile(F.min("lon1_lo") + 180.0).alias("x0"),
-            tile(F.max("lon1_hi") + 180.0).alias("x1"),
-            tile(90.0 - F.max("lat1_hi")).alias("y0"),
-            tile(90.0 - F.min("lat1_lo")).alias("y1"),
+    placed = settle(events.select("event_id", "event_ts").join(shapes.withColumnRenamed("aoi_id", "event_id"), "event_id"))
+
+    # A cover spans at most one more tile than the extent fills, and a halo adds one on each side.
+    tiles = f"((x1 - x0) / {TILE} + 4) * ((y1 - y0) / {TILE} + 4)"
+    measured = (
+        spans.groupBy("kind", "aoi_id")
+        .agg(*[F.expr(e) for e in ("count(*) AS n", "min(x_lo) AS x0", "max(x_hi) AS x1", "min(y) AS y0", "max(y) AS y1")])
+        .groupBy("kind")
+        .agg(
+            F.expr("sum(n) AS n"),
+            F.expr(f"CAST(sum({tiles}) AS BIGINT) AS tiles"),
+            *[F.expr(f"{block_of(f'{f}({c})')} AS {c}") for f, c in (("min", "x0"), ("max", "x1"), ("min", "y0"), ("max", "y1"))],
         )
-        .where("span_rows IS NOT NULL")
-        .withColumn("kind", F.lit(kind))
     )
+    found = {r.kind: r for r in measured.collect()}
+
+    def area(kind):
+        own = spans.where(f"kind = {kind}").drop("kind")
+        r = found.get(kind)
+        return Area(own, r.n, r.tiles, (r.x0 - 1, r.x1 + 1, r.y0 - 1, r.y1 + 1)) if r else Area(own, 0, 0, (0, 0, 0, 0))
+
+    aoi = area(0)
+    return Scope(placed, placed.count(), aoi, aoi if same else area(1))

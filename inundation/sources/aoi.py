@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.geometry import DEFAULT_AOI, areas
+from ..functions.grid import num
 
 _POLYGON = "array<array<array<double>>>"
 _MULTI = "array<array<array<array<double>>>>"
@@ -79,8 +80,6 @@ def area_or_default(spark: SparkSession, path: str | None, aoi_id: int = 0, defa
 
 def same_area_for(events: DataFrame, polygon) -> DataFrame:
     """Area frame giving every event the same literal polygon; a projection, not a join."""
-    ring = lambda r: F.array(*[F.struct(F.lit(float(a)).alias("lon"), F.lit(float(b)).alias("lat")) for a, b in r])
-    rings = F.array(*[ring(r) for r in polygon])
-    return events.select(
-        F.col("event_id").alias("aoi_id"), F.lit(0).alias("part"), F.posexplode(rings).alias("ring", "pts")
-    )
+    point = lambda p: f"named_struct('lon', {num(p[0])}, 'lat', {num(p[1])})"
+    rings = ", ".join(f"array({', '.join(point(p) for p in ring)})" for ring in polygon)
+    return events.selectExpr("event_id AS aoi_id", "0 AS part", f"posexplode(array({rings})) AS (ring, pts)")

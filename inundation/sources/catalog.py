@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geometry import polygons_meet, ring_edges
+from ..functions.grid import num
 
 # What the radar archive is filtered on, and the default windows and limits.
 INSTRUMENT_MODE = "IW"
@@ -24,49 +25,42 @@ MIN_SCENES = 2
 #: Side of the matching cells, in degrees.  A scene or area touches a handful.
 MATCH_CELL_DEG = 2.0
 
+RADAR_QUALITY = f"instrument_mode = '{INSTRUMENT_MODE}' AND resolution_meters = {RESOLUTION_M}"
 
-def radar_quality() -> Column:
-    return (F.col("instrument_mode") == INSTRUMENT_MODE) & (F.col("resolution_meters") == RESOLUTION_M)
+_BOX = ("min_lon", "min_lat", "max_lon", "max_lat")
 
 
-def optical_quality(max_cloud: float = MAX_CLOUD_PERCENT) -> Column:
-    return F.col("cloudy_pixel_percentage") < max_cloud
+def optical_quality(max_cloud: float = MAX_CLOUD_PERCENT) -> str:
+    return f"cloudy_pixel_percentage < {max_cloud}"
 
 
-def in_dates(start: str | datetime, end: str | datetime) -> Column:
+def in_dates(start: str | datetime, end: str | datetime) -> str:
     """Start included, end excluded; plain strings are ``yyyy-MM-dd`` dates."""
-    if isinstance(start, str):
-        start = datetime.strptime(start, "%Y-%m-%d")
-    if isinstance(end, str):
-        end = datetime.strptime(end, "%Y-%m-%d")
-    return (F.col("acquired_at") >= _instant(start)) & (F.col("acquired_at") < _instant(end))
 
+    def instant(t):
+        if isinstance(t, str):
+            t = datetime.strptime(t, "%Y-%m-%d")
+        # Without time zone: compared as it stands with either timestamp type.
+        return f"TIMESTAMP_NTZ '{t.isoformat(sep=' ')}'"
 
-def _instant(t: datetime) -> Column:
-    """A literal without time zone, compared as it stands with either timestamp type."""
-    return F.lit(t.isoformat(sep=" ")).cast("timestamp_ntz")
+    return f"acquired_at >= {instant(start)} AND acquired_at < {instant(end)}"
 
 
-def in_bounds(min_lon: float, min_lat: float, max_lon: float, max_lat: float) -> Column:
+def in_bounds(min_lon: float, min_lat: float, max_lon: float, max_lat: float) -> str:
     """Footprint box overlaps the given box; plain comparisons, so they reach the Parquet reader."""
-    return (
-        (F.col("min_lon") <= max_lon)
-        & (F.col("max_lon") >= min_lon)
-        & (F.col("min_lat") <= max_lat)
-        & (F.col("max_lat") >= min_lat)
-    )
+    return f"min_lon <= {num(max_lon)} AND max_lon >= {num(min_lon)} AND min_lat <= {num(max_lat)} AND max_lat >= {num(min_lat)}"
 
 
 def radar_scenes(scenes: DataFrame, bounds: tuple[float, float, float, float], start, end) -> DataFrame:
     """Radar scenes of one area and period."""
-    return scenes.where(radar_quality() & in_bounds(*bounds) & in_dates(start, end))
+    return scenes.where(f"{RADAR_QUALITY} AND {in_bounds(*bounds)} AND {in_dates(start, end)}")
 
 
 def optical_scenes(
     scenes: DataFrame, bounds: tuple[float, float, float, float], start, end, max_cloud: float = MAX_CLOUD_PERCENT
 ) -> DataFrame:
     """Optical scenes of one area and period with cloud cover strictly below the limit."""
-    return scenes.where(optical_quality(max_cloud) & in_bounds(*bounds) & in_dates(start, end))
+    return scenes.where(f"{optical_quality(max_cloud)} AND {in_bounds(*bounds)} AND {in_dates(start, end)}")
 
 
 def require_scenes(scenes: DataFrame, what: str = "scenes") -> DataFrame:
@@ -87,99 +81,95 @@ def match_scenes(scenes: DataFrame, events: DataFrame, days: int) -> DataFrame:
     """
 
     def cell(v):
-        return F.floor(v / MATCH_CELL_DEG).cast("int")
+        return f"CAST(floor(({v}) / {num(MATCH_CELL_DEG)}) AS INT)"
 
     def cells(low, high):
-        return F.explode(F.sequence(cell(F.col(low)), cell(F.col(high))))
+        return f"explode(sequence({cell(low)}, {cell(high)}))"
 
-    window = F.expr(f"make_dt_interval({int(days)})")
-    has_parts = "parts" in events.columns and "footprint" in scenes.columns
+    window = f"make_dt_interval({int(days)})"
+    exact = "parts" in events.columns and "footprint" in scenes.columns
     ev = (
-        events.select(
+        events.selectExpr(
             "event_id",
             "event_ts",
-            *[F.col(c).alias(f"a_{c}") for c in ("min_lon", "min_lat", "max_lon", "max_lat")],
-            *(["parts"] if has_parts else []),
-        )
-        .withColumn(
-            "day",
-            F.explode(
-                F.sequence(
-                    F.to_date(F.col("event_ts") - window), F.to_date(F.col("event_ts") + window), F.expr("interval 1 day")
-                )
-            ),
+            *[f"{c} AS a_{c}" for c in _BOX],
+            *(["parts"] if exact else []),
+            f"explode(sequence(to_date(event_ts - {window}), to_date(event_ts + {window}), INTERVAL 1 DAY)) AS day",
         )
-        .withColumn("cx", cells("a_min_lon", "a_max_lon"))
-        .withColumn("cy", cells("a_min_lat", "a_max_lat"))
-    )
-    sc = (
-        scenes.withColumn("day", F.to_date("acquired_at"))
-        .withColumn("cx", cells("min_lon", "max_lon"))
-        .withColumn("cy", cells("min_lat", "max_lat"))
+        .selectExpr("*", f"{cells('a_min_lon', 'a_max_lon')} AS cx")
+        .selectExpr("*", f"{cells('a_min_lat', 'a_max_lat')} AS cy")
     )
+    sc = scenes.selectExpr(
+        "scene_id",
+        "acquired_at",
+        *_BOX,
+        *(["footprint"] if exact else []),
+        "to_date(acquired_at) AS day",
+        f"{cells('min_lon', 'max_lon')} AS cx",
+    ).selectExpr("*", f"{cells('min_lat', 'max_lat')} AS cy")
     met = sc.join(ev, ["day", "cx", "cy"]).where(
-        (F.col("acquired_at") >= F.col("event_ts") - window)
-        & (F.col("acquired_at") < F.col("event_ts") + window)
-        & (F.col("min_lon") <= F.col("a_max_lon"))
-        & (F.col("max_lon") >= F.col("a_min_lon"))
-        & (F.col("min_lat") <= F.col("a_max_lat"))
-        & (F.col("max_lat") >= F.col("a_min_lat"))
-        & (F.col("cx") == cell(F.greatest("min_lon", "a_min_lon")))
-        & (F.col("cy") == cell(F.greatest("min_lat", "a_min_lat")))
+        f"acquired_at >= event_ts - {window} AND acquired_at < event_ts + {window} "
+        "AND min_lon <= a_max_lon AND max_lon >= a_min_lon AND min_lat <= a_max_lat AND max_lat >= a_min_lat "
+        f"AND cx = {cell('greatest(min_lon, a_min_lon)')} AND cy = {cell('greatest(min_lat, a_min_lat)')}"
     )
-    if has_parts:
-        footprint = F.flatten(F.transform("footprint", ring_edges))
-        met = met.where(F.exists("parts", lambda p: polygons_meet(footprint, p)))
-    before = F.col("acquired_at") < F.col("event_ts")
-    return met.select(
+    if exact:
+        rings = f"flatten(transform(footprint, r -> {ring_edges('r')}))"
+        met = met.selectExpr("*", f"{rings} AS fp").where(f"exists(parts, p -> {polygons_meet('fp', 'p')})")
+    before = "acquired_at < event_ts"
+    return met.selectExpr(
         "event_id",
-        "event_ts",
-        F.when(before, "pre").otherwise("post").alias("side"),
+        f"CASE WHEN {before} THEN 'pre' ELSE 'post' END AS side",
         # Distance in time, the nearer the smaller, on either side.
-        F.when(before, F.col("event_ts") - F.col("acquired_at"))
-        .otherwise(F.col("acquired_at") - F.col("event_ts"))
-        .alias("gap"),
+        f"CASE WHEN {before} THEN event_ts - acquired_at ELSE acquired_at - event_ts END AS gap",
         "scene_id",
         "acquired_at",
-        "min_lon",
-        "min_lat",
-        "max_lon",
-        "max_lat",
+        *_BOX,
     )
 
 
-def scene_coverage(matched: DataFrame, events: DataFrame) -> DataFrame:
-    """Scene counts and usability per event; events without scenes are listed too."""
+_SCENE = ("gap", "scene_id", "acquired_at", *_BOX)
+
+
+def scene_choice(matched: DataFrame, events: DataFrame) -> DataFrame:
+    """Per event: scene counts, usability, and the scene nearest in time on each side (structs ``pre``, ``post``).
+
+    The last scene before the event and the first from it on; ties go to the smaller scene id.  Events without scenes are
+    listed too.  A minimum over structs combines map-side, so an event with very many scenes never gathers in one task.
+    """
+    scene = f"struct({', '.join(_SCENE)})"
+    sides = ("pre", "post")
     n = matched.groupBy("event_id").agg(
-        F.count("*").alias("n_scenes"),
-        F.count_if(F.col("side") == "pre").alias("n_pre"),
-        F.count_if(F.col("side") == "post").alias("n_post"),
+        F.expr("count(*) AS n"),
+        *[F.expr(f"count_if(side = '{s}') AS {s}_n") for s in sides],
+        *[F.expr(f"min(CASE WHEN side = '{s}' THEN {scene} END) AS {s}") for s in sides],
     )
-    filled = events.select("event_id").join(n, "event_id", "left").fillna(0, ["n_scenes", "n_pre", "n_post"])
-    return filled.withColumn(
-        "status",
-        F.when(F.col("n_scenes") < MIN_SCENES, "too_few_scenes")
-        .when(F.col("n_pre") == 0, "no_pre_scene")
-        .when(F.col("n_post") == 0, "no_post_scene")
-        .otherwise("ok"),
+    listed = events.select("event_id").join(n, "event_id", "left")
+    return listed.selectExpr(
+        "event_id",
+        "coalesce(n, 0L) AS n_scenes",
+        "coalesce(pre_n, 0L) AS n_pre",
+        "coalesce(post_n, 0L) AS n_post",
+        f"CASE WHEN coalesce(n, 0) < {MIN_SCENES} THEN 'too_few_scenes' WHEN pre_n = 0 THEN 'no_pre_scene' "
+        "WHEN post_n = 0 THEN 'no_post_scene' ELSE 'ok' END AS status",
+        "pre",
+        "post",
     )
 
 
+def scene_coverage(matched: DataFrame, events: DataFrame) -> DataFrame:
+    """Scene counts and usability per event."""
+    return scene_choice(matched, events).drop("pre", "post")
+
+
+def nearest_scenes(choice: DataFrame) -> DataFrame:
+    """Chosen scenes, one row per event and side."""
+    fields = ("scene_id", "acquired_at", *_BOX)
+    side = lambda s: f"named_struct('side', '{s}', {', '.join(f'{f!r}, {s}.{f}' for f in fields)})"
+    return choice.selectExpr("event_id", f"inline(array({side('pre')}, {side('post')}))").where("scene_id IS NOT NULL")
+
+
 def require_coverage(coverage: DataFrame) -> None:
     """Raise if any event lacks scenes; names a few of them."""
-    bad = coverage.where(F.col("status") != "ok").select("event_id", "status").limit(5).collect()
+    bad = coverage.where("status != 'ok'").select("event_id", "status").limit(5).collect()
     if bad:
         raise ValueError("No usable scenes for " + ", ".join(f"event {r.event_id} ({r.status})" for r in bad))
-
-
-def nearest_scenes(matched: DataFrame) -> DataFrame:
-    """The last scene before and the first scene from each event on; ties go to the smaller scene id.
-
-    A minimum over structs combines map-side, so an event with very many scenes never gathers in one task.
-    """
-    fields = ["gap", "scene_id", "acquired_at", "min_lon", "min_lat", "max_lon", "max_lat"]
-    return (
-        matched.groupBy("event_id", "side")
-        .agg(F.min(F.struct(*fields)).alias("s"))
-        .select("event_id", "side", *[F.col(f"s.{f}").alias(f) for f in fields[1:]])
-    )

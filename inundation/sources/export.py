@@ -5,10 +5,9 @@ from __future__ import annotations
 import math
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from ..functions.grid import METERS_PER_DEGREE, SCALE_M, STEP_DEG, TILE, block_of
-from ..operators.regions import clip
+from ..functions.grid import METERS_PER_DEGREE, SCALE_M, STEP_DEG, block_of
+from ..operators.regions import clip, with_tile
 from ..operators.terrain import regrid_nearest
 
 #: Cells per side of an export tile; large enough for file sizes worth opening.
@@ -42,9 +41,7 @@ def export_raster(
     clipped = clip(images, spans, by, rows)
     if not math.isclose(scale_m, SCALE_M):
         clipped = regrid_nearest(clipped, STEP_DEG, scale_m / METERS_PER_DEGREE)
-    tiled = clipped.withColumns(
-        {"tile_x": block_of(F.col("x"), EXPORT_TILE), "tile_y": block_of(F.col("y"), EXPORT_TILE)}
-    )
+    tiled = clipped.selectExpr("*", f"{block_of('x', EXPORT_TILE)} AS tile_x", f"{block_of('y', EXPORT_TILE)} AS tile_y")
     (
         tiled.repartitionByRange("tile_x", "tile_y", "y")
         .sortWithinPartitions("tile_x", "tile_y", "y", "x")
@@ -58,7 +55,7 @@ def export_raster(
 
 def write_pixels(pixels: DataFrame, path: str) -> None:
     """Store a pixel table so that reads prune: partitioned by 256-cell tile, ordered by scene within files."""
-    tiled = pixels.withColumns({"tile_x": block_of(F.col("x"), TILE), "tile_y": block_of(F.col("y"), TILE)})
+    tiled = with_tile(pixels)
     (
         tiled.repartitionByRange("tile_x", "tile_y", "scene_id")
         .sortWithinPartitions("tile_x", "tile_y", "scene_id", "y", "x")

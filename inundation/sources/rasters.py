@@ -7,9 +7,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import ceil
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..functions.grid import STEP_DEG, TILE, block_of, center_lat, center_lon
 from ..operators.lookup import lookup_join
@@ -29,41 +29,30 @@ def read_pixels(
     partitions at run time.  ``envelope`` (tile_x from, to, tile_y from, to) bounds all events and prunes statically.
     ``rows`` bounds the list.
     """
-    wanted = picks.select("event_id", "side", "scene_id").join(
-        cover.withColumnRenamed("aoi_id", "event_id"), "event_id"
-    )
-    if not {"tile_x", "tile_y"} <= set(pixels.columns):
-        pixels = pixels.withColumns({"tile_x": block_of(F.col("x")), "tile_y": block_of(F.col("y"))})
+    tiles = cover.withColumnRenamed("aoi_id", "event_id")
+    wanted = picks.select("event_id", "side", "scene_id").join(tiles, "event_id")
+    stored = {"tile_x", "tile_y"} <= set(pixels.columns)
+    tile = ["tile_x", "tile_y"] if stored else [f"{block_of('x')} AS tile_x", f"{block_of('y')} AS tile_y"]
     if envelope:
         x0, x1, y0, y1 = envelope
-        pixels = pixels.where(
-            F.col("tile_x").between(x0, x1)
-            & F.col("tile_y").between(y0, y1)
-            & F.col("x").between(x0 * TILE, x1 * TILE + TILE - 1)
-            & F.col("y").between(y0 * TILE, y1 * TILE + TILE - 1)
-        )
+        box = f"x BETWEEN {x0 * TILE} AND {x1 * TILE + TILE - 1} AND y BETWEEN {y0 * TILE} AND {y1 * TILE + TILE - 1}"
+        if stored:
+            box += f" AND tile_x BETWEEN {x0} AND {x1} AND tile_y BETWEEN {y0} AND {y1}"
+        pixels = pixels.where(box)
     joined = lookup_join(
-        pixels.select("scene_id", "tile_x", "tile_y", "x", "y", *bands), wanted, ["scene_id", "tile_x", "tile_y"], rows
+        pixels.selectExpr("scene_id", *tile, "x", "y", *bands), wanted, ["scene_id", "tile_x", "tile_y"], rows
     )
-    return joined.select("event_id", "side", "scene_id", "x", "y", *bands)
+    return joined.select("event_id", "side", "x", "y", *bands)
 
 
 def constant_raster(
     spark: SparkSession, west: float, south: float, east: float, north: float, value: int = 1, step: float = STEP_DEG
 ) -> DataFrame:
     """All cells with their centre in a rectangle: x, y, lon, lat, value."""
-    from math import ceil
-
     x0, x1 = ceil((west + 180) / step - 0.5), ceil((east + 180) / step - 0.5)
     y0, y1 = ceil((90 - north) / step - 0.5), ceil((90 - south) / step - 0.5)
     width = x1 - x0
-    cells = spark.range(width * (y1 - y0)).select(
-        (F.col("id") % width + x0).alias("x"), (F.floor(F.col("id") / width) + y0).alias("y")
-    )
-    return cells.withColumns(
-        {
-            "lon": center_lon(F.col("x"), step),
-            "lat": center_lat(F.col("y"), step),
-            "value": F.lit(value).cast("tinyint"),
-        }
+    cells = spark.range(width * (y1 - y0)).selectExpr(f"id % {width} + {x0} AS x", f"floor(id / {width}) + {y0} AS y")
+    return cells.selectExpr(
+        "*", f"{center_lon('x', step)} AS lon", f"{center_lat('y', step)} AS lat", f"CAST({value} AS TINYINT) AS value"
     )
