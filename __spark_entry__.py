@@ -154,8 +154,8 @@ def clip_many(spark, d):
 
 
 def _center(spark, d):
-    lon, lat = fx.lon_sql("0.5D * w"), fx.lat_sql("0.5D * w")
-    return fx.view(spark, d, "dims").selectExpr("0L AS aoi_id", f"{lon} AS lon", f"{lat} AS lat", "w * 3.3D AS meters")
+    lon, lat = fx.lon_sql("32"), fx.lat_sql("0.5D * h")
+    return fx.view(spark, d, "dims").selectExpr("0L AS aoi_id", f"{lon} AS lon", f"{lat} AS lat", "h * 3.3D AS meters")
 
 
 def within_buffer(spark, d):
@@ -241,7 +241,7 @@ def otsu_histogram(spark, d):
     h = band_histogram(fx.view(spark, d, "s1_px"), "VH", ["scene_id"], n_images=7)
     c = otsu_curve(h, ["scene_id"])
     return c.select(
-        "scene_id", "bucket", "width", "n", F.round("mean", 6).alias("mean"), F.round("sigma_b2", 6).alias("sigma_b2"),
+        "scene_id", "bucket", "width", "n", "mean", F.round("sigma_b2", 6).alias("sigma_b2"),
         F.col("is_threshold").cast("int").alias("is_threshold"),
     )
 
@@ -255,7 +255,7 @@ def otsu_threshold_query(spark, d):
     wanted = listed.unionByName(listed.agg(F.lit(-1).cast("bigint").alias("scene_id")))
     t = otsu_threshold(px, "diff", ["scene_id"], wanted, n_images=7)
     return t.select(
-        "scene_id", F.round("threshold", 6).alias("threshold"), F.col("threshold_defaulted").cast("int").alias("defaulted")
+        "scene_id", "threshold", F.col("threshold_defaulted").cast("int").alias("defaulted")
     )
 
 
@@ -383,8 +383,7 @@ def layer_water(spark, d):
 
 
 def layer_zoom(spark, d):
-    z = layers.zoom_out(layer_stretch(spark, d), 16, ["scene_id"])
-    return z.withColumn("level", F.round("level", 6))
+    return layers.zoom_out(layer_stretch(spark, d), 16, ["scene_id"])
 
 
 def export_roundtrip(spark, d):
@@ -400,7 +399,7 @@ def export_roundtrip(spark, d):
 
 # --- registration ---------------------------------------------------------------------------------------------------
 
-_CENTER = (fx.lon_sql("0.5 * (SELECT w FROM dims)"), fx.lat_sql("0.5 * (SELECT w FROM dims)"))
+_CENTER = (fx.lon_sql("32"), fx.lat_sql("0.5 * (SELECT h FROM dims)"))
 _HAV = (
     "2.0 * {R} * asin(sqrt(least(pow(sin(radians(lat - lat0) / 2), 2) + cos(radians(lat0)) * cos(radians(lat)) "
     "* pow(sin(radians(lon - lon0) / 2), 2), 1.0)))"
@@ -541,7 +540,7 @@ _REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]
         within_buffer,
         o.statement(
             f"SELECT scene_id, x, y FROM (SELECT scene_id, x, y, {o.LON} AS lon, {o.LAT} AS lat, {_CENTER[0]} AS lon0, "
-            f"{_CENTER[1]} AS lat0 FROM s1_px) t WHERE {_HAV} <= CAST((SELECT w FROM dims) AS DOUBLE) * CAST(3.3 AS DOUBLE)",
+            f"{_CENTER[1]} AS lat0 FROM s1_px) t WHERE {_HAV} <= CAST((SELECT h FROM dims) AS DOUBLE) * CAST(3.3 AS DOUBLE)",
             "s1_px", "dims",
         ),
     ),
@@ -616,7 +615,7 @@ _REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]
     "otsu_histogram": (
         otsu_histogram,
         o.statement(
-            "SELECT scene_id, bucket, width, n, round(mean, 6) AS mean, round(sigma_b2, 6) AS sigma_b2, "
+            "SELECT scene_id, bucket, width, n, mean, round(sigma_b2, 6) AS sigma_b2, "
             f"CAST(is_threshold AS INT) AS is_threshold FROM ({o._curve('h', 'scene_id')}) c".replace(
                 "FROM h", f"FROM ({o._histogram('(SELECT scene_id, VH AS v FROM s1_px)', 'scene_id')}) h"
             ),
@@ -626,7 +625,7 @@ _REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]
     "otsu_threshold": (
         otsu_threshold_query,
         o.statement(
-            "SELECT w.scene_id, round(coalesce(c.mean, -20.0), 6) AS threshold, CAST(c.mean IS NULL AS INT) AS defaulted "
+            "SELECT w.scene_id, coalesce(c.mean, -20.0) AS threshold, CAST(c.mean IS NULL AS INT) AS defaulted "
             "FROM (SELECT scene_id FROM raster_scenes UNION ALL SELECT -1) w LEFT JOIN (SELECT * FROM ("
             + o._curve("h", "scene_id").replace(
                 "FROM h",
@@ -709,7 +708,7 @@ _REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]
     "layer_zoom": (
         layer_zoom,
         o.statement(
-            f"SELECT scene_id, x // 16 AS zx, y // 16 AS zy, round(avg({_LEVEL}), 6) AS level, count(*) AS pixels "
+            f"SELECT scene_id, x // 16 AS zx, y // 16 AS zy, avg({_LEVEL}) AS level, count(*) AS pixels "
             "FROM s1_px WHERE VH IS NOT NULL GROUP BY 1, 2, 3",
             "s1_px",
         ),

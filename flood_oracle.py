@@ -247,7 +247,7 @@ TERMS |= {
     ),
     "cells": (
         f"SELECT *, {LON} AS lon, {LAT} AS lat FROM (SELECT {fx.X0} + i AS x, {fx.Y0} + j AS y FROM "
-        "(SELECT unnest(range(-3, w + 3)) AS i FROM dims) a CROSS JOIN (SELECT unnest(range(-3, w + 3)) AS j FROM dims) b) g",
+        f"(SELECT unnest(range(-3, {fx.WIDTH + 3})) AS i) a CROSS JOIN (SELECT unnest(range(-3, h + 3)) AS j FROM dims) b) g",
         ["dims"],
     ),
     "offs": ("SELECT a.i AS ox, b.i AS oy FROM range(-3, 4) a(i) CROSS JOIN range(-3, 4) b(i)", []),

@@ -1,7 +1,7 @@
 """Rasters, catalogs and areas derived from the driver's tables.
 
-The tables hold no imagery, so pixels are derived: four consecutive orders make one cell of a square raster, a line number is a
-scene, and prices and quantities give the band values.  Raster size, areas and catalogs all grow with the tables.  The
+The tables hold no imagery, so pixels are derived: four consecutive orders make one cell of a raster 64 cells wide, a line number
+is a scene, and prices and quantities give the band values.  Raster height, areas and catalogs grow with the tables.  The
 SQL runs unchanged on Spark and on DuckDB, where the oracle uses the same text.  Values are integers or multiples of 1/64, so
 sums are exact in any order.
 """
@@ -16,18 +16,14 @@ from .functions.grid import STEP_DEG
 X0, Y0 = 2019316, 932084
 EVENT_DATE = "2025-06-02"
 
-WIDTH = "SELECT CAST(ceil(sqrt(CAST(max(o_orderkey) + 1 AS DOUBLE) / 4)) AS BIGINT) AS w FROM {orders}"
-
-RAW = """
-SELECT CAST(l_linenumber AS BIGINT) AS scene_id, CAST(floor(CAST(l_orderkey AS DOUBLE) / 4) AS BIGINT) AS cell,
-  MIN(CAST(floor(l_extendedprice) AS BIGINT)) AS p, MAX(CAST(floor(l_quantity) AS BIGINT)) AS q
-FROM {lineitem} GROUP BY 1, 2
-"""
+WIDTH = 64
+HEIGHT = "SELECT CAST(ceil(CAST(max(o_orderkey) + 1 AS DOUBLE) / (4 * 64)) AS BIGINT) AS h FROM {orders}"
 
 PLACED = """
-SELECT scene_id, p, q, cell % (SELECT w FROM dims) AS dx,
-  CAST(floor(CAST(cell AS DOUBLE) / (SELECT w FROM dims)) AS BIGINT) AS dy
-FROM raw
+SELECT scene_id, p, q, cell % 64 AS dx, CAST(floor(CAST(cell AS DOUBLE) / 64) AS BIGINT) AS dy
+FROM (SELECT CAST(l_linenumber AS BIGINT) AS scene_id, CAST(floor(CAST(l_orderkey AS DOUBLE) / 4) AS BIGINT) AS cell,
+        MIN(CAST(floor(l_extendedprice) AS BIGINT)) AS p, MAX(CAST(floor(l_quantity) AS BIGINT)) AS q
+      FROM {lineitem} GROUP BY 1, 2) r
 """
 
 # Water: some 12x12 blocks before the event (odd scenes), more blocks and diagonal streams after it (even scenes).
@@ -102,13 +98,13 @@ CATALOG_EVENT_DAYS = 30
 # Flood events, one per supplier: a tilted four-sided area somewhere on the raster, dated 0 to 2 days after the event date.
 SITES = """
 SELECT s_suppkey AS event_id, CAST(s_suppkey % 3 AS INT) AS day_offset,
-  CAST((s_suppkey * 31) % (SELECT w FROM dims) AS DOUBLE) AS ax, CAST((s_suppkey * 17) % (SELECT w FROM dims) AS DOUBLE) AS ay,
+  CAST((s_suppkey * 31) % 64 AS DOUBLE) AS ax, CAST((s_suppkey * 17) % (SELECT h FROM dims) AS DOUBLE) AS ay,
   CAST(20 + s_suppkey % 9 AS DOUBLE) AS sx, CAST(18 + s_suppkey % 7 AS DOUBLE) AS sy
 FROM {supplier}
 """
 SITE_RINGS = [[("ax", "ay + 3.3"), ("ax + sx + 0.2", "ay"), ("ax + sx - 2.7", "ay + sy"), ("ax + 4.1", "ay + sy + 1.6")]]
 
-# The main event's area (a shell and a hole) and threshold region, in fractions of the raster width.
+# The main event's area (a shell and a hole) and threshold region, in fractions of the raster's width and height.
 MAIN_RINGS = [
     [(0.04, 0.10), (0.55, 0.03), (0.97, 0.35), (0.90, 0.95), (0.30, 0.98)],
     [(0.45, 0.45), (0.55, 0.47), (0.50, 0.56)],
@@ -117,7 +113,7 @@ MAIN_OTSU_RINGS = [[(0.15, 0.20), (0.80, 0.25), (0.75, 0.80), (0.20, 0.70)]]
 
 
 def main_rings(rings=MAIN_RINGS):
-    return [[(f"{a} * w", f"{b} * w") for a, b in ring] for ring in rings]
+    return [[(f"{a} * {WIDTH}", f"{b} * h") for a, b in ring] for ring in rings]
 
 
 def lon_sql(px: str) -> str:
@@ -129,8 +125,7 @@ def lat_sql(py: str) -> str:
 
 
 VIEWS = {
-    "dims": WIDTH,
-    "raw": RAW,
+    "dims": HEIGHT,
     "placed": PLACED,
     "wet": WET,
     "s1_px": S1_PIXELS,
@@ -142,10 +137,9 @@ VIEWS = {
     "sites": SITES,
 }
 _NEEDS = {
-    "placed": ["dims", "raw"],
-    "wet": ["dims", "raw", "placed"],
-    "s1_px": ["dims", "raw", "placed", "wet"],
-    "s2_px": ["dims", "raw", "placed", "wet"],
+    "wet": ["placed"],
+    "s1_px": ["placed", "wet"],
+    "s2_px": ["placed", "wet"],
     "sites": ["dims"],
 }
 _TABLES = ("orders", "lineitem", "part", "supplier")

@@ -21,6 +21,9 @@ from .scope import Area, Scope
 
 SMOOTHING_RADIUS_M = 30.0
 
+#: A threshold region below this share of the area is worth its own read.
+SMALL_REGION = 0.1
+
 
 @dataclass(frozen=True)
 class Branch:
@@ -120,13 +123,16 @@ def sar_branch(
     """Everything from catalog to water and flood pixels for all events of the scope.
 
     The smoothed pairs are read for the counts, then for the change, so they are persisted: a lost executor costs only its
-    own blocks.  The threshold region is usually a small part of the area, so it is read and smoothed from its own tiles.
+    own blocks.  A threshold region that is a small part of the area is read and smoothed from its own tiles, so that
+    thresholds do not go over all pixels; otherwise the pairs at hand are clipped.
     """
     picks, coverage = sar_scenes(scenes, scope, days)
     pairs = smoothed_pairs(pixels, picks, scope.aoi, bands, radius_m).persist(StorageLevel.MEMORY_AND_DISK)
     kept = [pairs]
     if scope.otsu is scope.aoi:
         otsu = pairs
+    elif scope.otsu.cells > SMALL_REGION * scope.aoi.cells:
+        otsu = clip(pairs, scope.otsu.spans, "event_id", scope.otsu.span_rows)
     else:
         region = smoothed_pairs(pixels, picks, scope.otsu, bands, radius_m)
         otsu = clip(region, scope.aoi.spans, "event_id", scope.aoi.span_rows).persist(StorageLevel.MEMORY_AND_DISK)

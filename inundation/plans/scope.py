@@ -16,10 +16,12 @@ from ..sources.control import settle
 
 @dataclass(frozen=True)
 class Area:
-    """Spans of an area per event: their number, a bound for the rows of a tile cover, and the tiles around all of them."""
+    """Spans of an area per event: their number, the cells in them, a bound for the rows of a tile cover, and the tiles
+    around all of them."""
 
     spans: DataFrame
     span_rows: int
+    cells: int
     tile_rows: int
     envelope: tuple[int, int, int, int]
 
@@ -70,10 +72,11 @@ def make_scope(events: DataFrame, aois: DataFrame, otsu_aois: DataFrame | None =
     tiles = f"((x1 - x0) / {TILE} + 4) * ((y1 - y0) / {TILE} + 4)"
     measured = (
         spans.groupBy("kind", "aoi_id")
-        .agg(*[F.expr(e) for e in ("count(*) AS n", "min(x_lo) AS x0", "max(x_hi) AS x1", "min(y) AS y0", "max(y) AS y1")])
+        .agg(*[F.expr(e) for e in ("count(*) AS n", "sum(x_hi - x_lo + 1) AS cells", "min(x_lo) AS x0", "max(x_hi) AS x1", "min(y) AS y0", "max(y) AS y1")])
         .groupBy("kind")
         .agg(
             F.expr("sum(n) AS n"),
+            F.expr("sum(cells) AS cells"),
             F.expr(f"CAST(sum({tiles}) AS BIGINT) AS tiles"),
             *[F.expr(f"{block_of(f'{f}({c})')} AS {c}") for f, c in (("min", "x0"), ("max", "x1"), ("min", "y0"), ("max", "y1"))],
         )
@@ -83,7 +86,7 @@ def make_scope(events: DataFrame, aois: DataFrame, otsu_aois: DataFrame | None =
     def area(kind):
         own = spans.where(f"kind = {kind}").drop("kind")
         r = found.get(kind)
-        return Area(own, r.n, r.tiles, (r.x0 - 1, r.x1 + 1, r.y0 - 1, r.y1 + 1)) if r else Area(own, 0, 0, (0, 0, 0, 0))
+        return Area(own, r.n, r.cells, r.tiles, (r.x0 - 1, r.x1 + 1, r.y0 - 1, r.y1 + 1)) if r else Area(own, 0, 0, 0, (0, 0, 0, 0))
 
     aoi = area(0)
     return Scope(placed, placed.count(), aoi, aoi if same else area(1))
