@@ -147,9 +147,8 @@ def clip_many(spark, d):
     events, areas = fx.site_events(spark, d)
     scope = make_scope(events, areas, areas)
     tiles = scope.aoi.cover().withColumnRenamed("aoi_id", "event_id")
-    px = regions.with_tile(fx.view(spark, d, "s1_px").select("scene_id", "x", "y"))
-    tagged = px.join(tiles, ["tile_x", "tile_y"]).select("event_id", "scene_id", "x", "y")
-    inside = regions.clip(tagged, scope.aoi.spans, "event_id", scope.aoi.span_rows)
+    px = regions.in_areas(fx.view(spark, d, "s1_px").select("scene_id", "x", "y"), tiles, rows=scope.aoi.tile_rows)
+    inside = regions.clip(px.select("event_id", "scene_id", "x", "y"), scope.aoi.spans, "event_id", scope.aoi.span_rows)
     return inside.groupBy("event_id").agg(F.count("*").alias("pixels"), F.countDistinct("scene_id").alias("scenes"))
 
 

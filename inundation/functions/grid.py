@@ -19,6 +19,9 @@ EARTH_RADIUS_M = 6371008.8
 #: Storage and pruning tile, in cells per side.
 TILE = 256
 
+#: Reading tile: the grain at which areas and pixels are matched.  Divides the storage tile.
+READ_TILE = 64
+
 
 def num(v: float) -> str:
     """A double literal."""

@@ -57,7 +57,9 @@ def map_blocks(
             out[name] = k
         return out
 
-    return packed.groupBy(*names, "b").applyInPandas(run, schema).selectExpr(
+    # A fixed number of partitions: few bytes here are much work, and adaptive coalescing would judge by the bytes.
+    parts = int(images.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return packed.repartition(parts, *names, "b").groupBy(*names, "b").applyInPandas(run, schema).selectExpr(
         *[f"{name} AS `{k}`" for k, name in zip(keys, names)],
         f"pmod(b, {_SHIFT}) * {block} + at % {side} - {halo} AS x",
         f"floor(b / {_SHIFT}) * {block} + floor(at / {side}) - {halo} AS y",

@@ -17,31 +17,38 @@ BLOCK = 128
 
 def _box_sum(a: np.ndarray, r: int) -> np.ndarray:
     """Sum over a (2r+1) square, by shifted adds: exact wherever the inputs add exactly."""
-    n = a.shape[0] - 2 * r
-    rows = sum(a[k : k + n] for k in range(2 * r + 1))
-    return sum(rows[:, k : k + n] for k in range(2 * r + 1))
+    high, wide = a.shape[0] - 2 * r, a.shape[1] - 2 * r
+    rows = sum(a[k : k + high] for k in range(2 * r + 1))
+    return sum(rows[:, k : k + wide] for k in range(2 * r + 1))
 
 
 def _smooth_block(cells: pd.DataFrame, bands: Sequence[str], r: int, block: int, fill: bool) -> pd.DataFrame:
     side = block + 2 * r
-    at = cells["at"].to_numpy()
-    core = slice(r, r + block)
+    row, col = np.divmod(cells["at"].to_numpy(), side)
+    # Work on the part of the core that can get a value: the box of the cells, grown by the radius.
+    top, left = max(row.min() - r, r), max(col.min() - r, r)
+    high = min(row.max() + r, r + block - 1) - top + 1
+    wide = min(col.max() + r, r + block - 1) - left + 1
+    if high < 1 or wide < 1:
+        return pd.DataFrame({"at": np.empty(0, np.int32), **{b: np.empty(0) for b in bands}})
+    row, col = row - (top - r), col - (left - r)
+    shape = (high + 2 * r, wide + 2 * r)
+    core = (slice(r, r + high), slice(r, r + wide))
     means = []
     for band in bands:
         v = cells[band].to_numpy()
-        ok = ~np.isnan(v)
-        values, counts = np.zeros(side * side), np.zeros(side * side)
-        values[at[ok]] = v[ok]
-        counts[at[ok]] = 1.0
-        counts = counts.reshape(side, side)
+        ok = ~np.isnan(v) & (row >= 0) & (row < shape[0]) & (col >= 0) & (col < shape[1])
+        values, counts = np.zeros(shape), np.zeros(shape)
+        values[row[ok], col[ok]] = v[ok]
+        counts[row[ok], col[ok]] = 1.0
         n = _box_sum(counts, r)
-        mean = _box_sum(values.reshape(side, side), r) / np.maximum(n, 1.0)
-        mean[n == 0 if fill else counts[core, core] == 0] = np.nan
-        means.append(mean.ravel())
-    valid = np.nonzero(~np.isnan(means).all(axis=0))[0]
-    out = {"at": ((valid // block + r) * side + valid % block + r).astype(np.int32)}
-    out.update({band: m[valid] for band, m in zip(bands, means)})
-    return pd.DataFrame(out)
+        mean = _box_sum(values, r) / np.maximum(n, 1.0)
+        mean[n == 0 if fill else counts[core] == 0] = np.nan
+        means.append(mean)
+    y, x = np.nonzero(~np.isnan(means).all(axis=0))
+    return pd.DataFrame(
+        {"at": ((y + top) * side + x + left).astype(np.int32), **{band: m[y, x] for band, m in zip(bands, means)}}
+    )
 
 
 def speckle_smooth(

@@ -4,7 +4,7 @@ A polygon becomes *spans*: for each grid row the intervals of cells whose centre
 ``(tile_x, y)`` with an interval test, for one area or for thousands, and no pixel ever meets a polygon edge.
 
 ``spans`` : aoi_id, tile_x, y, x_lo, x_hi (disjoint within a row)
-``cover`` : aoi_id, tile_x, tile_y
+``cover`` : aoi_id, tx, ty, x0, x1, y0, y1
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.geometry import edges
 from ..functions.grid import (
     EARTH_RADIUS_M,
+    READ_TILE,
     STEP_DEG,
     TILE,
     block_of,
@@ -126,25 +127,32 @@ def footprints(images: DataFrame, by: list[str], step: float = STEP_DEG) -> Data
     )
 
 
-def cover(spans: DataFrame, halo: int = 0) -> DataFrame:
-    """Tiles touched by an area grown by ``halo`` cells."""
+def cover(spans: DataFrame, halo: int = 0, tile: int = READ_TILE) -> DataFrame:
+    """Tiles touched by an area grown by ``halo`` cells, each with the box of the grown area around it."""
     return (
         spans.selectExpr(
             "aoi_id",
-            f"explode(sequence({block_of(f'x_lo - {halo}')}, {block_of(f'x_hi + {halo}')})) AS tile_x",
-            f"{block_of(f'y - {halo}')} AS t0",
-            f"{block_of(f'y + {halo}')} AS t1",
+            f"x_lo - {halo} AS x0",
+            f"x_hi + {halo} AS x1",
+            "y",
+            f"explode(sequence({block_of(f'x_lo - {halo}', tile)}, {block_of(f'x_hi + {halo}', tile)})) AS tx",
+        )
+        .groupBy("aoi_id", "tx", "y")
+        .agg(F.expr("min(x0) AS x0"), F.expr("max(x1) AS x1"))
+        .selectExpr(
+            "aoi_id", "tx", "x0", "x1", "y",
+            f"explode(sequence({block_of(f'y - {halo}', tile)}, {block_of(f'y + {halo}', tile)})) AS ty",
+        )
+        .groupBy("aoi_id", "tx", "ty")
+        .agg(
+            F.expr("min(x0) AS x0"),
+            F.expr("max(x1) AS x1"),
+            F.expr(f"min(y) - {halo} AS y0"),
+            F.expr(f"max(y) + {halo} AS y1"),
         )
-        .distinct()
-        .selectExpr("aoi_id", "tile_x", "explode(sequence(t0, t1)) AS tile_y")
-        .distinct()
     )
 
 
-def with_tile(images: DataFrame) -> DataFrame:
-    return images.selectExpr("*", f"{block_of('x')} AS tile_x", f"{block_of('y')} AS tile_y")
-
-
 def clip(images: DataFrame, spans: DataFrame, by: str | None = None, rows: int | None = None) -> DataFrame:
     """Keep the pixels inside the area.
 
@@ -156,3 +164,23 @@ def clip(images: DataFrame, spans: DataFrame, by: str | None = None, rows: int |
     on = [*([by] if by else []), "tile_x", "y"]
     tiled = images.withColumn("tile_x", F.expr(block_of("x")))
     return lookup_join(tiled, s, on, rows).where("x BETWEEN x_lo AND x_hi").select(*images.columns)
+
+
+def with_tile(images: DataFrame) -> DataFrame:
+    """Add the storage tile."""
+    return images.selectExpr("*", f"{block_of('x')} AS tile_x", f"{block_of('y')} AS tile_y")
+
+
+def in_areas(images: DataFrame, tiles: DataFrame, keys: tuple[str, ...] = (), rows: int | None = None) -> DataFrame:
+    """Match pixels to the areas whose cover boxes hold them: an equi-join by reading tile (and ``keys``).
+
+    ``tiles`` is a cover, with any further columns.  On images stored by tile, the storage tile takes part in the join, so
+    that a broadcast cover prunes partitions at run time.
+    """
+    on = [*keys, "tx", "ty"]
+    tiled = images.selectExpr("*", f"{block_of('x', READ_TILE)} AS tx", f"{block_of('y', READ_TILE)} AS ty")
+    if {"tile_x", "tile_y"} <= set(images.columns):
+        per = TILE // READ_TILE
+        tiles = tiles.selectExpr("*", f"floor(tx / {per}) AS tile_x", f"floor(ty / {per}) AS tile_y")
+        on += ["tile_x", "tile_y"]
+    return lookup_join(tiled, tiles, on, rows).where("x BETWEEN x0 AND x1 AND y BETWEEN y0 AND y1")

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.grid import METERS_PER_DEGREE, STEP_DEG, block_of, cell_x, cell_y, center_lat, center_lon, num
+from ..functions.grid import METERS_PER_DEGREE, READ_TILE, STEP_DEG, block_of, cell_x, cell_y, center_lat, center_lon, num
 from .blocks import spread
 
 #: Elevation grid: 3 arc-seconds.
@@ -54,7 +54,7 @@ def dem_cell(images: DataFrame, step: float = STEP_DEG, dem_step: float = DEM_ST
     )
 
 
-def dem_near(dem: DataFrame, cover: DataFrame, tile: int, step: float = STEP_DEG, dem_step: float = DEM_STEP_DEG) -> DataFrame:
+def dem_near(dem: DataFrame, cover: DataFrame, tile: int = READ_TILE, step: float = STEP_DEG, dem_step: float = DEM_STEP_DEG) -> DataFrame:
     """Elevation needed for the tiles of ``cover`` (with one cell around), by a semi-join on elevation blocks."""
     ratio = step / dem_step
     size = max(1, int(tile * ratio))
@@ -66,7 +66,7 @@ def dem_near(dem: DataFrame, cover: DataFrame, tile: int, step: float = STEP_DEG
         )
 
     wanted = (
-        cover.selectExpr("tile_y", f"{blocks('tile_x')} AS _bx").selectExpr("_bx", f"{blocks('tile_y')} AS _by").distinct()
+        cover.selectExpr("ty", f"{blocks('tx')} AS _bx").selectExpr("_bx", f"{blocks('ty')} AS _by").distinct()
     )
     keyed = dem.selectExpr("*", f"floor(gx / {size}) AS _bx", f"floor(gy / {size}) AS _by")
     return keyed.join(wanted, ["_bx", "_by"], "left_semi").drop("_bx", "_by")

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from ..functions.grid import TILE
 from ..operators.area import area_km2
 from ..operators.components import drop_small_patches
 from ..operators.lookup import lookup_join
@@ -36,7 +35,7 @@ def refine_extent(
     With a scope, slopes are computed only around its areas.
     """
     patches = drop_small_patches(flood, by, min_connected)
-    near = dem_near(dem, scope.aoi.cover(), TILE, dem_step=dem_step) if scope is not None else dem
+    near = dem_near(dem, scope.aoi.cover(), dem_step=dem_step) if scope is not None else dem
     return drop_steep(patches, slope_degrees(near, dem_step), max_slope_deg, dem_step)
 
 
@@ -76,7 +75,9 @@ def extents(
 
 def branch_report(name: str, branch: Branch, refined: DataFrame, n_events: int) -> DataFrame:
     """One row per event; the area is NULL (not available) where the branch could not run, 0 where it found no flood."""
-    out = branch.coverage.select("event_id", "status")
+    # A fresh event_id: were it the very attribute the pixels carry, Spark would rename that inside the joined pixel plans, and
+    # those would no longer match what is persisted.
+    out = branch.coverage.selectExpr("event_id AS event_id", "status")
     out = lookup_join(out, area_km2(refined), ["event_id"], n_events, "left")
     out = lookup_join(out, branch.counts.select("event_id", "pre_px", "post_px"), ["event_id"], n_events, "left")
     if branch.thresholds is None:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geometry import DEFAULT_OTSU_AOI, ring_edges
-from ..functions.grid import TILE, block_of
+from ..functions.grid import READ_TILE, block_of
 from ..operators.regions import cover, polygon_spans
 from ..sources.aoi import same_area_for
 from ..sources.control import settle
@@ -69,7 +69,7 @@ def make_scope(events: DataFrame, aois: DataFrame, otsu_aois: DataFrame | None =
     placed = settle(events.select("event_id", "event_ts").join(shapes.withColumnRenamed("aoi_id", "event_id"), "event_id"))
 
     # A cover spans at most one more tile than the extent fills, and a halo adds one on each side.
-    tiles = f"((x1 - x0) / {TILE} + 4) * ((y1 - y0) / {TILE} + 4)"
+    tiles = f"((x1 - x0) / {READ_TILE} + 4) * ((y1 - y0) / {READ_TILE} + 4)"
     measured = (
         spans.groupBy("kind", "aoi_id")
         .agg(*[F.expr(e) for e in ("count(*) AS n", "sum(x_hi - x_lo + 1) AS cells", "min(x_lo) AS x0", "max(x_hi) AS x1", "min(y) AS y0", "max(y) AS y1")])

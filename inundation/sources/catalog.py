@@ -22,8 +22,8 @@ SAR_DAYS = 12
 OPTICAL_DAYS = 20
 MIN_SCENES = 2
 
-#: Side of the matching cells, in degrees.  A scene or area touches a handful.
-MATCH_CELL_DEG = 2.0
+#: Side of the matching cells, in degrees.  A scene or area touches a few.
+MATCH_CELL_DEG = 4.0
 
 RADAR_QUALITY = f"instrument_mode = '{INSTRUMENT_MODE}' AND resolution_meters = {RESOLUTION_M}"
 
@@ -76,8 +76,9 @@ def match_scenes(scenes: DataFrame, events: DataFrame, days: int) -> DataFrame:
     ``events``: event_id, event_ts, min_lon, min_lat, max_lon, max_lat and optionally ``parts``, the area's polygon parts as
     arrays of edges, against which a catalog with footprints is tested exactly.  Event-time scenes are post.
 
-    Candidates meet on (day, matching cell), so any number of events is one equi-join.  A pair sharing several cells is kept
-    only at the cell holding the south-west corner of its overlap.
+    Candidates meet on (period, matching cell), so any number of events is one equi-join.  A period is as long as the search
+    window, so an event touches two of them.  A pair sharing several cells is kept only at the cell holding the south-west
+    corner of its overlap.
     """
 
     def cell(v):
@@ -87,6 +88,10 @@ def match_scenes(scenes: DataFrame, events: DataFrame, days: int) -> DataFrame:
         return f"explode(sequence({cell(low)}, {cell(high)}))"
 
     window = f"make_dt_interval({int(days)})"
+
+    def period(day):
+        return f"floor(unix_date(to_date({day})) / {2 * int(days)})"
+
     exact = "parts" in events.columns and "footprint" in scenes.columns
     ev = (
         events.selectExpr(
@@ -94,7 +99,7 @@ def match_scenes(scenes: DataFrame, events: DataFrame, days: int) -> DataFrame:
             "event_ts",
             *[f"{c} AS a_{c}" for c in _BOX],
             *(["parts"] if exact else []),
-            f"explode(sequence(to_date(event_ts - {window}), to_date(event_ts + {window}), INTERVAL 1 DAY)) AS day",
+            f"explode(sequence({period(f'event_ts - {window}')}, {period(f'event_ts + {window}')})) AS period",
         )
         .selectExpr("*", f"{cells('a_min_lon', 'a_max_lon')} AS cx")
         .selectExpr("*", f"{cells('a_min_lat', 'a_max_lat')} AS cy")
@@ -104,10 +109,10 @@ def match_scenes(scenes: DataFrame, events: DataFrame, days: int) -> DataFrame:
         "acquired_at",
         *_BOX,
         *(["footprint"] if exact else []),
-        "to_date(acquired_at) AS day",
+        f"{period('acquired_at')} AS period",
         f"{cells('min_lon', 'max_lon')} AS cx",
     ).selectExpr("*", f"{cells('min_lat', 'max_lat')} AS cy")
-    met = sc.join(ev, ["day", "cx", "cy"]).where(
+    met = sc.join(ev, ["period", "cx", "cy"]).where(
         f"acquired_at >= event_ts - {window} AND acquired_at < event_ts + {window} "
         "AND min_lon <= a_max_lon AND max_lon >= a_min_lon AND min_lat <= a_max_lat AND max_lat >= a_min_lat "
         f"AND cx = {cell('greatest(min_lon, a_min_lon)')} AND cy = {cell('greatest(min_lat, a_min_lat)')}"

@@ -11,8 +11,8 @@ from math import ceil
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..functions.grid import STEP_DEG, TILE, block_of, center_lat, center_lon
-from ..operators.lookup import lookup_join
+from ..functions.grid import STEP_DEG, TILE, center_lat, center_lon
+from ..operators.regions import in_areas
 
 
 def read_pixels(
@@ -23,26 +23,21 @@ def read_pixels(
     rows: int | None = None,
     envelope: tuple[int, int, int, int] | None = None,
 ) -> DataFrame:
-    """Pixels of the chosen scenes in the tiles of each event's area, tagged with event and side.
+    """Pixels of the chosen scenes in and around each event's area, tagged with event and side.
 
-    The list of (scene, tile) to read is joined to the pixel table; on a table partitioned by tile a broadcast list also prunes
-    partitions at run time.  ``envelope`` (tile_x from, to, tile_y from, to) bounds all events and prunes statically.
-    ``rows`` bounds the list.
+    The list of (scene, tile, box) to read is joined to the pixel table.  ``envelope`` (storage tiles: x from, to, y from, to)
+    bounds all events and prunes statically.  ``rows`` bounds the list.
     """
-    tiles = cover.withColumnRenamed("aoi_id", "event_id")
-    wanted = picks.select("event_id", "side", "scene_id").join(tiles, "event_id")
-    stored = {"tile_x", "tile_y"} <= set(pixels.columns)
-    tile = ["tile_x", "tile_y"] if stored else [f"{block_of('x')} AS tile_x", f"{block_of('y')} AS tile_y"]
+    wanted = picks.select("event_id", "side", "scene_id").join(cover.withColumnRenamed("aoi_id", "event_id"), "event_id")
+    stored = [c for c in ("tile_x", "tile_y") if c in pixels.columns]
     if envelope:
         x0, x1, y0, y1 = envelope
         box = f"x BETWEEN {x0 * TILE} AND {x1 * TILE + TILE - 1} AND y BETWEEN {y0 * TILE} AND {y1 * TILE + TILE - 1}"
-        if stored:
+        if len(stored) == 2:
             box += f" AND tile_x BETWEEN {x0} AND {x1} AND tile_y BETWEEN {y0} AND {y1}"
         pixels = pixels.where(box)
-    joined = lookup_join(
-        pixels.selectExpr("scene_id", *tile, "x", "y", *bands), wanted, ["scene_id", "tile_x", "tile_y"], rows
-    )
-    return joined.select("event_id", "side", "x", "y", *bands)
+    matched = in_areas(pixels.select("scene_id", *stored, "x", "y", *bands), wanted, ("scene_id",), rows)
+    return matched.select("event_id", "side", "x", "y", *bands)
 
 
 def constant_raster(
