@@ -1,0 +1 @@
+"""No streaming operators: a run has one event date and reads finished scenes."""

@@ -94,8 +94,8 @@ def test_report_on_a_known_flood(spark, tmp_path):
     out = {(r.event_id, r.method): r for r in report.flood_report(events, area, dem, scenes, s1, scenes, s2, area).collect()}
     km2 = area_km2(want).first().area_km2
     assert out[1, "s2"].area_km2 == pytest.approx(km2, rel=1e-9)
-    # Smoothing blurs the border by up to three cells.
-    assert out[1, "sar"].area_km2 == pytest.approx(km2, rel=0.15)
+    # Smoothing blurs the border of the 33-cell square, and carries it past the edge of the image, by up to three cells.
+    assert km2 <= out[1, "sar"].area_km2 <= km2 * (39 / 33) ** 2
     assert out[2, "sar"].status == out[2, "s2"].status == "too_few_scenes" and out[2, "s2"].area_km2 is None
     only = report.flood_report(events, area, dem, scenes_s2=scenes, pixels_s2=s2, method="s2").collect()
     assert {r.method for r in only} == {"s2"}
@@ -122,7 +122,7 @@ def test_result_does_not_depend_on_partitioning(spark):
         spark.conf.set("spark.sql.shuffle.partitions", before)
     key = lambda r: (r.event_id, r.method)
     for a, b in zip(sorted(first, key=key), sorted(mixed, key=key)):
-        assert a.asDict() == pytest.approx(b.asDict(), rel=1e-9)
+        assert [v if isinstance(v, str) or v is None else pytest.approx(v, rel=1e-9) for v in a] == list(b)
 
 
 def test_invariants(spark):
