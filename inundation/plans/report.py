@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 
 from ..operators.area import area_km2
@@ -62,11 +65,15 @@ def extents(
     """Branch and refined extent per requested method."""
     if method not in METHODS:
         raise ValueError(f"method must be one of {METHODS}")
-    out = {}
-    if method in ("sar", "both"):
-        out["sar"] = sar_branch(scenes_s1, pixels_s1, scope, sar_days, band=band, radius_m=radius_m)
-    if method in ("s2", "both"):
-        out["s2"] = optical_branch(scenes_s2, pixels_s2, scope, optical_days)
+    run = {
+        "sar": lambda: sar_branch(scenes_s1, pixels_s1, scope, sar_days, band=band, radius_m=radius_m),
+        "s2": lambda: optical_branch(scenes_s2, pixels_s2, scope, optical_days),
+    }
+    wanted = ["sar", "s2"] if method == "both" else [method]
+    # The branches share nothing but the scope: their jobs may overlap, and the tail of one does not hold up the other.
+    with ThreadPoolExecutor(len(wanted)) as pool:
+        started = {name: pool.submit(inheritable_thread_target(scope.events.sparkSession)(run[name])) for name in wanted}
+        out = {name: task.result() for name, task in started.items()}
     return {
         name: (b, refine_extent(flooded(b), dem, scope, ("event_id",), min_connected, max_slope_deg, dem_step))
         for name, b in out.items()

@@ -50,20 +50,17 @@ def make_scope(events: DataFrame, aois: DataFrame, otsu_aois: DataFrame | None =
     if not same:
         spans = spans.unionByName(polygon_spans(otsu_aois).selectExpr("*", "1 AS kind"))
     spans = settle(spans)
+    ends = [(f, axis) for f in ("min", "max") for axis in ("lon", "lat")]
     shapes = (
-        aois.groupBy("aoi_id", "part")
+        aois.groupBy("aoi_id")
         .agg(
-            F.expr(f"flatten(collect_list({ring_edges('pts')})) AS e"),
-            *[
-                F.expr(f"{f}(array_{f}(transform(pts, p -> p.{axis}))) AS {f}_{axis}")
-                for f in ("min", "max")
-                for axis in ("lon", "lat")
-            ],
+            F.expr(f"collect_list(struct(part, {ring_edges('pts')} AS e)) AS rings"),
+            *[F.expr(f"{f}(array_{f}(transform(pts, p -> p.{axis}))) AS {f}_{axis}") for f, axis in ends],
         )
-        .groupBy("aoi_id")
-        .agg(
-            F.expr("collect_list(e) AS parts"),
-            *[F.expr(f"{f}({f}_{axis}) AS {f}_{axis}") for f in ("min", "max") for axis in ("lon", "lat")],
+        .selectExpr(
+            "aoi_id",
+            "transform(array_distinct(rings.part), p -> flatten(transform(filter(rings, r -> r.part = p), r -> r.e))) AS parts",
+            *[f"{f}_{axis}" for f, axis in ends],
         )
     )
     placed = settle(events.select("event_id", "event_ts").join(shapes.withColumnRenamed("aoi_id", "event_id"), "event_id"))
