@@ -115,9 +115,10 @@ def vv_minus_vh(spark, d):
 
 
 def _scene_pairs(spark, d, view, bands):
-    """Raster scenes 1 and 2 as before and after, aligned by cell."""
-    px = fx.view(spark, d, view).where("scene_id IN (1, 2)")
-    tagged = px.selectExpr("0L AS event_id", "IF(scene_id = 1, 'pre', 'post') AS side", "x", "y", *bands)
+    """Each odd raster scene as before, the following even one as after, aligned by cell; the last has no partner."""
+    tagged = fx.view(spark, d, view).selectExpr(
+        "CAST(floor((scene_id + 1) / 2) AS BIGINT) AS event_id", "IF(scene_id % 2 = 1, 'pre', 'post') AS side", "x", "y", *bands
+    )
     return change.align(tagged, bands)
 
 
@@ -131,7 +132,7 @@ def mask_algebra(spark, d):
         "wet_after": B.self_mask("post_water"),
         "pre_where_post": B.update_mask("pre_water", post),
     }
-    return water.selectExpr("x", "y", *[f"CAST({e} AS INT) AS `{name}`" for name, e in masks.items()])
+    return water.selectExpr("event_id", "x", "y", *[f"CAST({e} AS INT) AS `{name}`" for name, e in masks.items()])
 
 
 # --- areas ----------------------------------------------------------------------------------------------------------
@@ -227,13 +228,13 @@ def valid_pixel_count(spark, d):
 
 def common_mask(spark, d):
     pairs = _scene_pairs(spark, d, "s1_px", ["VV", "VH"])
-    counts = change.pair_counts(pairs, "VV", n_events=1)
-    return _lower(change.common_mask(pairs, ["VV", "VH"], counts, n_events=1).drop("event_id"))
+    counts = change.pair_counts(pairs, "VV")
+    return _lower(change.common_mask(pairs, ["VV", "VH"], counts, n_events=4))
 
 
 def pixel_count_check(spark, d):
     c = change.pair_counts(_scene_pairs(spark, d, "s1_px", ["VV", "VH"]), "VV")
-    return c.select("pre_px", "post_px", F.col("same_count").cast("int").alias("same_count"))
+    return c.select("event_id", "pre_px", "post_px", F.col("same_count").cast("int").alias("same_count"))
 
 
 def otsu_histogram(spark, d):
@@ -408,16 +409,11 @@ _CATALOG_WHERE = (
     f"AND acquired_at >= TIMESTAMP '{PERIOD[0]}' AND acquired_at < TIMESTAMP '{PERIOD[1]}'"
 )
 _ACQ = "strftime(acquired_at, '%Y-%m-%d') AS acquired"
-_PAIR = (
-    "(SELECT x, y, {cols} FROM {view} WHERE scene_id IN (1, 2) GROUP BY x, y) pr"
-)
-
-
 def _pair_sql(view, bands):
     cols = ", ".join(
-        f"max({b}) FILTER (WHERE scene_id = {n}) AS {s}_{b}" for s, n in (("pre", 1), ("post", 2)) for b in bands
+        f"max({b}) FILTER (WHERE scene_id % 2 = {n}) AS {s}_{b}" for s, n in (("pre", 1), ("post", 0)) for b in bands
     )
-    return _PAIR.format(cols=cols, view=view)
+    return f"(SELECT (scene_id + 1) // 2 AS event_id, x, y, {cols} FROM {view} GROUP BY 1, 2, 3) pr"
 
 
 _SMOOTHED = (
@@ -517,9 +513,9 @@ _REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]
     "mask_algebra": (
         mask_algebra,
         o.statement(
-            "SELECT x, y, CAST(a = 1 AND b = 1 AS INT) AS \"both\", CAST(a = 1 OR b = 1 AS INT) AS either, "
+            "SELECT event_id, x, y, CAST(a = 1 AND b = 1 AS INT) AS \"both\", CAST(a = 1 OR b = 1 AS INT) AS either, "
             "CAST(a <> 1 AS INT) AS dry_before, CASE WHEN b > 0 THEN b END AS wet_after, CASE WHEN b = 1 THEN a END AS "
-            f"pre_where_post FROM (SELECT x, y, {_WATER_PAIR[0]} AS a, {_WATER_PAIR[1]} AS b FROM {_pair_sql('s2_px', ['B3', 'B8'])}) t",
+            f"pre_where_post FROM (SELECT event_id, x, y, {_WATER_PAIR[0]} AS a, {_WATER_PAIR[1]} AS b FROM {_pair_sql('s2_px', ['B3', 'B8'])}) t",
             "s2_px",
         ),
     ),
@@ -593,21 +589,21 @@ _REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]
     "pixel_count_check": (
         pixel_count_check,
         o.statement(
-            "SELECT count(pre_VV) AS pre_px, count(post_VV) AS post_px, CAST(count(pre_VV) = count(post_VV) AS INT) AS same_count "
-            f"FROM {_pair_sql('s1_px', ['VV', 'VH'])}",
+            "SELECT event_id, count(pre_VV) AS pre_px, count(post_VV) AS post_px, CAST(count(pre_VV) = count(post_VV) AS INT) AS same_count "
+            f"FROM {_pair_sql('s1_px', ['VV', 'VH'])} GROUP BY 1",
             "s1_px",
         ),
     ),
     "common_mask": (
         common_mask,
         o.statement(
-            "SELECT x, y, "
+            "SELECT event_id, x, y, "
             + ", ".join(
                 f"CASE WHEN s OR (pre_{b} IS NOT NULL AND post_{b} IS NOT NULL) THEN {q}_{b} END AS {q}_{b.lower()}"
                 for q in ("pre", "post")
                 for b in ("VV", "VH")
             )
-            + f" FROM (SELECT *, count(pre_VV) OVER () = count(post_VV) OVER () AS s FROM {_pair_sql('s1_px', ['VV', 'VH'])}) t",
+            + f" FROM (SELECT *, count(pre_VV) OVER e = count(post_VV) OVER e AS s FROM {_pair_sql('s1_px', ['VV', 'VH'])} WINDOW e AS (PARTITION BY event_id)) t",
             "s1_px",
         ),
     ),
