@@ -252,7 +252,7 @@ def otsu_threshold_query(spark, d):
     px = fx.view(spark, d, "s1_px").selectExpr("scene_id", "x", "y", f"{diff} AS diff")
     # Scene -1 has no pixels.
     listed = fx.raster_scenes(spark, d).select("scene_id")
-    wanted = listed.unionByName(listed.agg(F.lit(-1).cast("bigint").alias("scene_id")))
+    wanted = listed.unionByName(spark.range(1).selectExpr("-1L AS scene_id"))
     t = otsu_threshold(px, "diff", ["scene_id"], wanted, n_images=7)
     return t.select(
         "scene_id", "threshold", F.col("threshold_defaulted").cast("int").alias("defaulted")
