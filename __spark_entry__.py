@@ -718,14 +718,23 @@ _REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]
 }
 
 
+try:
+    from inundation.llm import queries as llm
+except ImportError as error:
+    # The training-data operators are a part that can be taken out; a fault inside it is not hidden.
+    if not (error.name or "").startswith(("inundation.llm", "corpus_pipeline")):
+        raise
+    llm = None
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the flood report of the main event by both methods."""
     return flood_report(spark, SF_SMOKE)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: fn for name, (fn, _) in _REGISTRY.items()}
+    return {name: fn for name, (fn, _) in _REGISTRY.items()} | (llm.queries() if llm else {})
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: sql for name, (_, sql) in _REGISTRY.items() if sql is not None}
+    return {name: sql for name, (_, sql) in _REGISTRY.items() if sql is not None} | (llm.oracle_sql() if llm else {})
