@@ -7,14 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inundation.llm import poisson_mix, pu_quality, secret_ledger, text_rules
-from inundation.llm.shared import new_folder
+from inundation.llm import pieces, poisson_mix, pu_quality, secret_ledger, simhash, text_rules, warc
+from inundation.llm.shared import keep, new_folder
+
+#: Where the public tokenizers' files are; only the driver reads them.
+TOKENIZERS = "/opt/tokenizers"
+PIECE_MODEL = "piece_bpe_32k.model"
 
 
 def _table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def op3_pieces(spark, d, tokenizers=TOKENIZERS):
+    vocabulary = pieces.read_vocabulary(f"{tokenizers}/{PIECE_MODEL}")
+    return pieces.encode(_table(spark, d, "documents").select("doc_id", "text"), vocabulary)
+
+
 def op4_isolation_rules(spark, d):
     judged = text_rules.apply_rules(_table(spark, d, "documents"), _table(spark, d, "labels"))
     return judged.select("doc_id", *text_rules.COUNTS[:5], "base_failed", "kept", "anomaly")
@@ -25,6 +34,29 @@ def op5_poisson_mix(spark, d):
     return poisson_mix.poisson_mix(docs.select("doc_id", "text", "lang", "source", "n_chars"))
 
 
+def op6_warc(spark, d):
+    folder = new_folder(spark, "warc")
+    records = warc.with_revisits(_table(spark, d, "pages"), "page_id", "html", "url")
+    written = keep(warc.write_monolithic(records, f"{folder}/crawl"), "warc-archives")
+    keep(warc.normalise(written, f"{folder}/crawl", f"{folder}/records"), "warc-index")
+    read = warc.read_records(warc.read_index(spark, f"{folder}/records"), f"{folder}/records", payloads=False)
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
+
+
+def _op6_sql() -> str:
+    return """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages), s AS (SELECT page_id, octet_length(b) AS n, sha256(b) AS h FROM p),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS first FROM s)
+SELECT page_id, n AS payload_bytes, h AS payload_digest, CASE WHEN n >= 100 AND first < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= 100 AND first < page_id THEN first END AS refers_to, true AS intact FROM f
+"""
+
+
+def op7_simhash(spark, d):
+    groups = simhash.near_duplicates(_table(spark, d, "documents").select("doc_id", "text"))
+    return groups.select("doc_id", simhash.hex_print("fp").alias("fingerprint"), "component_id")
+
+
 def op8_pu_quality(spark, d):
     return pu_quality.classify(_table(spark, d, "documents"), _table(spark, d, "labels"))
 
@@ -84,8 +116,11 @@ FROM k, LATERAL (SELECT unnest(range(1, copies + 1)) AS i) x
 
 
 _REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
+    "op3_pieces": (op3_pieces, None),
     "op4_isolation_rules": (op4_isolation_rules, None),
     "op5_poisson_mix": (op5_poisson_mix, _op5_sql()),
+    "op6_warc": (op6_warc, _op6_sql()),
+    "op7_simhash": (op7_simhash, None),
     "op8_pu_quality": (op8_pu_quality, None),
     "op9_secret_ledger": (op9_secret_ledger, _op9_sql()),
 }

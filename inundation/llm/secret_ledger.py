@@ -19,6 +19,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from inundation.llm.shared import keep
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -123,7 +125,8 @@ def findings_by_path(versions: DataFrame, ledger: DataFrame, rules: Sequence[Rul
         wanted = wanted | ((F.col("kind") == r.kind) & (F.col("rule_version") == r.version))
     # A blob without findings needs no row here: the left join fills it in.
     found = ledger.where(wanted & (F.size("findings") > 0)).groupBy("blob").agg(F.array_sort(F.flatten(F.collect_list("findings"))).alias("found"))
-    joined = blobs(versions, text_col).drop("content").join(found, "blob", "left")
+    # Kept first: a join of two plain tables can be split where one blob has a large share of the paths.
+    joined = blobs(versions, text_col).drop("content").join(keep(found, "findings"), "blob", "left")
     return joined.withColumn("findings", F.coalesce("found", F.array().cast(f"array<{_FINDING}>"))).drop("found")
 
 
