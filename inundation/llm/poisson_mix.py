@@ -40,9 +40,11 @@ def poisson_steps(rate: float) -> list[float]:
     steps, k = [], 0
     total, log_rate = 0.0, math.log(rate) if rate > 0 else 0.0
     while rate > 0:
-        total += math.exp(k * log_rate - rate - math.lgamma(k + 1))
-        if k > rate and 1 - total < 2.0 ** -(4 * _DIGITS):
+        p = math.exp(k * log_rate - rate - math.lgamma(k + 1))
+        # From here on the shares only fall, and the sum can't tell them any more.
+        if k > rate and p < 2.0**-64:
             break
+        total += p
         steps.append(total)
         k += 1
     return steps
