@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inundation.llm import pieces, poisson_mix, pu_quality, secret_ledger, simhash, text_rules, warc
+from inundation.llm import ngram_lm, pieces, poisson_mix, pu_quality, secret_ledger, simhash, text_rules, topk, warc
 from inundation.llm.shared import keep, new_folder
 
 #: Where the public tokenizers' files are; only the driver reads them.
@@ -19,6 +19,12 @@ def _table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def op1_ngram_lm(spark, d):
+    """The target are the documents that are labelled good, the background all documents."""
+    good = _table(spark, d, "labels").where("quality = 1").select(F.col("doc_id").alias("target_id"))
+    return ngram_lm.cross_entropy_difference(_table(spark, d, "documents"), good)
+
+
 def op3_pieces(spark, d, tokenizers=TOKENIZERS):
     vocabulary = pieces.read_vocabulary(f"{tokenizers}/{PIECE_MODEL}")
     return pieces.encode(_table(spark, d, "documents").select("doc_id", "text"), vocabulary)
@@ -74,6 +80,20 @@ def op9_secret_ledger(spark, d):
     )
 
 
+def op10_topk(spark, d):
+    return topk.top_k(_table(spark, d, "embeddings"), F.col("id") % 50 == 0)
+
+
+def _op10_sql() -> str:
+    return """
+WITH v AS (SELECT DISTINCT vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e) AS score FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INT) AS rank, vec_id, CAST(score AS BIGINT) AS score FROM r WHERE rank <= 5
+"""
+
+
 def _op9_sql() -> str:
     parts = []
     for i, r in enumerate(secret_ledger.BASE_RULES):
@@ -116,6 +136,7 @@ FROM k, LATERAL (SELECT unnest(range(1, copies + 1)) AS i) x
 
 
 _REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
+    "op1_ngram_lm": (op1_ngram_lm, None),
     "op3_pieces": (op3_pieces, None),
     "op4_isolation_rules": (op4_isolation_rules, None),
     "op5_poisson_mix": (op5_poisson_mix, _op5_sql()),
@@ -123,6 +144,7 @@ _REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]
     "op7_simhash": (op7_simhash, None),
     "op8_pu_quality": (op8_pu_quality, None),
     "op9_secret_ledger": (op9_secret_ledger, _op9_sql()),
+    "op10_topk": (op10_topk, _op10_sql()),
 }
 
 
