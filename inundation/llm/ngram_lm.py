@@ -18,6 +18,7 @@ is scored whole.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -111,6 +112,10 @@ class Counts:
     target: np.ndarray
     background: np.ndarray
 
+    @property
+    def key(self) -> str:
+        return hashlib.sha256(b"".join(x.tobytes() for x in (self.ngram, self.target, self.background))).hexdigest()
+
     def log_shares(self, counts: np.ndarray) -> np.ndarray:
         """The natural logarithm of p(last symbol | those before) for every n-gram, seen or not."""
         share = np.full(1, 1 / SYMBOLS)
@@ -130,10 +135,10 @@ class Counts:
         return np.log(share, out=share)
 
 
-_tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_tables: dict[str, tuple[np.ndarray, np.ndarray]] = {}
 
 
-def loss_tables(c: Counts, key: int) -> tuple[np.ndarray, np.ndarray]:
+def loss_tables(c: Counts, key: str) -> tuple[np.ndarray, np.ndarray]:
     """Both models' losses by n-gram, built once in each Python worker (134 MB)."""
     if key not in _tables:
         _tables.clear()
@@ -151,10 +156,10 @@ def gather_counts(counted: DataFrame) -> Counts:
 
 def score_documents(docs: DataFrame, counts: Counts, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``n_tokens``, the mean loss per token of both models and ``ce_difference``, target less background."""
-    held = docs.sparkSession.sparkContext.broadcast(counts)
+    held, key_of = docs.sparkSession.sparkContext.broadcast(counts), counts.key
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        target, background = loss_tables(held.value, held.id if hasattr(held, "id") else id(held))
+        target, background = loss_tables(held.value, key_of)
         for batch, t in slices(batches, "text", SLICE_BYTES):
             key, n = ngrams(t), np.diff(t.offset)
             text = np.repeat(np.arange(len(t)), n)
