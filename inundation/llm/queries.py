@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inundation.llm import ngram_lm, pieces, poisson_mix, pu_quality, secret_ledger, simhash, text_rules, topk, warc
+import corpus_pipeline
+from inundation.llm import ngram_lm, pieces, poisson_mix, pu_quality, secret_ledger, simhash, substring_dedup, text_rules, topk, warc
 from inundation.llm.shared import keep, new_folder
 
 #: Where the public tokenizers' files are; only the driver reads them.
@@ -25,6 +26,26 @@ def op1_ngram_lm(spark, d):
     return ngram_lm.cross_entropy_difference(_table(spark, d, "documents"), good)
 
 
+def op2_substring_dedup(spark, d):
+    return substring_dedup.remove_repeats(_table(spark, d, "documents"))
+
+
+def _op2_sql() -> str:
+    n = substring_dedup.WINDOW
+    return f"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, i, array_to_string(list_slice(w, i, i + {n - 1}), ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - {n - 2})) AS i FROM d WHERE len(w) >= {n}) x),
+rep AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY s) AS c FROM win) y WHERE c > 1),
+gone AS (SELECT DISTINCT doc_id, p FROM (SELECT doc_id, unnest(range(i, i + {n})) AS p FROM rep) z),
+word AS (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) AS p FROM d),
+kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS t FROM word ANTI JOIN gone USING (doc_id, p) GROUP BY 1),
+lost AS (SELECT doc_id, count(*) AS c FROM gone GROUP BY 1)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(c, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN lost USING (doc_id)
+"""
+
+
 def op3_pieces(spark, d, tokenizers=TOKENIZERS):
     vocabulary = pieces.read_vocabulary(f"{tokenizers}/{PIECE_MODEL}")
     return pieces.encode(_table(spark, d, "documents").select("doc_id", "text"), vocabulary)
@@ -137,6 +158,7 @@ FROM k, LATERAL (SELECT unnest(range(1, copies + 1)) AS i) x
 
 _REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_ngram_lm": (op1_ngram_lm, None),
+    "op2_substring_dedup": (op2_substring_dedup, _op2_sql()),
     "op3_pieces": (op3_pieces, None),
     "op4_isolation_rules": (op4_isolation_rules, None),
     "op5_poisson_mix": (op5_poisson_mix, _op5_sql()),
@@ -145,6 +167,7 @@ _REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]
     "op8_pu_quality": (op8_pu_quality, None),
     "op9_secret_ledger": (op9_secret_ledger, _op9_sql()),
     "op10_topk": (op10_topk, _op10_sql()),
+    "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }
 
 

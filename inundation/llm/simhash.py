@@ -25,6 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from inundation.llm.components import least_reachable
 from inundation.llm.flat import slices, words
@@ -231,11 +232,17 @@ def near_duplicates(
     )
 
 
-def keep_first(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """One document of each group, the one with the smallest id; rows without an id stay."""
+def keep_first(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One document of each group, the one with the smallest id, and of rows with the same id that with the least text.
+
+    Rows without an id are in no group and stay.
+    """
     chosen = groups.where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("chosen_id")).distinct()
     kept = docs.join(chosen, F.col(id_col) == F.col("chosen_id"), "left_semi")
-    return kept.unionByName(docs.where(F.col(id_col).isNull()))
+    # The join has dealt the rows by id already.
+    nth = F.row_number().over(Window.partitionBy(id_col).orderBy(text_col))
+    one = kept.withColumn("nth_of_id", nth).where("nth_of_id = 1").drop("nth_of_id")
+    return one.unionByName(docs.where(F.col(id_col).isNull()))
 
 
 def hex_print(fp):
