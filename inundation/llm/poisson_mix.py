@@ -6,8 +6,8 @@ from the seed and the document's id, so it is the same on every run and every cl
 no source is gathered anywhere.  The copies are then dealt out by a hash and ordered by it, a shuffle of the whole result.
 
 Defined cases: rows without a source form a source of their own; a null id counts as the text "null"; rows that repeat with the
-same id are repeated alike.  Empty and null texts are documents like any other.  Other columns are carried along; the operator's
-own column names are parameters.  An empty table gives no rows.
+same id are repeated alike.  Empty and null texts are documents like any other.  Other columns are carried along; those named like the
+operator's two (which are parameters) are replaced, and names that start with ``_mix_`` are its own.  An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from inundation.llm.shared import keep
+
 SEED = 42
 #: Target weights follow the size of a source to this power; 1 keeps the sources as they are, 0 makes them equal.
 TEMPERATURE = 0.7
@@ -66,17 +68,12 @@ def given_weights(counts: DataFrame, weights: Mapping[str, float]) -> DataFrame:
     return counts.withColumn("weight", F.coalesce(F.try_element_at(named, F.coalesce("mix_source", F.lit(""))), F.lit(0.0)))
 
 
-@F.udf(T.ArrayType(T.DoubleType()))
-def _steps(rate: float) -> list[float]:
-    return poisson_steps(rate)
-
-
 def repetition_rates(weighted: DataFrame, epochs: float = EPOCHS) -> DataFrame:
     """``mix_source``, ``rate`` and ``steps``, one row per source; weights that are all 0 give rate 0."""
-    # A few columns per source: both totals are joined on, so no window gathers the sources in one task.
-    totals = weighted.agg(F.sum("n").alias("all_n"), F.sum("weight").alias("all_weight"))
-    rate = F.coalesce(F.try_divide(F.lit(epochs) * F.col("all_n") * F.col("weight"), F.col("all_weight") * F.col("n")), F.lit(0.0))
-    return weighted.join(F.broadcast(totals)).select("mix_source", rate.alias("rate")).withColumn("steps", _steps("rate"))
+    steps = F.udf(lambda rate: poisson_steps(rate), T.ArrayType(T.DoubleType()))
+    all_n, all_weight = weighted.agg(F.sum("n"), F.sum("weight")).first()
+    rate = F.coalesce(F.try_divide(F.lit(epochs * (all_n or 0)) * F.col("weight"), F.lit(all_weight or 0.0) * F.col("n")), F.lit(0.0))
+    return weighted.select("mix_source", rate.alias("rate")).withColumn("steps", steps("rate"))
 
 
 def poisson_mix(
@@ -84,23 +81,21 @@ def poisson_mix(
     epochs: float = EPOCHS, seed: int = SEED, copy_col: str = "copy", key_col: str = "mix_key",
 ) -> DataFrame:
     """The mixed rows, shuffled: ``docs`` with ``copy_col`` (from 1) and ``key_col``, by which partitions are ordered."""
-    rates = repetition_rates(tempered_weights(source_counts(docs, source_col)) if weighted is None else weighted, epochs)
-    n_sources = rates.count()
-    rates = rates.select("mix_source", "steps")
-    rates = F.broadcast(rates) if n_sources <= MOST_BROADCAST_SOURCES else rates
-    joined = docs.join(rates, F.col(source_col).eqNullSafe(F.col("mix_source")))
-    u = uniform(F.col(id_col), seed)
-    copies = F.expr("size(filter(steps, s -> s <= mix_u))")
+    weighted = keep(tempered_weights(source_counts(docs, source_col)) if weighted is None else weighted, "weights")
+    rates = keep(repetition_rates(weighted, epochs), "rates")
+    steps = rates.select(F.col("mix_source").alias("_mix_source"), F.col("steps").alias("_mix_steps"))
+    steps = F.broadcast(steps) if rates.count() <= MOST_BROADCAST_SOURCES else steps
+    docs = docs.drop(copy_col, key_col)
+    number = lambda text: F.conv(F.substring(F.md5(text.cast("binary")), 1, _DIGITS), 16, 10).cast("long")
+    ident = F.coalesce(F.col(id_col).cast("string"), F.lit("null"))
     repeated = (
-        joined.withColumn("mix_u", u)
-        .withColumn("mix_n", copies)
-        .where("mix_n > 0")
-        .withColumn(copy_col, F.explode(F.sequence(F.lit(1), F.col("mix_n"))))
+        docs.join(steps, F.col(source_col).eqNullSafe(F.col("_mix_source")))
+        .withColumn("_mix_u", uniform(F.col(id_col), seed))
+        .withColumn("_mix_n", F.expr("size(filter(_mix_steps, s -> s <= _mix_u))"))
+        .where("_mix_n > 0")
+        .withColumn(copy_col, F.explode(F.sequence(F.lit(1), F.col("_mix_n"))))
+        .withColumn(key_col, number(F.concat(F.lit(f"{seed}:shuffle:"), ident, F.lit(":"), F.col(copy_col).cast("string"))))
+        .drop("_mix_source", "_mix_steps", "_mix_u", "_mix_n")
     )
-    key = F.conv(
-        F.substring(F.md5(F.concat(F.lit(f"{seed}:shuffle:"), F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.lit(":"), F.col(copy_col).cast("string")).cast("binary")), 1, _DIGITS),
-        16, 10,
-    ).cast("long")
-    mixed = repeated.withColumn(key_col, key).drop("mix_u", "mix_n", "steps", "mix_source")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return mixed.repartition(parts, key_col).sortWithinPartitions(key_col)
+    return repeated.repartition(parts, key_col).sortWithinPartitions(key_col)

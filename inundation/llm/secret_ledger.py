@@ -5,8 +5,9 @@ that were scanned, with their findings, so a run scans only pairs it doesn't hol
 again in a later version, is scanned once, and a new rule version is tried on old blobs.  Findings are then joined back to all
 paths.  Everything is DataFrame work.
 
-Defined cases: a null text is an empty blob.  Rows that repeat get a result each; a null path is kept.  Columns with clashing
-names don't matter, as only the named ones are used.  An empty table adds nothing and gives no rows.
+Defined cases: a null text is an empty blob.  Rows that repeat get a result each; a null path is kept.  Other columns are
+carried along, but ``blob`` and ``findings`` replace columns of these names, and ``content`` and ``found`` are dropped.  An empty table
+adds nothing and gives no rows.
 
 A match's span counts code points, its end is exclusive.  Kinds beside those of ``BASE_RULES`` can be added to the rules.
 """
@@ -126,7 +127,7 @@ def findings_by_path(versions: DataFrame, ledger: DataFrame, rules: Sequence[Rul
     # A blob without findings needs no row here: the left join fills it in.
     found = ledger.where(wanted & (F.size("findings") > 0)).groupBy("blob").agg(F.array_sort(F.flatten(F.collect_list("findings"))).alias("found"))
     # Kept first: a join of two plain tables can be split where one blob has a large share of the paths.
-    joined = blobs(versions, text_col).drop("content").join(keep(found, "findings"), "blob", "left")
+    joined = blobs(versions.drop("findings", "found"), text_col).drop("content").join(keep(found, "findings"), "blob", "left")
     return joined.withColumn("findings", F.coalesce("found", F.array().cast(f"array<{_FINDING}>"))).drop("found")
 
 

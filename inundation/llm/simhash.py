@@ -237,11 +237,11 @@ def keep_first(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id", text_
 
     Rows without an id are in no group and stay.
     """
-    chosen = groups.where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("chosen_id")).distinct()
-    kept = docs.join(chosen, F.col(id_col) == F.col("chosen_id"), "left_semi")
+    chosen = groups.where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("_chosen_id")).distinct()
+    kept = docs.join(chosen, F.col(id_col) == F.col("_chosen_id"), "left_semi")
     # The join has dealt the rows by id already.
     nth = F.row_number().over(Window.partitionBy(id_col).orderBy(text_col))
-    one = kept.withColumn("nth_of_id", nth).where("nth_of_id = 1").drop("nth_of_id")
+    one = kept.withColumn("_nth", nth).where("_nth = 1").drop("_nth")
     return one.unionByName(docs.where(F.col(id_col).isNull()))
 
 

@@ -197,6 +197,8 @@ def normalise(archives: DataFrame, folder: str, into: str, level: int = LEVEL) -
                 _write(to, f"{target}/{archive}.idx", lambda out, lines=lines: [out.write(x.encode()) for x in lines])
                 yield pa.RecordBatch.from_pydict(index, schema=pa.schema({"archive": pa.string(), "record_id": pa.string(), "offset": pa.int64(), "length": pa.int64()}))
 
+    fs, target = _filesystem(into)
+    fs.create_dir(target, recursive=True)
     # A file per task at most; names and counts only are dealt out.
     n = max(1, archives.count())
     return archives.select("archive").repartition(n, "archive").mapInArrow(run, "archive string, record_id string, offset long, length long")
