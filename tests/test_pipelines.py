@@ -34,7 +34,7 @@ def con():
     return duck(SMALL)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_query_equals_its_sql(spark, con, name):
     ok, note = compare(spark, con, name, SMALL)
     assert ok, note
