@@ -2,16 +2,34 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
+import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+@cache
+def _own_folder() -> str:
+    """For sessions in one process only; it goes when the process ends."""
+    folder = tempfile.mkdtemp(prefix="llm-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of this application under ``spark.checkpoint.dir``, which executors and driver must share."""
+    """The folder of this application under ``spark.checkpoint.dir``, which executors and driver must share.
+
+    Where that is unset, a session in one process gets a folder of its own and a cluster is refused.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
-        raise ValueError("Set spark.checkpoint.dir to a folder that the driver and all executors share")
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("Set spark.checkpoint.dir to a folder that the driver and all executors share")
+        named = _own_folder()
     return f"{named.rstrip('/')}/llm-{spark.sparkContext.applicationId}"
 
 
