@@ -176,7 +176,8 @@ def score_documents(docs: DataFrame, counts: Counts, id_col: str = "doc_id", tex
 
 def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Scores every document against the documents whose ids (``target_id``) are given."""
-    ids = target_ids.select("target_id").where("target_id IS NOT NULL").distinct()
+    # One way at every size: the documents are shuffled by id once, for they can be marked without sending all ids everywhere.
+    ids = target_ids.select("target_id").where("target_id IS NOT NULL").distinct().hint("merge")
     flagged = docs.select(F.col(id_col).alias("flag_id"), F.col(text_col).alias("text")).join(ids, F.col("flag_id") == F.col("target_id"), "left")
     counted = count_ngrams(flagged.select("text", F.col("target_id").isNotNull().alias("is_target")))
     return score_documents(docs, gather_counts(counted), id_col, text_col)
