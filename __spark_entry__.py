@@ -6,10 +6,14 @@ Every query runs over the whole of the rasters, catalogs or areas derived from t
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import sys
+import tempfile
 import uuid
 from collections.abc import Callable
+from functools import cache, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,8 +35,9 @@ from inundation.operators.terrain import dem_cell, regrid_nearest, slope_degrees
 from inundation.plans import optical, report, sar  # noqa: E402
 from inundation.plans.scope import make_scope  # noqa: E402
 from inundation.sources import catalog  # noqa: E402
-from inundation.sources.control import shared_folder  # noqa: E402
-from inundation.sources.export import SAR_EXPORT_NAME, export_name, export_raster  # noqa: E402
+from inundation.sources.aoi import read_geojson  # noqa: E402
+from inundation.sources.control import settle, shared_folder  # noqa: E402
+from inundation.sources.export import export_extents  # noqa: E402
 
 SF_SMOKE = "/root/testdata/sf0.001"
 BOX = (0.0, 0.0, 60.0, 40.0)
@@ -40,6 +45,36 @@ PERIOD = ("1998-03-23", "1998-10-09")
 SCALE_30 = 30.0 / METERS_PER_DEGREE
 
 
+@cache
+def _own_folder() -> str:
+    folder = tempfile.mkdtemp(prefix="inundation-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
+def _with_folder(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """Gives a session in one process that names no shared folder one of its own; a cluster has to name it."""
+
+    @wraps(fn)
+    def run(spark, d):
+        sc = spark.sparkContext
+        named = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+        if not named and (sc.master == "local" or sc.master.startswith("local[")):
+            sc.setCheckpointDir(_own_folder())
+        return fn(spark, d)
+
+    return run
+
+
+def _finished(result: DataFrame, *branches) -> DataFrame:
+    """Computes a result whose pixels are kept for its time only, and gives these back."""
+    try:
+        return settle(result)
+    finally:
+        for b in branches:
+            b.release()
+
+
 def _day(c: str):
     return F.date_format(c, "yyyy-MM-dd").alias("acquired")
 
@@ -51,6 +86,26 @@ def s1_catalog_scan(spark, d):
     return catalog.radar_scenes(fx.view(spark, d, "catalog"), BOX, *PERIOD).select("scene_id", _day("acquired_at"))
 
 
+#: A diamond over the middle of the box; scenes have diamonds for footprints.
+DIAMOND = [[(30.0, 0.0), (50.0, 20.0), (30.0, 40.0), (10.0, 20.0)]]
+
+
+def s1_catalog_area(spark, d):
+    """Scenes whose footprint itself meets an area."""
+    scenes = fx.with_footprints(fx.view(spark, d, "catalog"))
+    return catalog.radar_scenes(scenes, None, *PERIOD, polygon=DIAMOND).select("scene_id", _day("acquired_at"))
+
+
+def event_scene_exact(spark, d):
+    """Scene counts of events by footprint and area, not by their boxes."""
+    events = fx.catalog_events(spark, d)
+    corners = (("min_lon", "min_lat"), ("max_lon", "min_lat"), ("max_lon", "max_lat"), ("min_lon", "max_lat"))
+    ring = ", ".join(f"named_struct('lon', {x}, 'lat', {y})" for x, y in corners)
+    events = events.withColumn("pts", F.expr(f"array({ring})")).withColumn("parts", F.expr(f"array({G.ring_edges('pts')})")).drop("pts")
+    scenes = fx.with_footprints(fx.view(spark, d, "catalog").where(catalog.RADAR_QUALITY))
+    return catalog.scene_coverage(catalog.match_scenes(scenes, events, fx.CATALOG_EVENT_DAYS), events)
+
+
 def s2_catalog_scan(spark, d):
     return catalog.optical_scenes(fx.view(spark, d, "catalog"), BOX, *PERIOD).select(
         "scene_id", _day("acquired_at"), "cloudy_pixel_percentage"
@@ -158,6 +213,18 @@ def _center(spark, d):
     return fx.view(spark, d, "dims").selectExpr("0L AS aoi_id", f"{lon} AS lon", f"{lat} AS lat", "h * 3.3D AS meters")
 
 
+def geojson_area(spark, d):
+    """Cells of the raster's surroundings in each site's document: two parts that overlap, written and read as GeoJSON."""
+    path = f"{shared_folder(spark)}/geojson-{uuid.uuid4().hex}"
+    fx.site_documents(spark, d).write.partitionBy("event_id").text(path)
+    rings = read_geojson(spark, path).withColumn("aoi_id", F.regexp_extract("path", r"event_id=(\d+)", 1).cast("bigint"))
+    spans = regions.polygon_spans(rings.select("aoi_id", "part", "ring", "pts"))
+    west, east = fx.X0 - 3, fx.X0 + fx.WIDTH + 2
+    inside = spans.join(F.broadcast(fx.view(spark, d, "dims"))).where(f"y BETWEEN {fx.Y0 - 3} AND {fx.Y0 + 2} + h")
+    cells = F.expr(f"sum(greatest(least(x_hi, {east}) - greatest(x_lo, {west}) + 1, 0))").alias("cells")
+    return inside.groupBy(F.col("aoi_id").alias("event_id")).agg(cells).where("cells > 0")
+
+
 def within_buffer(spark, d):
     px = fx.view(spark, d, "s1_px").select("scene_id", "x", "y")
     return regions.clip(px, regions.buffer_spans(_center(spark, d)))
@@ -222,6 +289,10 @@ def regrid_dem(spark, d):
 # --- counts, histograms, thresholds --------------------------------------------------------------------------------
 
 
+def _n_scenes(spark, d):
+    return fx.raster_scenes(spark, d).count()
+
+
 def valid_pixel_count(spark, d):
     return _lower(change.valid_pixel_count(fx.view(spark, d, "s1_px"), ["VV", "VH"], ["scene_id"]))
 
@@ -229,7 +300,7 @@ def valid_pixel_count(spark, d):
 def common_mask(spark, d):
     pairs = _scene_pairs(spark, d, "s1_px", ["VV", "VH"])
     counts = change.pair_counts(pairs, "VV")
-    return _lower(change.common_mask(pairs, ["VV", "VH"], counts, n_events=4))
+    return _lower(change.common_mask(pairs, ["VV", "VH"], counts, n_events=_n_scenes(spark, d)))
 
 
 def pixel_count_check(spark, d):
@@ -238,7 +309,7 @@ def pixel_count_check(spark, d):
 
 
 def otsu_histogram(spark, d):
-    h = band_histogram(fx.view(spark, d, "s1_px"), "VH", ["scene_id"], n_images=7)
+    h = band_histogram(fx.view(spark, d, "s1_px"), "VH", ["scene_id"], n_images=_n_scenes(spark, d))
     c = otsu_curve(h, ["scene_id"])
     return c.select(
         "scene_id", "bucket", "width", "n", "mean", F.round("sigma_b2", 6).alias("sigma_b2"),
@@ -253,7 +324,7 @@ def otsu_threshold_query(spark, d):
     # Scene -1 has no pixels.
     listed = fx.raster_scenes(spark, d).select("scene_id")
     wanted = listed.unionByName(spark.range(1).selectExpr("-1L AS scene_id"))
-    t = otsu_threshold(px, "diff", ["scene_id"], wanted, n_images=7)
+    t = otsu_threshold(px, "diff", ["scene_id"], wanted, n_images=wanted.count())
     return t.select(
         "scene_id", "threshold", F.col("threshold_defaulted").cast("int").alias("defaulted")
     )
@@ -293,24 +364,24 @@ def _water(branch):
 
 
 def sar_flood_extent(spark, d):
-    return _water(_main_sar(spark, d, _main_scope(spark, d)))
+    branch = _main_sar(spark, d, _main_scope(spark, d))
+    return _finished(_water(branch), branch)
 
 
 def ndwi_flood_extent(spark, d):
-    return _water(_main_optical(spark, d, _main_scope(spark, d)))
+    branch = _main_optical(spark, d, _main_scope(spark, d))
+    return _finished(_water(branch), branch)
 
 
 def connected_pixels(spark, d):
-    scope = _main_scope(spark, d)
-    return connected_pixel_count(report.flooded(_main_optical(spark, d, scope)))
+    branch = _main_optical(spark, d, _main_scope(spark, d))
+    return _finished(connected_pixel_count(report.flooded(branch)), branch)
 
 
 def connected_water(spark, d):
-    """Same-valued patches of the water masks of all scenes, saturating at 20."""
+    """Same-valued patches of the water masks of all scenes, by size."""
     px = fx.view(spark, d, "s2_px").selectExpr("scene_id", "x", "y", f"CAST({B.ndwi_water()} AS INT) AS water")
-    return connected_pixel_count(px, ["scene_id"], "water", max_size=20).groupBy(
-        "scene_id", "water", "component_size"
-    ).agg(F.count("*").alias("pixels"))
+    return connected_pixel_count(px, ["scene_id"], "water").groupBy("scene_id", "water", "component_size").agg(F.count("*").alias("pixels"))
 
 
 def _refined(spark, d, branch, scope):
@@ -319,12 +390,14 @@ def _refined(spark, d, branch, scope):
 
 def refined_extent(spark, d):
     scope = _main_scope(spark, d)
-    return _refined(spark, d, _main_optical(spark, d, scope), scope)
+    branch = _main_optical(spark, d, scope)
+    return _finished(_refined(spark, d, branch, scope), branch)
 
 
 def refined_extent_sar(spark, d):
     scope = _main_scope(spark, d)
-    return _refined(spark, d, _main_sar(spark, d, scope), scope)
+    branch = _main_sar(spark, d, scope)
+    return _finished(_refined(spark, d, branch, scope), branch)
 
 
 def _km2(df):
@@ -341,13 +414,17 @@ def water_area(spark, d):
     return _km2(area_km2(px, ["scene_id"], "water"))
 
 
-def best_effort_area(spark, d):
-    """Area of scene coverage with a budget of 1,000 pixels per scene."""
-    return _km2(area_km2(fx.view(spark, d, "s1_px").select("scene_id", "x", "y"), ["scene_id"], max_pixels=1000, n_images=7))
+def site_flood_area(spark, d):
+    """Flooded area of every site's event, 0 where there is no flood."""
+    events, areas = fx.site_events(spark, d)
+    scope = make_scope(events, areas, areas)
+    branch = _main_optical(spark, d, scope)
+    return _finished(_km2(area_km2(_refined(spark, d, branch, scope), wanted=scope.events)), branch)
 
 
 def _report(r):
-    return r.withColumns({c: F.round(c, 6) for c in ("area_km2", "threshold_pre", "threshold_post")})
+    rounded = {c: F.round(c, 6) for c in ("area_km2", "threshold_pre", "threshold_post")}
+    return r.withColumns(rounded | {"threshold_defaulted": F.col("threshold_defaulted").cast("int")})
 
 
 def flood_report(spark, d):
@@ -387,14 +464,17 @@ def layer_zoom(spark, d):
 
 
 def export_roundtrip(spark, d):
-    """Export the refined extent under the cluster's shared folder and read it back."""
+    """Export the refined extents of both methods under the cluster's shared folder and read them back."""
     scope = _main_scope(spark, d)
-    name = export_name(SAR_EXPORT_NAME, fx.EVENT_DATE, uuid.uuid4().hex)
-    path = export_raster(
-        refined_extent(spark, d).withColumn("flood", F.lit(1)), f"{shared_folder(spark)}/", name, scope.aoi.spans, "event_id"
-    )
-    back = spark.read.parquet(path)
-    return back.groupBy("tile_x", "tile_y").agg(F.count("*").alias("pixels"), F.sum("flood").alias("flood_px"))
+    branches = {"sar": _main_sar(spark, d, scope), "s2": _main_optical(spark, d, scope)}
+    try:
+        refined = {name: _refined(spark, d, b, scope) for name, b in branches.items()}
+        paths = export_extents(refined, f"{shared_folder(spark)}/", fx.EVENT_DATE, uuid.uuid4().hex, scope.aoi.spans, scope.aoi.span_rows)
+    finally:
+        for b in branches.values():
+            b.release()
+    back = [spark.read.parquet(p).withColumn("name", F.lit(os.path.basename(p).rsplit("_", 1)[0])) for p in paths.values()]
+    return back[0].unionByName(back[1]).groupBy("name", "tile_x", "tile_y").agg(F.count("*").alias("pixels"), F.sum("flood").alias("flood_px"))
 
 
 # --- registration ---------------------------------------------------------------------------------------------------
@@ -447,7 +527,7 @@ _NDWI = o.NDWI.format("")
 _WATER = f"CAST({_NDWI} > 0 AS INT)"
 _WATER_PAIR = [f"CAST({o.NDWI.format(q)} > 0 AS INT)" for q in ("pre_", "post_")]
 _SIZES = (
-    "SELECT c.event_id, c.x, c.y, least(z.size, 100) AS component_size FROM cc2_main c JOIN "
+    "SELECT c.event_id, c.x, c.y, z.size AS component_size FROM cc2_main c JOIN "
     "(SELECT event_id, label, count(*) AS size FROM cc2_main GROUP BY 1, 2) z USING (event_id, label)"
 )
 _VALUED = f"(SELECT scene_id * 2 + {_WATER} AS event_id, x, y FROM s2_px WHERE {_WATER} IS NOT NULL)"
@@ -469,6 +549,15 @@ _REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]
             "catalog",
         ),
     ),
+    "s1_catalog_area": (
+        s1_catalog_area,
+        o.statement(
+            f"SELECT scene_id, {_ACQ} FROM catalog WHERE instrument_mode = 'IW' AND resolution_meters = 10 AND {_CATALOG_WHERE} "
+            "AND abs(min_lon + 1 - 30) + abs(min_lat + 1 - 20) <= 21",
+            "catalog",
+        ),
+    ),
+    "event_scene_exact": (event_scene_exact, o.statement(o._coverage("xmatch", "ce"), "xmatch", "ce")),
     "event_scene_counts": (event_scene_counts, o.statement(o._coverage("cmatch", "ce"), "cmatch", "ce")),
     **{
         name: (
@@ -531,6 +620,13 @@ _REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]
             "inside_sites", "s1_px",
         ),
     ),
+    "geojson_area": (
+        geojson_area,
+        o.statement(
+            "SELECT event_id, count(*) AS cells FROM (SELECT event_id, x, y FROM inside_sites UNION SELECT event_id, x, y FROM inside_shifted) t GROUP BY 1",
+            "inside_sites", "inside_shifted",
+        ),
+    ),
     "within_buffer": (
         within_buffer,
         o.statement(
@@ -655,7 +751,7 @@ _REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]
     "connected_water": (
         connected_water,
         o.statement(
-            "SELECT event_id // 2 AS scene_id, event_id % 2 AS water, least(z.size, 20) AS component_size, sum(z.size) AS pixels "
+            "SELECT event_id // 2 AS scene_id, event_id % 2 AS water, z.size AS component_size, sum(z.size) AS pixels "
             "FROM (SELECT event_id, label, count(*) AS size FROM ccw GROUP BY 1, 2) z GROUP BY 1, 2, 3",
             "ccw",
         ),
@@ -673,13 +769,11 @@ _REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]
             "s2_px",
         ),
     ),
-    "best_effort_area": (
-        best_effort_area,
+    "site_flood_area": (
+        site_flood_area,
         o.statement(
-            f"SELECT scene_id, round(coalesce(sum({o.AREA} * k * k) FILTER (WHERE x % k = 0 AND y % k = 0), 0) / 1e6, 6) AS area_km2 "
-            "FROM (SELECT scene_id, x, y, CAST(ceil(sqrt(count(*) OVER (PARTITION BY scene_id) / 1000)) AS BIGINT) AS k FROM s1_px) t "
-            "GROUP BY 1",
-            "s1_px",
+            f"SELECT e.event_id, round(coalesce(sum({o.AREA}), 0) / 1e6, 6) AS area_km2 FROM events_sites e LEFT JOIN ref2_sites r USING (event_id) GROUP BY 1",
+            "events_sites", "ref2_sites",
         ),
     ),
     "flood_report": (
@@ -711,8 +805,9 @@ _REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]
     "export_roundtrip": (
         export_roundtrip,
         o.statement(
-            "SELECT x // 4096 AS tile_x, y // 4096 AS tile_y, count(*) AS pixels, count(*) AS flood_px FROM ref2_main GROUP BY 1, 2",
-            "ref2_main",
+            "SELECT name || '_20250602' AS name, x // 4096 AS tile_x, y // 4096 AS tile_y, count(*) AS pixels, count(*) AS flood_px FROM ("
+            "SELECT 'Effective_Flood_Extent_SAR' AS name, x, y FROM ref1_main UNION ALL SELECT 'Flood_Extent_S2_NDWI', x, y FROM ref2_main) t GROUP BY 1, 2, 3",
+            "ref1_main", "ref2_main",
         ),
     ),
 }
@@ -729,11 +824,11 @@ except ImportError as error:
 
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the flood report of the main event by both methods."""
-    return flood_report(spark, SF_SMOKE)
+    return _with_folder(flood_report)(spark, SF_SMOKE)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: fn for name, (fn, _) in _REGISTRY.items()} | (llm.queries() if llm else {})
+    return {name: _with_folder(fn) for name, (fn, _) in _REGISTRY.items()} | (llm.queries() if llm else {})
 
 
 def oracle_sql() -> dict[str, str]:

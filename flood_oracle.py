@@ -37,19 +37,19 @@ def _matched(scope: str, scenes: str, days: int) -> str:
         f"SELECT e.event_id, CASE WHEN r.acquired_at < e.event_ts THEN 'pre' ELSE 'post' END AS side, r.scene_id, "
         f"CASE WHEN r.acquired_at < e.event_ts THEN e.event_ts - r.acquired_at ELSE r.acquired_at - e.event_ts END AS gap "
         f"FROM events_{scope} e JOIN {scenes} r ON r.acquired_at >= e.event_ts - INTERVAL {days} DAY "
-        f"AND r.acquired_at < e.event_ts + INTERVAL {days} DAY"
+        f"AND r.acquired_at < e.event_ts + INTERVAL {days} DAY AND e.has_area"
     )
 
 
 STATUS = (
-    "CASE WHEN n_scenes < 2 THEN 'too_few_scenes' WHEN n_pre = 0 THEN 'no_pre_scene' "
+    "CASE WHEN NOT has_area THEN 'no_area' WHEN n_scenes < 2 THEN 'too_few_scenes' WHEN n_pre = 0 THEN 'no_pre_scene' "
     "WHEN n_post = 0 THEN 'no_post_scene' ELSE 'ok' END AS status"
 )
 
 
 def _coverage(matched: str, events: str) -> str:
     return (
-        f"SELECT *, {STATUS} FROM (SELECT e.event_id, count(m.scene_id) AS n_scenes, "
+        f"SELECT event_id, n_scenes, n_pre, n_post, {STATUS} FROM (SELECT e.event_id, any_value(e.has_area) AS has_area, count(m.scene_id) AS n_scenes, "
         "count(*) FILTER (WHERE m.side = 'pre') AS n_pre, count(*) FILTER (WHERE m.side = 'post') AS n_post "
         f"FROM {events} e LEFT JOIN {matched} m ON m.event_id = e.event_id GROUP BY 1) c"
     )
@@ -85,17 +85,17 @@ NDWI = "CASE WHEN {0}B3 + {0}B8 = 0 THEN CAST(0 AS DOUBLE) ELSE ({0}B3 - {0}B8)
 def _scope_terms(s: str) -> dict[str, tuple[str, list[str]]]:
     if s == "main":
         base = {
-            "events_main": (f"SELECT CAST(0 AS BIGINT) AS event_id, TIMESTAMP '{fx.EVENT_DATE}' AS event_ts", []),
+            "events_main": (f"SELECT CAST(0 AS BIGINT) AS event_id, TIMESTAMP '{fx.EVENT_DATE}' AS event_ts, true AS has_area", []),
             "edges_main": (_edges(fx.main_rings(), "dims", "0"), ["dims"]),
             "oedges_main": (_edges(fx.main_rings(fx.MAIN_OTSU_RINGS), "dims", "0"), ["dims"]),
         }
     else:
         base = {
             "events_sites": (
-                f"SELECT event_id, TIMESTAMP '{fx.EVENT_DATE}' + to_days(day_offset) AS event_ts FROM sites",
+                f"SELECT event_id, TIMESTAMP '{fx.EVENT_DATE}' + to_days(day_offset) AS event_ts, {fx.SITE_HAS_AREA} AS has_area FROM sites",
                 ["sites"],
             ),
-            "edges_sites": (_edges(fx.SITE_RINGS, "sites", "event_id"), ["sites"]),
+            "edges_sites": (_edges(fx.SITE_RINGS, f"(SELECT * FROM sites WHERE {fx.SITE_HAS_AREA}) s", "event_id"), ["sites"]),
             "oedges_sites": ("SELECT * FROM edges_sites", ["edges_sites"]),
         }
     both = lambda f: ", ".join(f(side) for side in ("pre", "post"))
@@ -165,7 +165,8 @@ def _scope_terms(s: str) -> dict[str, tuple[str, list[str]]]:
                 lambda q: f"coalesce((SELECT max(mean) FROM oc_{s} c WHERE c.is_threshold AND c.k = e.event_id || ':{q}'), -20.0) "
                 f"AS threshold_{q}"
             )
-            + f" FROM cov1_{s} e WHERE status = 'ok'",
+            + f", (SELECT count(*) FROM oc_{s} c WHERE c.is_threshold AND c.k IN (e.event_id || ':pre', e.event_id || ':post')) < 2 "
+            f"AS threshold_defaulted FROM cov1_{s} e WHERE status = 'ok'",
             [f"oc_{s}", f"cov1_{s}"],
         ),
         f"det1_{s}": (
@@ -211,8 +212,9 @@ def _scope_terms(s: str) -> dict[str, tuple[str, list[str]]]:
                 f"CASE WHEN v.status = 'ok' THEN round(coalesce(a.km2, 0), 6) END AS area_km2, "
                 + (
                     "round(t.threshold_pre, 6) AS threshold_pre, round(t.threshold_post, 6) AS threshold_post, "
+                    "CAST(t.threshold_defaulted AS INT) AS threshold_defaulted, "
                     if n == 1
-                    else "CAST(NULL AS DOUBLE) AS threshold_pre, CAST(NULL AS DOUBLE) AS threshold_post, "
+                    else "CAST(NULL AS DOUBLE) AS threshold_pre, CAST(NULL AS DOUBLE) AS threshold_post, CAST(NULL AS INT) AS threshold_defaulted, "
                 )
                 + "CASE WHEN v.status = 'ok' THEN coalesce(c.pre_px, 0) END AS pre_px, "
                 "CASE WHEN v.status = 'ok' THEN coalesce(c.post_px, 0) END AS post_px "
@@ -242,7 +244,7 @@ TERMS: dict[str, tuple[str, list[str]]] = {
 TERMS |= {
     "rs": (f"SELECT *, TIMESTAMP '{fx.EVENT_DATE}' + to_days(day_offset) AS acquired_at FROM raster_scenes", ["raster_scenes"]),
     "ce": (
-        f"SELECT *, TIMESTAMP '{fx.CATALOG_EVENT_START}' + to_days(day_offset) AS event_ts FROM catalog_events",
+        f"SELECT *, TIMESTAMP '{fx.CATALOG_EVENT_START}' + to_days(day_offset) AS event_ts, true AS has_area FROM catalog_events",
         ["catalog_events"],
     ),
     "cells": (
@@ -268,6 +270,18 @@ LEFT JOIN dem n ON n.gx = z.gx AND n.gy = z.gy - 1 LEFT JOIN dem s ON s.gx = z.g
         "AND c.min_lon <= e.max_lon AND c.max_lon >= e.min_lon AND c.min_lat <= e.max_lat AND c.max_lat >= e.min_lat",
         ["ce", "catalog"],
     ),
+    "xmatch": (
+        "SELECT * FROM (SELECT m.*, greatest(e.min_lon - (c.min_lon + 1), c.min_lon + 1 - e.max_lon, 0) + "
+        "greatest(e.min_lat - (c.min_lat + 1), c.min_lat + 1 - e.max_lat, 0) AS away FROM cmatch m JOIN ce e USING (event_id) "
+        "JOIN catalog c USING (scene_id)) t WHERE away <= 1",
+        ["cmatch", "ce", "catalog"],
+    ),
+    "edges_shifted": (
+        _edges([[(f"({x} + {fx.SITE_SHIFT[0]})", f"({y} + {fx.SITE_SHIFT[1]})") for x, y in fx.SITE_RINGS[0]]],
+               f"(SELECT * FROM sites WHERE {fx.SITE_HAS_AREA}) s", "event_id"),
+        ["sites"],
+    ),
+    "inside_shifted": (_inside("edges_shifted"), ["edges_shifted", "cells"]),
     **_scope_terms("main"),
     **_scope_terms("sites"),
 }

@@ -9,6 +9,7 @@ sums are exact in any order.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .functions.grid import STEP_DEG
 
@@ -104,6 +105,10 @@ FROM {supplier}
 """
 SITE_RINGS = [[("ax", "ay + 3.3"), ("ax + sx + 0.2", "ay"), ("ax + sx - 2.7", "ay + sy"), ("ax + 4.1", "ay + sy + 1.6")]]
 
+# Some sites have no area; documents of sites have a second ring, this many cells further on.
+SITE_HAS_AREA = "event_id % 10 <> 3"
+SITE_SHIFT = (5, 4)
+
 # The main event's area (a shell and a hole) and threshold region, in fractions of the raster's width and height.
 MAIN_RINGS = [
     [(0.04, 0.10), (0.55, 0.03), (0.97, 0.35), (0.90, 0.95), (0.30, 0.98)],
@@ -192,4 +197,24 @@ def site_events(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
     """Events of all sites and their areas."""
     sites = view(spark, sf_dir, "sites")
     events = _dated(sites.select("event_id", "day_offset"), EVENT_DATE, "event_ts")
-    return events, _area(sites, SITE_RINGS, "event_id")
+    return events, _area(sites.where(SITE_HAS_AREA), SITE_RINGS, "event_id")
+
+
+def with_footprints(catalog: DataFrame) -> DataFrame:
+    """Scenes with the diamond inside their box as footprint, so that box and footprint differ at every corner."""
+    points = (("min_lon + 1", "min_lat"), ("max_lon", "min_lat + 1"), ("min_lon + 1", "max_lat"), ("min_lon", "min_lat + 1"))
+    ring = ", ".join(f"named_struct('lon', {x}, 'lat', {y})" for x, y in points)
+    return catalog.withColumn("footprint", F.expr(f"array(array({ring}))"))
+
+
+def site_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A GeoJSON document per site: a collection of two features, the site's ring and the same ring a little further on."""
+    sites = view(spark, sf_dir, "sites").where(SITE_HAS_AREA)
+
+    def feature(dx, dy):
+        ring = SITE_RINGS[0]
+        points = ", ".join(f"array({lon_sql(f'({x} + {dx})')}, {lat_sql(f'({y} + {dy})')})" for x, y in [*ring, ring[0]])
+        return f"named_struct('type', 'Feature', 'geometry', named_struct('type', 'Polygon', 'coordinates', array(array({points}))))"
+
+    features = ", ".join(feature(dx, dy) for dx, dy in ((0, 0), SITE_SHIFT))
+    return sites.selectExpr("event_id", f"to_json(named_struct('type', 'FeatureCollection', 'features', array({features}))) AS value")

@@ -138,6 +138,20 @@ def _point_inside(edges_: str, lon: str, lat: str, v: str) -> str:
     return f"size(filter({edges_}, {v} -> {crossed})) % 2 = 1"
 
 
+def literal_edges(polygon) -> str:
+    """The edges of a polygon given as rings of (lon, lat)."""
+    out = []
+    for ring in polygon:
+        for (ax, ay), (bx, by) in zip(ring, [*ring[1:], ring[0]]):
+            out.append(f"named_struct('lon1', {num(ax)}, 'lat1', {num(ay)}, 'lon2', {num(bx)}, 'lat2', {num(by)})")
+    return f"array({', '.join(out)})"
+
+
+def footprint_edges(footprint: str = "footprint") -> str:
+    """The edges of a footprint column, an array of rings."""
+    return f"flatten(transform({footprint}, r -> {ring_edges('r')}))"
+
+
 def polygons_meet(edges_a: str, edges_b: str) -> str:
     """Do two polygons, each an array of edges, overlap or touch?  Some edges meet, or one holds a vertex of the other."""
     return (

@@ -1,4 +1,4 @@
-"""Flooded area, exactly or within a pixel budget."""
+"""Flooded area."""
 
 from __future__ import annotations
 
@@ -8,26 +8,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.grid import pixel_area_m2
-from .lookup import lookup_join
 
 
 def area_km2(
-    extent: DataFrame,
-    by: Sequence[str] = ("event_id",),
-    value: str | None = None,
-    max_pixels: int | None = None,
-    n_images: int | None = None,
+    extent: DataFrame, by: Sequence[str] = ("event_id",), value: str | None = None, wanted: DataFrame | None = None
 ) -> DataFrame:
     """Area of valid, non-zero pixels per image.
 
-    With ``max_pixels``, an image beyond the budget is measured on every k-th cell in both directions, k the smallest step that
-    fits, each sampled cell standing for k x k.  Off by default: Spark can read all of it.
+    ``wanted`` lists the images that must be answered: those without any pixel get 0.  Without it they are left out.
     """
     by = list(by)
-    counted, weight = "true" if value is None else f"`{value}` != 0", "1"
-    if max_pixels is not None:
-        steps = extent.groupBy(*by).agg(F.expr(f"ceil(sqrt(count(*) / {int(max_pixels)})) AS step"))
-        extent = lookup_join(extent, steps, by, n_images, salt=["x", "y"])
-        counted, weight = f"({counted}) AND pmod(x, step) = 0 AND pmod(y, step) = 0", "step * step"
-    total = f"sum(CASE WHEN {counted} THEN {pixel_area_m2('y')} * {weight} END)"
-    return extent.groupBy(*by).agg(F.expr(f"coalesce({total}, 0.0D) / 1e6D AS area_km2"))
+    counted = "true" if value is None else f"`{value}` != 0"
+    total = f"sum(CASE WHEN {counted} THEN {pixel_area_m2('y')} END)"
+    found = extent.groupBy(*by).agg(F.expr(f"coalesce({total}, 0.0D) / 1e6D AS area_km2"))
+    if wanted is None:
+        return found
+    return wanted.select(*by).join(found, by, "left").selectExpr(*by, "coalesce(area_km2, 0.0D) AS area_km2")

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame
 from ..functions.grid import block_of
 
 _SHIFT = 1 << 28
+#: Full blocks that a task is planned for.
+TASK_BLOCKS = 64
 
 
 def spread(v: str, halo: int, block: int) -> str:
@@ -26,12 +28,15 @@ def map_blocks(
     fn: Callable[[pd.DataFrame], pd.DataFrame],
     result: Sequence[str],
     result_type: str,
+    cells: int | None = None,
 ) -> DataFrame:
     """Apply ``fn`` to each block of each image, halo included.
 
     ``fn`` gets the ``values`` and ``at``, the cell's position ``row * side + column`` in the grown block
     (``side = block + 2 * halo``), and returns the ``result`` columns plus ``at`` for cells of the core.  Coordinates and block
-    travel packed in one integer each, since sorting and the transfer to Python cost by the column.
+    travel packed in one integer each, since sorting and the transfer to Python cost by the column.  Coordinates may be negative.
+
+    ``cells`` is an estimate of the cells of all images, from which the number of tasks follows where it is large.
     """
     n = len(keys)
     side = block + 2 * halo
@@ -41,7 +46,7 @@ def map_blocks(
         .selectExpr("*", f"{spread('y', halo, block)} AS _by")
         .selectExpr(
             *[f"`{k}` AS {name}" for k, name in zip(keys, names)],
-            f"_by * {_SHIFT} + _bx AS b",
+            f"_by * {_SHIFT} + _bx + {_SHIFT // 2} AS b",
             f"CAST((y - _by * {block} + {halo}) * {side} + x - _bx * {block} + {halo} AS INT) AS at",
             *[f"`{v}`" for v in values],
         )
@@ -57,11 +62,13 @@ def map_blocks(
             out[name] = k
         return out
 
-    # A fixed number of partitions: few bytes here are much work, and adaptive coalescing would judge by the bytes.
+    # A number of partitions of its own: few bytes here are much work, and adaptive coalescing would judge by the bytes.
     parts = int(images.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if cells is not None:
+        parts = max(parts, -(-cells // (TASK_BLOCKS * block * block)))
     return packed.repartition(parts, *names, "b").groupBy(*names, "b").applyInPandas(run, schema).selectExpr(
         *[f"{name} AS `{k}`" for k, name in zip(keys, names)],
-        f"pmod(b, {_SHIFT}) * {block} + at % {side} - {halo} AS x",
+        f"(pmod(b, {_SHIFT}) - {_SHIFT // 2}) * {block} + at % {side} - {halo} AS x",
         f"floor(b / {_SHIFT}) * {block} + floor(at / {side}) - {halo} AS y",
         *[f"`{r}`" for r in result],
     )

@@ -1,4 +1,4 @@
-"""Connected-pixel counts and the minimum-patch filter."""
+"""Connected pixels: the size of each patch, and the minimum-patch filter."""
 
 from __future__ import annotations
 
@@ -7,18 +7,21 @@ from collections.abc import Sequence
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from ..functions.grid import block_of
+from ..sources.control import settle
 from .blocks import map_blocks
 
-# The count saturates here by default, and cannot be asked to go beyond the second.
-DEFAULT_MAX_SIZE = 100
-LARGEST_MAX_SIZE = 1024
-
 BLOCK = 256
 
+#: A cell as one number, and the steps to the four neighbours that follow it in reading order.
+_CELL = "shiftleft(CAST({y} AS BIGINT), 32) + CAST({x} AS BIGINT)"
+_FORWARD = ((1, 0), (-1, 1), (0, 1), (1, 1))
+
 
-def _component_sizes(x: np.ndarray, y: np.ndarray, side: int) -> np.ndarray:
-    """Size of the 8-connected component of each cell within one block."""
+def _roots(x: np.ndarray, y: np.ndarray, side: int) -> np.ndarray:
+    """For each cell the first cell of its 8-connected component within one block."""
     at = np.full((side + 2, side + 2), -1, dtype=np.int64)
     at[y + 1, x + 1] = np.arange(len(x))
     # Each adjacent pair once: east, south-west, south, south-east.
@@ -43,56 +46,111 @@ def _component_sizes(x: np.ndarray, y: np.ndarray, side: int) -> np.ndarray:
             if np.array_equal(up, parent):
                 break
             parent = up
-    return np.bincount(parent, minlength=len(x))[parent]
+    return parent
+
+
+def _least_linked(edges: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``label`` and ``root``, the least label that ``edges`` (a, b) lead to, per keys; only labels with an edge are listed.
+
+    Star steps by turns: the larger neighbours of a label, then the smaller ones, are linked to the least of them.  Each round is a
+    few joins of the links that are left, kept in the shared folder; long patches need a number of rounds that grows with the
+    logarithm of their blocks.
+    """
+    keys = list(keys)
+
+    def star(links: DataFrame, larger: bool) -> DataFrame:
+        pairs = links.selectExpr(*keys, "greatest(a, b) AS u", "least(a, b) AS v")
+        if larger:
+            pairs = pairs.unionByName(links.selectExpr(*keys, "least(a, b) AS u", "greatest(a, b) AS v"))
+        least = pairs.groupBy(*keys, "u").agg(F.expr("least(u, min(v)) AS m"))
+        moved = pairs.join(least, [*keys, "u"]).where("v > u" if larger else "true").selectExpr(*keys, "v AS a", "m AS b")
+        if not larger:
+            moved = moved.unionByName(least.selectExpr(*keys, "u AS a", "m AS b"))
+        return moved.where("a <> b").distinct()
+
+    def mark(links: DataFrame) -> tuple:
+        row = f"xxhash64({', '.join([*keys, 'a', 'b'])})"
+        return tuple(links.agg(F.expr("count(*)"), F.expr(f"bit_xor({row})"), F.expr(f"sum(pmod({row}, 1000003))")).first())
+
+    now = settle(edges.distinct())
+    before = None
+    while (after := mark(now)) != before:
+        before = after
+        now = settle(star(star(now, True), False))
+    return now.selectExpr(*keys, "greatest(a, b) AS label", "least(a, b) AS root")
 
 
 def connected_pixel_count(
-    images: DataFrame,
-    by: Sequence[str] = ("event_id",),
-    value: str | None = None,
-    max_size: int = DEFAULT_MAX_SIZE,
-    block: int | None = None,
+    images: DataFrame, by: Sequence[str] = ("event_id",), value: str | None = None, block: int = BLOCK
 ) -> DataFrame:
-    """Size of each pixel's 8-connected patch, itself included, saturating at ``max_size``.
+    """Size of each pixel's 8-connected patch, itself included, however large.
 
     ``images`` holds the valid pixels, each cell once per ``by``; with ``value`` only equal-valued neighbours connect.  Adds
     ``component_size``.
 
-    The saturation makes the answer local.  A block sees ``max_size - 1`` cells beyond its border.  A patch that leaves this
-    window has a path from the pixel to the outside, which already counts ``max_size`` cells inside; a patch that does not
-    leave is seen whole.  So each block is exact on its own: one shuffle, no iteration and no merging of labels, however far
-    a patch extends.
+    Pixels are labelled block by block.  Only cells on a block's border are then matched to their neighbours in other blocks, and
+    what is merged are labels, a few per block, not pixels.
     """
-    if not 1 <= max_size <= LARGEST_MAX_SIZE:
-        raise ValueError(f"max_size must lie in 1..{LARGEST_MAX_SIZE}")
     keys = [*by, *([value] if value else [])]
-    halo = max_size - 1
-    block = block or max(BLOCK, 2 * halo)
     pixels = images.select(*keys, "x", "y")
     if value:
         pixels = pixels.where(f"`{value}` IS NOT NULL")
-    side = block + 2 * halo
+
+    def label(cells):
+        at = cells["at"].to_numpy()
+        return pd.DataFrame({"at": at, "first": at[_roots(at % block, at // block, block)]})
+
+    named = [f"`{k}` AS k{i}" for i, k in enumerate(keys)]
+    short = [f"k{i}" for i in range(len(keys))]
+    labelled = map_blocks(pixels, keys, [], 0, block, label, ["first"], "int").selectExpr(
+        *named, "x", "y", f"{block_of('x', block)} AS bx", f"{block_of('y', block)} AS by", "first"
+    )
+    label_of = _CELL.format(x=f"(bx * {block} + first % {block})", y=f"(by * {block} + floor(first / {block}))")
+    cells = settle(labelled.selectExpr(*short, "x", "y", f"{label_of} AS label"))
+    inner = f"pmod(x, {block}) BETWEEN 1 AND {block - 2} AND pmod(y, {block}) BETWEEN 1 AND {block - 2}"
+    border = cells.where(f"NOT ({inner})")
+    steps = ", ".join(f"named_struct('nx', x + {dx}, 'ny', y + {dy})" for dx, dy in _FORWARD)
+    other_block = f"{block_of('nx', block)} <> {block_of('x', block)} OR {block_of('ny', block)} <> {block_of('y', block)}"
+    reach = border.selectExpr(*short, "x", "y", "label AS a", f"inline(array({steps}))").where(other_block)
+    met = reach.drop("x", "y").join(border.selectExpr(*short, "x AS nx", "y AS ny", "label AS b"), [*short, "nx", "ny"])
+    merged = _least_linked(met.selectExpr(*short, "greatest(a, b) AS a", "least(a, b) AS b"), short)
+    # A label has a block's cells at most, so neither of these joins has a hot key; a patch of any size adds up map-side.
+    sizes = cells.groupBy(*short, "label").agg(F.expr("count(*) AS n"))
+    rooted = sizes.join(merged, [*short, "label"], "left").selectExpr(*short, "label", "n", "coalesce(root, label) AS root")
+    patches = rooted.groupBy(*short, "root").agg(F.expr("sum(n) AS component_size"))
+    by_label = rooted.select(*short, "label", "root").join(patches, [*short, "root"]).drop("root")
+    return cells.join(by_label, [*short, "label"]).selectExpr(
+        *[f"k{i} AS `{k}`" for i, k in enumerate(keys)], "x", "y", "component_size"
+    )
+
+
+def _counted_up_to(images: DataFrame, by: Sequence[str], enough: int) -> DataFrame:
+    """``component_size`` as far as ``enough``, which a look ``enough - 1`` cells beyond each block decides.
+
+    A patch that leaves this window has a path from the pixel to the outside, which already counts ``enough`` cells inside; one
+    that doesn't leave is seen whole.  So each block is exact on its own, in one shuffle.
+    """
+    halo = enough - 1
+    side = BLOCK + 2 * halo
 
     def label(cells):
         at = cells["at"].to_numpy()
         x, y = at % side, at // side
-        core = (x >= halo) & (x < halo + block) & (y >= halo) & (y < halo + block)
-        sizes = np.minimum(_component_sizes(x, y, side), max_size).astype(np.int32)
+        core = (x >= halo) & (x < halo + BLOCK) & (y >= halo) & (y < halo + BLOCK)
+        root = _roots(x, y, side)
+        sizes = np.minimum(np.bincount(root, minlength=len(x))[root], enough).astype(np.int32)
         return pd.DataFrame({"at": at[core], "component_size": sizes[core]})
 
-    return map_blocks(pixels, keys, [], halo, block, label, ["component_size"], "int")
+    return map_blocks(images.select(*by, "x", "y"), by, [], halo, BLOCK, label, ["component_size"], "int")
 
 
-def drop_small_patches(
-    extent: DataFrame, by: Sequence[str] = ("event_id",), min_connected: int = 8, max_size: int = DEFAULT_MAX_SIZE
-) -> DataFrame:
+def drop_small_patches(extent: DataFrame, by: Sequence[str] = ("event_id",), min_connected: int = 8) -> DataFrame:
     """Keep pixels of patches with at least ``min_connected`` cells; returns the ``by`` columns, x and y.
 
-    A count that saturates at the minimum itself answers the question, so the halo is ``min_connected - 1`` cells only.
+    The question needs no sizes beyond the minimum, so blocks look that far over their border; a minimum beyond a quarter of
+    a block is answered by the sizes themselves.
     """
-    if min_connected > max_size:
-        raise ValueError(f"min_connected={min_connected} exceeds the largest count {max_size}: nothing would be kept")
     if min_connected <= 1:
         return extent.select(*by, "x", "y")
-    sized = connected_pixel_count(extent, by, max_size=min_connected)
-    return sized.where(f"component_size >= {int(min_connected)}").drop("component_size")
+    sized = _counted_up_to(extent, by, min_connected) if min_connected <= BLOCK // 4 else connected_pixel_count(extent, by)
+    return sized.where(f"component_size >= {int(min_connected)}").select(*by, "x", "y")

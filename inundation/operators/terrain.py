@@ -7,7 +7,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.grid import METERS_PER_DEGREE, READ_TILE, STEP_DEG, block_of, cell_x, cell_y, center_lat, center_lon, num
+from ..functions.grid import METERS_PER_DEGREE, READ_TILE, STEP_DEG, TILE, block_of, cell_x, cell_y, center_lat, center_lon, num
 from .blocks import spread
 
 #: Elevation grid: 3 arc-seconds.
@@ -54,8 +54,22 @@ def dem_cell(images: DataFrame, step: float = STEP_DEG, dem_step: float = DEM_ST
     )
 
 
-def dem_near(dem: DataFrame, cover: DataFrame, tile: int = READ_TILE, step: float = STEP_DEG, dem_step: float = DEM_STEP_DEG) -> DataFrame:
-    """Elevation needed for the tiles of ``cover`` (with one cell around), by a semi-join on elevation blocks."""
+def dem_near(
+    dem: DataFrame,
+    cover: DataFrame,
+    tile: int = READ_TILE,
+    step: float = STEP_DEG,
+    dem_step: float = DEM_STEP_DEG,
+    envelope: tuple[int, int, int, int] | None = None,
+) -> DataFrame:
+    """Elevation needed for the tiles of ``cover`` (with one cell around), by a semi-join on elevation blocks.
+
+    ``envelope`` (storage tiles: x from, to, y from, to) bounds the cover; it becomes plain limits that reach the Parquet reader.
+    """
+    if envelope is not None:
+        x0, x1, y0, y1 = (v * TILE * step / dem_step for v in (envelope[0], envelope[1] + 1, envelope[2], envelope[3] + 1))
+        limits = (("gx", x0, x1), ("gy", y0, y1))
+        dem = dem.where(" AND ".join(f"{c} BETWEEN {math.floor(a) - 2} AND {math.ceil(b) + 2}" for c, a, b in limits))
     ratio = step / dem_step
     size = max(1, int(tile * ratio))
 

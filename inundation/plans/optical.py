@@ -13,7 +13,7 @@ from ..operators.lookup import lookup_join
 from ..operators.regions import clip
 from ..sources import catalog
 from ..sources.control import settle
-from ..sources.rasters import read_pixels
+from ..sources.rasters import read_pixels, require_bands
 from .sar import Branch, footprint_before
 from .scope import Scope
 
@@ -86,6 +86,7 @@ def optical_branch(
 
     The water masks, two bytes a pixel, are persisted between the counts and the change, so the medians are computed once.
     """
+    require_bands(pixels, [*BANDS, "QA60"] if cloud_mask else BANDS, "optical")
     picks, coverage = optical_scenes(scenes, scope, days, max_cloud)
     most = coverage.agg(F.max("n_scenes")).first()[0] or 0
     medians = median_pairs(pixels, picks, scope, cloud_mask, most)

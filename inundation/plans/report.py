@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..operators.area import area_km2
 from ..operators.components import drop_small_patches
-from ..operators.lookup import lookup_join
+from ..operators.lookup import BROADCAST_ROWS, lookup_join
 from ..operators.terrain import DEM_STEP_DEG, dem_near, drop_steep, slope_degrees
 from ..sources import catalog
 from ..sources.control import settle
 from .optical import optical_branch
 from .sar import SMOOTHING_RADIUS_M, Branch, sar_branch
-from .scope import Scope, make_scope
+from .scope import Scope, make_scope, place_batches
 
 # Fixed values.
 MIN_CONNECTED_PIXELS = 8
@@ -38,7 +41,7 @@ def refine_extent(
     With a scope, slopes are computed only around its areas.
     """
     patches = drop_small_patches(flood, by, min_connected)
-    near = dem_near(dem, scope.aoi.cover(), dem_step=dem_step) if scope is not None else dem
+    near = dem if scope is None else dem_near(dem, scope.aoi.cover(), dem_step=dem_step, envelope=scope.aoi.envelope)
     return drop_steep(patches, slope_degrees(near, dem_step), max_slope_deg, dem_step)
 
 
@@ -46,7 +49,7 @@ def flooded(branch: Branch) -> DataFrame:
     return branch.detected.where("flood = 1").select("event_id", "x", "y")
 
 
-def extents(
+def branch_runs(
     scenes_s1: DataFrame | None,
     pixels_s1: DataFrame | None,
     scenes_s2: DataFrame | None,
@@ -61,23 +64,30 @@ def extents(
     min_connected: int = MIN_CONNECTED_PIXELS,
     max_slope_deg: float = MAX_SLOPE_DEG,
     dem_step: float = DEM_STEP_DEG,
-) -> dict[str, tuple[Branch, DataFrame]]:
-    """Branch and refined extent per requested method."""
+) -> dict[str, Callable[[], tuple[Branch, DataFrame]]]:
+    """What gives the branch and the refined extent of each requested method."""
     if method not in METHODS:
         raise ValueError(f"method must be one of {METHODS}")
     run = {
         "sar": lambda: sar_branch(scenes_s1, pixels_s1, scope, sar_days, band=band, radius_m=radius_m),
         "s2": lambda: optical_branch(scenes_s2, pixels_s2, scope, optical_days),
     }
-    wanted = ["sar", "s2"] if method == "both" else [method]
-    # The branches share nothing but the scope: their jobs may overlap, and the tail of one does not hold up the other.
-    with ThreadPoolExecutor(len(wanted)) as pool:
-        started = {name: pool.submit(inheritable_thread_target(scope.events.sparkSession)(run[name])) for name in wanted}
-        out = {name: task.result() for name, task in started.items()}
-    return {
-        name: (b, refine_extent(flooded(b), dem, scope, ("event_id",), min_connected, max_slope_deg, dem_step))
-        for name, b in out.items()
-    }
+
+    def refined(name):
+        b = run[name]()
+        return b, refine_extent(flooded(b), dem, scope, ("event_id",), min_connected, max_slope_deg, dem_step)
+
+    return {name: partial(refined, name) for name in (["sar", "s2"] if method == "both" else [method])}
+
+
+def side_by_side_runs(spark, runs: Mapping[str, Callable]) -> dict[str, object]:
+    """Each run's result, or the exception it ended with.
+
+    The branches share nothing but the scope: their jobs may overlap, and one that fails doesn't take the other along.
+    """
+    with ThreadPoolExecutor(len(runs)) as pool:
+        started = {name: pool.submit(inheritable_thread_target(spark)(run)) for name, run in runs.items()}
+        return {name: task.exception() or task.result() for name, task in started.items()}
 
 
 def branch_report(name: str, branch: Branch, refined: DataFrame, n_events: int) -> DataFrame:
@@ -88,9 +98,10 @@ def branch_report(name: str, branch: Branch, refined: DataFrame, n_events: int)
     out = lookup_join(out, area_km2(refined), ["event_id"], n_events, "left")
     out = lookup_join(out, branch.counts.select("event_id", "pre_px", "post_px"), ["event_id"], n_events, "left")
     if branch.thresholds is None:
-        out = out.selectExpr("*", *[f"CAST(NULL AS DOUBLE) AS threshold_{s}" for s in ("pre", "post")])
+        nothing = [f"CAST(NULL AS DOUBLE) AS threshold_{s}" for s in ("pre", "post")]
+        out = out.selectExpr("*", *nothing, "CAST(NULL AS BOOLEAN) AS threshold_defaulted")
     else:
-        t = branch.thresholds.select("event_id", "threshold_pre", "threshold_post")
+        t = branch.thresholds.select("event_id", "threshold_pre", "threshold_post", "threshold_defaulted")
         out = lookup_join(out, t, ["event_id"], n_events, "left")
     available = lambda v: f"CASE WHEN status = 'ok' THEN coalesce({v}, 0) END AS {v}"
     return out.selectExpr(
@@ -100,11 +111,46 @@ def branch_report(name: str, branch: Branch, refined: DataFrame, n_events: int)
         available("area_km2"),
         "threshold_pre",
         "threshold_post",
+        "threshold_defaulted",
         available("pre_px"),
         available("post_px"),
     )
 
 
+def failed_report(name: str, error: BaseException, events: DataFrame) -> DataFrame:
+    """Rows of a branch that could not be run to its end: all figures are NULL and the status says why."""
+    why = f"failed: {type(error).__name__}: {str(error).strip().splitlines()[0][:200] if str(error).strip() else ''}"
+    null = lambda kind, c: F.lit(None).cast(kind).alias(c)
+    return events.select(
+        "event_id", F.lit(name).alias("method"), F.lit(why).alias("status"), null("double", "area_km2"), null("double", "threshold_pre"),
+        null("double", "threshold_post"), null("boolean", "threshold_defaulted"), null("bigint", "pre_px"), null("bigint", "post_px"),
+    )
+
+
+def _batch_report(events, aois, dem, inputs, otsu_aois, method, options) -> list[DataFrame]:
+    ids = events.selectExpr("event_id AS aoi_id")
+    own = aois.join(ids, "aoi_id", "left_semi")
+    own_otsu = own if otsu_aois is aois else otsu_aois and otsu_aois.join(ids, "aoi_id", "left_semi")
+    scope = make_scope(events, own, own_otsu)
+
+    def settled(name, run):
+        branch = None
+        try:
+            branch, refined = run()
+            # A few rows per event: once they are settled, the pixels behind them can go.
+            return settle(branch_report(name, branch, refined, scope.n_events))
+        finally:
+            if branch is not None:
+                branch.release()
+
+    runs = branch_runs(*inputs, dem, scope, method, **options)
+    done = side_by_side_runs(events.sparkSession, {name: partial(settled, name, run) for name, run in runs.items()})
+    errors = [r for r in done.values() if isinstance(r, BaseException)]
+    if len(errors) == len(done):
+        raise errors[0]
+    return [failed_report(name, r, scope.events) if isinstance(r, BaseException) else r for name, r in done.items()]
+
+
 def flood_report(
     events: DataFrame,
     aois: DataFrame,
@@ -115,21 +161,21 @@ def flood_report(
     pixels_s2: DataFrame | None = None,
     otsu_aois: DataFrame | None = None,
     method: str = "both",
+    batch_rows: int = BROADCAST_ROWS // 2,
     **options,
 ) -> DataFrame:
     """Flooded area of every event by radar, by optical water index, or by both, side by side.
 
-    ``events``: event_id, event_ts; ``aois``: the area of each event under its id.  A method that lacks scenes for an event
-    reports why and does not touch the other.  ``options`` are those of :func:`extents`.
+    ``events``: event_id, event_ts; ``aois``: the area of each event under its id.  Every event gets a row per method.  A method
+    that lacks scenes or an area for an event, or that fails, reports why and does not touch the other; only if all fail is the
+    error raised.  Events run in groups that lie together, each with areas of at most about ``batch_rows`` spans, so what a
+    run keeps and sends to every task doesn't grow with the number of events.  ``options`` are those of :func:`branch_runs`.
     """
-    scope = make_scope(events, aois, otsu_aois)
-    found = extents(scenes_s1, pixels_s1, scenes_s2, pixels_s2, dem, scope, method, **options)
-    reports = [branch_report(name, b, refined, scope.n_events) for name, (b, refined) in found.items()]
+    inputs = (scenes_s1, pixels_s1, scenes_s2, pixels_s2)
+    reports = []
+    for batch in place_batches(events, aois, batch_rows):
+        reports += _batch_report(batch, aois, dem, inputs, otsu_aois, method, options)
     out = reports[0]
     for r in reports[1:]:
         out = out.unionByName(r)
-    # The report is a few rows per event: settle it, then the pixels behind it can go.
-    out = settle(out)
-    for branch, _ in found.values():
-        branch.release()
     return out

@@ -16,7 +16,7 @@ from ..operators.histogram import otsu_threshold
 from ..operators.regions import clip
 from ..sources import catalog
 from ..sources.control import settle
-from ..sources.rasters import read_pixels
+from ..sources.rasters import read_pixels, require_bands
 from .scope import Area, Scope
 
 SMOOTHING_RADIUS_M = 30.0
@@ -64,7 +64,7 @@ def smoothed_pairs(
         pixels, picks, area.cover(halo), bands, rows=2 * area.tile_rows, envelope=area.envelope
     )
     names = [f"{s}_{b}" for s in ("pre", "post") for b in bands]
-    smooth = speckle_smooth(side_by_side(rows, bands), names, by=["event_id"], radius_m=radius_m)
+    smooth = speckle_smooth(side_by_side(rows, bands), names, by=["event_id"], radius_m=radius_m, cells=area.cells)
     return clip(smooth, area.spans, "event_id", area.span_rows)
 
 
@@ -126,6 +126,7 @@ def sar_branch(
     own blocks.  A threshold region that is a small part of the area is read and smoothed from its own tiles, so that
     thresholds do not go over all pixels; otherwise the pairs at hand are clipped.
     """
+    require_bands(pixels, [*bands, *([band] if band != "VV_minus_VH" else [])], "radar")
     picks, coverage = sar_scenes(scenes, scope, days)
     pairs = smoothed_pairs(pixels, picks, scope.aoi, bands, radius_m).persist(StorageLevel.MEMORY_AND_DISK)
     kept = [pairs]

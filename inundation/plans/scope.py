@@ -7,8 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geometry import DEFAULT_OTSU_AOI, ring_edges
-from ..functions.grid import READ_TILE, block_of
+from ..functions.geometry import DEFAULT_OTSU_AOI, bounds, ring_edges
+from ..functions.grid import READ_TILE, STEP_DEG, TILE, block_of, num
 from ..operators.regions import cover, polygon_spans
 from ..sources.aoi import same_area_for
 from ..sources.control import settle
@@ -37,6 +37,23 @@ class Scope:
     otsu: Area
 
 
+def place_batches(events: DataFrame, aois: DataFrame, most_rows: int) -> list[DataFrame]:
+    """Events in groups that lie together and whose areas have at most about ``most_rows`` spans each, or one event.
+
+    What a run joins pixels to then stays small enough to be sent to every task, for any number of events.  Groups are formed
+    from one row per event; an event without an area goes with the first.
+    """
+    size = f"((max(max_lat) - min(min_lat)) / {num(STEP_DEG)} + 3) * ((max(max_lon) - min(min_lon)) / {num(TILE * STEP_DEG)} + 2)"
+    boxes = bounds(aois).groupBy("aoi_id").agg(F.expr(f"CAST({size} AS BIGINT) AS n"), F.expr("min(min_lon) AS lon"), F.expr("min(min_lat) AS lat"))
+    near = "ORDER BY floor(coalesce(lon, -200) / 4), floor(lat / 4), lon, lat, event_id"
+    sized = events.join(boxes.withColumnRenamed("aoi_id", "event_id"), "event_id", "left").selectExpr(
+        *events.columns, f"CAST(floor(greatest(sum(coalesce(n, 0)) OVER ({near}) - 1, 0) / {int(most_rows)}) AS BIGINT) AS batch"
+    )
+    sized = settle(sized)
+    numbers = sorted(r.batch for r in sized.select("batch").distinct().collect())
+    return [sized.where(f"batch = {b}").drop("batch") for b in numbers] or [events]
+
+
 def make_scope(events: DataFrame, aois: DataFrame, otsu_aois: DataFrame | None = None) -> Scope:
     """Bind events (event_id, event_ts) to their areas (``aoi_id`` is the event id).
 
@@ -63,7 +80,8 @@ def make_scope(events: DataFrame, aois: DataFrame, otsu_aois: DataFrame | None =
             *[f"{f}_{axis}" for f, axis in ends],
         )
     )
-    placed = settle(events.select("event_id", "event_ts").join(shapes.withColumnRenamed("aoi_id", "event_id"), "event_id"))
+    # An event without an area stays, and is reported as such.
+    placed = settle(events.select("event_id", "event_ts").join(shapes.withColumnRenamed("aoi_id", "event_id"), "event_id", "left"))
 
     # A cover spans at most one more tile than the extent fills, and a halo adds one on each side.
     tiles = f"((x1 - x0) / {READ_TILE} + 4) * ((y1 - y0) / {READ_TILE} + 4)"

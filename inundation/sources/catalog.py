@@ -1,17 +1,18 @@
 """Scene catalogs: metadata, date and bounds filters, and the choice of scenes per event.
 
 ``scenes``: scene_id, acquired_at, min_lon, min_lat, max_lon, max_lat; radar catalogs add instrument_mode and
-resolution_meters, optical ones cloudy_pixel_percentage; ``footprint array<array<struct<lon,lat>>>`` is optional.
+resolution_meters, optical ones cloudy_pixel_percentage; ``footprint array<array<struct<lon,lat>>>`` is optional.  The box of a scene
+over longitude 180 ends beyond 180.
 """
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geometry import polygons_meet, ring_edges
+from ..functions.geometry import footprint_edges, literal_edges, polygons_meet
 from ..functions.grid import num
 
 # What the radar archive is filtered on, and the default windows and limits.
@@ -24,6 +25,8 @@ MIN_SCENES = 2
 
 #: Side of the matching cells, in degrees.  A scene or area touches a few.
 MATCH_CELL_DEG = 4.0
+#: Parts of a cell's scenes.
+MATCH_SALTS = 8
 
 RADAR_QUALITY = f"instrument_mode = '{INSTRUMENT_MODE}' AND resolution_meters = {RESOLUTION_M}"
 
@@ -47,20 +50,40 @@ def in_dates(start: str | datetime, end: str | datetime) -> str:
 
 
 def in_bounds(min_lon: float, min_lat: float, max_lon: float, max_lat: float) -> str:
-    """Footprint box overlaps the given box; plain comparisons, so they reach the Parquet reader."""
-    return f"min_lon <= {num(max_lon)} AND max_lon >= {num(min_lon)} AND min_lat <= {num(max_lat)} AND max_lat >= {num(min_lat)}"
+    """Footprint box overlaps the given box; plain comparisons, so they reach the Parquet reader.
+
+    Longitudes may run on over 180: a scene there ends at more than 180 degrees.  A given box may also be written with its east end
+    west of its west end.
+    """
+    east = max_lon + 360 if min_lon > max_lon else max_lon
+    turns = " OR ".join(f"(min_lon <= {num(east + t)} AND max_lon >= {num(min_lon + t)})" for t in (0, 360, -360))
+    return f"min_lat <= {num(max_lat)} AND max_lat >= {num(min_lat)} AND ({turns})"
+
+
+def over_area(polygon) -> str:
+    """The footprint itself overlaps or touches a polygon given as rings of (lon, lat)."""
+    return polygons_meet(footprint_edges(), literal_edges(polygon))
 
 
-def radar_scenes(scenes: DataFrame, bounds: tuple[float, float, float, float], start, end) -> DataFrame:
-    """Radar scenes of one area and period."""
-    return scenes.where(f"{RADAR_QUALITY} AND {in_bounds(*bounds)} AND {in_dates(start, end)}")
+def _scan(scenes: DataFrame, quality: str, bounds, start, end, polygon) -> DataFrame:
+    if bounds is None:
+        ring = polygon[0]
+        bounds = tuple(f(p[i] for p in ring) for f in (min, max) for i in (0, 1))
+    found = scenes.where(f"{quality} AND {in_bounds(*bounds)} AND {in_dates(start, end)}")
+    # The box goes to the reader and leaves few scenes to be tested exactly.
+    return found if polygon is None or "footprint" not in scenes.columns else found.where(over_area(polygon))
+
+
+def radar_scenes(scenes: DataFrame, bounds: tuple[float, float, float, float] | None, start, end, polygon=None) -> DataFrame:
+    """Radar scenes of one area and period: of a box, or of a polygon (rings of (lon, lat)), exactly where scenes have footprints."""
+    return _scan(scenes, RADAR_QUALITY, bounds, start, end, polygon)
 
 
 def optical_scenes(
-    scenes: DataFrame, bounds: tuple[float, float, float, float], start, end, max_cloud: float = MAX_CLOUD_PERCENT
+    scenes: DataFrame, bounds: tuple[float, float, float, float] | None, start, end, max_cloud: float = MAX_CLOUD_PERCENT, polygon=None
 ) -> DataFrame:
-    """Optical scenes of one area and period with cloud cover strictly below the limit."""
-    return scenes.where(f"{optical_quality(max_cloud)} AND {in_bounds(*bounds)} AND {in_dates(start, end)}")
+    """Optical scenes of one area and period with cloud cover strictly below the limit; see :func:`radar_scenes`."""
+    return _scan(scenes, optical_quality(max_cloud), bounds, start, end, polygon)
 
 
 def require_scenes(scenes: DataFrame, what: str = "scenes") -> DataFrame:
@@ -78,7 +101,9 @@ def match_scenes(scenes: DataFrame, events: DataFrame, days: int) -> DataFrame:
 
     Candidates meet on (period, matching cell), so any number of events is one equi-join.  A period is as long as the search
     window, so an event touches two of them.  A pair sharing several cells is kept only at the cell holding the south-west
-    corner of its overlap.
+    corner of its overlap.  Scenes of one cell are spread, with the events of the cell beside each part, so that a popular place
+    and period isn't one task's work.  The span of all events in time and latitude, and in longitude where no area goes over
+    180 degrees, limits the scan of the catalog.
     """
 
     def cell(v):
@@ -87,39 +112,66 @@ def match_scenes(scenes: DataFrame, events: DataFrame, days: int) -> DataFrame:
     def cells(low, high):
         return f"explode(sequence({cell(low)}, {cell(high)}))"
 
+    # Longitudes run on over 180 degrees; the cells of the turn that follows are those of this one.
+    turn = int(360 / MATCH_CELL_DEG)
+
+    def east(low, high):
+        return f"CASE WHEN {low} > {high} THEN {high} + 360 ELSE {high} END"
+
+    def lon_cells(low, high):
+        steps = f"sequence({cell(low)}, least({cell(high)}, {cell(low)} + {turn - 1}))"
+        return f"explode(array_distinct(transform({steps}, c -> pmod(c, {turn}))))"
+
     window = f"make_dt_interval({int(days)})"
 
     def period(day):
         return f"floor(unix_date(to_date({day})) / {2 * int(days)})"
 
     exact = "parts" in events.columns and "footprint" in scenes.columns
+    events = events.where("min_lon IS NOT NULL")
+    first, last, south, north, west, end, over = events.agg(
+        *[F.expr(e) for e in ("date_format(min(event_ts), 'yyyy-MM-dd')", "date_format(max(event_ts), 'yyyy-MM-dd')", "min(min_lat)", "max(max_lat)", "min(min_lon)", "max(max_lon)", "max(min_lon > max_lon)")]
+    ).first()
+    if first is not None:
+        day = lambda d, n: datetime.strptime(d, "%Y-%m-%d") + timedelta(days=n)
+        scenes = scenes.where(f"{in_dates(day(first, -int(days)), day(last, int(days) + 1))} AND min_lat <= {num(north)} AND max_lat >= {num(south)}")
+        if not over:
+            scenes = scenes.where(in_bounds(west, south, end, north))
     ev = (
         events.selectExpr(
             "event_id",
             "event_ts",
-            *[f"{c} AS a_{c}" for c in _BOX],
+            "min_lon AS a_min_lon", "min_lat AS a_min_lat", f"{east('min_lon', 'max_lon')} AS a_max_lon", "max_lat AS a_max_lat",
             *(["parts"] if exact else []),
             f"explode(sequence({period(f'event_ts - {window}')}, {period(f'event_ts + {window}')})) AS period",
         )
-        .selectExpr("*", f"{cells('a_min_lon', 'a_max_lon')} AS cx")
+        .selectExpr("*", f"{lon_cells('a_min_lon', 'a_max_lon')} AS cx")
         .selectExpr("*", f"{cells('a_min_lat', 'a_max_lat')} AS cy")
+        .selectExpr("*", f"explode(sequence(0, {MATCH_SALTS - 1})) AS part_of_cell")
     )
-    sc = scenes.selectExpr(
-        "scene_id",
-        "acquired_at",
-        *_BOX,
-        *(["footprint"] if exact else []),
-        f"{period('acquired_at')} AS period",
-        f"{cells('min_lon', 'max_lon')} AS cx",
-    ).selectExpr("*", f"{cells('min_lat', 'max_lat')} AS cy")
-    met = sc.join(ev, ["period", "cx", "cy"]).where(
-        f"acquired_at >= event_ts - {window} AND acquired_at < event_ts + {window} "
-        "AND min_lon <= a_max_lon AND max_lon >= a_min_lon AND min_lat <= a_max_lat AND max_lat >= a_min_lat "
-        f"AND cx = {cell('greatest(min_lon, a_min_lon)')} AND cy = {cell('greatest(min_lat, a_min_lat)')}"
+    sc = (
+        scenes.selectExpr(
+            "scene_id",
+            "acquired_at",
+            *_BOX,
+            *(["footprint"] if exact else []),
+            f"{period('acquired_at')} AS period",
+            f"CAST(pmod(xxhash64(scene_id), {MATCH_SALTS}) AS INT) AS part_of_cell",
+        )
+        .selectExpr("*", f"{lon_cells('min_lon', 'max_lon')} AS cx")
+        .selectExpr("*", f"{cells('min_lat', 'max_lat')} AS cy")
+    )
+    # A scene may meet an area a turn further on; of wide ones that do so twice, one turn counts.
+    meets = "(min_lon <= a_max_lon + {0} AND max_lon >= a_min_lon + {0})"
+    shift = " ".join(f"WHEN {meets.format(n)} THEN {n}" for n in (0, 360, -360))
+    met = (
+        sc.join(ev, ["period", "cx", "cy", "part_of_cell"])
+        .where(f"acquired_at >= event_ts - {window} AND acquired_at < event_ts + {window} AND min_lat <= a_max_lat AND max_lat >= a_min_lat")
+        .selectExpr("*", f"CASE {shift} END AS turn")
+        .where(f"cx = pmod({cell('greatest(min_lon, a_min_lon + turn)')}, {turn}) AND cy = {cell('greatest(min_lat, a_min_lat)')}")
     )
     if exact:
-        rings = f"flatten(transform(footprint, r -> {ring_edges('r')}))"
-        met = met.selectExpr("*", f"{rings} AS fp").where(f"exists(parts, p -> {polygons_meet('fp', 'p')})")
+        met = met.selectExpr("*", f"{footprint_edges()} AS fp").where(f"exists(parts, p -> {polygons_meet('fp', 'p')})")
     before = "acquired_at < event_ts"
     return met.selectExpr(
         "event_id",
@@ -148,13 +200,14 @@ def scene_choice(matched: DataFrame, events: DataFrame) -> DataFrame:
         *[F.expr(f"count_if(side = '{s}') AS {s}_n") for s in sides],
         *[F.expr(f"min(CASE WHEN side = '{s}' THEN {scene} END) AS {s}") for s in sides],
     )
-    listed = events.select("event_id").join(n, "event_id", "left")
+    known = "min_lon IS NOT NULL" if "min_lon" in events.columns else "true"
+    listed = events.selectExpr("event_id", f"{known} AS has_area").join(n, "event_id", "left")
     return listed.selectExpr(
         "event_id",
         "coalesce(n, 0L) AS n_scenes",
         "coalesce(pre_n, 0L) AS n_pre",
         "coalesce(post_n, 0L) AS n_post",
-        f"CASE WHEN coalesce(n, 0) < {MIN_SCENES} THEN 'too_few_scenes' WHEN pre_n = 0 THEN 'no_pre_scene' "
+        f"CASE WHEN NOT has_area THEN 'no_area' WHEN coalesce(n, 0) < {MIN_SCENES} THEN 'too_few_scenes' WHEN pre_n = 0 THEN 'no_pre_scene' "
         "WHEN post_n = 0 THEN 'no_post_scene' ELSE 'ok' END AS status",
         "pre",
         "post",

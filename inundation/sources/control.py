@@ -2,26 +2,23 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``; only a local session without one gets a folder of its own."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named
-    if not spark.sparkContext.master.startswith("local"):
+    """The folder named in ``spark.checkpoint.dir`` or set on the context; the caller provides one that all executors share."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not named:
         raise ValueError("Set spark.checkpoint.dir to a folder that all executors share")
-    return tempfile.gettempdir() + "/inundation"
+    return named
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Compute a control table now and cut its lineage with a reliable checkpoint.
+    """Compute a table now and cut its lineage with a reliable checkpoint.
 
-    Each is read by many later steps.  Without this, every use would repeat its plan, and the plans multiply.  The result
-    survives the loss of executors.  Not meant for pixels.
+    For tables that are read by many later steps: without this, every use would repeat the plan, and the plans multiply.  The
+    result survives the loss of executors.  Its files go with the last reference to it where
+    ``spark.cleaner.referenceTracking.cleanCheckpoints`` is on.
     """
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..functions.grid import METERS_PER_DEGREE, SCALE_M, STEP_DEG, block_of
+from ..operators.lookup import lookup_join
 from ..operators.regions import clip, with_tile
 from ..operators.terrain import regrid_nearest
 
@@ -17,6 +20,7 @@ MAX_RECORDS_PER_FILE = 20_000_000
 # Names of the exported extents.
 SAR_EXPORT_NAME = "Effective_Flood_Extent_SAR"
 OPTICAL_EXPORT_NAME = "Flood_Extent_S2_NDWI"
+EXPORT_NAMES = {"sar": SAR_EXPORT_NAME, "s2": OPTICAL_EXPORT_NAME}
 
 
 def export_name(prefix: str, event_date: str, run_timestamp: str) -> str:
@@ -53,14 +57,35 @@ def export_raster(
     return path
 
 
-def write_pixels(pixels: DataFrame, path: str) -> None:
-    """Store a pixel table so that reads prune: partitioned by 256-cell tile, ordered by scene within files."""
+def export_extents(
+    refined: Mapping[str, DataFrame], path_prefix: str, event_date: str, run_timestamp: str, spans: DataFrame, rows: int | None = None
+) -> dict[str, str]:
+    """Write the refined extent of each method that produced one, under the method's own name; returns the paths."""
+    out = {}
+    for method, extent in refined.items():
+        name = export_name(EXPORT_NAMES[method], event_date, run_timestamp)
+        out[method] = export_raster(extent.withColumn("flood", F.lit(1)), path_prefix, name, spans, "event_id", rows=rows)
+    return out
+
+
+def write_pixels(pixels: DataFrame, path: str, scenes: DataFrame | None = None) -> None:
+    """Store a pixel table so that reads prune: partitioned by 256-cell tile, ordered by scene within files.
+
+    With ``scenes`` (scene_id, acquired_at) also by the day of the scene, so that a read opens the days it wants and not every scene
+    ever stored over a tile.  Pixels of scenes that aren't listed have no day and are left out of reads by day.
+    """
     tiled = with_tile(pixels)
+    keys = ["tile_x", "tile_y"]
+    if scenes is not None:
+        # A scene may have many pixels, so they are spread over salts, with the scene's day beside each.
+        days = scenes.selectExpr("scene_id", "to_date(acquired_at) AS acquired_on")
+        tiled = lookup_join(tiled, days, ["scene_id"], None, "left", salt=["x", "y"])
+        keys = ["acquired_on", *keys]
     (
-        tiled.repartitionByRange("tile_x", "tile_y", "scene_id")
-        .sortWithinPartitions("tile_x", "tile_y", "scene_id", "y", "x")
+        tiled.repartitionByRange(*keys, "scene_id")
+        .sortWithinPartitions(*keys, "scene_id", "y", "x")
         .write.mode("errorifexists")
         .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
-        .partitionBy("tile_x", "tile_y")
+        .partitionBy(*keys)
         .parquet(path)
     )

@@ -1,7 +1,8 @@
 """Pixel tables: pruned reads, and generated rasters for tests and benchmarks.
 
 ``pixels``: scene_id, x, y and one nullable column per band, once per (scene, cell).  Tables written by
-:func:`inundation.sources.export.write_pixels` also have tile_x and tile_y as partition columns.
+:func:`inundation.sources.export.write_pixels` also have tile_x and tile_y as partition columns, and acquired_on where it was given
+the scenes.
 """
 
 from __future__ import annotations
@@ -10,11 +11,19 @@ from collections.abc import Sequence
 from math import ceil
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions.grid import STEP_DEG, TILE, center_lat, center_lon
 from ..operators.regions import in_areas
 
 
+def require_bands(pixels: DataFrame, bands: Sequence[str], what: str) -> None:
+    """Raise before anything is read if a band is missing."""
+    missing = [b for b in dict.fromkeys(bands) if b not in pixels.columns]
+    if missing:
+        raise ValueError(f"The {what} pixels have no band {', '.join(missing)}")
+
+
 def read_pixels(
     pixels: DataFrame,
     picks: DataFrame,
@@ -26,17 +35,25 @@ def read_pixels(
     """Pixels of the chosen scenes in and around each event's area, tagged with event and side.
 
     The list of (scene, tile, box) to read is joined to the pixel table.  ``envelope`` (storage tiles: x from, to, y from, to)
-    bounds all events and prunes statically.  ``rows`` bounds the list.
+    bounds all events and prunes statically, as do the first and the last day of the scenes where pixels are stored by day; the
+    list itself then prunes days and tiles at run time.  ``rows`` bounds the list.
     """
-    wanted = picks.select("event_id", "side", "scene_id").join(cover.withColumnRenamed("aoi_id", "event_id"), "event_id")
-    stored = [c for c in ("tile_x", "tile_y") if c in pixels.columns]
+    stored = [c for c in ("acquired_on", "tile_x", "tile_y") if c in pixels.columns]
+    by_day = stored[:1] == ["acquired_on"]
+    day = ["to_date(acquired_at) AS acquired_on"] if by_day else []
+    chosen = picks.selectExpr("event_id", "side", "scene_id", *day)
+    wanted = chosen.join(cover.withColumnRenamed("aoi_id", "event_id"), "event_id")
+    if by_day:
+        first, last = chosen.agg(F.min("acquired_on"), F.max("acquired_on")).first()
+        pixels = pixels.where(f"acquired_on BETWEEN DATE '{first}' AND DATE '{last}'" if first else "false")
     if envelope:
         x0, x1, y0, y1 = envelope
         box = f"x BETWEEN {x0 * TILE} AND {x1 * TILE + TILE - 1} AND y BETWEEN {y0 * TILE} AND {y1 * TILE + TILE - 1}"
-        if len(stored) == 2:
+        if "tile_y" in stored:
             box += f" AND tile_x BETWEEN {x0} AND {x1} AND tile_y BETWEEN {y0} AND {y1}"
         pixels = pixels.where(box)
-    matched = in_areas(pixels.select("scene_id", *stored, "x", "y", *bands), wanted, ("scene_id",), rows)
+    keys = ("scene_id", "acquired_on") if by_day else ("scene_id",)
+    matched = in_areas(pixels.select("scene_id", *stored, "x", "y", *bands), wanted, keys, rows)
     return matched.select("event_id", "side", "x", "y", *bands)
 
 

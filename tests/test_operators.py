@@ -17,7 +17,7 @@ from inundation.operators.composite import median_composite
 from inundation.operators.focal import speckle_smooth
 from inundation.operators.histogram import band_histogram, otsu_threshold
 from inundation.operators.lookup import lookup_join
-from inundation.operators.terrain import drop_steep, regrid_nearest, slope_degrees
+from inundation.operators.terrain import dem_near, drop_steep, regrid_nearest, slope_degrees
 from inundation.sources import catalog
 from inundation.sources.rasters import constant_raster
 
@@ -97,13 +97,13 @@ def flood_fill(cells):
     return sizes
 
 
-@pytest.mark.parametrize("seed,density,cap,block", [(1, 0.35, 100, None), (2, 0.45, 100, 32), (3, 0.5, 8, 16), (4, 0.6, 30, 8), (5, 0.4, 1, 16)])
-def test_components_against_flood_fill(spark, seed, density, cap, block):
+@pytest.mark.parametrize("seed,density,block", [(1, 0.35, 256), (2, 0.45, 32), (3, 0.5, 16), (4, 0.6, 8)])
+def test_components_against_flood_fill(spark, seed, density, block):
     rng = random.Random(seed)
     cells = {(250 + i, 251 + j): 1 for i in range(45) for j in range(40) if rng.random() < density}
     df = spark.createDataFrame([(1, x, y) for x, y in cells], "event_id int, x long, y long")
-    got = {(r.x, r.y): r.component_size for r in connected_pixel_count(df, max_size=cap, block=block).collect()}
-    assert got == {c: min(n, cap) for c, n in flood_fill(cells).items()}
+    got = {(r.x, r.y): r.component_size for r in connected_pixel_count(df, block=block).collect()}
+    assert got == flood_fill(cells)
 
 
 def test_components_long_snake_and_values(spark):
@@ -115,13 +115,24 @@ def test_components_long_snake_and_values(spark):
         end = snake[-1][0]
         snake += [(end, 3 * row + 1), (end, 3 * row + 2)]
     df = spark.createDataFrame([(1, x, y) for x, y in snake], "event_id int, x long, y long")
-    got = connected_pixel_count(df, max_size=100, block=16)
-    assert {r.component_size for r in got.collect()} == {100} and got.count() == len(snake)
+    got = connected_pixel_count(df, block=16)
+    assert {r.component_size for r in got.collect()} == {len(snake)} and got.count() == len(snake)
     rng = random.Random(9)
     cells = {(x, y): rng.choice([0, 1, 1]) for x in range(20) for y in range(20)}
     df = spark.createDataFrame([(1, x, y, v) for (x, y), v in cells.items()] + [(1, 50, 50, None)], "event_id int, x long, y long, v int")
-    got = {(r.x, r.y): r.component_size for r in connected_pixel_count(df, value="v", block=8, max_size=40).collect()}
-    assert got == {c: min(n, 40) for c, n in flood_fill(cells).items()}
+    got = {(r.x, r.y): r.component_size for r in connected_pixel_count(df, value="v", block=8).collect()}
+    assert got == flood_fill(cells)
+
+
+def test_components_large_patch_over_many_blocks(spark):
+    # A ring of 12,000 cells around the grid's origin, with a patch inside that it doesn't touch.
+    ring = spark.range(-1500, 1500).selectExpr("1 AS event_id", "explode(array(-1500L, 1500L)) AS x", "id AS y").union(
+        spark.range(-1499, 1500).selectExpr("1 AS event_id", "id AS x", "explode(array(-1500L, 1499L)) AS y")
+    )
+    inner = spark.range(-60, 60).selectExpr("1 AS event_id", "id AS x", "explode(sequence(-60L, 59L)) AS y")
+    got = connected_pixel_count(ring.union(inner)).groupBy("component_size").count().collect()
+    n = ring.distinct().count()
+    assert n > 10_000 and sorted(map(tuple, got)) == sorted([(n, n), (120 * 120, 120 * 120)])
 
 
 def test_minimum_patch(spark):
@@ -131,10 +142,9 @@ def test_minimum_patch(spark):
     cells = patch(7, 0, 0) + patch(8, 250, 300) + patch(9, 0, 500) + [(2, 251, 300)]
     df = spark.createDataFrame(cells, "event_id int, x long, y long")
     assert drop_small_patches(df).count() == 17
-    with pytest.raises(ValueError):
-        drop_small_patches(df, min_connected=101)
-    with pytest.raises(ValueError):
-        connected_pixel_count(df, max_size=1025)
+    block = spark.range(100).selectExpr("1 AS event_id", "250 + id % 10 AS x", "floor(id / 10) AS y")
+    for least, left in ((64, 100), (65, 100), (100, 100), (101, 0), (2000, 0)):
+        assert drop_small_patches(df.union(block), min_connected=least).count() == left
 
 
 def test_slope_plane_and_gaps(spark):
@@ -313,8 +323,8 @@ def test_area_of_square_and_closed_form(spark):
     assert (exact.centroid_lon, exact.centroid_lat) == (pytest.approx(1.1005), pytest.approx(6.1005))
     holed = G.measures(G.areas(spark, {1: G.rectangle(0, 0, 2, 2) + G.rectangle(0, 0, 1, 2)})).first()
     assert holed.centroid_lon == pytest.approx(1.5) and holed.area_m2 == pytest.approx(G.measures(G.areas(spark, {1: G.rectangle(1, 0, 2, 2)})).first().area_m2)
-    budget = area_km2(square, max_pixels=30).first().area_km2
-    assert budget == pytest.approx(0.012294, rel=0.3)
+    wanted = spark.createDataFrame([(1,), (2,)], "event_id int")
+    assert {r.event_id: r.area_km2 > 0 for r in area_km2(square, wanted=wanted).collect()} == {1: True, 2: False}
     zero = square.withColumn("value", F.lit(0))
     assert area_km2(zero, value="value").first().area_km2 == 0.0
 
@@ -362,6 +372,48 @@ def test_windows_bounds_and_choice(spark):
         catalog.require_scenes(found.limit(1))
 
 
+def test_scenes_and_areas_over_180_degrees(spark):
+    boxes = {"west": (-179.0, 0.0, -178.0, 1.0), "east": (178.0, 0.0, 179.0, 1.0), "over": (179.5, 0.0, 180.5, 1.0), "far": (0.0, 0.0, 1.0, 1.0), "all": (-180.0, 0.0, 180.0, 1.0)}
+    s = scene(spark, *[(k, "2025-06-01T00:00:00", b) for k, b in boxes.items()])
+    full = s.withColumns({"instrument_mode": F.lit("IW"), "resolution_meters": F.lit(10)})
+    cases = {(177.0, 0.0, -177.0, 1.0): {"west", "east", "over", "all"}, (179.4, 0.0, 179.9, 1.0): {"over", "all"}, (-179.0, 0.0, -170.0, 1.0): {"west", "all"}, (2.0, 0.0, 3.0, 1.0): {"all"}}
+    for box, want in cases.items():
+        got = [r.scene_id for r in catalog.match_scenes(s, event(spark, box), 12).collect()]
+        assert sorted(got) == sorted(want), box
+        assert {r.scene_id for r in catalog.radar_scenes(full, box, "2025-06-01", "2025-06-02").collect()} == want
+
+
+def pushed_filters(df):
+    """What the scans of a plan push down, in full."""
+    conf = df.sparkSession.conf
+    conf.set("spark.sql.maxMetadataStringLength", "10000")
+    try:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        conf.unset("spark.sql.maxMetadataStringLength")
+    return "\n".join(x for x in plan.splitlines() if "PushedFilters" in x)
+
+
+def test_elevation_scan_is_limited_by_the_area(spark, tmp_path):
+    spark.range(40).selectExpr("217677 + id AS gx", "100475 + id AS gy", "1D AS elevation").write.parquet(f"{tmp_path}/dem")
+    spans = regions.polygon_spans(G.areas(spark, {1: G.rectangle(1.40, 6.26, 1.41, 6.27)}))
+    box = spans.selectExpr("min(floor(x_lo / 256))", "max(floor(x_hi / 256))", "min(floor(y / 256))", "max(floor(y / 256))").first()
+    dem = spark.read.parquet(f"{tmp_path}/dem")
+    near = dem_near(dem, regions.cover(spans), envelope=tuple(box))
+    pushed = pushed_filters(near)
+    assert all(f"{c}," in pushed for c in ("GreaterThanOrEqual(gx", "LessThanOrEqual(gx", "GreaterThanOrEqual(gy", "LessThanOrEqual(gy"))
+    assert sorted(map(tuple, near.collect())) == sorted(map(tuple, dem_near(dem, regions.cover(spans)).collect()))
+
+
+def test_catalog_scan_is_limited_by_the_events(spark, tmp_path):
+    scene(spark, ("a", "2025-06-01T00:00:00", (0.0, 5.0, 2.0, 7.0)), ("b", "2020-06-01T00:00:00", (0.0, 5.0, 2.0, 7.0))).write.parquet(f"{tmp_path}/catalog")
+    met = catalog.match_scenes(spark.read.parquet(f"{tmp_path}/catalog"), event(spark), 12)
+    pushed = pushed_filters(met)
+    limits = ("GreaterThanOrEqual(acquired_at", "LessThan(acquired_at", "LessThanOrEqual(min_lat", "LessThanOrEqual(min_lon")
+    assert all(f"{c}," in pushed for c in limits), pushed
+    assert rows(met, "scene_id") == [("a",)]
+
+
 def test_footprints_are_tested_exactly(spark):
     ring = lambda *p: [[(float(a), float(b)) for a, b in p]]
     shapes = {

@@ -1,4 +1,5 @@
 import json
+import re
 from datetime import datetime
 
 import pytest
@@ -17,7 +18,7 @@ from inundation.plans.optical import detect_ndwi
 from inundation.plans.scope import make_scope
 from inundation.sources.aoi import area_or_default, read_geojson
 from inundation.sources.export import export_name, export_raster, write_pixels
-from inundation.sources.rasters import constant_raster
+from inundation.sources.rasters import constant_raster, read_pixels
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -102,11 +103,70 @@ def test_report_on_a_known_flood(spark, tmp_path):
     with pytest.raises(ValueError):
         report.flood_report(events, area, dem, method="radar")
 
-    # The stored, tile-partitioned form of the pixel table gives the same report, and the scan prunes partitions.
-    write_pixels(s2, f"{tmp_path}/s2")
-    stored = spark.read.parquet(f"{tmp_path}/s2")
-    again = report.flood_report(events, area, dem, scenes_s2=scenes, pixels_s2=stored, method="s2").collect()
-    assert sorted(map(tuple, again)) == sorted(map(tuple, only))
+    # The stored forms of the pixel table, by tile and by day and tile, give the same report.
+    for name, listed in (("tiles", None), ("days", scenes)):
+        write_pixels(s2, f"{tmp_path}/{name}", listed)
+        stored = spark.read.parquet(f"{tmp_path}/{name}")
+        again = report.flood_report(events, area, dem, scenes_s2=scenes, pixels_s2=stored, method="s2").collect()
+        assert sorted(map(tuple, again)) == sorted(map(tuple, only))
+
+
+def test_read_opens_the_days_and_tiles_it_wants(spark, tmp_path):
+    """Scenes on many days over a wide strip: the read opens those of the picked scene's day beside the area."""
+    cells = constant_raster(spark, 1.0, 6.0, 1.25, 6.002)
+    px = cells.selectExpr("explode(sequence(0L, 9L)) AS scene_id", "x", "y", "1D AS B3", "2D AS B8")
+    scenes = spark.range(10).selectExpr("id AS scene_id", "TIMESTAMP_NTZ '2025-06-01 10:00:00' + make_dt_interval(CAST(id AS INT)) AS acquired_at")
+    write_pixels(px, f"{tmp_path}/px", scenes)
+    stored = spark.read.parquet(f"{tmp_path}/px")
+    scope = make_scope(spark.createDataFrame([(1, datetime(2025, 6, 4))], EVENT), G.areas(spark, {1: G.rectangle(1.1, 6.0, 1.101, 6.002)}))
+    picks = scenes.where("scene_id IN (3, 4)").selectExpr("1L AS event_id", "IF(scene_id = 3, 'pre', 'post') AS side", "*")
+    read = read_pixels(stored, picks, scope.aoi.cover(), ["B3", "B8"], rows=2 * scope.aoi.tile_rows, envelope=scope.aoi.envelope)
+    got = read.groupBy("side").count().collect()
+    inside = px.where("scene_id = 3").count()
+    assert {r.side for r in got} == {"pre", "post"} and sum(r["count"] for r in got) < inside
+    days = {r[0].day for r in stored.where(scan_filter(read)).select("acquired_on").distinct().collect()}
+    assert days == {4, 5}
+    # Beside the literal limits, the list prunes at run time.
+    assert "dynamicpruning" in read._jdf.queryExecution().executedPlan().toString()
+
+
+def scan_filter(df):
+    """The partition filters of a read that are literals."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    low, high = re.search(r"acquired_on#\d+ >= (\S+?)\)", plan)[1], re.search(r"acquired_on#\d+ <= (\S+?)\)", plan)[1]
+    return f"acquired_on BETWEEN DATE '{low}' AND DATE '{high}'"
+
+
+def test_groups_of_events_give_the_same_report(spark):
+    scenes, s1, s2, _, _, dem, _ = world(spark)
+    events = spark.createDataFrame([(i, datetime(2025, 6, 2)) for i in range(1, 7)], EVENT)
+    area = G.areas(spark, {i: G.rectangle(1.1 + i / 2000, 6.09, 1.1021 + i / 2000, 6.12) for i in range(1, 6)})
+    whole = report.flood_report(events, area, dem, scenes, s1, scenes, s2, area).collect()
+    assert {r.event_id: r.status for r in whole} == {**{i: "ok" for i in range(1, 6)}, 6: "no_area"} and len(whole) == 12
+    parts = report.flood_report(events, area, dem, scenes, s1, scenes, s2, area, batch_rows=500).collect()
+    key = lambda r: (r.event_id, r.method)
+    for a, b in zip(sorted(whole, key=key), sorted(parts, key=key), strict=True):
+        assert [v if not isinstance(v, float) else pytest.approx(v, rel=1e-9) for v in a] == list(b)
+
+
+def test_a_branch_that_fails_leaves_the_other(spark):
+    scenes, s1, s2, events, area, dem, _ = world(spark)
+    out = {(r.event_id, r.method): r for r in report.flood_report(events, area, dem, scenes, s1.drop("VH"), scenes, s2, area).collect()}
+    assert out[1, "s2"].status == "ok" and out[1, "s2"].area_km2 > 0
+    assert out[1, "sar"].status == "failed: ValueError: The radar pixels have no band VH" and out[1, "sar"].area_km2 is None
+    with pytest.raises(ValueError, match="no band VH"):
+        report.flood_report(events, area, dem, scenes, s1.drop("VH"), method="sar")
+    # A fault that shows only when pixels are read.
+    bad = s1.withColumn("VV", F.expr("CAST(raise_error('unreadable') AS DOUBLE)"))
+    out = {(r.event_id, r.method): r for r in report.flood_report(events, area, dem, scenes, bad, scenes, s2, area).collect()}
+    assert out[1, "s2"].status == "ok" and out[1, "sar"].status.startswith("failed: ")
+    assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()
+
+
+@pytest.mark.parametrize("name", ["sar_flood_extent", "connected_pixel_count", "refined_extent", "flood_area", "export_roundtrip", "flood_report"])
+def test_queries_give_back_what_they_keep(spark, name):
+    entry.queries()[name](spark, SMALL).collect()
+    assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()
 
 
 def test_result_does_not_depend_on_partitioning(spark):
@@ -179,6 +239,13 @@ def test_geojson_errors_and_fallback(spark, tmp_path):
         read_geojson(spark, write(tmp_path / "bad.geojson", "{not json"))
     with pytest.raises(ValueError, match="Error loading"):
         read_geojson(spark, write(tmp_path / "other.geojson", {"hello": 1}))
+    # Documents of one directory are united.
+    folder = tmp_path / "two"
+    folder.mkdir()
+    for n, x in (("a", 1.1), ("b", 1.104)):
+        write(folder / f"{n}.geojson", poly([(x, 6.1), (x + 0.01, 6.1), (x + 0.01, 6.11), (x, 6.11), (x, 6.1)]))
+    united = regions.polygon_spans(area_or_default(spark, str(folder), 7)).selectExpr("sum(x_hi - x_lo + 1)").first()[0]
+    assert united == regions.polygon_spans(G.areas(spark, {7: G.rectangle(1.1, 6.1, 1.114, 6.11)})).selectExpr("sum(x_hi - x_lo + 1)").first()[0]
     default = area_or_default(spark, str(tmp_path / "missing.geojson"), 7).first()
     assert default.aoi_id == 7 and len(default.pts) == 5
     assert area_or_default(spark, write(tmp_path / "ok.geojson", poly(SQUARE)), 7).first().pts[0].lon == -1.0
