@@ -39,6 +39,9 @@ SEED_WORDS = 8
 #: Words that a shard's index is planned for, and distinct stretches of a seed from which they are cut.
 SHARD_WORDS = 400_000
 MOST_STRETCHES = 4096
+#: A seed is hot from so many stretches, or if one task in so many parts has fewer on average.
+LEAST_HOT = 1000
+HOT_PARTS = 4
 
 
 def stretches(w: Words, hashes: np.ndarray, window: int, seed_words: int) -> tuple[np.ndarray, ...]:
@@ -170,9 +173,14 @@ def repeated_stretches(
         raise ValueError("A stretch may have up to 62 windows: take longer seeds")
     schema = "id long, key long, start int, n int, seed long, content long"
     all_found = keep(docs.mapInArrow(_find(window, seed_words), schema), "stretches")
-    # Kept first: a join of two plain tables can be split where a seed has a large share of the stretches.
-    twice = keep(all_found.groupBy("seed").count().where("count > 1").select("seed"), "seeds")
-    candidates = all_found.join(twice, "seed", "left_semi")
+    twice = keep(all_found.groupBy("seed").count().where("count > 1"), "seeds")
+    # Seeds with more than a part of a task's share: at most HOT_PARTS per task, so they can be sent everywhere, and the stretches
+    # that have them are picked out where they are.  Those of all others are few, and are shuffled by seed.
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot_from = max(LEAST_HOT, all_found.count() // (HOT_PARTS * parts))
+    hot = F.broadcast(twice.where(F.col("count") > hot_from).select("seed"))
+    cold = twice.where(F.col("count") <= hot_from).select("seed")
+    candidates = all_found.join(hot, "seed", "left_anti").join(cold, "seed", "left_semi").unionByName(all_found.join(hot, "seed", "left_semi"))
     # One place stands for all places of equal stretches.
     distinct = keep(
         candidates.groupBy("seed", "content").agg(F.count("*").alias("places"), F.min(F.struct("id", "key", "start", "n")).alias("at")), "distinct"

@@ -523,3 +523,9 @@ def test_mix_meets_the_target_weights(spark):
     assert got["big"] / got["mid"] == pytest.approx(3, rel=0.05) and sum(got.values()) == pytest.approx(60_000, rel=0.02)
     by_key = [r.mix_key for r in poisson_mix.poisson_mix(many.limit(100)).coalesce(1).collect()]
     assert len(by_key) > 50
+
+
+def test_substring_dedup_with_hot_seeds(spark, docs, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "LEAST_HOT", 2)
+    monkeypatch.setattr(substring_dedup, "HOT_PARTS", 10**6)
+    assert rows(substring_dedup.remove_repeats(docs)) == plain_removal(texts_of(docs), substring_dedup.WINDOW)
