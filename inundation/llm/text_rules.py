@@ -33,6 +33,11 @@ TREE_ROWS = 256
 #: The threshold keeps all but this share of the labelled good rows that pass the base rule.
 MOST_LOST = 0.002
 SCORE_STEPS = 10_000
+#: What a text's shares are drawn to where it is short: so many plain words and lines, characters in a word and share of capitals.
+PRIOR_WORDS = 20
+PRIOR_LINES = 2
+PLAIN_WORD_CHARS = 5
+PLAIN_UPPER = 0.03
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_chars", "n_upper"]
 
@@ -107,16 +112,19 @@ def rule_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def _features(counts: dict[str, np.ndarray]) -> np.ndarray:
-    """Shares, so that a long text is no outlier for its length alone."""
-    n_words = np.maximum(counts["n_words"], 1)
-    n_chars = np.maximum(counts["n_chars"], 1)
+    """Shares, so that a long text is no outlier for its length alone, nor a short one by chance.
+
+    Each text counts as if it had ``PRIOR_WORDS`` plain words more, in ``PRIOR_LINES`` lines.
+    """
+    n_words, n_lines = counts["n_words"] + PRIOR_WORDS, counts["n_lines"] + PRIOR_LINES
+    plain_chars = PLAIN_WORD_CHARS * PRIOR_WORDS
     return np.column_stack(
         [
-            counts["word_chars"] / n_words,
+            (counts["word_chars"] + plain_chars) / n_words,
             counts["n_symbols"] / n_words,
-            counts["n_dup_lines"] / np.maximum(counts["n_lines"], 1),
+            counts["n_dup_lines"] / n_lines,
             counts["n_repeat_words"] / n_words,
-            counts["n_upper"] / n_chars,
+            (counts["n_upper"] + PLAIN_UPPER * plain_chars) / (counts["n_chars"] + plain_chars),
         ]
     ).astype(np.float64)
 
