@@ -1,6 +1,6 @@
 """Texts of an Arrow batch as flat numpy arrays: bytes, words, lines and their hashes.
 
-The operators that run Python work on slices of a batch that hold a few MB of text (a longer text is a slice of its own), so
+The operators that run Python work on slices of a batch that hold a MB of text (a longer text is a slice of its own), so
 memory doesn't depend on the rows in a batch, and a text is never cut.
 """
 
@@ -12,7 +12,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 #: Fixed value: the bytes that separate words, \x09 to \x0D and \x20.
 SEPARATORS = (9, 10, 11, 12, 13, 32)
 NEWLINE = 10

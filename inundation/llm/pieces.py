@@ -33,7 +33,6 @@ UNKNOWN_PENALTY = 10.0
 #: Parts longer than this are searched one by one, as few others go along with them.
 LONG_PART = 64
 CHUNK = 1 << 14
-SLICE = 8 << 20
 
 _SPACE = 32
 _MARK_BYTES = np.frombuffer(MARK.encode(), np.uint8)
@@ -326,7 +325,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text", ids_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a = automaton(vocabulary)
-        for batch, t in slices(batches, text_col, SLICE):
+        for batch, t in slices(batches, text_col):
             null = batch.column(text_col).is_null().to_numpy(zero_copy_only=False)
             ids, at = encode_texts(a, t)
             count, same = np.diff(at), _same(decode_ids(a, ids, at), t)

@@ -70,7 +70,7 @@ def features_of(t) -> np.ndarray:
 
 
 def _featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch, t in slices(batches, "text", SLICE_BYTES // 2):
+    for batch, t in slices(batches, "text", SLICE_BYTES):
         x = features_of(t)
         yield pa.RecordBatch.from_arrays(
             [batch.column("id"), pa.FixedSizeBinaryArray.from_buffers(pa.binary(4 * FEATURES), len(x), [None, pa.py_buffer(x.tobytes())]).cast(pa.binary())],
@@ -163,7 +163,7 @@ def score_rows(docs: DataFrame, model: Linear, text_col: str = "text", score_col
     schema = T.StructType([*[docs.schema[c] for c in names], T.StructField(score_col, T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, t in slices(batches, text_col, SLICE_BYTES // 2):
+        for batch, t in slices(batches, text_col, SLICE_BYTES):
             score = pa.array(model.score(features_of(t)).astype(np.float64))
             yield pa.RecordBatch.from_arrays([*batch.columns, score], names=schema.names)
 
