@@ -168,7 +168,7 @@ def match_scenes(scenes: DataFrame, events: DataFrame, days: int) -> DataFrame:
         sc.join(ev, ["period", "cx", "cy", "part_of_cell"])
         .where(f"acquired_at >= event_ts - {window} AND acquired_at < event_ts + {window} AND min_lat <= a_max_lat AND max_lat >= a_min_lat")
         .selectExpr("*", f"CASE {shift} END AS turn")
-        .where(f"cx = pmod({cell('greatest(min_lon, a_min_lon + turn)')}, {turn}) AND cy = {cell('greatest(min_lat, a_min_lat)')}")
+        .where(f"turn IS NOT NULL AND cx = pmod({cell('greatest(min_lon, a_min_lon + turn)')}, {turn}) AND cy = {cell('greatest(min_lat, a_min_lat)')}")
     )
     if exact:
         met = met.selectExpr("*", f"{footprint_edges()} AS fp").where(f"exists(parts, p -> {polygons_meet('fp', 'p')})")

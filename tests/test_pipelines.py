@@ -13,7 +13,7 @@ from inundation.operators.change import align, pair_counts
 from inundation.operators.terrain import regrid_nearest
 from inundation.functions.grid import METERS_PER_DEGREE, STEP_DEG, TILE
 from inundation.operators.area import area_km2
-from inundation.plans import report
+from inundation.plans import report, sar
 from inundation.plans.optical import detect_ndwi
 from inundation.plans.scope import make_scope
 from inundation.sources.aoi import area_or_default, read_geojson
@@ -22,7 +22,10 @@ from inundation.sources.rasters import constant_raster, read_pixels
 
 SMALL = "/root/testdata/sf0.001"
 
+# The box of the tests, the limits of the closed-form water masks in test_closed_form_ndwi_change, the square of the area
+# documents, and the export name in test_export.
 BOX = (1.0, 6.0, 1.5, 6.5)
+SQUARE = [(-1.0, -1.0), (1.0, -1.0), (1.0, 1.0), (-1.0, 1.0), (-1.0, -1.0)]
 EVENT = "event_id long, event_ts timestamp_ntz"
 SCENES = (
     "scene_id long, acquired_at timestamp_ntz, min_lon double, min_lat double, max_lon double, max_lat double, "
@@ -137,6 +140,20 @@ def scan_filter(df):
     return f"acquired_on BETWEEN DATE '{low}' AND DATE '{high}'"
 
 
+def test_small_threshold_region_is_read_by_itself(spark, monkeypatch):
+    """A region that is read and smoothed from its own tiles gives the thresholds of one that is clipped from all pixels."""
+    scenes, s1, _, events, area, dem, _ = world(spark)
+    region = G.areas(spark, {i: G.rectangle(1.1012, 6.1005, 1.1035, 6.1025) for i in (1, 2)})
+    scope = make_scope(events, area, region)
+    assert 0 < scope.otsu.cells < sar.SMALL_REGION * scope.aoi.cells
+    reports = []
+    for small in (sar.SMALL_REGION, 0.0):
+        monkeypatch.setattr(sar, "SMALL_REGION", small)
+        reports.append(report.flood_report(events, area, dem, scenes, s1, otsu_aois=region, method="sar").orderBy("event_id").collect())
+    assert reports[0][0].threshold_pre is not None and not reports[0][0].threshold_defaulted
+    assert [[v if not isinstance(v, float) else pytest.approx(v, rel=1e-9) for v in a] for a in reports[0]] == [list(b) for b in reports[1]]
+
+
 def test_groups_of_events_give_the_same_report(spark):
     scenes, s1, s2, _, _, dem, _ = world(spark)
     events = spark.createDataFrame([(i, datetime(2025, 6, 2)) for i in range(1, 7)], EVENT)
@@ -209,9 +226,6 @@ def poly(*rings):
     return {"type": "Polygon", "coordinates": [[list(p) for p in r] for r in rings]}
 
 
-SQUARE = [(-1.0, -1.0), (1.0, -1.0), (1.0, 1.0), (-1.0, 1.0), (-1.0, -1.0)]
-
-
 def test_geojson_kinds(spark, tmp_path):
     hole = [(0.0, 0.0), (0.5, 0.0), (0.5, 0.5), (0.0, 0.0)]
     feature = lambda g: {"type": "Feature", "properties": {"a": 1}, "geometry": g}
