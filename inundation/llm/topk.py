@@ -154,12 +154,13 @@ def _search(k: int):
     return run
 
 
-def _found(ranges: DataFrame, groups: DataFrame, k: int) -> DataFrame:
+def _found(ranges: DataFrame, groups: DataFrame, n_ranges: int, k: int) -> DataFrame:
     """Searches range ``number`` for the groups that carry the same number; each is shipped to its task once."""
     names = ["number", "is_group", "ids", "values", "width", "floors"]
     held = ranges.withColumns({"is_group": F.lit(False), "floors": F.lit(None).cast("binary")}).select(*names)
     rows = held.unionByName(groups.withColumn("is_group", F.lit(True)).select(*names))
-    dealt = rows.repartition("number").sortWithinPartitions("number", "is_group")
+    # As many tasks as ranges: few bytes are much work here, and Spark would put them together by the bytes.
+    dealt = rows.repartition(max(1, n_ranges), "number").sortWithinPartitions("number", "is_group")
     return dealt.mapInArrow(_search(k), "query_id long, score double, vec_id long")
 
 
@@ -206,9 +207,9 @@ def top_k(
     groups = keep(_with_ids(packed(asked.repartition(n_groups), group_rows)), "query-groups").withColumn("floors", F.lit(None).cast("binary"))
     # One range for each group, by turns, gives the first floors; a number without a range gives none, and the bounds prune less.
     home = F.pmod(F.col("group"), F.lit(max(n, 1)))
-    first = keep(_best(_found(ranges, groups.withColumn("number", home), k), k), "first-pass")
+    first = keep(_best(_found(ranges, groups.withColumn("number", home), n, k), k), "first-pass")
     # The stated queries against all rows, in blocks: every range meets every group.
     every = _with_floors(groups, first, k).withColumn("number", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(max(n - 1, 0)).cast("long"))))
     # Rows with the same id and other values were searched for one by one; their results meet here.
-    found = _found(ranges, every, k).distinct()
+    found = _found(ranges, every, n, k).distinct()
     return _best(found, k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", F.col("score").cast("long").alias("score"))
