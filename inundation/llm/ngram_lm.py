@@ -129,9 +129,12 @@ class Counts:
             kinds = np.bincount(history, minlength=SYMBOLS ** (order - 1)).astype(np.float64)
             total = after + kinds
             rest = np.where(total > 0, kinds / np.maximum(total, 1), 1.0)
-            shorter = np.tile(share, SYMBOLS) if order > 1 else np.repeat(share, SYMBOLS)
-            share = (np.repeat(rest, SYMBOLS) * shorter).astype(np.float32 if order == ORDER else np.float64)
-            share[keys] += n / total[history]
+            # The last table is by far the largest, and is kept as 32-bit floats.
+            kind = np.float32 if order == ORDER else np.float64
+            shorter = share.astype(kind)
+            share = np.repeat(rest.astype(kind), SYMBOLS)
+            share.reshape(-1, len(shorter))[:] *= shorter
+            share[keys] += (n / total[history]).astype(kind)
         return np.log(share, out=share)
 
 
