@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from inundation.llm import ngram_lm, pieces, poisson_mix, pu_quality, secret_ledger, simhash, substring_dedup, text_rules, topk, warc
+from inundation.llm import pieces, poisson_mix, pu_quality, secret_ledger, simhash, substring_dedup, text_rules, topk, warc, word_lm
 from inundation.llm.shared import keep, new_folder
 
 #: Where the public tokenizers' files are; only the driver reads them.
@@ -23,7 +23,7 @@ def _table(spark: SparkSession, d: str, name: str) -> DataFrame:
 def op1_ngram_lm(spark, d):
     """The target are the documents that are labelled good, the background all documents."""
     good = _table(spark, d, "labels").where("quality = 1").select(F.col("doc_id").alias("target_id"))
-    return ngram_lm.cross_entropy_difference(_table(spark, d, "documents"), good)
+    return word_lm.cross_entropy_difference(_table(spark, d, "documents"), good)
 
 
 def op2_substring_dedup(spark, d):

@@ -11,7 +11,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from inundation.llm import flat, ngram_lm, pieces, poisson_mix, pu_quality, secret_ledger, simhash, substring_dedup, text_rules
+from inundation.llm import flat, ngram_lm, pieces, poisson_mix, pu_quality, queries, secret_ledger, simhash, substring_dedup, text_rules, word_lm
 from inundation.llm.components import least_reachable
 from inundation.llm.fm_index import FMIndex, repeated_windows
 
@@ -123,6 +123,52 @@ def test_cross_entropy_difference_of_nothing(spark, odd):
     assert uniform == pytest.approx([math.log(ngram_lm.SYMBOLS)] * len(uniform), abs=1e-5)
 
 
+def plain_word_losses(train, everything, text):
+    """Witten-Bell bigrams of words, word for word as the definition has it."""
+    split = lambda t: WORD.findall(t or "")
+    one, two, after, kinds = Counter(), Counter(), Counter(), Counter()
+    for t in train:
+        w = split(t)
+        one.update(w)
+        two.update(zip([None, *w], w))
+    for (h, _), n in two.items():
+        after[h] += n
+        kinds[h] += 1
+    size, n = len({w for t in everything for w in split(t)}), sum(one.values())
+
+    def share(h, w):
+        p = (one[w] + len(one) / size) / (n + len(one)) if n else 1 / size
+        return (two[h, w] + kinds[h] * p) / (after[h] + kinds[h]) if after[h] else p
+
+    return [-math.log(share(h, w)) for h, w in zip([None, *split(text)], split(text))]
+
+
+@pytest.mark.parametrize("how", [{}, {"chunk_words": 1, "bucket_keys": 7}, {"chunk_words": 50, "bucket_keys": 100}])
+@pytest.mark.parametrize("target", [(1, 1, 9, None), ()])
+def test_word_cross_entropy_difference(spark, odd, how, target):
+    got = rows(word_lm.cross_entropy_difference(odd, spark.createDataFrame([(x,) for x in target], "target_id long"), **how))
+    everything, good = [t for _, t in ODD], [t for i, t in ODD if i is not None and i in target]
+    want = []
+    for i, t in ODD:
+        a, b = plain_word_losses(good, everything, t), plain_word_losses(everything, everything, t)
+        mean = lambda x: sum(x) / len(x) if x else None
+        want.append((i, len(a), mean(a), mean(b), mean([x - y for x, y in zip(a, b, strict=True)])))
+    assert len(got) == len(want)
+    for g, x in zip(sorted(got, key=lambda r: (str(r[0]), r[1])), sorted(want, key=lambda r: (str(r[0]), r[1])), strict=True):
+        assert g[:2] == x[:2] and g[2:] == pytest.approx(x[2:], abs=1e-9)
+    none = spark.createDataFrame([], "target_id long")
+    assert word_lm.cross_entropy_difference(odd.limit(0), none, **how).collect() == []
+
+
+def test_op1_tells_words_apart_that_share_byte_classes(spark, tmp_path):
+    """Accents, case and digits that the 64 symbols put together."""
+    texts = [(1, "caf\u00e9 A1 [x"), (2, "caf\u00e8 a2 {x"), (3, "caf\u00e9 A1 [x"), (4, "caf\u00e8 a2 {x")]
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, 1)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    ce = {r.doc_id: r.ce_difference for r in queries.op1_ngram_lm(spark, str(tmp_path)).collect()}
+    assert ce[1] == ce[3] < ce[4] == ce[2]
+
+
 # --- substring dedup ------------------------------------------------------------------------------------------------
 
 
