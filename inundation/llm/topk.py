@@ -12,7 +12,8 @@ Scores are sums of whole numbers below 2 ** 53 and so exact in any order.
 
 Defined cases: vectors that are null, or hold a null or a non-finite component, take no part, nor do rows without an id.  Short
 vectors are filled with zeros.  A row that repeats with the same id and values counts once; rows with the same id and other values
-are candidates of their own for other queries, and queries of their own, of which the results are merged.  Columns besides the id
+are candidates of their own for other queries, and queries of their own, of which the results are merged; each is a row of its
+own among the k, also at equal scores.  Columns besides the id
 and the vector are ignored.  An empty table gives no rows; fewer than k candidates give all.
 """
 
@@ -210,6 +211,6 @@ def top_k(
     first = keep(_best(_found(ranges, groups.withColumn("number", home), n, k), k), "first-pass")
     # The stated queries against all rows, in blocks: every range meets every group.
     every = _with_floors(groups, first, k).withColumn("number", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(max(n - 1, 0)).cast("long"))))
-    # Rows with the same id and other values were searched for one by one; their results meet here.
-    found = _found(ranges, every, n, k).distinct()
+    # Rows with the same id and other values were searched for one by one; their results meet here, those of equal score too.
+    found = _found(ranges, every, n, k)
     return _best(found, k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", F.col("score").cast("long").alias("score"))

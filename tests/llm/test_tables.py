@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import check_queries
 import corpus_pipeline
 from inundation.llm import pieces, pu_quality, queries, secret_ledger, shared, simhash, topk, warc
 
@@ -111,6 +112,17 @@ def test_top_k(spark, how):
     assert sorted(map(tuple, got.collect())) == plain_top(rows, lambda i: i % 50 == 0, how.get("k", topk.K))
 
 
+def test_top_k_of_repeated_ids_with_equal_scores(spark, tmp_path):
+    """Ids with other values and the same score, as candidates and as queries, are rows of their own as in the SQL."""
+    rows = [(0, [1.0, 0.0]), (50, [1.0, 0.0]), (50, [1.0, 0.25])]
+    rows += [(1, [0.75, 0.5]), (1, [0.75, -0.5])] + [(i, [0.5 - i / 64, 0.0]) for i in range(2, 9)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>").coalesce(1).write.parquet(f"{tmp_path}/written")
+    next((tmp_path / "written").glob("*.parquet")).rename(tmp_path / "embeddings.parquet")
+    got = queries.op10_topk(spark, str(tmp_path)).collect()
+    assert [r.rank for r in sorted(got)] == [1, 2, 3, 4, 5] * 2
+    assert check_queries.compare(spark, check_queries.duck(str(tmp_path)), "op10_topk", str(tmp_path))[0]
+
+
 def test_top_k_of_few_and_none(spark):
     one = spark.createDataFrame([(0, [1.0])], "vec_id long, embedding array<float>")
     assert topk.top_k(one, F.col("id") % 50 == 0).collect() == [] and topk.top_k(one.limit(0), F.lit(True)).collect() == []
