@@ -72,7 +72,7 @@ def write_pixels(pixels: DataFrame, path: str, scenes: DataFrame | None = None)
     """Store a pixel table so that reads prune: partitioned by 256-cell tile, ordered by scene within files.
 
     With ``scenes`` (scene_id, acquired_at) also by the day of the scene, so that a read opens the days it wants and not every scene
-    ever stored over a tile.  Pixels of scenes that aren't listed have no day and are left out of reads by day.
+    ever stored over a tile.  Pixels of scenes that aren't listed have no day; every read by day opens those as well.
     """
     tiled = with_tile(pixels)
     keys = ["tile_x", "tile_y"]

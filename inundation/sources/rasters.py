@@ -36,7 +36,7 @@ def read_pixels(
 
     The list of (scene, tile, box) to read is joined to the pixel table.  ``envelope`` (storage tiles: x from, to, y from, to)
     bounds all events and prunes statically, as do the first and the last day of the scenes where pixels are stored by day; the
-    list itself then prunes days and tiles at run time.  ``rows`` bounds the list.
+    list itself then prunes days and tiles at run time.  Pixels without a day are read too, by scene.  ``rows`` bounds the list.
     """
     stored = [c for c in ("acquired_on", "tile_x", "tile_y") if c in pixels.columns]
     by_day = stored[:1] == ["acquired_on"]
@@ -45,16 +45,20 @@ def read_pixels(
     wanted = chosen.join(cover.withColumnRenamed("aoi_id", "event_id"), "event_id")
     if by_day:
         first, last = chosen.agg(F.min("acquired_on"), F.max("acquired_on")).first()
-        pixels = pixels.where(f"acquired_on BETWEEN DATE '{first}' AND DATE '{last}'" if first else "false")
+        dated = f"acquired_on BETWEEN DATE '{first}' AND DATE '{last}'" if first else "false"
     if envelope:
         x0, x1, y0, y1 = envelope
         box = f"x BETWEEN {x0 * TILE} AND {x1 * TILE + TILE - 1} AND y BETWEEN {y0 * TILE} AND {y1 * TILE + TILE - 1}"
         if "tile_y" in stored:
             box += f" AND tile_x BETWEEN {x0} AND {x1} AND tile_y BETWEEN {y0} AND {y1}"
         pixels = pixels.where(box)
-    keys = ("scene_id", "acquired_on") if by_day else ("scene_id",)
-    matched = in_areas(pixels.select("scene_id", *stored, "x", "y", *bands), wanted, keys, rows)
-    return matched.select("event_id", "side", "x", "y", *bands)
+    found = pixels.select("scene_id", *stored, "x", "y", *bands)
+    out = ["event_id", "side", "x", "y", *bands]
+    if not by_day:
+        return in_areas(found, wanted, ("scene_id",), rows).select(*out)
+    # Pixels stored before their scene was listed have no day; they match by scene alone.
+    early = in_areas(found.where("acquired_on IS NULL").drop("acquired_on"), wanted.drop("acquired_on"), ("scene_id",), rows)
+    return in_areas(found.where(dated), wanted, ("scene_id", "acquired_on"), rows).select(*out).unionByName(early.select(*out))
 
 
 def constant_raster(

@@ -133,6 +133,18 @@ def test_read_opens_the_days_and_tiles_it_wants(spark, tmp_path):
     assert "dynamicpruning" in read._jdf.queryExecution().executedPlan().toString()
 
 
+def test_read_by_day_has_pixels_that_came_before_their_scene(spark, tmp_path):
+    """Pixels of a scene that was listed only after they were stored have no day."""
+    px = constant_raster(spark, 1.1, 6.0, 1.101, 6.002).selectExpr("explode(sequence(3L, 5L)) AS scene_id", "x", "y", "1D AS B3", "2D AS B8")
+    scenes = spark.range(10).selectExpr("id AS scene_id", "TIMESTAMP_NTZ '2025-06-01 10:00:00' + make_dt_interval(CAST(id AS INT)) AS acquired_at")
+    write_pixels(px, f"{tmp_path}/px", scenes.where("scene_id <> 4"))
+    scope = make_scope(spark.createDataFrame([(1, datetime(2025, 6, 4))], EVENT), G.areas(spark, {1: G.rectangle(1.1, 6.0, 1.101, 6.002)}))
+    picks = scenes.where("scene_id IN (3, 4)").selectExpr("1L AS event_id", "IF(scene_id = 3, 'pre', 'post') AS side", "*")
+    read = lambda p: sorted(map(tuple, read_pixels(p, picks, scope.aoi.cover(), ["B3", "B8"], envelope=scope.aoi.envelope).collect()))
+    want = read(px)
+    assert {x[1] for x in want} == {"pre", "post"} and read(spark.read.parquet(f"{tmp_path}/px")) == want
+
+
 def scan_filter(df):
     """The partition filters of a read that are literals."""
     plan = df._jdf.queryExecution().optimizedPlan().toString()
