@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions.geometry import DEFAULT_AOI, areas
 from ..functions.grid import num
@@ -73,8 +72,8 @@ def area_or_default(spark: SparkSession, path: str | None, aoi_id: int = 0, defa
     """The area in a GeoJSON file, or the union of those in a directory, under the given id, or the default one where no path is given or loading fails."""
     if path:
         try:
-            # Parts are numbered over all documents, so that those of a directory are united and not set against each other.
-            part = F.dense_rank().over(Window.orderBy("path", "part")) - 1
+            # Parts differ over all documents, so that those of a directory are united and not set against each other.
+            part = F.xxhash64("path", "part")
             return read_geojson(spark, path).select(F.lit(aoi_id).cast("bigint").alias("aoi_id"), part.alias("part"), "ring", "pts")
         except ValueError as e:
             print(f"{e}; using the default area")

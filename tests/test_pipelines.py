@@ -277,6 +277,15 @@ def test_geojson_errors_and_fallback(spark, tmp_path):
     assert area_or_default(spark, write(tmp_path / "ok.geojson", poly(SQUARE)), 7).first().pts[0].lon == -1.0
 
 
+def test_parts_of_a_directory_differ_without_one_task_for_all(spark, tmp_path):
+    for n in "abc":
+        write(tmp_path / f"{n}.geojson", {"type": "MultiPolygon", "coordinates": [[SQUARE, SQUARE], [SQUARE]]})
+    area = area_or_default(spark, str(tmp_path), 7)
+    assert sorted(r["count"] for r in area.groupBy("part").count().collect()) == [1, 1, 1, 2, 2, 2]
+    plan = area._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "SinglePartition" not in plan
+
+
 def test_default_areas(spark):
     scope = make_scope(spark.createDataFrame([(1, datetime(2025, 6, 2))], EVENT), area_or_default(spark, None, 1))
     assert scope.n_events == 1 and scope.aoi.cells == pytest.approx(27.7e6, rel=0.02)
