@@ -45,6 +45,10 @@ def _power(base: int, n: int) -> np.ndarray:
     return _powers[base]
 
 
+def byte_values(data: np.ndarray) -> np.ndarray:
+    return _OF_BYTE[data]
+
+
 def span_hash(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """64-bit hashes of the runs ``values[start:end]``, equal for equal runs wherever they stand."""
     n = len(values)
@@ -70,7 +74,7 @@ class Texts:
         return total[self.offset[1:]] - total[self.offset[:-1]]
 
     def byte_values(self) -> np.ndarray:
-        return _OF_BYTE[self.data]
+        return byte_values(self.data)
 
 
 @dataclass

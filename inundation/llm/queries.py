@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from inundation.llm import pieces, poisson_mix, pu_quality, secret_ledger, simhash, substring_dedup, text_rules, topk, warc, word_lm
+from inundation.llm import lockstep, pieces, poisson_mix, pu_quality, secret_ledger, simhash, substring_dedup, text_rules, topk, warc, word_lm
 from inundation.llm.shared import keep, new_folder
 
 #: Where the public tokenizers' files are; only the driver reads them.
 TOKENIZERS = "/opt/tokenizers"
 PIECE_MODEL = "piece_bpe_32k.model"
+BYTE_VOCABULARY = "byte_bpe_50k.json"
 
 
 def _table(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -115,6 +116,11 @@ SELECT query_id, CAST(rank AS INT) AS rank, vec_id, CAST(score AS BIGINT) AS sco
 """
 
 
+def op12_lockstep(spark, d, tokenizers=TOKENIZERS):
+    both = lockstep.read_tokenizers(f"{tokenizers}/{BYTE_VOCABULARY}", f"{tokenizers}/{PIECE_MODEL}")
+    return lockstep.align(_table(spark, d, "documents"), both)
+
+
 def _op9_sql() -> str:
     parts = []
     for i, r in enumerate(secret_ledger.BASE_RULES):
@@ -167,6 +173,7 @@ _REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]
     "op8_pu_quality": (op8_pu_quality, None),
     "op9_secret_ledger": (op9_secret_ledger, _op9_sql()),
     "op10_topk": (op10_topk, _op10_sql()),
+    "op12_lockstep": (op12_lockstep, None),
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }
 
