@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from inundation.llm import lockstep, pieces, poisson_mix, pu_quality, secret_ledger, simhash, substring_dedup, text_rules, topk, warc, word_lm
+from inundation.llm import best_position, lockstep, pieces, poisson_mix, pu_quality, secret_ledger, simhash, substring_dedup, text_rules, topk, warc, word_lm
 from inundation.llm.shared import keep, new_folder
 
 #: Where the public tokenizers' files are; only the driver reads them.
@@ -121,6 +121,27 @@ def op12_lockstep(spark, d, tokenizers=TOKENIZERS):
     return lockstep.align(_table(spark, d, "documents"), both)
 
 
+def op13_best_position(spark, d):
+    return best_position.search(_table(spark, d, "documents"), _table(spark, d, "benchmark"))
+
+
+def _op13_sql() -> str:
+    terms = lambda c: (
+        f"regexp_extract_all(translate({c}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+        r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+    )
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {terms("text")} AS ts FROM documents), c AS (SELECT r, doc_id, len(ts) AS n FROM d WHERE len(ts) > 0),
+g AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM c), q AS (SELECT DISTINCT item_id, unnest({terms("text")}) AS term FROM benchmark),
+p AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(ts) AS term FROM d) x WHERE term IN (SELECT term FROM q) GROUP BY 1, 2),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM p, g GROUP BY term, docs),
+s AS (SELECT item_id, c.r, any_value(doc_id) AS doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * docs) // terms)))) AS BIGINT) AS score
+  FROM q JOIN p USING (term) JOIN w USING (term) JOIN c USING (r), g GROUP BY 1, 2),
+k AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM s WHERE score > 0)
+SELECT item_id, CAST(rank AS INT) AS rank, doc_id, score FROM k WHERE rank <= 50
+"""
+
+
 def _op9_sql() -> str:
     parts = []
     for i, r in enumerate(secret_ledger.BASE_RULES):
@@ -174,6 +195,7 @@ _REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]
     "op9_secret_ledger": (op9_secret_ledger, _op9_sql()),
     "op10_topk": (op10_topk, _op10_sql()),
     "op12_lockstep": (op12_lockstep, None),
+    "op13_best_position": (op13_best_position, _op13_sql()),
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }
 
