@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from inundation.llm.flat import SLICE_BYTES, Texts, byte_values, slices, span_hash, texts
+from inundation.llm.flat import SLICE_BYTES, Texts, byte_values, runs, slices, span_hash, texts
 from inundation.llm.shared import keep
 
 K = 50
@@ -55,13 +55,8 @@ _FOUND = "item int, doc_id long, score long"
 
 def term_hashes(t: Texts) -> tuple[np.ndarray, np.ndarray]:
     """The hash of every term of the texts in order, and how many each text has."""
-    inside = np.zeros(len(t.data) + 2, bool)
-    inside[1:-1] = _IN_TERM[t.data]
-    cut = np.zeros(len(t.data) + 2, bool)
-    cut[t.offset + 1] = True  # a term never goes over the end of a text
-    start = np.flatnonzero(inside[1:-1] & (~inside[:-2] | cut[1:-1]))
-    end = np.flatnonzero(inside[1:-1] & (~inside[2:] | cut[2:])) + 1
-    return span_hash(byte_values(_LOWER[t.data]), start, end), np.diff(np.searchsorted(start, t.offset))
+    w = runs(t, _IN_TERM)
+    return span_hash(byte_values(_LOWER[t.data]), w.start, w.end), w.per_text
 
 
 def _numbers(b: bytes) -> np.ndarray:

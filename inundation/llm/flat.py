@@ -110,8 +110,13 @@ def texts(column: pa.Array) -> Texts:
 
 def words(t: Texts) -> Words:
     """Words never reach over the end of a text."""
+    return runs(t, ~_IS_SPACE)
+
+
+def runs(t: Texts, members: np.ndarray) -> Words:
+    """Maximal runs, within a text, of the bytes that ``members`` (256 flags) names."""
     n = len(t.data)
-    inside = ~_IS_SPACE[t.data]
+    inside = members[t.data]
     cut = np.zeros(n + 1, bool)
     cut[t.offset] = True
     start = inside.copy()

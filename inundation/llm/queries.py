@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from inundation.llm import best_position, lockstep, pieces, poisson_mix, pu_quality, secret_ledger, simhash, substring_dedup, text_rules, topk, warc, word_lm
+from inundation.llm import best_position, lockstep, pieces, poisson_mix, pu_quality, secret_ledger, simhash, substring_dedup, text_rules, topk, warc, weak_labels, word_lm
 from inundation.llm.shared import keep, new_folder
 
 #: Where the public tokenizers' files are; only the driver reads them.
@@ -116,6 +116,10 @@ SELECT query_id, CAST(rank AS INT) AS rank, vec_id, CAST(score AS BIGINT) AS sco
 """
 
 
+def op11_weak_labels(spark, d):
+    return weak_labels.classify(_table(spark, d, "documents"), _table(spark, d, "labels"))
+
+
 def op12_lockstep(spark, d, tokenizers=TOKENIZERS):
     both = lockstep.read_tokenizers(f"{tokenizers}/{BYTE_VOCABULARY}", f"{tokenizers}/{PIECE_MODEL}")
     return lockstep.align(_table(spark, d, "documents"), both)
@@ -194,6 +198,7 @@ _REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]
     "op8_pu_quality": (op8_pu_quality, None),
     "op9_secret_ledger": (op9_secret_ledger, _op9_sql()),
     "op10_topk": (op10_topk, _op10_sql()),
+    "op11_weak_labels": (op11_weak_labels, None),
     "op12_lockstep": (op12_lockstep, None),
     "op13_best_position": (op13_best_position, _op13_sql()),
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
