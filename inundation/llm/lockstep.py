@@ -37,6 +37,8 @@ CHUNK_BYTES = 4 << 20
 BLOCK_LINKS = 1 << 18
 BLOCK_TOKENS = 1 << 18
 BATCH_PARTS = 1 << 14
+#: Distinct parts that a worker remembers, at under 100 bytes each.
+MEMO_PARTS = 1 << 19
 
 _CHUNK = (
     "chunk long, ids array<long>, n_a binary, n_b binary, n_groups binary, n_links binary, hashes array<string>, "
@@ -118,6 +120,7 @@ class _Worker:
         self.b = sentencepiece.SentencePieceProcessor(model_proto=t.b_model)
         self.shown = _Bytes(t.a_bytes), _Bytes(t.b_bytes)
         self.digits = [_Bytes([b"%d," % i for i in range(len(p))]) for p in (t.a_bytes, t.b_bytes)]
+        self.memo = _Memo()
         #: Bytes that some piece of B has before a space.
         self.glued = np.zeros(256, bool)
         self.glued[[x for p in t.b_bytes for x, y in zip(p, p[1:], strict=False) if y == 32]] = True
@@ -175,38 +178,73 @@ def parts(t: Texts, glued: np.ndarray) -> _Parts:
     return _Parts(data, start, end, np.concatenate([[0], np.cumsum(every)]), span_hash(byte_values(data), start, end))
 
 
+class _Memo:
+    """Parts that a worker has encoded, by hash, with both sides' ids; it starts anew at ``MEMO_PARTS``."""
+
+    def __init__(self):
+        self.keys, self.slot = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.fits = np.zeros(0, bool)
+        self.ids = [np.zeros(0, np.int32)] * 2
+        self.counts = [np.zeros(0, np.int64)] * 2
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The slot of each key, or -1."""
+        if not len(self.keys):
+            return np.full(len(keys), -1)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, self.slot[at], -1)
+
+    def add(self, keys: np.ndarray, fits: list, ids: list, counts: list) -> None:
+        every = np.concatenate([self.keys, keys])
+        slot = np.concatenate([self.slot, len(self.slot) + np.arange(len(keys))])
+        order = np.argsort(every, kind="stable")
+        self.keys, self.slot = every[order], slot[order]
+        self.fits = np.concatenate([self.fits, *fits])
+        self.ids = [np.concatenate([x, *y]) for x, y in zip(self.ids, ids, strict=True)]
+        self.counts = [np.concatenate([x, *y]) for x, y in zip(self.counts, counts, strict=True)]
+
+
+def _encode(w: _Worker, held: list[_Parts], places: np.ndarray):
+    """Encodes the parts at ``places`` of all held ones: whether each joins up, and both sides' ids and counts, in runs."""
+    shift = np.cumsum([0] + [len(p.key) for p in held])
+    of = np.searchsorted(shift[1:], places, side="right")
+    raw = {h: held[h].data.tobytes() for h in np.unique(of).tolist()}
+    fits, ids, counts = [], ([], []), ([], [])
+    for lo in range(0, len(places), BATCH_PARTS):
+        few = [(raw[h], held[h].start[i], held[h].end[i]) for h, i in zip(of[lo : lo + BATCH_PARTS].tolist(), (places - shift[of])[lo : lo + BATCH_PARTS], strict=True)]
+        sizes = np.array([e - s for _, s, e in few], np.int64)
+        wanted = np.frombuffer(b"".join(d[s:e] for d, s, e in few), np.uint8)
+        same = np.ones(len(few), bool)
+        for k, lists in enumerate(w.encode([d[s + 1 : e].decode() for d, s, e in few])):
+            n = np.array([len(x) for x in lists], np.int64)
+            i = np.fromiter(chain.from_iterable(lists), np.int32, int(n.sum()))
+            ids[k].append(i)
+            counts[k].append(n)
+            same &= w.shown[k].show(i, n, wanted, sizes)
+        fits.append(same)
+    return fits, ids, counts
+
+
 def tokens(w: _Worker, held: list[_Parts]):
     """Ids of both sides, how many each text has and where in space + text each token ends; nothing for texts that don't join up.
 
     Each distinct part is encoded once.  (Parts are told apart by 64-bit hashes.)
     """
-    key = np.concatenate([p.key for p in held])
-    _, where, part = np.unique(key, return_index=True, return_inverse=True)
-    of = np.searchsorted(np.cumsum([len(p.key) for p in held]), where, side="right")
-    shift = np.cumsum([0] + [len(p.key) for p in held])
-    raw = [p.data.tobytes() for p in held]
-    spans = [(raw[h], held[h].start[i - shift[h]], held[h].end[i - shift[h]]) for h, i in zip(of, where, strict=True)]
+    keys, where, part = np.unique(np.concatenate([p.key for p in held]), return_index=True, return_inverse=True)
+    slot = w.memo.find(keys)
+    if len(w.memo.keys) + (slot < 0).sum() > MEMO_PARTS:
+        w.memo = _Memo()
+        slot[:] = -1
+    new = slot < 0
+    w.memo.add(keys[new], *_encode(w, held, where[new]))
+    slot = w.memo.find(keys)[part]
     per_text = np.concatenate([np.diff(p.first) for p in held])
     text = np.repeat(np.arange(len(per_text)), per_text)
-    sizes = np.array([e - s for _, s, e in spans], np.int64)
-    fits = np.ones(len(spans), bool)
-    found = [([], []), ([], [])]
-    for lo in range(0, len(spans), BATCH_PARTS):
-        few = spans[lo : lo + BATCH_PARTS]
-        wanted = np.frombuffer(b"".join(d[s:e] for d, s, e in few), np.uint8)
-        for lists, (ids, counts), shown in zip(w.encode([d[s + 1 : e].decode() for d, s, e in few]), found, w.shown, strict=True):
-            n = np.array([len(x) for x in lists], np.int64)
-            i = np.fromiter(chain.from_iterable(lists), np.int32, int(n.sum()))
-            ids.append(i)
-            counts.append(n)
-            fits[lo : lo + len(few)] &= shown.show(i, n, wanted, sizes[lo : lo + len(few)])
     whole = np.ones(len(per_text), bool)
-    whole[text[~fits[part]]] = False
-    used = part[whole[text]]
+    whole[text[~w.memo.fits[slot]]] = False
+    used = slot[whole[text]]
     out = []
-    for (ids, counts), shown in zip(found, w.shown, strict=True):
-        ids, counts = (np.concatenate([*x, np.zeros(0, np.int32)]) for x in (ids, counts))
-        counts = counts.astype(np.int64)
+    for ids, counts, shown in zip(w.memo.ids, w.memo.counts, w.shown, strict=True):
         n = counts[used]
         mine = ids[np.repeat((np.cumsum(counts) - counts)[used], n) + _within(n)]
         per = np.zeros(len(per_text), np.int64)
