@@ -1,7 +1,8 @@
 """Quality classifier from positive and unlabelled rows.
 
 A linear model on text statistics is fitted by the non-negative unbiased risk: trusted positives, unlabelled web text and the
-share of positives estimated from labelled rows.  No negative row is ever shown to it.
+share of positives estimated from labelled rows.  No negative row is ever shown to it.  Unlabelled rows are in the risk without exception:
+each Newton step takes their sums by partition.
 
 Defined cases: a null or empty text has the features of a text without characters and gets a score like any other.  Repeated
 rows are scored one by one; a null id is held out by no fold and gets a score.  Columns besides id and text are ignored, whatever
@@ -22,14 +23,17 @@ from pyspark.sql import types as T
 
 from inundation.llm.flat import SLICE_BYTES, slices, span_hash, words
 from inundation.llm.shared import keep
+from inundation.llm.sums import centre_and_scale, packed_rows, rows_of, sigmoid, steady, symmetric, vector_sum
 from inundation.llm.text_rules import count_dup_lines, count_repeats
 
-#: Largest samples that the fit gathers: trusted positives and unlabelled rows.
+#: About how many trusted positives the fit gathers at most; unlabelled rows stay where they are.
 MOST_POSITIVE = 20_000
-MOST_UNLABELLED = 40_000
 FOLDS = 5
-STEPS = 400
 THRESHOLD = 0.3
+#: Newton steps at most, how far one goes in any weight, and the fall of the risk below which the fit ends.
+STEPS = 15
+MOST_STEP = 2.0
+ENOUGH = 1e-4
 
 #: Character classes whose shares are features: bytes 33 to 64 and 91 to 96, 123 to 126 one by one, then groups.
 _SINGLE = [*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]
@@ -72,10 +76,7 @@ def features_of(t) -> np.ndarray:
 def _featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch, t in slices(batches, "text", SLICE_BYTES):
         x = features_of(t)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("id"), pa.FixedSizeBinaryArray.from_buffers(pa.binary(4 * FEATURES), len(x), [None, pa.py_buffer(x.tobytes())]).cast(pa.binary())],
-            names=["id", "x"],
-        )
+        yield pa.RecordBatch.from_arrays([batch.column("id"), packed_rows(x)], names=["id", "x"])
 
 
 def text_features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -96,53 +97,82 @@ class Linear:
     scale: np.ndarray
 
     def score(self, x: np.ndarray) -> np.ndarray:
-        z = ((x - self.centre) / self.scale) @ self.weight + self.bias
-        return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+        return sigmoid(((x - self.centre) / self.scale) @ self.weight + self.bias)
 
 
-def fit_nnpu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = STEPS, rate: float = 0.05, decay: float = 1e-3) -> Linear:
-    """Minimises ``prior R_p+ + max(0, R_u- - prior R_p-)`` for the logistic loss by Adam steps.
+def unlabelled_sums(x: np.ndarray, theta: np.ndarray) -> np.ndarray:
+    """What unlabelled rows add to the risk as negatives, to its gradient and to the upper triangle of its Hessian; the last feature is 1."""
+    z = x @ theta
+    p = sigmoid(z)
+    hessian = (x * (p * (1 - p))[:, None]).T @ x
+    return np.concatenate([[np.logaddexp(0, z).sum()], x.T @ p, hessian[np.triu_indices(x.shape[1])]])
 
-    Where the estimate of the negatives' risk falls below zero, the step goes against it, as the method has it.
+
+def nnpu_step(positive: np.ndarray, sums: np.ndarray, n: int, theta: np.ndarray, prior: float, decay: float) -> tuple[float, np.ndarray]:
+    """The risk at ``theta``, from the ``n`` unlabelled rows' sums, and the Newton step that lowers it.
+
+    The risk is ``prior R_p+ + max(0, R_u- - prior R_p-)`` for the logistic loss.  Where the estimate of the negatives' risk falls below
+    zero, the step goes against it, as the method has it.
     """
+    width = len(theta)
+    z = positive @ theta
+    ridge = np.append(np.full(width - 1, decay), 1e-9)
+    as_negative = sums[0] / n - prior * np.logaddexp(0, z).mean()
+    risk = prior * np.logaddexp(0, -z).mean() + max(0.0, as_negative) + 0.5 * float(ridge @ theta**2)
+    to_positive = prior * positive.T @ (sigmoid(z) - 1) / len(z)
+    to_negative = sums[1 : 1 + width] / n - prior * positive.T @ sigmoid(z) / len(z)
+    gradient = to_positive + to_negative + ridge * theta if as_negative >= 0 else -to_negative
+    # The logistic loss is convex in the sum of both parts, whose curvature is that of the unlabelled rows.
+    step = np.linalg.solve(symmetric(sums[1 + width :], width) / n + np.diag(ridge), gradient)
+    return risk, step * min(1.0, MOST_STEP / max(float(np.abs(step).max()), 1e-12))
+
+
+def fit_nnpu(positive: np.ndarray, unlabelled: DataFrame, prior: float, steps: int = STEPS, decay: float = 1e-3) -> Linear:
+    """Minimises the non-negative risk over all rows of ``unlabelled`` (``x``), whose centre, scale and sums are taken by partition."""
     prior = float(np.clip(prior, 1e-3, 1 - 1e-3))
     start = float(np.log(prior / (1 - prior)))
-    if not len(positive) or not len(unlabelled):
+    centre, scale, n = centre_and_scale(unlabelled, "x", FEATURES, 1e-2)
+    if not len(positive) or not n:
         return Linear(np.zeros(FEATURES), start, np.zeros(FEATURES), np.ones(FEATURES))
-    centre, scale = unlabelled.mean(axis=0, dtype=np.float64), unlabelled.std(axis=0, dtype=np.float64) + 1e-2
-    p, u = ((a - centre) / scale for a in (positive, unlabelled))
-    theta, m, v = np.append(np.zeros(p.shape[1]), start), 0.0, 0.0
-    for step in range(1, steps + 1):
-        zp, zu = p @ theta[:-1] + theta[-1], u @ theta[:-1] + theta[-1]
-        loss = lambda z: np.logaddexp(0, -z).mean()
-        as_negative = loss(-zu) - prior * loss(-zp)
-        sig = lambda z: 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-        to_all = lambda a, g: np.append(g @ a, g.sum()) / len(a)
-        grad_pos = prior * to_all(p, sig(zp) - 1)
-        grad_neg = to_all(u, sig(zu)) - prior * to_all(p, sig(zp))
-        grad = grad_pos + grad_neg if as_negative >= 0 else -grad_neg
-        grad[:-1] += decay * theta[:-1]
-        m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
-        theta = theta - rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
+    width = FEATURES + 1
+    p = np.column_stack([(positive - centre) / scale, np.ones(len(positive))])
+    theta = np.append(np.zeros(FEATURES), start)
+    best = (np.inf, theta)
+    for _ in range(steps):
+
+        def sums(b: pa.RecordBatch, theta=theta) -> np.ndarray:
+            return unlabelled_sums(np.column_stack([(rows_of(b.column(0), FEATURES) - centre) / scale, np.ones(len(b))]), theta)
+
+        risk, step = nnpu_step(p, vector_sum(unlabelled.select("x"), sums, 1 + width + width * (width + 1) // 2), n, theta, prior, decay)
+        done = best[0] - risk < ENOUGH * abs(risk) and risk <= best[0]
+        if risk < best[0]:
+            best = (risk, theta)
+        if done:
+            break
+        theta = theta - step
+    theta = steady(best[1], 6)
     return Linear(theta[:-1], float(theta[-1]), centre, scale)
 
 
 def _drawn(rows: DataFrame, most: int, seed: int) -> np.ndarray:
-    x = rows.orderBy(F.xxhash64(F.lit(seed), "id"), "x").limit(most).select("x").toPandas()["x"]
-    return np.frombuffer(b"".join(map(bytes, x)), np.float32).reshape(-1, FEATURES)
+    """About ``most`` rows, those below a bound of their hash; all where they are no more."""
+    n = rows.count()
+    share = F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(1 << 30)) < int(min(1.0, most / max(n, 1)) * (1 << 30))
+    x = rows.where(share).orderBy(F.xxhash64(F.lit(seed), "id"), "x").select("x").toPandas()["x"]
+    return np.frombuffer(b"".join(map(bytes, x)), np.float32).reshape(-1, FEATURES).astype(np.float64)
 
 
-def fit_quality(
-    features: DataFrame, labels: DataFrame, id_col: str = "doc_id", most_positive: int = MOST_POSITIVE,
-    most_unlabelled: int = MOST_UNLABELLED, seed: int = 42,
-) -> Linear:
-    """Fits on labelled rows outside the held-out fold; the prior is the share of good rows among all of those."""
+def fit_quality(features: DataFrame, labels: DataFrame, id_col: str = "doc_id", most_positive: int = MOST_POSITIVE, seed: int = 42) -> Linear:
+    """Fits on about ``most_positive`` good rows outside the held-out fold and all unlabelled rows.
+
+    The prior is the share of good rows among all labelled ones outside the fold.
+    """
     known = labels.where(F.col(id_col).isNotNull() & F.col("quality").isNotNull()).select(F.col(id_col).alias("label_id"), "quality")
     learn = known.where(~held_out("label_id"))
     prior = learn.agg(F.avg("quality")).first()[0]
     good = learn.where("quality = 1").select("label_id").distinct()
     positive = _drawn(features.join(good, F.col("id") == F.col("label_id"), "left_semi"), most_positive, seed)
-    unlabelled = _drawn(features.join(known, F.col("id") == F.col("label_id"), "left_anti"), most_unlabelled, seed)
+    unlabelled = keep(features.join(known, F.col("id") == F.col("label_id"), "left_anti").select("x"), "unlabelled")
     return fit_nnpu(positive, unlabelled, 0.5 if prior is None else prior)
 
 
@@ -151,7 +181,7 @@ def score_quality(features: DataFrame, model: Linear) -> DataFrame:
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x = np.frombuffer(b"".join(b.column("x").to_pylist()), np.float32).reshape(-1, FEATURES)
+            x = rows_of(b.column("x"), FEATURES)
             yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(model.score(x).astype(np.float64))], names=["id", "score"])
 
     return features.mapInArrow(score, "id long, score double")

@@ -53,7 +53,12 @@ def centre_and_scale(rows: DataFrame, column: str, width: int, least: float) ->
     s = vector_sum(rows.select(column), moments, 2 * width + 1)
     n = max(s[-1], 1)
     mean = s[:width] / n
-    return mean, np.sqrt(np.maximum(s[width:-1] / n - mean**2, 0)) + least, int(s[-1])
+    return steady(mean), steady(np.sqrt(np.maximum(s[width:-1] / n - mean**2, 0))) + least, int(s[-1])
+
+
+def steady(x: np.ndarray, digits: int = 9) -> np.ndarray:
+    """Without the last digits, which depend on the order in which sums were taken."""
+    return np.round(x, digits)
 
 
 def symmetric(upper: np.ndarray, width: int) -> np.ndarray:

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from inundation.llm.flat import SLICE_BYTES, Texts, byte_values, mix, runs, slices, span_hash, texts
 from inundation.llm.shared import keep
-from inundation.llm.sums import centre_and_scale, packed_rows, rows_of, sigmoid, symmetric, vector_sum
+from inundation.llm.sums import centre_and_scale, packed_rows, rows_of, sigmoid, steady, symmetric, vector_sum
 
 FOLDS = 5
 THRESHOLD = 0.5
@@ -426,6 +426,7 @@ def fit_linear(rows: DataFrame, posterior: np.ndarray, steps: int = 12, decay: f
         theta = theta - move * min(1.0, 4 / max(np.abs(move).max(), 1e-12))
         if np.abs(move).max() < enough:
             break
+    theta = steady(theta, 6)
     return Linear(theta[:-1], float(theta[-1]), centre, scale)
 
 

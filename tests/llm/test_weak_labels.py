@@ -121,7 +121,7 @@ def test_linear_fit_is_the_optimum_however_rows_are_dealt(spark, parts):
     m = weak_labels.fit_linear(df, posterior)
     z = np.column_stack([(x.astype(np.float32) - m.centre) / m.scale, np.ones(400)])
     gradient = weak_labels.newton_sums(z, posterior[votes], np.append(m.weight, m.bias))[: weak_labels.FEATURES + 1] / 400
-    assert np.abs(gradient + np.append(1e-3 * m.weight, 0)).max() < 1e-6
+    assert np.abs(gradient + np.append(1e-3 * m.weight, 0)).max() < 1e-5
 
 
 def test_cover_takes_one_word_of_a_group_of_copies():
@@ -142,7 +142,7 @@ def test_held_out_rows_are_classified_and_their_labels_not_read(spark):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in got)
     changed = labels.withColumn("toxic", F.when(weak_labels.held_out("doc_id"), 1 - F.col("toxic")).otherwise(F.col("toxic")))
     scores = [{r.doc_id: r.score for r in weak_labels.classify(docs, x).collect()} for x in (labels, changed)]
-    assert max(abs(scores[0][i] - scores[1][i]) for i in scores[0]) < 1e-9
+    assert scores[0] == scores[1]
 
 
 def test_odd_rows_and_empty_tables(spark):
