@@ -68,7 +68,8 @@ def op6_warc(spark, d):
     written = keep(warc.write_monolithic(records, f"{folder}/crawl"), "warc-archives")
     keep(warc.normalise(written, f"{folder}/crawl", f"{folder}/records"), "warc-index")
     read = warc.read_records(warc.read_index(spark, f"{folder}/records"), f"{folder}/records", payloads=False)
-    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
+    # Read once; revisits are then put to the responses.
+    return warc.resolve_revisits(keep(read.drop("payload"), "warc-read")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
 
 
 def _op6_sql() -> str:
@@ -91,7 +92,7 @@ def op8_pu_quality(spark, d):
 
 def op9_secret_ledger(spark, d):
     docs = _table(spark, d, "documents").select("doc_id", "text")
-    ledger = secret_ledger.update_ledger(docs, new_folder(spark, "ledger"))
+    ledger = secret_ledger.update_in_steps(docs, new_folder(spark, "ledger"), "doc_id")
     found = secret_ledger.findings_by_path(docs, ledger)
     # The ledger adds no kinds of its own, so all spans are base spans.
     n = lambda kind: F.size(F.filter("findings", lambda s: s["kind"] == kind)).cast("long")

@@ -119,6 +119,18 @@ def update_ledger(versions: DataFrame, path: str, rules: Sequence[Rule] = BASE_R
     return spark.read.schema(LEDGER_SCHEMA).parquet(path)
 
 
+def update_in_steps(versions: DataFrame, path: str, id_col: str, steps: int = 2, rules: Sequence[Rule] = BASE_RULES, text_col: str = "text") -> DataFrame:
+    """Updates the ledger by disjoint shares of the versions, by a hash of their id, one after another.
+
+    Each share meets what those before it have left in the ledger: a blob that was scanned with one share isn't scanned with a later one.
+    """
+    share = F.pmod(F.xxhash64(id_col), F.lit(steps))
+    ledger = None
+    for i in range(steps):
+        ledger = update_ledger(versions.where(share == i), path, rules, text_col)
+    return ledger
+
+
 def findings_by_path(versions: DataFrame, ledger: DataFrame, rules: Sequence[Rule] = BASE_RULES, text_col: str = "text") -> DataFrame:
     """Every row of ``versions`` with ``findings`` of the given rules, ordered by start and then as the rules are listed."""
     wanted = F.lit(False)

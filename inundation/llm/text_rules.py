@@ -184,7 +184,10 @@ def grow_forest(x: np.ndarray, trees: int = TREES, rows: int = TREE_ROWS, seed:
 
 def fit_forest(stats: DataFrame, id_col: str = "doc_id", trees: int = TREES, rows: int = TREE_ROWS, seed: int = 42) -> Forest:
     """Grows the trees on ``trees * rows`` documents, those with the smallest hashes of their id."""
-    drawn = stats.orderBy(F.xxhash64(F.lit(seed), id_col), *COUNTS).limit(trees * rows).select(*COUNTS).toPandas()
+    # Rows below a bound of their hash, a fifth more than are drawn, so that partitions don't each send a whole sample.
+    share, u = 1.2 * trees * rows / max(stats.count(), 1), F.xxhash64(F.lit(seed), id_col)
+    few = stats if share >= 1 else stats.where(u < int(share * (1 << 64)) - (1 << 63))
+    drawn = few.orderBy(u, *COUNTS).limit(trees * rows).select(*COUNTS).toPandas()
     return grow_forest(_features({c: drawn[c].to_numpy(np.float64) for c in COUNTS}), trees, rows, seed)
 
 

@@ -248,6 +248,29 @@ def read_records(index: DataFrame, folder: str, payloads: bool = True) -> DataFr
     return index.mapInArrow(run, _READ_SQL)
 
 
+def resolve_revisits(records: DataFrame) -> DataFrame:
+    """Records as they were read, revisits with the size and digest of the response that is stored for them.
+
+    A revisit is intact if a response with its digest is stored under the id that it refers to, whole and of the size that the
+    revisit gives; without such a response its size and digest are null.  Only ids, digests and sizes are shuffled, and revisits of one response are spread over
+    ``SALTS`` parts.
+    """
+    slim = records.select("page_id", "record_type", "refers_to", "payload_bytes", "payload_digest", "intact")
+    asked = slim.where("record_type = 'revisit'").select("refers_to", "payload_digest").distinct()
+    held = slim.where("record_type = 'response'").groupBy(F.col("page_id").alias("found_id"), F.col("payload_digest").alias("found_digest"))
+    held = held.agg(F.max("payload_bytes").alias("found_bytes"), F.max("intact").alias("found_intact"))
+    match = F.col("refers_to").eqNullSafe(F.col("found_id")) & (F.col("payload_digest") == F.col("found_digest"))
+    found = asked.join(held, match).select("found_id", "found_digest", "found_bytes", "found_intact")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    found = found.withColumn("found_salt", salts)
+    salted = records.withColumn("salt", F.pmod(F.xxhash64("page_id", "uri"), F.lit(SALTS)).cast("int"))
+    revisits, others = salted.where("record_type = 'revisit'"), records.where("record_type <> 'revisit'")
+    on = (F.col("salt") == F.col("found_salt")) & F.col("refers_to").eqNullSafe(F.col("found_id")) & (F.col("payload_digest") == F.col("found_digest"))
+    intact = F.coalesce(F.col("found_intact") & (F.col("found_bytes") == F.col("payload_bytes")), F.lit(False))
+    proven = revisits.join(found, on, "left").withColumns({"intact": intact, "payload_bytes": F.col("found_bytes"), "payload_digest": F.col("found_digest")})
+    return others.unionByName(proven.select(*records.columns))
+
+
 _READ = pa.schema(
     {"page_id": pa.int64(), "uri": pa.string(), "record_type": pa.string(), "refers_to": pa.int64(), "payload_bytes": pa.int64(),
      "payload_digest": pa.string(), "payload": pa.binary(), "intact": pa.bool_()}

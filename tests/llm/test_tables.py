@@ -50,6 +50,28 @@ def test_warc_records(spark, archived):
         assert (None if r.payload is None else bytes(r.payload)) == (None if revisit else raw)
 
 
+def test_warc_revisits_are_proven_by_their_response(spark, archived):
+    folder, *_ = archived
+    read = warc.read_records(warc.read_index(spark, f"{folder}/records"), str(folder / "records"))
+    got = {r.page_id: r for r in warc.resolve_revisits(read).collect()}
+    first = {}
+    for i, _, html in sorted(PAGES, key=lambda r: (r[0] is None, r[0] or 0)):
+        first.setdefault(html or "", i)
+    assert len(got) == len(PAGES) and all(r.intact for r in got.values())
+    for i, _, html in PAGES:
+        assert (got[i].payload_bytes, got[i].payload_digest) == (len((html or "").encode()), hashlib.sha256((html or "").encode()).hexdigest())
+    # A response of which a byte has changed, one that is cut short, and one that is gone.
+    broken = F.col("page_id") == 1
+    hurt = read.withColumns({"payload_digest": F.when(broken, F.lit("0" * 64)).otherwise(F.col("payload_digest")), "intact": ~broken & F.col("intact")})
+    short = read.withColumn("payload_bytes", F.when(broken, F.col("payload_bytes") - 1).otherwise(F.col("payload_bytes")))
+    unsound = read.withColumn("intact", ~broken & F.col("intact"))
+    for frame, known in ((hurt, False), (read.where(~broken), False), (short, True), (unsound, True)):
+        found = {r.page_id: r for r in warc.resolve_revisits(frame).collect()}
+        assert [found[i].intact for i in (2, 3)] == [False, False] and found[9].intact
+        assert (found[2].payload_bytes is not None) == known == (found[2].payload_digest is not None)
+    assert warc.resolve_revisits(read.limit(0)).count() == 0
+
+
 def test_warc_members_stand_alone_and_join_to_the_same_stream(archived):
     folder, written, index = archived
     for r in written.collect():

@@ -367,13 +367,53 @@ def test_rules_on_odd_rows(spark, odd, labels):
 # --- classifier -----------------------------------------------------------------------------------------------------
 
 
-def test_nnpu_separates_without_negatives():
+def _feature_rows(spark, x):
+    return spark.createDataFrame([(bytes(r.astype(np.float32).tobytes()),) for r in x], "x binary")
+
+
+@pytest.mark.parametrize("parts", [1, 9])
+def test_nnpu_separates_without_negatives(spark, parts):
     rng = np.random.default_rng(3)
     pos, neg = rng.normal(1, 1, (3000, pu_quality.FEATURES)), rng.normal(-1, 1, (1000, pu_quality.FEATURES))
-    model = pu_quality.fit_nnpu(pos[:1000], np.concatenate([pos[1000:], neg]), 2 / 3)
+    unlabelled = _feature_rows(spark, np.concatenate([pos[1000:], neg])).repartition(parts)
+    model = pu_quality.fit_nnpu(pos[:1000].astype(np.float32).astype(float), unlabelled, 2 / 3)
     assert (model.score(pos) >= 0.5).mean() > 0.97 and (model.score(neg) < 0.5).mean() > 0.97
 
 
+def test_nnpu_fit_has_every_unlabelled_row_in_its_risk(spark):
+    """Rows of a kind that is one in 4,000 move the fit, and centre and scale are those of all rows."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(0, 1, (4000, pu_quality.FEATURES)).astype(np.float32)
+    odd = x.copy()
+    odd[7, 3] = 1000.0
+    models = [pu_quality.fit_nnpu(x[:500].astype(float), _feature_rows(spark, a), 0.5, steps=2) for a in (x, odd)]
+    assert np.allclose(models[1].centre, odd.mean(axis=0, dtype=float), atol=1e-6) and np.allclose(models[1].scale - 1e-2, odd.std(axis=0, dtype=float), atol=1e-5)
+    assert not np.allclose(models[0].scale, models[1].scale) and not np.allclose(models[0].weight, models[1].weight)
+
+
+@pytest.mark.parametrize("prior, apart", [(0.2, 0), (0.95, 1.5)])
+def test_nnpu_risk_and_steps_are_those_of_the_plain_formulas(prior, apart):
+    rng = np.random.default_rng(6)
+    one = lambda n: np.column_stack([rng.normal(size=(n, 3)), np.ones(n)])
+    p, u, theta, decay = one(40), one(90), rng.normal(size=4), 1e-2
+    p[:, :3] += apart * theta[:3]
+    u[:, :3] -= apart * theta[:3]
+    loss = lambda z: np.log(1 + np.exp(-z)).mean()
+    ridge = np.array([decay] * 3 + [1e-9])
+    negative = lambda t: loss(-u @ t) - prior * loss(-p @ t)
+    inner = lambda t: prior * loss(p @ t) + negative(t) + (ridge * t**2).sum() / 2
+    risk, step = pu_quality.nnpu_step(p, pu_quality.unlabelled_sums(u, theta), 90, theta, prior, decay)
+    assert np.isclose(risk, prior * loss(p @ theta) + max(0, negative(theta)) + (ridge * theta**2).sum() / 2)
+    e = 1e-5 * np.eye(4)
+    gradient = lambda f: np.array([(f(theta + d) - f(theta - d)) / 2e-5 for d in e])
+    s = 1 / (1 + np.exp(-u @ theta))
+    curve = (u * (s * (1 - s))[:, None]).T @ u / 90 + np.diag(ridge)
+    want = np.linalg.solve(curve, gradient(inner) if negative(theta) >= 0 else -gradient(negative))
+    want *= min(1, pu_quality.MOST_STEP / np.abs(want).max())
+    assert np.allclose(step, want, rtol=1e-3, atol=1e-6)
+    assert (negative(theta) < 0) == (apart > 0)
+
+
 def test_classifier_on_held_out_rows(spark):
     d = "/root/testdata/sf0.1"
     labels = spark.read.parquet(f"{d}/labels.parquet")
@@ -521,6 +561,21 @@ def test_ledger_scans_only_what_it_does_not_hold(spark, tmp_path):
     assert secret_ledger.findings_by_path(df.limit(0), grown).collect() == []
 
 
+def test_ledger_by_steps_scans_a_blob_once(spark, tmp_path):
+    """Copies that lie in several shares are scanned with the first; the second update meets a filled ledger."""
+    texts = ["password = abcdefghijkl1", "password = abcdefghijkl2", "nothing", None]
+    df = spark.createDataFrame([(i, texts[i % 4]) for i in range(40)] + [(None, texts[0])], "doc_id long, text string")
+    path = str(tmp_path / "ledger")
+    ledger = secret_ledger.update_in_steps(df, path, "doc_id")
+    assert ledger.count() == 4 * len(secret_ledger.BASE_RULES) == ledger.select("blob", "kind").distinct().count()
+    assert secret_ledger.scan_unseen(df, secret_ledger.read_ledger(spark, path)).count() == 0
+    shares = [df.where(F.pmod(F.xxhash64("doc_id"), F.lit(2)) == i) for i in (0, 1)]
+    first = secret_ledger.update_ledger(shares[0], str(tmp_path / "first"))
+    assert secret_ledger.scan_unseen(shares[1], first).count() < secret_ledger.scan_unseen(shares[1], None).count()
+    whole = secret_ledger.update_ledger(df, str(tmp_path / "whole"))
+    assert rows(secret_ledger.findings_by_path(df, ledger)) == rows(secret_ledger.findings_by_path(df, whole))
+
+
 def test_redaction(spark, tmp_path):
     df = secret_rows(spark)
     ledger = secret_ledger.update_ledger(df, f"{tmp_path}/ledger")
