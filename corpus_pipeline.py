@@ -35,7 +35,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces the secrets in the texts; ``n_chars`` follows where a text has changed."""
     rows = docs.select(*COLUMNS)
-    ledger = secret_ledger.update_ledger(rows, new_folder(spark, "ledger"))
+    ledger = secret_ledger.update_in_steps(rows, new_folder(spark, "ledger"), "doc_id")
     found = secret_ledger.findings_by_path(rows, ledger)
     some = F.size("findings") > 0
     clean = found.withColumn("clean", F.when(some, secret_ledger.redact(F.col("text"), F.col("findings"))).otherwise(F.col("text")))
