@@ -25,7 +25,7 @@ from inundation import fixtures as fx  # noqa: E402
 from inundation.functions import bands as B  # noqa: E402
 from inundation.functions import geometry as G  # noqa: E402
 from inundation.functions.grid import METERS_PER_DEGREE, STEP_DEG  # noqa: E402
-from inundation.operators import change, layers, regions  # noqa: E402
+from inundation.operators import change, layers, overlay, pyramid, regions  # noqa: E402
 from inundation.operators.area import area_km2  # noqa: E402
 from inundation.operators.components import connected_pixel_count  # noqa: E402
 from inundation.operators.composite import median_composite  # noqa: E402
@@ -215,10 +215,7 @@ def _center(spark, d):
 
 def geojson_area(spark, d):
     """Cells of the raster's surroundings in each site's document: two parts that overlap, written and read as GeoJSON."""
-    path = f"{shared_folder(spark)}/geojson-{uuid.uuid4().hex}"
-    fx.site_documents(spark, d).write.partitionBy("event_id").text(path)
-    rings = read_geojson(spark, path).withColumn("aoi_id", F.regexp_extract("path", r"event_id=(\d+)", 1).cast("bigint"))
-    spans = regions.polygon_spans(rings.select("aoi_id", "part", "ring", "pts"))
+    spans = regions.polygon_spans(_site_rings(spark, d))
     west, east = fx.X0 - 3, fx.X0 + fx.WIDTH + 2
     inside = spans.join(F.broadcast(fx.view(spark, d, "dims"))).where(f"y BETWEEN {fx.Y0 - 3} AND {fx.Y0 + 2} + h")
     cells = F.expr(f"sum(greatest(least(x_hi, {east}) - greatest(x_lo, {west}) + 1, 0))").alias("cells")
@@ -233,7 +230,7 @@ def within_buffer(spark, d):
 def aoi_geometry(spark, d):
     _, main, _ = fx.main_event(spark, d)
     _, sites = fx.site_events(spark, d)
-    m = G.measures(sites.unionByName(main.withColumn("aoi_id", F.lit(-1).cast("bigint"))))
+    m = overlay.measures(sites.unionByName(main.withColumn("aoi_id", F.lit(-1).cast("bigint"))))
     return m.select(
         "aoi_id",
         *[F.round(c, 9).alias(c) for c in ("min_lon", "min_lat", "max_lon", "max_lat")],
@@ -242,6 +239,38 @@ def aoi_geometry(spark, d):
     )
 
 
+def _site_rings(spark, d):
+    """The rings of every site's document, two parts that overlap, written and read as GeoJSON."""
+    path = f"{shared_folder(spark)}/geojson-{uuid.uuid4().hex}"
+    fx.site_documents(spark, d).write.partitionBy("event_id").text(path)
+    rings = read_geojson(spark, path).withColumn("aoi_id", F.regexp_extract("path", r"event_id=(\d+)", 1).cast("bigint"))
+    return rings.select("aoi_id", "part", "ring", "pts")
+
+
+def dissolved_area(spark, d):
+    """Measures of the documents' areas: what both parts hold counts once."""
+    m = overlay.measures(_site_rings(spark, d))
+    centroid = [F.round(c, 8).alias(c) for c in ("centroid_lon", "centroid_lat")]
+    return m.select(F.col("aoi_id").alias("event_id"), *centroid, F.round("area_m2", 1).alias("area_m2"))
+
+
+def dissolved_geometry(spark, d):
+    """The documents' areas as polygons without overlaps: how many parts, rings and corners each has."""
+    rings = overlay.dissolve(_site_rings(spark, d))
+    return rings.groupBy(F.col("aoi_id").alias("event_id")).agg(
+        F.countDistinct("part").alias("parts"), F.count("*").alias("rings"), F.sum(F.size("pts")).alias("corners")
+    )
+
+
+def scene_cover(spark, d):
+    """The share of each site's area that the pixels of its radar scenes cover."""
+    events, areas = fx.site_events(spark, d)
+    scope = make_scope(events, areas, areas)
+    pairs = catalog.match_scenes(fx.raster_scenes(spark, d).where(catalog.RADAR_QUALITY), scope.events, catalog.SAR_DAYS)
+    found = overlay.covered_share(areas, regions.footprints(fx.view(spark, d, "s1_px"), ["scene_id"]), pairs)
+    return found.select("event_id", "scene_id", F.round("share", 6).alias("share"))
+
+
 def scene_footprint(spark, d):
     f = regions.footprints(fx.view(spark, d, "s1_px"), ["scene_id"])
     return f.select("scene_id", *[F.round(c, 9).alias(c) for c in f.columns if c != "scene_id"])
@@ -414,6 +443,16 @@ def water_area(spark, d):
     return _km2(area_km2(px, ["scene_id"], "water"))
 
 
+def area_pyramid(spark, d):
+    """Water area of every scene in cells of each level, and in as many cells as a budget allows; the area is the same."""
+    px = fx.view(spark, d, "s2_px").selectExpr("scene_id", "x", "y", f"{B.ndwi_water()} AS water")
+    sums = pyramid.cell_sums(px, ["scene_id"], "water", range(3, 13)).groupBy("scene_id", "level").agg(
+        F.count("*").alias("cells"), F.sum("pixels").alias("pixels"), (F.sum("area_m2") / 1e6).alias("area_km2")
+    )
+    within = pyramid.area_within(px, ["scene_id"], "water", max_pixels=200, n_images=_n_scenes(spark, d))
+    return _km2(sums.withColumn("budget", F.lit(0)).unionByName(within.withColumn("budget", F.lit(200))))
+
+
 def site_flood_area(spark, d):
     """Flooded area of every site's event, 0 where there is no flood."""
     events, areas = fx.site_events(spark, d)
@@ -531,6 +570,7 @@ _SIZES = (
     "(SELECT event_id, label, count(*) AS size FROM cc2_main GROUP BY 1, 2) z USING (event_id, label)"
 )
 _VALUED = f"(SELECT scene_id * 2 + {_WATER} AS event_id, x, y FROM s2_px WHERE {_WATER} IS NOT NULL)"
+o.TERMS["water"] = (f"SELECT scene_id, x, y FROM s2_px WHERE {_WATER} = 1", ["s2_px"])
 o.TERMS["ccw"] = (o._components(_VALUED, "ccw"), ["s2_px"])
 _LEVEL = "CAST(greatest(0, least(255, floor((VH + 25.0) / 25.0 * 255))) AS INT)"
 
@@ -636,6 +676,9 @@ _REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]
         ),
     ),
     "aoi_geometry": (aoi_geometry, o.statement(_BOUNDS, "edges_main", "edges_sites")),
+    "dissolved_area": (dissolved_area, o.statement(o.UNITED, "edges_sites", "edges_shifted")),
+    "dissolved_geometry": (dissolved_geometry, o.statement(o.CORNERS, "edges_sites", "edges_shifted")),
+    "scene_cover": (scene_cover, o.statement(o.COVERED, "m1_sites", "edges_sites", "s1_px")),
     "scene_footprint": (
         scene_footprint,
         o.statement(
@@ -769,6 +812,18 @@ _REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]
             "s2_px",
         ),
     ),
+    "area_pyramid": (
+        area_pyramid,
+        o.statement(
+            "SELECT scene_id, level, 0 AS budget, count(*) AS cells, sum(n) AS pixels, round(sum(a) / 1e6, 6) AS area_km2 FROM (SELECT scene_id, level, "
+            f"x >> level AS cx, y >> level AS cy, count(*) AS n, sum({o.AREA}) AS a FROM water, (SELECT unnest(range(3, 13)) AS level) l GROUP BY ALL) t GROUP BY 1, 2 "
+            "UNION ALL SELECT scene_id, level, 200, count(*), sum(n), round(sum(a) / 1e6, 6) FROM (SELECT scene_id, level, x >> level AS cx, y >> level AS cy, count(*) AS n, "
+            f"sum({o.AREA}) AS a FROM water JOIN (SELECT scene_id, min(level) AS level FROM (SELECT scene_id, min(x) AS x0, max(x) AS x1, min(y) AS y0, max(y) AS y1 FROM water "
+            "GROUP BY 1) b, (SELECT unnest(range(0, 23)) AS level) l WHERE ((x1 >> level) - (x0 >> level) + 1) * ((y1 >> level) - (y0 >> level) + 1) <= 200 GROUP BY 1) f "
+            "USING (scene_id) GROUP BY ALL) t GROUP BY 1, 2",
+            "water",
+        ),
+    ),
     "site_flood_area": (
         site_flood_area,
         o.statement(

@@ -287,6 +287,61 @@ LEFT JOIN dem n ON n.gx = z.gx AND n.gy = z.gy - 1 LEFT JOIN dem s ON s.gx = z.g
 }
 
 
+#: Slabs of two convex shapes per event: between two neighbouring corners or crossings, each has one edge above and one below.
+_SLABS = """
+twos AS (SELECT event_id, 0 AS k, lon1, lat1, lon2, lat2 FROM edges_sites UNION ALL SELECT event_id, 1, lon1, lat1, lon2, lat2 FROM edges_shifted),
+org AS (SELECT event_id, min(lon1) AS ox, min(lat1) AS oy FROM twos GROUP BY 1),
+e AS (SELECT event_id, k, lon1 - ox AS x1, lat1 - oy AS y1, lon2 - ox AS x2, lat2 - oy AS y2 FROM twos JOIN org USING (event_id)),
+meet AS (SELECT event_id, a.x1 + (a.x2 - a.x1) * t / (t - u) AS x FROM (SELECT a.event_id, a, (b.x2 - b.x1) * (a.y1 - b.y1) - (b.y2 - b.y1) * (a.x1 - b.x1) AS t,
+    (b.x2 - b.x1) * (a.y2 - b.y1) - (b.y2 - b.y1) * (a.x2 - b.x1) AS u, (a.x2 - a.x1) * (b.y1 - a.y1) - (a.y2 - a.y1) * (b.x1 - a.x1) AS v,
+    (a.x2 - a.x1) * (b.y2 - a.y1) - (a.y2 - a.y1) * (b.x2 - a.x1) AS w FROM e a JOIN e b ON a.event_id = b.event_id AND a.k = 0 AND b.k = 1) m
+  WHERE t * u < 0 AND v * w < 0),
+cut AS (SELECT DISTINCT event_id, x1 AS x FROM e UNION SELECT event_id, x FROM meet),
+slab AS (SELECT * FROM (SELECT event_id, x AS xa, lead(x) OVER (PARTITION BY event_id ORDER BY x) AS xb FROM cut) c WHERE xb > xa),
+line AS (SELECT s.event_id, xa, xb, k, y1 + (y2 - y1) * (xa - x1) / (x2 - x1) AS ya, y1 + (y2 - y1) * (xb - x1) / (x2 - x1) AS yb
+  FROM slab s JOIN e ON e.event_id = s.event_id AND least(x1, x2) < (xa + xb) / 2 AND greatest(x1, x2) > (xa + xb) / 2),
+shape AS (SELECT event_id, xa, xb, k, max_by(ya, ya + yb) AS ta, max_by(yb, ya + yb) AS tb, min_by(ya, ya + yb) AS ba, min_by(yb, ya + yb) AS bb FROM line GROUP BY 1, 2, 3, 4),
+common AS (SELECT a.event_id, a.xa, a.xb, least(a.ta, b.ta) AS ta, least(a.tb, b.tb) AS tb, greatest(a.ba, b.ba) AS ba, greatest(a.bb, b.bb) AS bb
+  FROM shape a JOIN shape b ON a.event_id = b.event_id AND a.xa = b.xa AND a.k = 0 AND b.k = 1),
+every AS (SELECT event_id, 1 AS sgn, xa, xb, ta, tb, ba, bb FROM shape UNION ALL
+  SELECT event_id, -1, xa, xb, ta, tb, ba, bb FROM common WHERE ta + tb > ba + bb)
+"""
+#: Area and centroid of two overlapping convex shapes: both, less what they have in common.
+UNITED = (
+    ", " + _SLABS.strip() + f"""
+SELECT event_id, round(ox + sum(sgn * (xb - xa) * (ha * (2 * xa + xb) + hb * (xa + 2 * xb)) / 6) / sum(sgn * a), 8) AS centroid_lon,
+  round(oy + sum(sgn * (xb - xa) * (ta * ta + ta * tb + tb * tb - ba * ba - ba * bb - bb * bb) / 6) / sum(sgn * a), 8) AS centroid_lat,
+  round(sum(sgn * radians(xb - xa) * ((sin(radians(oy + ta)) - sin(radians(oy + ba))) + (sin(radians(oy + tb)) - sin(radians(oy + bb)))) / 2)
+    * {EARTH_RADIUS_M!r} * {EARTH_RADIUS_M!r}, 1) AS area_m2
+FROM (SELECT *, ta - ba AS ha, tb - bb AS hb, (ta - ba + tb - bb) / 2 * (xb - xa) AS a FROM every) t JOIN org USING (event_id) GROUP BY event_id, ox, oy
+"""
+)
+#: Corners of their union: those of each that the other doesn't hold, and the crossings.
+CORNERS = (
+    ", " + _SLABS.strip() + """
+, held AS (SELECT c.event_id, c.k, c.x1, c.y1 FROM e c JOIN e o ON o.event_id = c.event_id AND o.k <> c.k AND (o.y1 > c.y1) <> (o.y2 > c.y1)
+  AND c.x1 < (o.x2 - o.x1) * (c.y1 - o.y1) / (o.y2 - o.y1) + o.x1 GROUP BY 1, 2, 3, 4 HAVING count(*) % 2 = 1)
+SELECT event_id, 1 AS parts, 1 AS rings, count(*) - (SELECT count(*) FROM held h WHERE h.event_id = e.event_id)
+  + (SELECT count(*) FROM meet m WHERE m.event_id = e.event_id) AS corners FROM e GROUP BY 1
+"""
+)
+#: Share of a site that a scene's box covers: each edge is followed as far as the box reaches, its latitude held between the box's.
+COVERED = f"""
+, box AS (SELECT scene_id, min(x) * {S} - 180 AS w, 90 - (max(y) + 1) * {S} AS s, (max(x) + 1) * {S} - 180 AS e, 90 - min(y) * {S} AS n FROM s1_px GROUP BY 1),
+run AS (SELECT event_id, scene_id, sign(lon2 - lon1) AS d, lon1, lat1, (lat2 - lat1) / (lon2 - lon1) AS g, s, n, xa, xb
+  FROM (SELECT *, greatest(least(lon1, lon2), w) AS xa, least(greatest(lon1, lon2), e) AS xb
+    FROM edges_sites JOIN (SELECT DISTINCT event_id, scene_id FROM m1_sites) p USING (event_id) JOIN box USING (scene_id)) c WHERE xb > xa),
+stop AS (SELECT *, least(greatest(CASE WHEN g = 0 THEN xa ELSE lon1 + (s - lat1) / g END, xa), xb) AS p, least(greatest(CASE WHEN g = 0 THEN xa ELSE lon1 + (n - lat1) / g END, xa), xb) AS q FROM run),
+bit AS (SELECT event_id, scene_id, d, lon1, lat1, g, s, n, unnest([xa, least(p, q), greatest(p, q)]) AS xa, unnest([least(p, q), greatest(p, q), xb]) AS xb FROM stop),
+high AS (SELECT *, sin(radians(least(greatest(lat1 + g * (xa - lon1), s), n))) - sin(radians(s)) AS ha, sin(radians(least(greatest(lat1 + g * (xb - lon1), s), n))) - sin(radians(s)) AS hb FROM bit),
+got AS (SELECT event_id, scene_id, abs(sum(d * (xb - xa) * (ha + hb) / 2)) AS a FROM high GROUP BY 1, 2),
+whole AS (SELECT event_id, abs(sum((lon2 - lon1) * ((sin(radians(lat1)) + sin(radians(lat2))) / 2 - sin(radians(oy))))) AS a
+  FROM edges_sites JOIN (SELECT event_id, min(lat1) AS oy FROM edges_sites GROUP BY 1) b USING (event_id) GROUP BY 1)
+SELECT p.event_id, p.scene_id, round(coalesce(got.a, 0) / whole.a, 6) AS share FROM (SELECT DISTINCT event_id, scene_id FROM m1_sites) p
+JOIN whole USING (event_id) LEFT JOIN got USING (event_id, scene_id)
+"""
+
+
 def statement(select: str, *terms: str) -> str:
     order: list[str] = []
 

@@ -70,8 +70,11 @@ def bounds(area: DataFrame) -> DataFrame:
     )
 
 
-def measures(area: DataFrame) -> DataFrame:
-    """Bounding box, centroid and spherical area in m2 per area; holes count negative."""
+def ring_measures(area: DataFrame) -> DataFrame:
+    """Bounding box, centroid and spherical area in m2 per area, ring by ring; holes count negative.
+
+    For areas whose parts don't overlap; :func:`inundation.operators.overlay.measures` is for any.
+    """
     local = edges(area).selectExpr(
         "*",
         "lon1 - lon0 AS x1",

@@ -48,6 +48,20 @@ def block_of(v: str, size: int = TILE) -> str:
     return f"floor(({v}) / {size})"
 
 
+def _spaced(v: str) -> str:
+    """The low 30 bits of a number with a zero bit between each two, by halving steps."""
+    out = f"({v})"
+    for shift, mask in ((16, 0x00003FFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333), (1, 0x5555555555555555)):
+        out = f"(({out} | shiftleft({out}, {shift})) & {mask}L)"
+    return out
+
+
+def quad_key(x: str, y: str) -> str:
+    """The bits of column and row by turns; without its last two bits it is the key of the cell twice as wide."""
+    # Named once each: the steps repeat their argument.
+    return f"aggregate(array({x}, {y}), 0L, (k, v) -> shiftleft(k, 1) | {_spaced('v')})"
+
+
 def pixel_area_m2(y: str = "y", step: float = STEP_DEG) -> str:
     """Spherical area of a cell; depends on its row only.
 

@@ -49,7 +49,7 @@ def _roots(x: np.ndarray, y: np.ndarray, side: int) -> np.ndarray:
     return parent
 
 
-def _least_linked(edges: DataFrame, keys: Sequence[str]) -> DataFrame:
+def least_linked(edges: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``label`` and ``root``, the least label that ``edges`` (a, b) lead to, per keys; only labels with an edge are listed.
 
     Star steps by turns: the larger neighbours of a label, then the smaller ones, are linked to the least of them.  Each round is a
@@ -113,7 +113,7 @@ def connected_pixel_count(
     other_block = f"{block_of('nx', block)} <> {block_of('x', block)} OR {block_of('ny', block)} <> {block_of('y', block)}"
     reach = border.selectExpr(*short, "x", "y", "label AS a", f"inline(array({steps}))").where(other_block)
     met = reach.drop("x", "y").join(border.selectExpr(*short, "x AS nx", "y AS ny", "label AS b"), [*short, "nx", "ny"])
-    merged = _least_linked(met.selectExpr(*short, "greatest(a, b) AS a", "least(a, b) AS b"), short)
+    merged = least_linked(met.selectExpr(*short, "greatest(a, b) AS a", "least(a, b) AS b"), short)
     # A label has a block's cells at most, so neither of these joins has a hot key; a patch of any size adds up map-side.
     sizes = cells.groupBy(*short, "label").agg(F.expr("count(*) AS n"))
     rooted = sizes.join(merged, [*short, "label"], "left").selectExpr(*short, "label", "n", "coalesce(root, label) AS root")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from inundation.functions import bands as B
 from inundation.functions import geometry as G
 from inundation.functions.grid import METERS_PER_DEGREE, STEP_DEG, center_lat, center_lon
-from inundation.operators import change, layers, regions
+from inundation.operators import change, layers, overlay, regions
 from inundation.operators.area import area_km2
 from inundation.operators.components import connected_pixel_count, drop_small_patches
 from inundation.operators.composite import median_composite
@@ -318,11 +318,11 @@ def test_area_of_square_and_closed_form(spark):
     assert area_km2(square).first().area_km2 == pytest.approx(0.012294, abs=0.001)
     large = constant_raster(spark, 1.1, 6.1, 1.15, 6.15).withColumn("event_id", F.lit(1))
     assert area_km2(large).first().area_km2 == pytest.approx(0.012294 * 2500, rel=0.002)
-    exact = G.measures(G.areas(spark, {1: G.rectangle(1.1, 6.1, 1.101, 6.101)})).first()
+    exact = overlay.measures(G.areas(spark, {1: G.rectangle(1.1, 6.1, 1.101, 6.101)})).first()
     assert exact.area_m2 / 1e6 == pytest.approx(0.012294, rel=1e-3)
     assert (exact.centroid_lon, exact.centroid_lat) == (pytest.approx(1.1005), pytest.approx(6.1005))
-    holed = G.measures(G.areas(spark, {1: G.rectangle(0, 0, 2, 2) + G.rectangle(0, 0, 1, 2)})).first()
-    assert holed.centroid_lon == pytest.approx(1.5) and holed.area_m2 == pytest.approx(G.measures(G.areas(spark, {1: G.rectangle(1, 0, 2, 2)})).first().area_m2)
+    holed = overlay.measures(G.areas(spark, {1: G.rectangle(0, 0, 2, 2) + G.rectangle(0, 0, 1, 2)})).first()
+    assert holed.centroid_lon == pytest.approx(1.5) and holed.area_m2 == pytest.approx(overlay.measures(G.areas(spark, {1: G.rectangle(1, 0, 2, 2)})).first().area_m2)
     wanted = spark.createDataFrame([(1,), (2,)], "event_id int")
     assert {r.event_id: r.area_km2 > 0 for r in area_km2(square, wanted=wanted).collect()} == {1: True, 2: False}
     zero = square.withColumn("value", F.lit(0))
