@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import uuid
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from functools import partial
@@ -9,13 +11,14 @@ from functools import partial
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..operators.area import area_km2
 from ..operators.components import drop_small_patches
 from ..operators.lookup import BROADCAST_ROWS, lookup_join
 from ..operators.terrain import DEM_STEP_DEG, dem_near, drop_steep, slope_degrees
 from ..sources import catalog
-from ..sources.control import settle
+from ..sources.control import is_there, is_written, remove, settle, shared_folder
 from .optical import optical_branch
 from .sar import SMOOTHING_RADIUS_M, Branch, sar_branch
 from .scope import Scope, make_scope, place_batches
@@ -26,6 +29,12 @@ MAX_SLOPE_DEG = 5.0
 
 METHODS = ("sar", "s2", "both")
 
+#: Groups of events that run at once.
+GROUPS_AT_A_TIME = 4
+REPORT_COLUMNS = (
+    "method string, status string, area_km2 double, threshold_pre double, threshold_post double, threshold_defaulted boolean, pre_px bigint, post_px bigint"
+)
+
 
 def refine_extent(
     flood: DataFrame,
@@ -127,28 +136,41 @@ def failed_report(name: str, error: BaseException, events: DataFrame) -> DataFra
     )
 
 
-def _batch_report(events, aois, dem, inputs, otsu_aois, method, options) -> list[DataFrame]:
+def _group_report(group, aois, dem, inputs, otsu_aois, method, options, folder: str, failed: str) -> list[BaseException]:
+    """Writes the rows of a group's methods that aren't there yet; the errors of those that failed, if all of its methods did.
+
+    A method's rows are committed as a whole, so what is in the folder is finished.  Rows that say why a method failed go to a folder of their
+    own, and a later run tries again.
+    """
+    name, events = group
+    spark = events.sparkSession
+    methods = ["sar", "s2"] if method == "both" else [method]
+    todo = [m for m in methods if not is_written(spark, f"{folder}/grp=g{name}/kind={m}")]
+    if not todo:
+        return []
     ids = events.selectExpr("event_id AS aoi_id")
     own = aois.join(ids, "aoi_id", "left_semi")
     own_otsu = own if otsu_aois is aois else otsu_aois and otsu_aois.join(ids, "aoi_id", "left_semi")
     scope = make_scope(events, own, own_otsu)
 
-    def settled(name, run):
+    def written(m, run):
         branch = None
         try:
             branch, refined = run()
-            # A few rows per event: once they are settled, the pixels behind them can go.
-            return settle(branch_report(name, branch, refined, scope.n_events))
+            # A few rows per event: once they are written, the pixels behind them can go.
+            branch_report(m, branch, refined, scope.n_events).coalesce(1).write.mode("overwrite").parquet(f"{folder}/grp=g{name}/kind={m}")
         finally:
             if branch is not None:
                 branch.release()
 
     runs = branch_runs(*inputs, dem, scope, method, **options)
-    done = side_by_side_runs(events.sparkSession, {name: partial(settled, name, run) for name, run in runs.items()})
-    errors = [r for r in done.values() if isinstance(r, BaseException)]
-    if len(errors) == len(done):
-        raise errors[0]
-    return [failed_report(name, r, scope.events) if isinstance(r, BaseException) else r for name, r in done.items()]
+    done = side_by_side_runs(spark, {m: partial(written, m, runs[m]) for m in todo})
+    errors = {m: e for m, e in done.items() if isinstance(e, BaseException)}
+    if len(errors) == len(methods):
+        return list(errors.values())
+    for m, e in errors.items():
+        failed_report(m, e, scope.events).coalesce(1).write.parquet(f"{failed}/grp=g{name}/kind={m}")
+    return []
 
 
 def flood_report(
@@ -162,6 +184,8 @@ def flood_report(
     otsu_aois: DataFrame | None = None,
     method: str = "both",
     batch_rows: int = BROADCAST_ROWS // 2,
+    results: str | None = None,
+    at_a_time: int = GROUPS_AT_A_TIME,
     **options,
 ) -> DataFrame:
     """Flooded area of every event by radar, by optical water index, or by both, side by side.
@@ -169,13 +193,37 @@ def flood_report(
     ``events``: event_id, event_ts; ``aois``: the area of each event under its id.  Every event gets a row per method.  A method
     that lacks scenes or an area for an event, or that fails, reports why and does not touch the other; only if all fail is the
     error raised.  Events run in groups that lie together, each with areas of at most about ``batch_rows`` spans, so what a
-    run keeps and sends to every task doesn't grow with the number of events.  ``options`` are those of :func:`branch_runs`.
+    run keeps and sends to every task doesn't grow with the number of events, and ``at_a_time`` groups at once.  ``options`` are those of
+    :func:`branch_runs`.
+
+    ``results`` names a folder that keeps each group's rows as they are finished.  A run that is given it again, with the same events, areas and
+    options, does only what is missing; it belongs to one set of scenes, pixels and elevation.  An error is raised after all groups have had
+    their turn.
     """
+    if method not in METHODS:
+        raise ValueError(f"method must be one of {METHODS}")
     inputs = (scenes_s1, pixels_s1, scenes_s2, pixels_s2)
-    reports = []
-    for batch in place_batches(events, aois, batch_rows):
-        reports += _batch_report(batch, aois, dem, inputs, otsu_aois, method, options)
-    out = reports[0]
-    for r in reports[1:]:
-        out = out.unionByName(r)
-    return out
+    spark = events.sparkSession
+    base = f"{results.rstrip('/')}" if results else f"{shared_folder(spark)}/report-{uuid.uuid4().hex}"
+    # What the rows depend on beside the group.
+    how = hashlib.sha256(repr((sorted(options.items()), otsu_aois is None, otsu_aois is aois)).encode()).hexdigest()[:16]
+    folder, failed = f"{base}/rows-{how}", f"{base}/failed-{uuid.uuid4().hex}"
+    groups = place_batches(events, aois, batch_rows)
+    run = inheritable_thread_target(spark)(lambda g: _group_report(g, aois, dem, inputs, otsu_aois, method, options, folder, failed))
+    with ThreadPoolExecutor(max(1, min(at_a_time, len(groups)))) as pool:
+        errors = [e for found in pool.map(run, groups) for e in found]
+    if errors:
+        raise errors[0]
+    schema = StructType([events.schema["event_id"], *StructType.fromDDL(REPORT_COLUMNS).fields])
+    # One table, however many groups; rows of other events or methods that the folder holds are not part of this report.
+    schema = schema.add("grp", "string").add("kind", "string")
+    rows = spark.createDataFrame([], schema)
+    for part in (p for p in (folder, failed) if is_there(spark, p)):
+        rows = rows.unionByName(spark.read.schema(schema).parquet(part))
+    mine = spark.createDataFrame([(f"g{name}",) for name, _ in groups], "grp string")
+    report = rows.where(F.col("kind").isin(["sar", "s2"] if method == "both" else [method])).join(F.broadcast(mine), "grp", "left_semi").drop("grp", "kind")
+    if results:
+        return report
+    report = settle(report)
+    remove(spark, base)
+    return report

@@ -14,6 +14,10 @@ from ..sources.aoi import same_area_for
 from ..sources.control import settle
 
 
+#: Parts over which the events of one place are spread.
+EVENT_SALTS = 64
+
+
 @dataclass(frozen=True)
 class Area:
     """Spans of an area per event: their number, the cells in them, a bound for the rows of a tile cover, and the tiles
@@ -37,21 +41,44 @@ class Scope:
     otsu: Area
 
 
-def place_batches(events: DataFrame, aois: DataFrame, most_rows: int) -> list[DataFrame]:
+def _before(table: DataFrame, keys: list[str], within: list[str], name: str) -> DataFrame:
+    """``keys`` and ``name``, the sum of ``n`` over the groups that come before, among those that agree on ``within``."""
+    over = f"({f'PARTITION BY {', '.join(within)} ' if within else ''}ORDER BY {', '.join(keys)} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    return table.groupBy(*keys).agg(F.expr("sum(n) AS n")).selectExpr(*keys, f"coalesce(sum(n) OVER {over}, 0) AS {name}")
+
+
+def place_batches(events: DataFrame, aois: DataFrame, most_rows: int) -> list[tuple[str, DataFrame]]:
     """Events in groups that lie together and whose areas have at most about ``most_rows`` spans each, or one event.
 
-    What a run joins pixels to then stays small enough to be sent to every task, for any number of events.  Groups are formed
-    from one row per event; an event without an area goes with the first.
+    What a run joins pixels to then stays small enough to be sent to every task, for any number of events.  Each group comes with
+    a name that depends on its events, their dates and areas only.  An event without an area goes with the first.
+
+    Groups are cut where a running sum of spans passes a multiple of ``most_rows``.  The sum is taken in steps, over cells of 4
+    degrees (some thousands, whatever the events), over quarter degrees in them, over ``EVENT_SALTS`` parts of each, and over the events
+    of a part, so that no task has all events, nor all of one place.
     """
     size = f"((max(max_lat) - min(min_lat)) / {num(STEP_DEG)} + 3) * ((max(max_lon) - min(min_lon)) / {num(TILE * STEP_DEG)} + 2)"
     boxes = bounds(aois).groupBy("aoi_id").agg(F.expr(f"CAST({size} AS BIGINT) AS n"), F.expr("min(min_lon) AS lon"), F.expr("min(min_lat) AS lat"))
-    near = "ORDER BY floor(coalesce(lon, -200) / 4), floor(lat / 4), lon, lat, event_id"
-    sized = events.join(boxes.withColumnRenamed("aoi_id", "event_id"), "event_id", "left").selectExpr(
-        *events.columns, f"CAST(floor(greatest(sum(coalesce(n, 0)) OVER ({near}) - 1, 0) / {int(most_rows)}) AS BIGINT) AS batch"
-    )
+    shapes = aois.groupBy(F.col("aoi_id").alias("event_id")).agg(F.expr("bit_xor(xxhash64(part, ring, pts)) AS shape"))
+    sized = events.join(boxes.withColumnRenamed("aoi_id", "event_id"), "event_id", "left").join(shapes, "event_id", "left").selectExpr(
+        *[f"`{c}`" for c in events.columns],
+        "coalesce(n, 0) AS n", "floor(coalesce(lon, -200) / 4) AS _cx", "floor(coalesce(lat, -200) / 4) AS _cy", "floor(coalesce(lon, -200) * 4) AS _sx",
+        "floor(coalesce(lat, -200) * 4) AS _sy", f"pmod(xxhash64(event_id), {EVENT_SALTS}) AS _salt", "xxhash64(event_id, event_ts, shape) AS _hash",
+    )
     sized = settle(sized)
-    numbers = sorted(r.batch for r in sized.select("batch").distinct().collect())
-    return [sized.where(f"batch = {b}").drop("batch") for b in numbers] or [events]
+    named = [F.expr("count(*) AS events"), F.expr("hex(bit_xor(_hash)) AS name"), F.expr("sum(n) AS rows")]
+    whole = sized.agg(*named).first()
+    if (whole.rows or 0) <= most_rows:
+        return [(f"{whole.events}-{whole.name}", events)]
+    cell, place, part = ["_cx", "_cy"], ["_cx", "_cy", "_sx", "_sy"], ["_cx", "_cy", "_sx", "_sy", "_salt"]
+    steps = ((cell, [], "_a"), (place, cell, "_b"), (part, place, "_c"))
+    placed = sized
+    for keys, within, name in steps:
+        placed = placed.join(_before(sized, keys, within, name), keys)
+    upto = f"_a + _b + _c + sum(n) OVER (PARTITION BY {', '.join(part)} ORDER BY event_id ROWS UNBOUNDED PRECEDING)"
+    batched = settle(placed.selectExpr(*[f"`{c}`" for c in events.columns], "n", "_hash", f"CAST(floor(greatest({upto} - 1, 0) / {int(most_rows)}) AS BIGINT) AS batch"))
+    groups = batched.groupBy("batch").agg(*named).orderBy("batch").collect()
+    return [(f"{g.events}-{g.name}", batched.where(f"batch = {g.batch}").select(*events.columns)) for g in groups]
 
 
 def make_scope(events: DataFrame, aois: DataFrame, otsu_aois: DataFrame | None = None) -> Scope:

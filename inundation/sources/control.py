@@ -24,3 +24,23 @@ def settle(df: DataFrame) -> DataFrame:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
+
+
+def _file_system(spark: SparkSession, path: str):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def is_there(spark: SparkSession, path: str) -> bool:
+    fs, at = _file_system(spark, path)
+    return bool(fs.exists(at))
+
+
+def is_written(spark: SparkSession, path: str) -> bool:
+    """Was a table written there to its end?"""
+    return is_there(spark, f"{path}/_SUCCESS")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, at = _file_system(spark, path)
+    fs.delete(at, True)

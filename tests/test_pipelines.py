@@ -9,11 +9,12 @@ import __spark_entry__ as entry
 from check_queries import compare, duck
 from inundation.functions import geometry as G
 from inundation.operators import regions
+from inundation.operators.regions import polygon_spans
 from inundation.operators.change import align, pair_counts
 from inundation.operators.terrain import regrid_nearest
 from inundation.functions.grid import METERS_PER_DEGREE, STEP_DEG, TILE
 from inundation.operators.area import area_km2
-from inundation.plans import report, sar
+from inundation.plans import report, sar, scope
 from inundation.plans.optical import detect_ndwi
 from inundation.plans.scope import make_scope
 from inundation.sources.aoi import area_or_default, read_geojson
@@ -178,6 +179,71 @@ def test_groups_of_events_give_the_same_report(spark):
         assert [v if not isinstance(v, float) else pytest.approx(v, rel=1e-9) for v in a] == list(b)
 
 
+def many_small_events(spark, n):
+    """Events on one small scene, side by side and over each other, most of them at one place."""
+    scenes, s1, s2, _, _, dem, _ = world(spark)
+    events = spark.range(n).selectExpr("id AS event_id", "TIMESTAMP_NTZ '2025-06-02 00:00:00' AS event_ts")
+    ring = ", ".join(f"named_struct('lon', {x}, 'lat', {y})" for x, y in (("w", "6.101D"), ("w + 0.001D", "6.101D"), ("w + 0.001D", "6.102D"), ("w", "6.102D")))
+    area = events.selectExpr("event_id AS aoi_id", "1.1D + IF(event_id % 3 = 0, event_id % 40, 7) / 10000D AS w").selectExpr("aoi_id", "0 AS part", "0 AS ring", f"array({ring}) AS pts")
+    return scenes, s2, events, area, dem
+
+
+def test_batches_hold_every_event_once_and_keep_their_bound(spark):
+    *_, events, area, _ = many_small_events(spark, 500)
+    lone = events.unionByName(spark.createDataFrame([(900, datetime(2025, 6, 2))], EVENT))
+    batches = scope.place_batches(lone, area, 700)
+    ids = [sorted(r.event_id for r in b.collect()) for _, b in batches]
+    assert sorted(i for b in ids for i in b) == [*range(500), 900] and len(batches) > 10
+    rows_of = {r.aoi_id: r.n for r in polygon_spans(area).groupBy("aoi_id").agg(F.count("*").alias("n")).collect()}
+    assert max(sum(rows_of.get(i, 0) for i in b) for b in ids) < 2 * 700
+    again = scope.place_batches(lone.repartition(7), area.repartition(3), 700)
+    assert [n for n, _ in again] == [n for n, _ in batches] and len({n for n, _ in batches}) == len(batches)
+    moved = lone.withColumn("event_ts", F.expr("IF(event_id = 3, event_ts + INTERVAL 1 DAY, event_ts)"))
+    assert len({n for n, _ in scope.place_batches(moved, area, 700)} & {n for n, _ in batches}) == len(batches) - 1
+    assert len(scope.place_batches(lone, area, 10**6)) == 1
+
+
+def test_two_thousand_events_and_a_second_call_that_does_what_is_missing(spark, tmp_path, monkeypatch):
+    scenes, s2, events, area, dem = many_small_events(spark, 2000)
+    how = {"scenes_s2": scenes, "pixels_s2": s2, "method": "s2", "batch_rows": 25_000}
+    ran, plain = [], report.branch_runs
+
+    def counted(*args, **options):
+        runs = plain(*args, **options)
+
+        def run(name):
+            ran.append(name)
+            if len(ran) == 2 and broken:
+                raise RuntimeError("lost")
+            return runs[name]()
+
+        return {name: lambda name=name: run(name) for name in runs}
+
+    monkeypatch.setattr(report, "branch_runs", counted)
+    broken = True
+    folder = f"{tmp_path}/results"
+    n = len(scope.place_batches(events, area, 25_000))
+    assert n >= 3
+    with pytest.raises(RuntimeError, match="lost"):
+        report.flood_report(events, area, dem, results=folder, at_a_time=2, **how)
+    assert len(ran) == n  # the others had their turn
+    broken, before = False, len(ran)
+    out = report.flood_report(events, area, dem, results=folder, **how)
+    assert len(ran) == before + 1
+    got = out.collect()
+    assert len(got) == 2000 and {r.event_id for r in got} == set(range(2000)) and {r.status for r in got} == {"ok"}
+    # The plan reads one table, however many groups there were; a third call runs nothing.
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
+    assert report.flood_report(events, area, dem, results=folder, **how).count() == 2000 and len(ran) == before + 1
+    # Events of the same place have the same figures.
+    same = {r.area_km2 for r in got if r.event_id % 3}
+    assert len(same) == 1
+    # Other options or methods are other rows.
+    few, own = events.where("event_id < 3"), area.where("aoi_id < 3")
+    one = report.flood_report(few, own, dem, scenes_s2=scenes, pixels_s2=s2, method="s2", results=folder, min_connected=10**6)
+    assert {r.area_km2 for r in one.collect()} == {0.0}
+
+
 def test_a_branch_that_fails_leaves_the_other(spark):
     scenes, s1, s2, events, area, dem, _ = world(spark)
     out = {(r.event_id, r.method): r for r in report.flood_report(events, area, dem, scenes, s1.drop("VH"), scenes, s2, area).collect()}
