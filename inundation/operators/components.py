@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.grid import block_of
 from ..sources.control import settle
 from .blocks import map_blocks
+from .lookup import lookup_join
 
 BLOCK = 256
 
@@ -80,51 +81,63 @@ def least_linked(edges: DataFrame, keys: Sequence[str]) -> DataFrame:
     return now.selectExpr(*keys, "greatest(a, b) AS label", "least(a, b) AS root")
 
 
+def _local_patches(at: np.ndarray, block: int) -> pd.DataFrame:
+    """Each cell's patch within its block: the first cell, the size, and whether it reaches the block's border."""
+    x, y = at % block, at // block
+    root = _roots(x, y, block)
+    edge = (x == 0) | (x == block - 1) | (y == 0) | (y == block - 1)
+    reaches = np.bincount(root, weights=edge, minlength=len(at)) > 0
+    size = np.bincount(root, minlength=len(at))
+    return pd.DataFrame({"at": at, "first": at[root], "n": size[root].astype(np.int32), "open": reaches[root].astype(np.int32)})
+
+
 def connected_pixel_count(
-    images: DataFrame, by: Sequence[str] = ("event_id",), value: str | None = None, block: int = BLOCK
+    images: DataFrame, by: Sequence[str] = ("event_id",), value: str | None = None, block: int = BLOCK, cells: int | None = None
 ) -> DataFrame:
     """Size of each pixel's 8-connected patch, itself included, however large.
 
     ``images`` holds the valid pixels, each cell once per ``by``; with ``value`` only equal-valued neighbours connect.  Adds
-    ``component_size``.
+    ``component_size``.  ``cells`` estimates the cells of all images; see :func:`map_blocks`.
 
-    Pixels are labelled block by block.  Only cells on a block's border are then matched to their neighbours in other blocks, and
-    what is merged are labels, a few per block, not pixels.
+    Pixels are labelled block by block, and a patch that doesn't reach its block's border is done.  Only cells on a border are matched
+    to their neighbours in other blocks, what is merged are labels, a few per block, and only pixels of merged labels look up
+    their size, which is sent to them as long as the labels are few.
     """
     keys = [*by, *([value] if value else [])]
     pixels = images.select(*keys, "x", "y")
     if value:
         pixels = pixels.where(f"`{value}` IS NOT NULL")
 
-    def label(cells):
-        at = cells["at"].to_numpy()
-        return pd.DataFrame({"at": at, "first": at[_roots(at % block, at // block, block)]})
+    def label(frame):
+        return _local_patches(frame["at"].to_numpy(), block)
 
     named = [f"`{k}` AS k{i}" for i, k in enumerate(keys)]
     short = [f"k{i}" for i in range(len(keys))]
-    labelled = map_blocks(pixels, keys, [], 0, block, label, ["first"], "int").selectExpr(
-        *named, "x", "y", f"{block_of('x', block)} AS bx", f"{block_of('y', block)} AS by", "first"
+    labelled = map_blocks(pixels, keys, [], 0, block, label, ["first", "n", "open"], "int", cells).selectExpr(
+        *named, "x", "y", f"{block_of('x', block)} AS bx", f"{block_of('y', block)} AS by", "first", "n", "open"
     )
     label_of = _CELL.format(x=f"(bx * {block} + first % {block})", y=f"(by * {block} + floor(first / {block}))")
-    cells = settle(labelled.selectExpr(*short, "x", "y", f"{label_of} AS label"))
+    found = settle(labelled.selectExpr(*short, "x", "y", f"IF(open = 1, {label_of}, NULL) AS label", "n"))
+    # A patch that reaches a border has cells on it.
     inner = f"pmod(x, {block}) BETWEEN 1 AND {block - 2} AND pmod(y, {block}) BETWEEN 1 AND {block - 2}"
-    border = cells.where(f"NOT ({inner})")
+    border = found.where(f"label IS NOT NULL AND NOT ({inner})")
     steps = ", ".join(f"named_struct('nx', x + {dx}, 'ny', y + {dy})" for dx, dy in _FORWARD)
     other_block = f"{block_of('nx', block)} <> {block_of('x', block)} OR {block_of('ny', block)} <> {block_of('y', block)}"
     reach = border.selectExpr(*short, "x", "y", "label AS a", f"inline(array({steps}))").where(other_block)
     met = reach.drop("x", "y").join(border.selectExpr(*short, "x AS nx", "y AS ny", "label AS b"), [*short, "nx", "ny"])
     merged = least_linked(met.selectExpr(*short, "greatest(a, b) AS a", "least(a, b) AS b"), short)
-    # A label has a block's cells at most, so neither of these joins has a hot key; a patch of any size adds up map-side.
-    sizes = cells.groupBy(*short, "label").agg(F.expr("count(*) AS n"))
+    # A label has a block's border at most, so this join has no hot key; a patch of any size adds up map-side.
+    sizes = border.groupBy(*short, "label").agg(F.expr("max(n) AS n"))
     rooted = sizes.join(merged, [*short, "label"], "left").selectExpr(*short, "label", "n", "coalesce(root, label) AS root")
     patches = rooted.groupBy(*short, "root").agg(F.expr("sum(n) AS component_size"))
-    by_label = rooted.select(*short, "label", "root").join(patches, [*short, "root"]).drop("root")
-    return cells.join(by_label, [*short, "label"]).selectExpr(
-        *[f"k{i} AS `{k}`" for i, k in enumerate(keys)], "x", "y", "component_size"
-    )
+    by_label = settle(rooted.select(*short, "label", "root").join(patches, [*short, "root"]).drop("root"))
+    out = [*[f"k{i} AS `{k}`" for i, k in enumerate(keys)], "x", "y"]
+    closed = found.where("label IS NULL").selectExpr(*out, "CAST(n AS BIGINT) AS component_size")
+    opened = lookup_join(found.where("label IS NOT NULL").drop("n"), by_label, [*short, "label"], by_label.count(), salt=["x", "y"])
+    return closed.unionByName(opened.selectExpr(*out, "component_size"))
 
 
-def _counted_up_to(images: DataFrame, by: Sequence[str], enough: int) -> DataFrame:
+def _counted_up_to(images: DataFrame, by: Sequence[str], enough: int, cells: int | None = None) -> DataFrame:
     """``component_size`` as far as ``enough``, which a look ``enough - 1`` cells beyond each block decides.
 
     A patch that leaves this window has a path from the pixel to the outside, which already counts ``enough`` cells inside; one
@@ -133,24 +146,24 @@ def _counted_up_to(images: DataFrame, by: Sequence[str], enough: int) -> DataFra
     halo = enough - 1
     side = BLOCK + 2 * halo
 
-    def label(cells):
-        at = cells["at"].to_numpy()
+    def label(frame):
+        at = frame["at"].to_numpy()
         x, y = at % side, at // side
         core = (x >= halo) & (x < halo + BLOCK) & (y >= halo) & (y < halo + BLOCK)
         root = _roots(x, y, side)
         sizes = np.minimum(np.bincount(root, minlength=len(x))[root], enough).astype(np.int32)
         return pd.DataFrame({"at": at[core], "component_size": sizes[core]})
 
-    return map_blocks(images.select(*by, "x", "y"), by, [], halo, BLOCK, label, ["component_size"], "int")
+    return map_blocks(images.select(*by, "x", "y"), by, [], halo, BLOCK, label, ["component_size"], "int", cells)
 
 
-def drop_small_patches(extent: DataFrame, by: Sequence[str] = ("event_id",), min_connected: int = 8) -> DataFrame:
-    """Keep pixels of patches with at least ``min_connected`` cells; returns the ``by`` columns, x and y.
+def drop_small_patches(extent: DataFrame, by: Sequence[str] = ("event_id",), min_connected: int = 8, cells: int | None = None) -> DataFrame:
+    """Keep pixels of patches with at least ``min_connected`` cells; returns the ``by`` columns, x and y.  ``cells`` as above.
 
     The question needs no sizes beyond the minimum, so blocks look that far over their border; a minimum beyond a quarter of
     a block is answered by the sizes themselves.
     """
     if min_connected <= 1:
         return extent.select(*by, "x", "y")
-    sized = _counted_up_to(extent, by, min_connected) if min_connected <= BLOCK // 4 else connected_pixel_count(extent, by)
+    sized = _counted_up_to(extent, by, min_connected, cells) if min_connected <= BLOCK // 4 else connected_pixel_count(extent, by, cells=cells)
     return sized.where(f"component_size >= {int(min_connected)}").select(*by, "x", "y")

@@ -49,7 +49,7 @@ def refine_extent(
 
     With a scope, slopes are computed only around its areas.
     """
-    patches = drop_small_patches(flood, by, min_connected)
+    patches = drop_small_patches(flood, by, min_connected, None if scope is None else scope.aoi.cells)
     near = dem if scope is None else dem_near(dem, scope.aoi.cover(), dem_step=dem_step, envelope=scope.aoi.envelope)
     return drop_steep(patches, slope_degrees(near, dem_step), max_slope_deg, dem_step)
 
