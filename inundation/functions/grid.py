@@ -16,6 +16,10 @@ SCALE_M = 10.0
 STEP_DEG = SCALE_M / METERS_PER_DEGREE
 EARTH_RADIUS_M = 6371008.8
 
+#: Columns around the globe: those with their centre west of longitude 180.  The first lies to the east of the last; the last is cut
+#: short by 180, as 360 degrees aren't a whole number of cells.
+COLUMNS = math.ceil(360.0 / STEP_DEG - 0.5)
+
 #: Storage and pruning tile, in cells per side.
 TILE = 256
 
@@ -36,6 +40,11 @@ def cell_y(lat: str, step: float = STEP_DEG) -> str:
     return f"floor((90.0D - ({lat})) / {num(step)})"
 
 
+def columns(step: float = STEP_DEG) -> int:
+    """Columns of a grid of this step whose centres lie west of longitude 180."""
+    return math.ceil(360.0 / step - 0.5)
+
+
 def center_lon(x: str = "x", step: float = STEP_DEG) -> str:
     return f"(({x} + 0.5D) * {num(step)} - 180.0D)"
 

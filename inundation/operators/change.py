@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.bands import band_difference, binary, both_valid, new_water, update_mask
+from ..functions.grid import COLUMNS
 from .lookup import lookup_join
 
 SIDES = ("pre", "post")
@@ -59,7 +60,8 @@ def pair_counts(
     inside = "true"
     if footprint is not None:
         pairs = lookup_join(pairs, footprint, by, n_events, salt=["x", "y"])
-        inside = "x BETWEEN x_lo AND x_hi AND y BETWEEN y_lo AND y_hi"
+        # A footprint over longitude 180 ends beyond the last column.
+        inside = f"(x BETWEEN x_lo AND x_hi OR x + {COLUMNS} BETWEEN x_lo AND x_hi OR x - {COLUMNS} BETWEEN x_lo AND x_hi) AND y BETWEEN y_lo AND y_hi"
     counts = [F.expr(f"count(CASE WHEN {inside} THEN `{s}_{band}` END) AS {s}_px") for s in SIDES]
     return pairs.groupBy(*by).agg(*counts).withColumn("same_count", F.expr("pre_px = post_px"))
 

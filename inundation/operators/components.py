@@ -81,23 +81,24 @@ def least_linked(edges: DataFrame, keys: Sequence[str]) -> DataFrame:
     return now.selectExpr(*keys, "greatest(a, b) AS label", "least(a, b) AS root")
 
 
-def _local_patches(at: np.ndarray, block: int) -> pd.DataFrame:
-    """Each cell's patch within its block: the first cell, the size, and whether it reaches the block's border."""
+def _local_patches(at: np.ndarray, block: int, at_end: np.ndarray | bool = False) -> pd.DataFrame:
+    """Each cell's patch within its block: the first cell, the size, and whether it reaches the block's border or an end of the grid."""
     x, y = at % block, at // block
     root = _roots(x, y, block)
-    edge = (x == 0) | (x == block - 1) | (y == 0) | (y == block - 1)
+    edge = at_end | (x == 0) | (x == block - 1) | (y == 0) | (y == block - 1)
     reaches = np.bincount(root, weights=edge, minlength=len(at)) > 0
     size = np.bincount(root, minlength=len(at))
     return pd.DataFrame({"at": at, "first": at[root], "n": size[root].astype(np.int32), "open": reaches[root].astype(np.int32)})
 
 
 def connected_pixel_count(
-    images: DataFrame, by: Sequence[str] = ("event_id",), value: str | None = None, block: int = BLOCK, cells: int | None = None
-) -> DataFrame:
+    images: DataFrame, by: Sequence[str] = ("event_id",), value: str | None = None, block: int = BLOCK, cells: int | None = None,
+    columns: int | None = None,
+) -> DataFrame:
     """Size of each pixel's 8-connected patch, itself included, however large.
 
     ``images`` holds the valid pixels, each cell once per ``by``; with ``value`` only equal-valued neighbours connect.  Adds
-    ``component_size``.  ``cells`` estimates the cells of all images; see :func:`map_blocks`.
+    ``component_size``.  ``cells`` estimates the cells of all images, ``columns`` joins the ends of the grid; see :func:`map_blocks`.
 
     Pixels are labelled block by block, and a patch that doesn't reach its block's border is done.  Only cells on a border are matched
     to their neighbours in other blocks, what is merged are labels, a few per block, and only pixels of merged labels look up
@@ -109,21 +110,25 @@ def connected_pixel_count(
         pixels = pixels.where(f"`{value}` IS NOT NULL")
 
     def label(frame):
-        return _local_patches(frame["at"].to_numpy(), block)
+        return _local_patches(frame["at"].to_numpy(), block, frame["at_end"].to_numpy() == 1 if columns else False)
 
     named = [f"`{k}` AS k{i}" for i, k in enumerate(keys)]
     short = [f"k{i}" for i in range(len(keys))]
-    labelled = map_blocks(pixels, keys, [], 0, block, label, ["first", "n", "open"], "int", cells).selectExpr(
+    # The last column may lie anywhere in its block.
+    at_end = f"x = {columns - 1}" if columns else "false"
+    marked = pixels.selectExpr("*", f"CAST({at_end} AS TINYINT) AS at_end") if columns else pixels
+    labelled = map_blocks(marked, keys, ["at_end"] if columns else [], 0, block, label, ["first", "n", "open"], "int", cells).selectExpr(
         *named, "x", "y", f"{block_of('x', block)} AS bx", f"{block_of('y', block)} AS by", "first", "n", "open"
     )
     label_of = _CELL.format(x=f"(bx * {block} + first % {block})", y=f"(by * {block} + floor(first / {block}))")
     found = settle(labelled.selectExpr(*short, "x", "y", f"IF(open = 1, {label_of}, NULL) AS label", "n"))
     # A patch that reaches a border has cells on it.
     inner = f"pmod(x, {block}) BETWEEN 1 AND {block - 2} AND pmod(y, {block}) BETWEEN 1 AND {block - 2}"
-    border = found.where(f"label IS NOT NULL AND NOT ({inner})")
+    border = found.where(f"label IS NOT NULL AND (NOT ({inner}) OR {at_end})")
     steps = ", ".join(f"named_struct('nx', x + {dx}, 'ny', y + {dy})" for dx, dy in _FORWARD)
     other_block = f"{block_of('nx', block)} <> {block_of('x', block)} OR {block_of('ny', block)} <> {block_of('y', block)}"
-    reach = border.selectExpr(*short, "x", "y", "label AS a", f"inline(array({steps}))").where(other_block)
+    reach = border.selectExpr(*short, "x", "y", "label AS a", f"inline(array({steps}))")
+    reach = (reach.withColumn("nx", F.expr(f"pmod(nx, {columns})")) if columns else reach).where(other_block)
     met = reach.drop("x", "y").join(border.selectExpr(*short, "x AS nx", "y AS ny", "label AS b"), [*short, "nx", "ny"])
     merged = least_linked(met.selectExpr(*short, "greatest(a, b) AS a", "least(a, b) AS b"), short)
     # A label has a block's border at most, so this join has no hot key; a patch of any size adds up map-side.
@@ -137,7 +142,7 @@ def connected_pixel_count(
     return closed.unionByName(opened.selectExpr(*out, "component_size"))
 
 
-def _counted_up_to(images: DataFrame, by: Sequence[str], enough: int, cells: int | None = None) -> DataFrame:
+def _counted_up_to(images: DataFrame, by: Sequence[str], enough: int, cells: int | None = None, columns: int | None = None) -> DataFrame:
     """``component_size`` as far as ``enough``, which a look ``enough - 1`` cells beyond each block decides.
 
     A patch that leaves this window has a path from the pixel to the outside, which already counts ``enough`` cells inside; one
@@ -154,16 +159,22 @@ def _counted_up_to(images: DataFrame, by: Sequence[str], enough: int, cells: int
         sizes = np.minimum(np.bincount(root, minlength=len(x))[root], enough).astype(np.int32)
         return pd.DataFrame({"at": at[core], "component_size": sizes[core]})
 
-    return map_blocks(images.select(*by, "x", "y"), by, [], halo, BLOCK, label, ["component_size"], "int", cells)
+    return map_blocks(images.select(*by, "x", "y"), by, [], halo, BLOCK, label, ["component_size"], "int", cells, columns)
 
 
-def drop_small_patches(extent: DataFrame, by: Sequence[str] = ("event_id",), min_connected: int = 8, cells: int | None = None) -> DataFrame:
-    """Keep pixels of patches with at least ``min_connected`` cells; returns the ``by`` columns, x and y.  ``cells`` as above.
+def drop_small_patches(
+    extent: DataFrame, by: Sequence[str] = ("event_id",), min_connected: int = 8, cells: int | None = None, columns: int | None = None
+) -> DataFrame:
+    """Keep pixels of patches with at least ``min_connected`` cells; returns the ``by`` columns, x and y.  ``cells`` and ``columns`` as above.
 
     The question needs no sizes beyond the minimum, so blocks look that far over their border; a minimum beyond a quarter of
     a block is answered by the sizes themselves.
     """
     if min_connected <= 1:
         return extent.select(*by, "x", "y")
-    sized = _counted_up_to(extent, by, min_connected, cells) if min_connected <= BLOCK // 4 else connected_pixel_count(extent, by, cells=cells)
+    sized = (
+        _counted_up_to(extent, by, min_connected, cells, columns)
+        if min_connected <= BLOCK // 4
+        else connected_pixel_count(extent, by, cells=cells, columns=columns)
+    )
     return sized.where(f"component_size >= {int(min_connected)}").select(*by, "x", "y")

@@ -59,13 +59,15 @@ def speckle_smooth(
     fill_masked: bool = True,
     block: int = BLOCK,
     cells: int | None = None,
+    columns: int | None = None,
 ) -> DataFrame:
     """Focal mean of each band, ignoring masked neighbours.
 
     With ``fill_masked`` a masked pixel takes the mean of its valid neighbours, so the image grows by the kernel radius; without,
     the mask is kept.  An image is the set of rows sharing the ``by`` columns; a (cell, band) must be non-null at most once
     in it.  One shuffle: pixels go to blocks with a halo, so a hot image spreads over as many tasks as it has blocks, and a
-    task holds one block at a time.  ``cells`` estimates the cells of all images; see :func:`map_blocks`.
+    task holds one block at a time.  ``cells`` estimates the cells of all images, ``columns`` joins the ends of the grid; see
+    :func:`map_blocks`.
     """
     bands = list(bands)
     r = radius_in_cells(radius_m)
@@ -75,4 +77,4 @@ def speckle_smooth(
     def smooth(cells):
         return _smooth_block(cells, bands, r, block, fill_masked)
 
-    return map_blocks(needed, by, bands, r, block, smooth, bands, "double", cells)
+    return map_blocks(needed, by, bands, r, block, smooth, bands, "double", cells, columns)

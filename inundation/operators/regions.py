@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.geometry import edges
 from ..functions.grid import (
+    COLUMNS,
     EARTH_RADIUS_M,
     READ_TILE,
     STEP_DEG,
@@ -22,6 +23,7 @@ from ..functions.grid import (
     cell_y,
     center_lat,
     center_lon,
+    columns,
     distance_m,
     num,
 )
@@ -42,10 +44,29 @@ def _split_by_tile(rows: DataFrame) -> DataFrame:
     )
 
 
+def _around(area: DataFrame) -> DataFrame:
+    """Rings that go beyond longitude 180 also as they lie a turn further, where the grid begins or ends."""
+    ends = [f"array_{f}(transform(pts, p -> p.lon)) {beyond}" for f, beyond in (("max", "> 180"), ("min", "< -180"))]
+    turns = f"filter(array(0.0D, IF({ends[0]}, -360.0D, NULL), IF({ends[1]}, 360.0D, NULL)), t -> t IS NOT NULL)"
+    turned = area.select("aoi_id", "part", "ring", "pts", F.expr(f"explode({turns})").alias("turn"))
+    moved = "transform(pts, p -> named_struct('lon', p.lon + turn, 'lat', p.lat))"
+    return turned.selectExpr("aoi_id", "part", "ring", f"IF(turn = 0, pts, {moved}) AS pts")
+
+
+def _on_grid(spans: DataFrame, step: float) -> DataFrame:
+    """Spans within the columns of the grid."""
+    last = columns(step) - 1
+    inside = spans.where(f"x_hi >= 0 AND x_lo <= {last}")
+    return inside.withColumns({"x_lo": F.expr("greatest(x_lo, 0L)"), "x_hi": F.expr(f"least(x_hi, {last}L)")})
+
+
 def polygon_spans(area: DataFrame, step: float = STEP_DEG) -> DataFrame:
-    """Cells whose centre is inside: even-odd within a part, union over the parts of an area."""
+    """Cells whose centre is inside: even-odd within a part, union over the parts of an area.
+
+    A polygon over longitude 180 has points beyond it (or beyond -180); its spans are then at both ends of the grid.
+    """
     top, bottom = cell_y("greatest(lat1, lat2)", step), cell_y("least(lat1, lat2)", step)
-    rows = edges(area).selectExpr("*", f"explode(sequence({top} - 1, {bottom} + 1)) AS y")
+    rows = edges(_around(area)).selectExpr("*", f"explode(sequence({top} - 1, {bottom} + 1)) AS y")
     crossed = rows.withColumn("lat", F.expr(center_lat("y", step))).where("(lat1 > lat) != (lat2 > lat)")
     at = crossed.selectExpr(
         "aoi_id", "part", "y", "(lon2 - lon1) * (lat - lat1) / (lat2 - lat1) + lon1 AS lon"
@@ -73,7 +94,7 @@ def polygon_spans(area: DataFrame, step: float = STEP_DEG) -> DataFrame:
         .groupBy("aoi_id", "y", "run")
         .agg(F.expr("min(x_lo) AS x_lo"), F.expr("max(x_hi) AS x_hi"))
     )
-    return _split_by_tile(merged)
+    return _split_by_tile(_on_grid(merged, step))
 
 
 def within_buffer(lon: str, lat: str, lon0: str, lat0: str, meters: float) -> str:
@@ -85,8 +106,11 @@ def within_buffer(lon: str, lat: str, lon0: str, lat0: str, meters: float) -> st
 
 
 def buffer_spans(centers: DataFrame, step: float = STEP_DEG) -> DataFrame:
-    """Spans of circles: ``centers`` has aoi_id, lon, lat, meters."""
+    """Spans of circles: ``centers`` has aoi_id, lon, lat, meters.  A circle over longitude 180 has spans at both ends of the grid."""
     reach = f"meters / {num(_DEGREE_M)}"
+    # A circle far from 180 has nothing a turn further; its spans there are off the grid.
+    turns = "explode(CASE WHEN lon > 90 THEN array(0.0D, -360.0D) WHEN lon < -90 THEN array(0.0D, 360.0D) ELSE array(0.0D) END)"
+    centers = centers.withColumn("turn", F.expr(turns)).withColumn("lon", F.expr("lon + turn")).drop("turn")
     rows = centers.selectExpr(
         "*", f"explode(sequence({cell_y(f'lat + {reach}', step)}, {cell_y(f'lat - {reach}', step)})) AS y"
     ).withColumn("row_lat", F.expr(center_lat("y", step)))
@@ -109,7 +133,7 @@ def buffer_spans(centers: DataFrame, step: float = STEP_DEG) -> DataFrame:
         f"CASE WHEN {inside('(a - 1)')} THEN a - 1 WHEN {inside('a')} THEN a ELSE a + 1 END AS x_lo",
         f"CASE WHEN {inside('(b + 1)')} THEN b + 1 WHEN {inside('b')} THEN b ELSE b - 1 END AS x_hi",
     )
-    return _split_by_tile(spans.where("x_lo <= x_hi"))
+    return _split_by_tile(_on_grid(spans.where("x_lo <= x_hi"), step))
 
 
 def footprints(images: DataFrame, by: list[str], step: float = STEP_DEG) -> DataFrame:
@@ -128,15 +152,17 @@ def footprints(images: DataFrame, by: list[str], step: float = STEP_DEG) -> Data
 
 
 def cover(spans: DataFrame, halo: int = 0, tile: int = READ_TILE) -> DataFrame:
-    """Tiles touched by an area grown by ``halo`` cells, each with the box of the grown area around it."""
+    """Tiles touched by an area grown by ``halo`` cells, each with the box of the grown area around it.
+
+    What grows over one end of the grid goes on at the other.
+    """
+    n, x0, x1 = COLUMNS, f"x_lo - {halo}", f"x_hi + {halo}"
+    box = lambda a, b: f"named_struct('x0', CAST({a} AS BIGINT), 'x1', CAST({b} AS BIGINT))"
+    over = [f"IF({x0} < 0, {box(f'{x0} + {n}', n - 1)}, NULL)", f"IF({x1} >= {n}, {box(0, f'{x1} - {n}')}, NULL)"]
+    pieces = f"array({box(f'greatest({x0}, 0)', f'least({x1}, {n - 1})')}, {', '.join(over)})"
+    grown = spans.selectExpr("aoi_id", "y", f"inline(filter({pieces}, p -> p IS NOT NULL))")
     return (
-        spans.selectExpr(
-            "aoi_id",
-            f"x_lo - {halo} AS x0",
-            f"x_hi + {halo} AS x1",
-            "y",
-            f"explode(sequence({block_of(f'x_lo - {halo}', tile)}, {block_of(f'x_hi + {halo}', tile)})) AS tx",
-        )
+        grown.selectExpr("aoi_id", "x0", "x1", "y", f"explode(sequence({block_of('x0', tile)}, {block_of('x1', tile)})) AS tx")
         .groupBy("aoi_id", "tx", "y")
         .agg(F.expr("min(x0) AS x0"), F.expr("max(x1) AS x1"))
         .selectExpr(

@@ -16,14 +16,20 @@ DEM_BLOCK = 128
 
 
 def slope_degrees(dem: DataFrame, step: float = DEM_STEP_DEG, block: int = DEM_BLOCK) -> DataFrame:
-    """Slope in degrees from the four neighbours; NULL where one is missing.  ``dem`` has gx, gy, elevation.
+    """Slope in degrees from the four neighbours; NULL where one is missing.  ``dem`` has gx, gy, elevation.  The first column is the
+    last one's neighbour, where a whole number of cells goes around the globe.
 
     Cells go to their block plus a one-cell halo; the windows along both axes contain the block key, so one shuffle serves
     both and a window never holds more than a block row.
     """
+    n = round(360.0 / step)
+    whole = math.isclose(n * step, 360.0, rel_tol=1e-12)
+    turns = f"CASE WHEN gx = 0 THEN array(gx, gx + {n}) WHEN gx = {n - 1} THEN array(gx, gx - {n}) ELSE array(gx) END"
+    rows = dem.selectExpr("CAST(gx AS BIGINT) AS gx", "CAST(gy AS BIGINT) AS gy", "CAST(elevation AS DOUBLE) AS z")
+    if whole:
+        rows = rows.selectExpr(f"explode({turns}) AS gx", "gy", "z")
     blocked = (
-        dem.selectExpr("CAST(gx AS BIGINT) AS gx", "CAST(gy AS BIGINT) AS gy", "CAST(elevation AS DOUBLE) AS z")
-        .selectExpr("*", f"{spread('gx', 1, block)} AS bx")
+        rows.selectExpr("*", f"{spread('gx', 1, block)} AS bx")
         .selectExpr("*", f"{spread('gy', 1, block)} AS by")
         .repartition("bx", "by")
     )
@@ -41,7 +47,7 @@ def slope_degrees(dem: DataFrame, step: float = DEM_STEP_DEG, block: int = DEM_B
     return (
         blocked.selectExpr("*", *neighbours("gx", "gy"))
         .selectExpr("*", *neighbours("gy", "gx"))
-        .where(f"{block_of('gx', block)} = bx AND {block_of('gy', block)} = by")
+        .where(f"{block_of('gx', block)} = bx AND {block_of('gy', block)} = by" + (f" AND gx BETWEEN 0 AND {n - 1}" if whole else ""))
         .selectExpr("gx", "gy", "z AS elevation", f"{per_x} AS px", f"{per_y} AS py")
         .selectExpr("gx", "gy", "elevation", "degrees(atan(sqrt(px * px + py * py))) AS slope_deg")
     )
@@ -79,8 +85,12 @@ def dem_near(
             f"floor((({t} + 1) * {num(tile * ratio)} + 2) / {size})))"
         )
 
+    # A block beyond one end of the grid is the one at the other.
+    n = -(-round(360.0 / dem_step) // size)
     wanted = (
-        cover.selectExpr("ty", f"{blocks('tx')} AS _bx").selectExpr("_bx", f"{blocks('ty')} AS _by").distinct()
+        cover.selectExpr("ty", f"{blocks('tx')} AS _bx")
+        .selectExpr(f"CASE WHEN _bx < 0 THEN _bx + {n} WHEN _bx >= {n} THEN _bx - {n} ELSE _bx END AS _bx", f"{blocks('ty')} AS _by")
+        .distinct()
     )
     keyed = dem.selectExpr("*", f"floor(gx / {size}) AS _bx", f"floor(gy / {size}) AS _by")
     return keyed.join(wanted, ["_bx", "_by"], "left_semi").drop("_bx", "_by")

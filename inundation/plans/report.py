@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..functions.grid import COLUMNS
 from ..operators.area import area_km2
 from ..operators.components import drop_small_patches
 from ..operators.lookup import BROADCAST_ROWS, lookup_join
@@ -49,7 +50,7 @@ def refine_extent(
 
     With a scope, slopes are computed only around its areas.
     """
-    patches = drop_small_patches(flood, by, min_connected, None if scope is None else scope.aoi.cells)
+    patches = drop_small_patches(flood, by, min_connected, None if scope is None else scope.aoi.cells, COLUMNS)
     near = dem if scope is None else dem_near(dem, scope.aoi.cover(), dem_step=dem_step, envelope=scope.aoi.envelope)
     return drop_steep(patches, slope_degrees(near, dem_step), max_slope_deg, dem_step)
 

@@ -9,7 +9,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.grid import cell_x, cell_y, radius_in_cells
+from ..functions.grid import COLUMNS, cell_x, cell_y, radius_in_cells
 from ..operators.change import common_mask, pair_counts, side_by_side, water_below, with_threshold_band
 from ..operators.focal import speckle_smooth
 from ..operators.histogram import otsu_threshold
@@ -64,7 +64,7 @@ def smoothed_pairs(
         pixels, picks, area.cover(halo), bands, rows=2 * area.tile_rows, envelope=area.envelope
     )
     names = [f"{s}_{b}" for s in ("pre", "post") for b in bands]
-    smooth = speckle_smooth(side_by_side(rows, bands), names, by=["event_id"], radius_m=radius_m, cells=area.cells)
+    smooth = speckle_smooth(side_by_side(rows, bands), names, by=["event_id"], radius_m=radius_m, cells=area.cells, columns=COLUMNS)
     return clip(smooth, area.spans, "event_id", area.span_rows)
 
 

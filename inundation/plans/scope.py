@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geometry import DEFAULT_OTSU_AOI, bounds, ring_edges
-from ..functions.grid import READ_TILE, STEP_DEG, TILE, block_of, num
+from ..functions.grid import COLUMNS, READ_TILE, STEP_DEG, TILE, block_of, num
 from ..operators.regions import cover, polygon_spans
 from ..sources.aoi import same_area_for
 from ..sources.control import settle
@@ -128,7 +128,12 @@ def make_scope(events: DataFrame, aois: DataFrame, otsu_aois: DataFrame | None =
     def area(kind):
         own = spans.where(f"kind = {kind}").drop("kind")
         r = found.get(kind)
-        return Area(own, r.n, r.cells, r.tiles, (r.x0 - 1, r.x1 + 1, r.y0 - 1, r.y1 + 1)) if r else Area(own, 0, 0, 0, (0, 0, 0, 0))
+        if not r:
+            return Area(own, 0, 0, 0, (0, 0, 0, 0))
+        # Beside one end of the grid, what is near may lie at the other.
+        last = (COLUMNS - 1) // TILE
+        x0, x1 = (0, last) if r.x0 < 1 or r.x1 > last - 1 else (r.x0 - 1, r.x1 + 1)
+        return Area(own, r.n, r.cells, r.tiles, (x0, x1, r.y0 - 1, r.y1 + 1))
 
     aoi = area(0)
     return Scope(placed, placed.count(), aoi, aoi if same else area(1))
