@@ -69,7 +69,7 @@ def op6_warc(spark, d):
     keep(warc.normalise(written, f"{folder}/crawl", f"{folder}/records"), "warc-index")
     read = warc.read_records(warc.read_index(spark, f"{folder}/records"), f"{folder}/records", payloads=False)
     # Read once; revisits are then put to the responses.
-    return warc.resolve_revisits(keep(read.drop("payload"), "warc-read")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
+    return warc.resolve_revisits(keep(read.drop("payload", "uri"), "warc-read")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
 
 
 def _op6_sql() -> str:

@@ -37,6 +37,8 @@ LEVEL = 1
 BUFFER = 1 << 20
 #: Records that share a response's id are dealt over so many parts while they are matched to it.
 SALTS = 64
+#: Parts over which the revisits of one response are spread when they are put to it.
+REVISIT_SALTS = 16
 #: Bytes of payloads in a batch of records that were read.
 BATCH_BYTES = 8 << 20
 
@@ -253,7 +255,7 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
 
     A revisit is intact if a response with its digest is stored under the id that it refers to, whole and of the size that the
     revisit gives; without such a response its size and digest are null.  Only ids, digests and sizes are shuffled, and revisits of one response are spread over
-    ``SALTS`` parts.
+    ``REVISIT_SALTS`` parts.
     """
     slim = records.select("page_id", "record_type", "refers_to", "payload_bytes", "payload_digest", "intact")
     asked = slim.where("record_type = 'revisit'").select("refers_to", "payload_digest").distinct()
@@ -261,13 +263,14 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     held = held.agg(F.max("payload_bytes").alias("found_bytes"), F.max("intact").alias("found_intact"))
     match = F.col("refers_to").eqNullSafe(F.col("found_id")) & (F.col("payload_digest") == F.col("found_digest"))
     found = asked.join(held, match).select("found_id", "found_digest", "found_bytes", "found_intact")
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    found = found.withColumn("found_salt", salts)
-    salted = records.withColumn("salt", F.pmod(F.xxhash64("page_id", "uri"), F.lit(SALTS)).cast("int"))
+    # Digests travel as bytes, half as long as their digits.
+    salts = F.explode(F.sequence(F.lit(0), F.lit(REVISIT_SALTS - 1)))
+    found = found.withColumn("found_digest", F.unhex("found_digest")).withColumn("found_salt", salts)
+    salted = records.withColumn("salt", F.pmod(F.xxhash64("page_id"), F.lit(REVISIT_SALTS)).cast("int")).withColumn("digest", F.unhex("payload_digest"))
     revisits, others = salted.where("record_type = 'revisit'"), records.where("record_type <> 'revisit'")
-    on = (F.col("salt") == F.col("found_salt")) & F.col("refers_to").eqNullSafe(F.col("found_id")) & (F.col("payload_digest") == F.col("found_digest"))
+    on = (F.col("salt") == F.col("found_salt")) & F.col("refers_to").eqNullSafe(F.col("found_id")) & (F.col("digest") == F.col("found_digest"))
     intact = F.coalesce(F.col("found_intact") & (F.col("found_bytes") == F.col("payload_bytes")), F.lit(False))
-    proven = revisits.join(found, on, "left").withColumns({"intact": intact, "payload_bytes": F.col("found_bytes"), "payload_digest": F.col("found_digest")})
+    proven = revisits.join(found, on, "left").withColumns({"intact": intact, "payload_bytes": F.col("found_bytes"), "payload_digest": F.lower(F.hex("found_digest"))})
     return others.unionByName(proven.select(*records.columns))
 
 
