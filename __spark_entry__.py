@@ -204,7 +204,7 @@ def clip_many(spark, d):
     scope = make_scope(events, areas, areas)
     tiles = scope.aoi.cover().withColumnRenamed("aoi_id", "event_id")
     px = regions.in_areas(fx.view(spark, d, "s1_px").select("scene_id", "x", "y"), tiles, rows=scope.aoi.tile_rows)
-    inside = regions.clip(px.select("event_id", "scene_id", "x", "y"), scope.aoi.spans, "event_id", scope.aoi.span_rows)
+    inside = regions.clip_tiles(px.select("event_id", "scene_id", "x", "y"), scope.aoi.shapes, "event_id", scope.aoi.shape_rows)
     return inside.groupBy("event_id").agg(F.count("*").alias("pixels"), F.countDistinct("scene_id").alias("scenes"))
 
 

@@ -1,9 +1,11 @@
 """Areas on the grid: row spans, tile covers, clipping.
 
-A polygon becomes *spans*: for each grid row the intervals of cells whose centres lie inside.  A clip is then an equi-join on
-``(tile_x, y)`` with an interval test, for one area or for thousands, and no pixel ever meets a polygon edge.
+A polygon becomes *spans*: for each grid row the intervals of cells whose centres lie inside, and spans become *shapes*: tiles that lie
+inside as a whole, and tiles on the border with their intervals.  A clip is then an equi-join by tile, for one area or for thousands, and no
+pixel ever meets a polygon edge.
 
 ``spans`` : aoi_id, tile_x, y, x_lo, x_hi (disjoint within a row)
+``shapes``: aoi_id, tx, ty, inner, lo, hi
 ``cover`` : aoi_id, tx, ty, x0, x1, y0, y1
 """
 
@@ -27,6 +29,7 @@ from ..functions.grid import (
     distance_m,
     num,
 )
+from ..sources.control import settle
 from .lookup import lookup_join
 
 #: Metres per degree of latitude, a little low, so that boxes around circles come out a little large.
@@ -179,17 +182,54 @@ def cover(spans: DataFrame, halo: int = 0, tile: int = READ_TILE) -> DataFrame:
     )
 
 
-def clip(images: DataFrame, spans: DataFrame, by: str | None = None, rows: int | None = None) -> DataFrame:
-    """Keep the pixels inside the area.
+def tile_shapes(spans: DataFrame, tile: int = READ_TILE) -> DataFrame:
+    """What each tile holds of an area: ``aoi_id, tx, ty, inner, lo, hi``.
 
-    ``by`` names the image column holding the area id; without it every pixel is tested against all spans, which must then
-    be of one area.  ``rows`` bounds the number of spans; see :func:`lookup_join`.
+    An inner tile lies in the area as a whole and needs no more than that.  A border tile has, for each of its rows, the first and the last
+    column inside (64 and -1 where there is none); where a row has several spans, the tile has a row of this table for each.
+    So an area sends a row per tile, and lines of cells only along its border.
+    """
+    cut = (
+        spans.selectExpr("aoi_id", "y", "x_lo", "x_hi", f"explode(sequence({block_of('x_lo', tile)}, {block_of('x_hi', tile)})) AS tx")
+        .selectExpr(
+            "aoi_id", "tx", f"{block_of('y', tile)} AS ty", f"CAST(pmod(y, {tile}) AS INT) AS r", f"CAST(greatest(x_lo - tx * {tile}, 0) AS TINYINT) AS lo",
+            f"CAST(least(x_hi - tx * {tile}, {tile - 1}) AS TINYINT) AS hi",
+        )
+        .repartition("aoi_id", "tx", "ty")
+    )
+    layered = cut.selectExpr("*", "row_number() OVER (PARTITION BY aoi_id, tx, ty, r ORDER BY lo) AS layer")
+    grouped = layered.groupBy("aoi_id", "tx", "ty", "layer").agg(
+        F.expr(f"sum(hi - lo + 1) = {tile * tile} AS inner"), F.expr("map_from_entries(collect_list(struct(r, struct(lo, hi)))) AS m")
+    )
+    line = lambda end, none: f"IF(inner, NULL, transform(sequence(0, {tile - 1}), i -> coalesce(m[i].{end}, CAST({none} AS TINYINT))))"
+    return grouped.selectExpr("aoi_id", "tx", "ty", "inner", f"{line('lo', tile)} AS lo", f"{line('hi', -1)} AS hi")
+
+
+def clip_tiles(images: DataFrame, shapes: DataFrame, by: str | None = None, rows: int | None = None, tile: int = READ_TILE) -> DataFrame:
+    """Keep the pixels inside the area that :func:`tile_shapes` describes.
+
+    ``by`` names the image column holding the area id; without it every pixel is tested against all shapes, which must then
+    be of one area.  ``rows`` bounds the number of shapes; see :func:`lookup_join`.
     """
     # Spans of one row are disjoint, so a pixel meets at most one and the join cannot repeat it.
-    s = spans.selectExpr(*([f"aoi_id AS {by}"] if by else []), "tile_x", "y", "x_lo", "x_hi")
-    on = [*([by] if by else []), "tile_x", "y"]
-    tiled = images.withColumn("tile_x", F.expr(block_of("x")))
-    return lookup_join(tiled, s, on, rows).where("x BETWEEN x_lo AND x_hi").select(*images.columns)
+    s = shapes.selectExpr(*([f"aoi_id AS {by}"] if by else []), "tx", "ty", "inner", "lo", "hi")
+    tiled = images.selectExpr("*", f"{block_of('x', tile)} AS tx", f"{block_of('y', tile)} AS ty")
+    joined = lookup_join(tiled, s, [*([by] if by else []), "tx", "ty"], rows, salt=["x", "y"])
+    r = f"CAST(y - ty * {tile} AS INT)"
+    return joined.where(f"inner OR x - tx * {tile} BETWEEN lo[{r}] AND hi[{r}]").select(*images.columns)
+
+
+def clip(images: DataFrame, spans: DataFrame, by: str | None = None, rows: int | None = None) -> DataFrame:
+    """Keep the pixels inside the area that the spans give.  ``by`` as in :func:`clip_tiles`.
+
+    ``rows`` bounds the number of spans; where it isn't known, their tiles are worked out and counted first.
+    """
+    shapes = tile_shapes(spans)
+    if rows is not None:
+        # A span goes over as many read tiles as a storage tile is wide, at most.
+        return clip_tiles(images, shapes, by, rows * (TILE // READ_TILE))
+    shapes = settle(shapes)
+    return clip_tiles(images, shapes, by, shapes.count())
 
 
 def with_tile(images: DataFrame) -> DataFrame:

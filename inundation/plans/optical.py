@@ -10,7 +10,7 @@ from ..functions.bands import cloud_masked_reflectance, ndwi_water
 from ..operators.change import common_mask, pair_counts, with_flood
 from ..operators.composite import median_of
 from ..operators.lookup import lookup_join
-from ..operators.regions import clip
+from ..operators.regions import clip_tiles
 from ..sources import catalog
 from ..sources.control import settle
 from ..sources.rasters import read_pixels, require_bands
@@ -50,7 +50,7 @@ def median_pairs(
     if cloud_mask:
         rows = rows.withColumns({b: F.expr(cloud_masked_reflectance(b)) for b in BANDS})
     outputs = {f"{s}_{b}": f"CASE WHEN side = '{s}' THEN {b} END" for s in ("pre", "post") for b in BANDS}
-    return median_of(clip(rows, area.spans, "event_id", area.span_rows), outputs, ["event_id", "x", "y"])
+    return median_of(clip_tiles(rows, area.shapes, "event_id", area.shape_rows), outputs, ["event_id", "x", "y"])
 
 
 def ndwi_pairs(medians: DataFrame) -> DataFrame:

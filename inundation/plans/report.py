@@ -193,7 +193,7 @@ def flood_report(
 
     ``events``: event_id, event_ts; ``aois``: the area of each event under its id.  Every event gets a row per method.  A method
     that lacks scenes or an area for an event, or that fails, reports why and does not touch the other; only if all fail is the
-    error raised.  Events run in groups that lie together, each with areas of at most about ``batch_rows`` spans, so what a
+    error raised.  Events run in groups that lie together, each with areas of at most about ``batch_rows`` tiles, so what a
     run keeps and sends to every task doesn't grow with the number of events, and ``at_a_time`` groups at once.  ``options`` are those of
     :func:`branch_runs`.
 

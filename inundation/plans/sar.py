@@ -13,7 +13,7 @@ from ..functions.grid import COLUMNS, cell_x, cell_y, radius_in_cells
 from ..operators.change import common_mask, pair_counts, side_by_side, water_below, with_threshold_band
 from ..operators.focal import speckle_smooth
 from ..operators.histogram import otsu_threshold
-from ..operators.regions import clip
+from ..operators.regions import clip_tiles
 from ..sources import catalog
 from ..sources.control import settle
 from ..sources.rasters import read_pixels, require_bands
@@ -65,7 +65,7 @@ def smoothed_pairs(
     )
     names = [f"{s}_{b}" for s in ("pre", "post") for b in bands]
     smooth = speckle_smooth(side_by_side(rows, bands), names, by=["event_id"], radius_m=radius_m, cells=area.cells, columns=COLUMNS)
-    return clip(smooth, area.spans, "event_id", area.span_rows)
+    return clip_tiles(smooth, area.shapes, "event_id", area.shape_rows)
 
 
 def detect_sar(
@@ -133,10 +133,10 @@ def sar_branch(
     if scope.otsu is scope.aoi:
         otsu = pairs
     elif scope.otsu.cells > SMALL_REGION * scope.aoi.cells:
-        otsu = clip(pairs, scope.otsu.spans, "event_id", scope.otsu.span_rows)
+        otsu = clip_tiles(pairs, scope.otsu.shapes, "event_id", scope.otsu.shape_rows)
     else:
         region = smoothed_pairs(pixels, picks, scope.otsu, bands, radius_m)
-        otsu = clip(region, scope.aoi.spans, "event_id", scope.aoi.span_rows).persist(StorageLevel.MEMORY_AND_DISK)
+        otsu = clip_tiles(region, scope.aoi.shapes, "event_id", scope.aoi.shape_rows).persist(StorageLevel.MEMORY_AND_DISK)
         kept.append(otsu)
     ok = coverage.where("status = 'ok'")
     found = detect_sar(pairs, otsu, ok, bands, band, footprint_before(picks), scope.n_events)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.geometry import DEFAULT_OTSU_AOI, bounds, ring_edges
 from ..functions.grid import COLUMNS, READ_TILE, STEP_DEG, TILE, block_of, num
-from ..operators.regions import cover, polygon_spans
+from ..operators.regions import cover, polygon_spans, tile_shapes
 from ..sources.aoi import same_area_for
 from ..sources.control import settle
 
@@ -20,11 +20,13 @@ EVENT_SALTS = 64
 
 @dataclass(frozen=True)
 class Area:
-    """Spans of an area per event: their number, the cells in them, a bound for the rows of a tile cover, and the tiles
-    around all of them."""
+    """Spans of an area per event and their number, the shapes of its tiles and their number, the cells in them, a bound for the rows of a tile
+    cover, and the tiles around all of them."""
 
     spans: DataFrame
     span_rows: int
+    shapes: DataFrame
+    shape_rows: int
     cells: int
     tile_rows: int
     envelope: tuple[int, int, int, int]
@@ -48,16 +50,16 @@ def _before(table: DataFrame, keys: list[str], within: list[str], name: str) ->
 
 
 def place_batches(events: DataFrame, aois: DataFrame, most_rows: int) -> list[tuple[str, DataFrame]]:
-    """Events in groups that lie together and whose areas have at most about ``most_rows`` spans each, or one event.
+    """Events in groups that lie together and whose areas have at most about ``most_rows`` tiles each, or one event.
 
     What a run joins pixels to then stays small enough to be sent to every task, for any number of events.  Each group comes with
     a name that depends on its events, their dates and areas only.  An event without an area goes with the first.
 
-    Groups are cut where a running sum of spans passes a multiple of ``most_rows``.  The sum is taken in steps, over cells of 4
+    Groups are cut where a running sum of tiles passes a multiple of ``most_rows``.  The sum is taken in steps, over cells of 4
     degrees (some thousands, whatever the events), over quarter degrees in them, over ``EVENT_SALTS`` parts of each, and over the events
     of a part, so that no task has all events, nor all of one place.
     """
-    size = f"((max(max_lat) - min(min_lat)) / {num(STEP_DEG)} + 3) * ((max(max_lon) - min(min_lon)) / {num(TILE * STEP_DEG)} + 2)"
+    size = " * ".join(f"((max(max_{c}) - min(min_{c})) / {num(READ_TILE * STEP_DEG)} + 2)" for c in ("lat", "lon"))
     boxes = bounds(aois).groupBy("aoi_id").agg(F.expr(f"CAST({size} AS BIGINT) AS n"), F.expr("min(min_lon) AS lon"), F.expr("min(min_lat) AS lat"))
     shapes = aois.groupBy(F.col("aoi_id").alias("event_id")).agg(F.expr("bit_xor(xxhash64(part, ring, pts)) AS shape"))
     sized = events.join(boxes.withColumnRenamed("aoi_id", "event_id"), "event_id", "left").join(shapes, "event_id", "left").selectExpr(
@@ -124,16 +126,20 @@ def make_scope(events: DataFrame, aois: DataFrame, otsu_aois: DataFrame | None =
         )
     )
     found = {r.kind: r for r in measured.collect()}
+    # Both kinds at once: an area's id is made its own by its kind.
+    named = spans.withColumn("aoi_id", F.struct("kind", "aoi_id"))
+    shapes = settle(tile_shapes(named).selectExpr("aoi_id.kind", "aoi_id.aoi_id", "tx", "ty", "inner", "lo", "hi"))
+    counted = {r.kind: r["count"] for r in shapes.groupBy("kind").count().collect()}
 
     def area(kind):
-        own = spans.where(f"kind = {kind}").drop("kind")
+        own, cut = (df.where(f"kind = {kind}").drop("kind") for df in (spans, shapes))
         r = found.get(kind)
         if not r:
-            return Area(own, 0, 0, 0, (0, 0, 0, 0))
+            return Area(own, 0, cut, 0, 0, 0, (0, 0, 0, 0))
         # Beside one end of the grid, what is near may lie at the other.
         last = (COLUMNS - 1) // TILE
         x0, x1 = (0, last) if r.x0 < 1 or r.x1 > last - 1 else (r.x0 - 1, r.x1 + 1)
-        return Area(own, r.n, r.cells, r.tiles, (x0, x1, r.y0 - 1, r.y1 + 1))
+        return Area(own, r.n, cut, counted.get(kind, 0), r.cells, r.tiles, (x0, x1, r.y0 - 1, r.y1 + 1))
 
     aoi = area(0)
     return Scope(placed, placed.count(), aoi, aoi if same else area(1))

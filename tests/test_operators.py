@@ -294,6 +294,40 @@ def test_clip_against_even_odd(spark):
     assert got == sorted((r.x, r.y) for r in raster.collect() if even_odd([shell], r.lon, r.lat) or box(r))
 
 
+def test_tiles_inside_an_area_carry_no_spans(spark):
+    """A default-size area sends a tenth of its spans or less, lines of cells only along its border, and a pixel inside meets none."""
+    spans = regions.polygon_spans(G.areas(spark, {1: G.DEFAULT_AOI})).cache()
+    shapes = regions.tile_shapes(spans).cache()
+    n, inner = shapes.count(), shapes.where("inner").count()
+    assert n * 10 < spans.count() and inner > 0.9 * n and shapes.where("inner").where("lo IS NOT NULL OR hi IS NOT NULL").count() == 0
+    cells = shapes.selectExpr(f"IF(inner, {64 * 64}, aggregate(zip_with(lo, hi, (a, b) -> greatest(b - a + 1, 0)), 0, (s, v) -> s + v)) AS n").agg(F.sum("n")).first()[0]
+    assert cells == spans.selectExpr("sum(x_hi - x_lo + 1) AS n").first().n
+    plan = regions.clip_tiles(spark.range(10).selectExpr("id AS x", "id AS y"), shapes, rows=n)._jdf.queryExecution().optimizedPlan().toString()
+    assert "x_lo" not in plan.split("InMemoryRelation")[0]
+
+
+def test_clip_where_rows_have_several_spans(spark):
+    """A comb: rows of a tile with one, three and no spans; tiles inside, on the border and beside it."""
+    o_lon, o_lat, step = 1.4, 6.27, STEP_DEG
+    teeth = []
+    for i in range(3):
+        teeth += [(o_lon + (40 * i + a) * step, o_lat + b * step) for a, b in ((0, 0), (0, 30), (17, 30), (17, 0))]
+    comb = [[*teeth, (o_lon + 197 * step, o_lat - 250 * step), (o_lon, o_lat - 250 * step)]]
+    raster = constant_raster(spark, o_lon - 20 * step, o_lat - 300 * step, o_lon + 210 * step, o_lat + 60 * step)
+    want = sorted((r.x, r.y) for r in raster.collect() if even_odd(comb, r.lon, r.lat))
+    area = G.areas(spark, {1: comb, 2: G.rectangle(o_lon, o_lat, o_lon + 5 * step, o_lat + 5 * step)})
+    spans = regions.polygon_spans(area)
+    shapes = regions.tile_shapes(spans.where("aoi_id = 1"))
+    assert shapes.groupBy("tx", "ty").count().agg(F.max("count")).first()[0] > 1 and shapes.where("inner").count() > 0
+    one = spans.where("aoi_id = 1")
+    for got in (regions.clip(raster, one), regions.clip(raster, one, rows=10**4), regions.clip(raster, one, rows=10**9)):
+        assert rows(got, "x", "y") == want
+    both = raster.withColumn("event_id", F.explode(F.array(F.lit(1), F.lit(2))))
+    for n in (10**4, 10**9):
+        got = regions.clip(both, spans, "event_id", n)
+        assert rows(got.where("event_id = 1"), "x", "y") == want and got.where("event_id = 2").count() == 25
+
+
 def test_buffer_spans_equal_distance(spark):
     raster = constant_raster(spark, 1.38, 6.25, 1.42, 6.29)
     center = spark.createDataFrame([(1, 1.4, 6.27, 1000.0)], "aoi_id long, lon double, lat double, meters double")

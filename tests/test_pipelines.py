@@ -9,7 +9,7 @@ import __spark_entry__ as entry
 from check_queries import compare, duck
 from inundation.functions import geometry as G
 from inundation.operators import regions
-from inundation.operators.regions import polygon_spans
+from inundation.operators.regions import polygon_spans, tile_shapes
 from inundation.operators.change import align, pair_counts
 from inundation.operators.terrain import regrid_nearest
 from inundation.functions.grid import METERS_PER_DEGREE, STEP_DEG, TILE
@@ -173,7 +173,7 @@ def test_groups_of_events_give_the_same_report(spark):
     area = G.areas(spark, {i: G.rectangle(1.1 + i / 2000, 6.09, 1.1021 + i / 2000, 6.12) for i in range(1, 6)})
     whole = report.flood_report(events, area, dem, scenes, s1, scenes, s2, area).collect()
     assert {r.event_id: r.status for r in whole} == {**{i: "ok" for i in range(1, 6)}, 6: "no_area"} and len(whole) == 12
-    parts = report.flood_report(events, area, dem, scenes, s1, scenes, s2, area, batch_rows=500).collect()
+    parts = report.flood_report(events, area, dem, scenes, s1, scenes, s2, area, batch_rows=20).collect()
     key = lambda r: (r.event_id, r.method)
     for a, b in zip(sorted(whole, key=key), sorted(parts, key=key), strict=True):
         assert [v if not isinstance(v, float) else pytest.approx(v, rel=1e-9) for v in a] == list(b)
@@ -191,21 +191,21 @@ def many_small_events(spark, n):
 def test_batches_hold_every_event_once_and_keep_their_bound(spark):
     *_, events, area, _ = many_small_events(spark, 500)
     lone = events.unionByName(spark.createDataFrame([(900, datetime(2025, 6, 2))], EVENT))
-    batches = scope.place_batches(lone, area, 700)
+    batches = scope.place_batches(lone, area, 120)
     ids = [sorted(r.event_id for r in b.collect()) for _, b in batches]
     assert sorted(i for b in ids for i in b) == [*range(500), 900] and len(batches) > 10
-    rows_of = {r.aoi_id: r.n for r in polygon_spans(area).groupBy("aoi_id").agg(F.count("*").alias("n")).collect()}
-    assert max(sum(rows_of.get(i, 0) for i in b) for b in ids) < 2 * 700
-    again = scope.place_batches(lone.repartition(7), area.repartition(3), 700)
+    rows_of = {r.aoi_id: r.n for r in tile_shapes(polygon_spans(area)).groupBy("aoi_id").agg(F.count("*").alias("n")).collect()}
+    assert max(sum(rows_of.get(i, 0) for i in b) for b in ids) < 2 * 120
+    again = scope.place_batches(lone.repartition(7), area.repartition(3), 120)
     assert [n for n, _ in again] == [n for n, _ in batches] and len({n for n, _ in batches}) == len(batches)
     moved = lone.withColumn("event_ts", F.expr("IF(event_id = 3, event_ts + INTERVAL 1 DAY, event_ts)"))
-    assert len({n for n, _ in scope.place_batches(moved, area, 700)} & {n for n, _ in batches}) == len(batches) - 1
+    assert len({n for n, _ in scope.place_batches(moved, area, 120)} & {n for n, _ in batches}) == len(batches) - 1
     assert len(scope.place_batches(lone, area, 10**6)) == 1
 
 
 def test_two_thousand_events_and_a_second_call_that_does_what_is_missing(spark, tmp_path, monkeypatch):
     scenes, s2, events, area, dem = many_small_events(spark, 2000)
-    how = {"scenes_s2": scenes, "pixels_s2": s2, "method": "s2", "batch_rows": 25_000}
+    how = {"scenes_s2": scenes, "pixels_s2": s2, "method": "s2", "batch_rows": 3_000}
     ran, plain = [], report.branch_runs
 
     def counted(*args, **options):
@@ -222,7 +222,7 @@ def test_two_thousand_events_and_a_second_call_that_does_what_is_missing(spark,
     monkeypatch.setattr(report, "branch_runs", counted)
     broken = True
     folder = f"{tmp_path}/results"
-    n = len(scope.place_batches(events, area, 25_000))
+    n = len(scope.place_batches(events, area, 3_000))
     assert n >= 3
     with pytest.raises(RuntimeError, match="lost"):
         report.flood_report(events, area, dem, results=folder, at_a_time=2, **how)
