@@ -11,15 +11,18 @@ from functools import partial
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
+from ..functions.bands import percent_to_degrees
 from ..functions.grid import COLUMNS
 from ..operators.area import area_km2
 from ..operators.components import drop_small_patches
 from ..operators.lookup import BROADCAST_ROWS, lookup_join
+from ..operators.regions import clip_tiles
 from ..operators.terrain import DEM_STEP_DEG, dem_near, drop_steep, slope_degrees
 from ..sources import catalog
 from ..sources.control import is_there, is_written, remove, settle, shared_folder
+from ..sources.export import EXPORT_NAMES, write_extent
 from .optical import optical_branch
 from .sar import SMOOTHING_RADIUS_M, Branch, sar_branch
 from .scope import Scope, make_scope, place_batches
@@ -45,11 +48,14 @@ def refine_extent(
     min_connected: int = MIN_CONNECTED_PIXELS,
     max_slope_deg: float = MAX_SLOPE_DEG,
     dem_step: float = DEM_STEP_DEG,
+    max_slope_percent: float | None = None,
 ) -> DataFrame:
     """Drop small patches, then steep pixels; patches are judged before the slope.  ``flood`` holds the flooded pixels.
 
-    With a scope, slopes are computed only around its areas.
+    The limit of the slope is an angle; ``max_slope_percent`` gives it as rise over run instead.  With a scope, slopes are computed only around its areas.
     """
+    if max_slope_percent is not None:
+        max_slope_deg = percent_to_degrees(max_slope_percent)
     patches = drop_small_patches(flood, by, min_connected, None if scope is None else scope.aoi.cells, COLUMNS)
     near = dem if scope is None else dem_near(dem, scope.aoi.cover(), dem_step=dem_step, envelope=scope.aoi.envelope)
     return drop_steep(patches, slope_degrees(near, dem_step), max_slope_deg, dem_step)
@@ -74,6 +80,7 @@ def branch_runs(
     min_connected: int = MIN_CONNECTED_PIXELS,
     max_slope_deg: float = MAX_SLOPE_DEG,
     dem_step: float = DEM_STEP_DEG,
+    max_slope_percent: float | None = None,
 ) -> dict[str, Callable[[], tuple[Branch, DataFrame]]]:
     """What gives the branch and the refined extent of each requested method."""
     if method not in METHODS:
@@ -85,7 +92,7 @@ def branch_runs(
 
     def refined(name):
         b = run[name]()
-        return b, refine_extent(flooded(b), dem, scope, ("event_id",), min_connected, max_slope_deg, dem_step)
+        return b, refine_extent(flooded(b), dem, scope, ("event_id",), min_connected, max_slope_deg, dem_step, max_slope_percent)
 
     return {name: partial(refined, name) for name in (["sar", "s2"] if method == "both" else [method])}
 
@@ -137,11 +144,11 @@ def failed_report(name: str, error: BaseException, events: DataFrame) -> DataFra
     )
 
 
-def _group_report(group, aois, dem, inputs, otsu_aois, method, options, folder: str, failed: str) -> list[BaseException]:
-    """Writes the rows of a group's methods that aren't there yet; the errors of those that failed, if all of its methods did.
+def _run_group(group, aois, dem, inputs, otsu_aois, method, options, folder: str, write: Callable, failed: str | None = None) -> list[BaseException]:
+    """Writes what a group's methods give and isn't there yet; the errors of those that failed, if all of its methods did.
 
-    A method's rows are committed as a whole, so what is in the folder is finished.  Rows that say why a method failed go to a folder of their
-    own, and a later run tries again.
+    ``write`` takes method, branch, refined extent, scope and path.  What a method writes is committed as a whole, so what is in the folder is
+    finished.  Rows that say why a method failed go to a folder of their own, and a later run tries again.
     """
     name, events = group
     spark = events.sparkSession
@@ -158,8 +165,8 @@ def _group_report(group, aois, dem, inputs, otsu_aois, method, options, folder:
         branch = None
         try:
             branch, refined = run()
-            # A few rows per event: once they are written, the pixels behind them can go.
-            branch_report(m, branch, refined, scope.n_events).coalesce(1).write.mode("overwrite").parquet(f"{folder}/grp=g{name}/kind={m}")
+            # Once this is written, the pixels behind it can go.
+            write(m, branch, refined, scope, f"{folder}/grp=g{name}/kind={m}")
         finally:
             if branch is not None:
                 branch.release()
@@ -169,11 +176,68 @@ def _group_report(group, aois, dem, inputs, otsu_aois, method, options, folder:
     errors = {m: e for m, e in done.items() if isinstance(e, BaseException)}
     if len(errors) == len(methods):
         return list(errors.values())
-    for m, e in errors.items():
+    for m, e in errors.items() if failed else ():
         failed_report(m, e, scope.events).coalesce(1).write.parquet(f"{failed}/grp=g{name}/kind={m}")
     return []
 
 
+def _run_groups(events, aois, batch_rows: int, at_a_time: int, run: Callable) -> list[tuple[str, DataFrame]]:
+    """All groups of the events, some at a time; an error is raised once all have had their turn."""
+    groups = place_batches(events, aois, batch_rows)
+    with ThreadPoolExecutor(max(1, min(at_a_time, len(groups)))) as pool:
+        errors = [e for found in pool.map(inheritable_thread_target(events.sparkSession)(run), groups) for e in found]
+    if errors:
+        raise errors[0]
+    return groups
+
+
+def _how(options: Mapping, otsu_aois, aois) -> str:
+    """What results depend on beside the group of events."""
+    return hashlib.sha256(repr((sorted(options.items()), otsu_aois is None, otsu_aois is aois)).encode()).hexdigest()[:16]
+
+
+def flood_exports(
+    events: DataFrame,
+    aois: DataFrame,
+    dem: DataFrame,
+    path_prefix: str,
+    run_timestamp: str,
+    scenes_s1: DataFrame | None = None,
+    pixels_s1: DataFrame | None = None,
+    scenes_s2: DataFrame | None = None,
+    pixels_s2: DataFrame | None = None,
+    otsu_aois: DataFrame | None = None,
+    method: str = "both",
+    batch_rows: int = BROADCAST_ROWS // 2,
+    at_a_time: int = GROUPS_AT_A_TIME,
+    **options,
+) -> DataFrame:
+    """From events to the exported extents of all of them and of both methods, in one call; returns what was written.
+
+    Rows are x, y and flood, stored by ``name``, event and export tile under ``<path_prefix>extents``; a name is made of the method's, the event's
+    own date and ``run_timestamp``.  Events run in groups as in :func:`flood_report`, and a call with the same events, options, prefix and
+    timestamp writes only what is missing.
+    """
+    if method not in METHODS:
+        raise ValueError(f"method must be one of {METHODS}")
+    spark, inputs = events.sparkSession, (scenes_s1, pixels_s1, scenes_s2, pixels_s2)
+    folder = f"{path_prefix}extents/{run_timestamp}-{_how(options, otsu_aois, aois)}"
+
+    def write(m, branch, refined, scope, path):
+        inside = clip_tiles(refined.select("event_id", "x", "y"), scope.aoi.shapes, "event_id", scope.aoi.shape_rows)
+        named = scope.events.selectExpr("event_id", f"concat('{EXPORT_NAMES[m]}_', date_format(event_ts, 'yyyyMMdd'), '_{run_timestamp}') AS name")
+        write_extent(lookup_join(inside, named, ["event_id"], scope.n_events, salt=["x", "y"]).withColumn("flood", F.lit(1)), path)
+
+    groups = _run_groups(events, aois, batch_rows, at_a_time, lambda g: _run_group(g, aois, dem, inputs, otsu_aois, method, options, folder, write))
+    schema = StructType([StructField("x", LongType()), StructField("y", LongType()), StructField("flood", IntegerType())])
+    for c, kind in (("grp", "string"), ("kind", "string"), ("name", "string"), ("event_id", events.schema["event_id"].dataType), ("tile_x", "long"), ("tile_y", "long")):
+        schema = schema.add(c, kind)
+    mine = spark.createDataFrame([(f"g{name}",) for name, _ in groups], "grp string")
+    found = spark.read.schema(schema).parquet(folder) if is_there(spark, folder) else spark.createDataFrame([], schema)
+    kinds = ["sar", "s2"] if method == "both" else [method]
+    return found.where(F.col("kind").isin(kinds)).join(F.broadcast(mine), "grp", "left_semi").select("name", "event_id", "tile_x", "tile_y", "x", "y", "flood")
+
+
 def flood_report(
     events: DataFrame,
     aois: DataFrame,
@@ -206,15 +270,13 @@ def flood_report(
     inputs = (scenes_s1, pixels_s1, scenes_s2, pixels_s2)
     spark = events.sparkSession
     base = f"{results.rstrip('/')}" if results else f"{shared_folder(spark)}/report-{uuid.uuid4().hex}"
-    # What the rows depend on beside the group.
-    how = hashlib.sha256(repr((sorted(options.items()), otsu_aois is None, otsu_aois is aois)).encode()).hexdigest()[:16]
-    folder, failed = f"{base}/rows-{how}", f"{base}/failed-{uuid.uuid4().hex}"
-    groups = place_batches(events, aois, batch_rows)
-    run = inheritable_thread_target(spark)(lambda g: _group_report(g, aois, dem, inputs, otsu_aois, method, options, folder, failed))
-    with ThreadPoolExecutor(max(1, min(at_a_time, len(groups)))) as pool:
-        errors = [e for found in pool.map(run, groups) for e in found]
-    if errors:
-        raise errors[0]
+    folder, failed = f"{base}/rows-{_how(options, otsu_aois, aois)}", f"{base}/failed-{uuid.uuid4().hex}"
+
+    def write(m, branch, refined, scope, path):
+        branch_report(m, branch, refined, scope.n_events).coalesce(1).write.mode("overwrite").parquet(path)
+
+    run = lambda g: _run_group(g, aois, dem, inputs, otsu_aois, method, options, folder, write, failed)
+    groups = _run_groups(events, aois, batch_rows, at_a_time, run)
     schema = StructType([events.schema["event_id"], *StructType.fromDDL(REPORT_COLUMNS).fields])
     # One table, however many groups; rows of other events or methods that the folder holds are not part of this report.
     schema = schema.add("grp", "string").add("kind", "string")

@@ -11,14 +11,14 @@ from ..functions.grid import num
 
 _POLYGON = "array<array<array<double>>>"
 _MULTI = "array<array<array<array<double>>>>"
-_RING = "transform({}, p -> named_struct('lon', p[0], 'lat', p[1]))"
+_RING = "transform({}, p -> named_struct('lon', p[{}], 'lat', p[{}]))"
 
 
-def read_geojson(spark: SparkSession, path: str) -> DataFrame:
+def read_geojson(spark: SparkSession, path: str, lat_first: bool = False) -> DataFrame:
     """Area frame from a GeoJSON file or a directory of them: ``path, aoi_id, part, ring, pts``.
 
     Each document is one area: the union of the polygons in its Geometry, Feature or FeatureCollection.  The id is a hash of
-    its path.  A missing file, text that is not JSON, and anything without polygons raise ``ValueError``.
+    its path.  Points are longitude, latitude, as the format has it; ``lat_first`` reads files that have them the other way round.  A missing file, text that is not JSON, and anything without polygons raise ``ValueError``.
     """
     try:
         docs = spark.read.option("wholetext", True).text(path).select(
@@ -28,10 +28,10 @@ def read_geojson(spark: SparkSession, path: str) -> DataFrame:
         if "PATH_NOT_FOUND" in str(e):
             raise ValueError(f"GeoJSON file not found: {path}") from e
         raise ValueError(f"Error loading GeoJSON from {path}: {e}") from e
-    return _areas_of(docs, path)
+    return _areas_of(docs, path, lat_first)
 
 
-def _areas_of(docs: DataFrame, path: str) -> DataFrame:
+def _areas_of(docs: DataFrame, path: str, lat_first: bool) -> DataFrame:
     kind = lambda g: F.try_variant_get(g, "$.type", "string")
     doc = F.col("doc")
     features = F.when(
@@ -63,18 +63,18 @@ def _areas_of(docs: DataFrame, path: str) -> DataFrame:
     rings = (
         parsed.select("path", F.posexplode("polygons").alias("part", "rings"))
         .select("path", "part", F.posexplode("rings").alias("ring", "vertices"))
-        .select("path", F.xxhash64("path").alias("aoi_id"), "part", "ring", F.expr(_RING.format("vertices")).alias("pts"))
+        .select("path", F.xxhash64("path").alias("aoi_id"), "part", "ring", F.expr(_RING.format("vertices", int(lat_first), int(not lat_first))).alias("pts"))
     )
     return rings
 
 
-def area_or_default(spark: SparkSession, path: str | None, aoi_id: int = 0, default=DEFAULT_AOI) -> DataFrame:
+def area_or_default(spark: SparkSession, path: str | None, aoi_id: int = 0, default=DEFAULT_AOI, lat_first: bool = False) -> DataFrame:
     """The area in a GeoJSON file, or the union of those in a directory, under the given id, or the default one where no path is given or loading fails."""
     if path:
         try:
             # Parts differ over all documents, so that those of a directory are united and not set against each other.
             part = F.xxhash64("path", "part")
-            return read_geojson(spark, path).select(F.lit(aoi_id).cast("bigint").alias("aoi_id"), part.alias("part"), "ring", "pts")
+            return read_geojson(spark, path, lat_first).select(F.lit(aoi_id).cast("bigint").alias("aoi_id"), part.alias("part"), "ring", "pts")
         except ValueError as e:
             print(f"{e}; using the default area")
     return areas(spark, {aoi_id: default})

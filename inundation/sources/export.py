@@ -68,6 +68,24 @@ def export_extents(
     return out
 
 
+def write_extent(extent: DataFrame, path: str) -> None:
+    """Store the extents of many events (name, event_id, x, y, flood) by name, event and export tile.
+
+    Files are split by range, so no task gets a whole event or hot tile.
+    """
+    keys = ["name", "event_id", "tile_x", "tile_y"]
+    tiled = extent.selectExpr("*", f"{block_of('x', EXPORT_TILE)} AS tile_x", f"{block_of('y', EXPORT_TILE)} AS tile_y")
+    (
+        tiled.repartitionByRange(*keys, "y")
+        .sortWithinPartitions(*keys, "y", "x")
+        .select("x", "y", "flood", *keys)
+        .write.mode("overwrite")
+        .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+        .partitionBy(*keys)
+        .parquet(path)
+    )
+
+
 def write_pixels(pixels: DataFrame, path: str, scenes: DataFrame | None = None) -> None:
     """Store a pixel table so that reads prune: partitioned by 256-cell tile, ordered by scene within files.
 

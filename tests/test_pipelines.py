@@ -244,6 +244,42 @@ def test_two_thousand_events_and_a_second_call_that_does_what_is_missing(spark,
     assert {r.area_km2 for r in one.collect()} == {0.0}
 
 
+def test_exports_of_all_events_in_one_call(spark, tmp_path, monkeypatch):
+    scenes, s1, s2, _, area, dem, want = world(spark)
+    events = spark.createDataFrame([(1, datetime(2025, 6, 2)), (2, datetime(2025, 6, 2, 12))], EVENT)
+    middle = want.agg(F.expr("CAST((min(x) + max(x)) / 2 AS INT)")).first()[0] * STEP_DEG - 180
+    area = G.areas(spark, {1: G.rectangle(1.09, 6.09, 1.12, 6.12), 2: G.rectangle(1.09, 6.09, middle, 6.12)})
+    where = (events, area, dem, f"{tmp_path}/out/", "t1", scenes, s1, scenes, s2, area)
+    got = report.flood_exports(*where, batch_rows=20).collect()
+    assert {r.name for r in got} == {"Effective_Flood_Extent_SAR_20250602_t1", "Flood_Extent_S2_NDWI_20250602_t1"}
+    optical = {(r.event_id, r.x, r.y) for r in got if r.name.startswith("Flood_Extent_S2")}
+    whole = {(r.x, r.y) for r in want.collect()}
+    inside = {(r.x, r.y) for r in regions.clip(want.select("x", "y"), polygon_spans(area.where("aoi_id = 2"))).collect()}
+    assert optical == {(1, *c) for c in whole} | {(2, *c) for c in inside} and 0 < len(inside) < len(whole)
+    assert all((r.tile_x, r.tile_y, r.flood) == (r.x // 4096, r.y // 4096, 1) for r in got)
+    # The same call writes nothing more; another timestamp is another export.
+    monkeypatch.setattr(report, "branch_runs", None)
+    assert len(report.flood_exports(*where, batch_rows=20).collect()) == len(got)
+    with pytest.raises(TypeError):
+        report.flood_exports(*where[:4], "t2", *where[5:], batch_rows=20)
+
+
+def test_slope_limit_in_percent(spark):
+    flood = constant_raster(spark, 1.1, 6.1, 1.11, 6.103).selectExpr("1L AS event_id", "x", "y")
+    dem = constant_raster(spark, 1.09, 6.09, 1.12, 6.12, step=1 / 1200).selectExpr("x AS gx", "y AS gy", "CAST(x * 9 AS DOUBLE) AS elevation")
+    count = lambda **how: report.refine_extent(flood, dem, **how).count()
+    # 9 m over a cell of 92 m is 9.8 percent, or 5.6 degrees.
+    assert (count(max_slope_deg=9.0), count(max_slope_percent=9.0), count(max_slope_percent=10.0)) == (flood.count(), 0, flood.count())
+
+
+def test_geojson_with_latitude_first(spark, tmp_path):
+    ring = [[-1.0, 10.0], [1.0, 10.0], [1.0, 12.0], [-1.0, 12.0], [-1.0, 10.0]]
+    for name, points in (("lon", ring), ("lat", [p[::-1] for p in ring])):
+        (tmp_path / f"{name}.json").write_text(json.dumps({"type": "Polygon", "coordinates": [points]}))
+    a, b = (read_geojson(spark, str(tmp_path / f"{n}.json"), lat_first=n == "lat").first().pts for n in ("lon", "lat"))
+    assert a == b and area_or_default(spark, str(tmp_path / "lat.json"), lat_first=True).first().pts == a
+
+
 def test_a_branch_that_fails_leaves_the_other(spark):
     scenes, s1, s2, events, area, dem, _ = world(spark)
     out = {(r.event_id, r.method): r for r in report.flood_report(events, area, dem, scenes, s1.drop("VH"), scenes, s2, area).collect()}
