@@ -41,18 +41,23 @@ def slope_degrees(dem: DataFrame, step: float = DEM_STEP_DEG, block: int = DEM_B
             f"CASE WHEN lag({axis}) {window} = {axis} - 1 THEN lag(z) {window} END AS {axis}_down",
         ]
 
-    cell = step * METERS_PER_DEGREE
-    per_x = f"(gx_up - gx_down) / ({num(2 * cell)} * cos(radians({center_lat('gy', step)})))"
-    per_y = f"(gy_down - gy_up) / {num(2 * cell)}"
-    return (
+    return slope_of_differences(
         blocked.selectExpr("*", *neighbours("gx", "gy"))
         .selectExpr("*", *neighbours("gy", "gx"))
         .where(f"{block_of('gx', block)} = bx AND {block_of('gy', block)} = by" + (f" AND gx BETWEEN 0 AND {n - 1}" if whole else ""))
-        .selectExpr("gx", "gy", "z AS elevation", f"{per_x} AS px", f"{per_y} AS py")
-        .selectExpr("gx", "gy", "elevation", "degrees(atan(sqrt(px * px + py * py))) AS slope_deg")
+        .selectExpr("gx", "gy", "z", "gx_up - gx_down AS dx", "gy_up - gy_down AS dy"),
+        step,
     )
 
 
+def slope_of_differences(cells: DataFrame, step: float = DEM_STEP_DEG) -> DataFrame:
+    """Slope in degrees from what the cells to the east and to the south have more than those to the west and to the north (dx, dy)."""
+    cell = step * METERS_PER_DEGREE
+    per_x = f"dx / ({num(2 * cell)} * cos(radians({center_lat('gy', step)})))"
+    rates = cells.selectExpr("gx", "gy", "z AS elevation", f"{per_x} AS px", f"-dy / {num(2 * cell)} AS py")
+    return rates.selectExpr("gx", "gy", "elevation", "degrees(atan(sqrt(px * px + py * py))) AS slope_deg")
+
+
 def dem_cell(images: DataFrame, step: float = STEP_DEG, dem_step: float = DEM_STEP_DEG) -> DataFrame:
     """Add the elevation cell (gx, gy) holding each pixel centre: nearest-neighbour sampling."""
     return images.selectExpr(

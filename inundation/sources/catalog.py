@@ -8,6 +8,7 @@ over longitude 180 ends beyond 180.
 from __future__ import annotations
 
 from datetime import datetime, timedelta
+from math import floor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +24,11 @@ SAR_DAYS = 12
 OPTICAL_DAYS = 20
 MIN_SCENES = 2
 
+#: Zones of a stored catalog: their column, side in degrees, and number around and from pole to pole.
+ZONE_COLUMN = "zone"
+ZONE_DEG = 22.5
+_ZONES_AROUND, _ZONES_UP = 16, 8
+
 #: Side of the matching cells, in degrees.  A scene or area touches a few.
 MATCH_CELL_DEG = 4.0
 #: Parts of a cell's scenes.
@@ -60,6 +66,24 @@ def in_bounds(min_lon: float, min_lat: float, max_lon: float, max_lat: float) ->
     return f"min_lat <= {num(max_lat)} AND max_lat >= {num(min_lat)} AND ({turns})"
 
 
+def zone_of() -> str:
+    """The zone of a scene, which a stored catalog is partitioned by: the cell of its south-west corner, or -1 for a scene larger than that."""
+    column = f"CAST(pmod(floor((min_lon + 180) / {num(ZONE_DEG)}), {_ZONES_AROUND}) AS INT)"
+    row = f"CAST(least(greatest(floor((min_lat + 90) / {num(ZONE_DEG)}), 0), {_ZONES_UP - 1}) AS INT)"
+    return f"CASE WHEN max_lon - min_lon <= {num(ZONE_DEG)} AND max_lat - min_lat <= {num(ZONE_DEG)} THEN {column} * {_ZONES_UP} + {row} ELSE -1 END"
+
+
+def in_zones(min_lon: float, min_lat: float, max_lon: float, max_lat: float) -> str:
+    """The zones that hold all scenes over the given box: a scene's corner lies at most a zone to the west or south of it."""
+    east = max_lon + 360 if min_lon > max_lon else max_lon
+    west = floor((min_lon - ZONE_DEG + 180) / ZONE_DEG)
+    across = {c % _ZONES_AROUND for c in range(west, min(floor((east + 180) / ZONE_DEG), west + _ZONES_AROUND - 1) + 1)}
+    rows = (min(max(floor((v + 90) / ZONE_DEG), 0), _ZONES_UP - 1) for v in (min_lat - ZONE_DEG, max_lat))
+    low, high = rows
+    zones = sorted(c * _ZONES_UP + r for c in across for r in range(low, high + 1))
+    return f"{ZONE_COLUMN} IN ({', '.join(map(str, [-1, *zones]))})"
+
+
 def over_area(polygon) -> str:
     """The footprint itself overlaps or touches a polygon given as rings of (lon, lat)."""
     return polygons_meet(footprint_edges(), literal_edges(polygon))
@@ -70,6 +94,10 @@ def _scan(scenes: DataFrame, quality: str, bounds, start, end, polygon) -> DataF
         ring = polygon[0]
         bounds = tuple(f(p[i] for p in ring) for f in (min, max) for i in (0, 1))
     found = scenes.where(f"{quality} AND {in_bounds(*bounds)} AND {in_dates(start, end)}")
+    if {"acquired_on", ZONE_COLUMN} <= set(scenes.columns):
+        # A stored catalog is opened by day and zone; the last day may be cut short, but holds no scene after its end.
+        days = [t[:10] if isinstance(t, str) else t.date().isoformat() for t in (start, end)]
+        found = found.where(f"acquired_on BETWEEN DATE '{days[0]}' AND DATE '{days[1]}' AND {in_zones(*bounds)}").drop("acquired_on", ZONE_COLUMN)
     # The box goes to the reader and leaves few scenes to be tested exactly.
     return found if polygon is None or "footprint" not in scenes.columns else found.where(over_area(polygon))
 
