@@ -213,4 +213,4 @@ def test_stages_take_odd_and_empty_tables(spark, stage):
 
 def test_every_operator_has_its_query():
     names = sorted(queries.queries())
-    assert "pipeline" in names and {n.split("_")[0] for n in names} == {"pipeline", *(f"op{i}" for i in range(1, 11))}
+    assert "pipeline" in names and {n.split("_")[0] for n in names} == {"pipeline", *(f"op{i}" for i in range(1, 14))}
