@@ -338,7 +338,7 @@ def pixel_count_check(spark, d):
 
 
 def otsu_histogram(spark, d):
-    h = band_histogram(fx.view(spark, d, "s1_px"), "VH", ["scene_id"], n_images=_n_scenes(spark, d))
+    h = band_histogram(fx.view(spark, d, "s1_px"), "VH", ["scene_id"])
     c = otsu_curve(h, ["scene_id"])
     return c.select(
         "scene_id", "bucket", "width", "n", "mean", F.round("sigma_b2", 6).alias("sigma_b2"),

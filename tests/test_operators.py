@@ -4,13 +4,14 @@ import random
 from datetime import datetime
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from inundation.functions import bands as B
 from inundation.functions import geometry as G
 from inundation.functions.grid import METERS_PER_DEGREE, STEP_DEG, center_lat, center_lon
-from inundation.operators import change, layers, overlay, regions
+from inundation.operators import change, histogram, layers, overlay, regions
 from inundation.operators.area import area_km2
 from inundation.operators.components import connected_pixel_count, drop_small_patches
 from inundation.operators.composite import median_composite
@@ -226,6 +227,60 @@ def test_otsu(spark):
     assert {(r.scene_id, r.threshold) for r in salted.collect()} == {(k, r.threshold) for k, r in got.items()}
 
 
+def plain_histogram(v, bins=256):
+    lo, hi = min(v), max(v)
+    w = 2.0 ** math.ceil(math.log2((hi - lo) / bins)) if hi > lo else 1.0
+    if math.floor(hi / w) - math.floor(lo / w) + 1 > bins:
+        w *= 2
+    buckets = {}
+    for x in v:
+        buckets.setdefault(math.floor(x / w), []).append(x)
+    return {(k, w): (len(x), sum(x)) for k, x in buckets.items()}
+
+
+def test_histogram_of_parts_with_other_ranges(spark):
+    """Each partition sees another part of an image's range: nothing, one value, a sliver far from zero, nearly all of it."""
+    rng = random.Random(8)
+    parts = [
+        [], [5.0] * 9, [1000 + rng.randint(0, 64) / 4096 for _ in range(200)], [rng.randint(-8000, 8000) / 8 for _ in range(400)],
+        [0.0, -0.0], [-3.25], [rng.randint(0, 3) / 65536 for _ in range(50)],
+    ]
+    cells = [(i, who, v) for i, p in enumerate(parts) for v in p for who in ("a", None, f"only {i}")]
+    df = spark.createDataFrame(cells, "part int, who string, v double").repartitionByRange(len(parts), "part").withColumn("side", F.lit(1))
+    got = {}
+    for r in band_histogram(df, "v", ["who", "side"]).collect():
+        got.setdefault(r.who, {})[r.bucket, r.width] = (r.n, r.total)
+    want = {}
+    for _, who, v in cells:
+        want.setdefault(who, []).append(v)
+    assert got == {who: plain_histogram(v) for who, v in want.items()}
+    assert band_histogram(df.limit(0), "v", ["who"]).collect() == []
+
+
+@pytest.mark.parametrize("held", [4, 50, 1 << 16])
+def test_histogram_parts_that_are_added_up_again(monkeypatch, held):
+    monkeypatch.setattr(histogram, "HELD_BUCKETS", held)
+    rng = random.Random(9)
+    rows_ = [(rng.randint(0, 5), rng.randint(-4000, 4000) / 16) for _ in range(3000)]
+    batches = [pa.record_batch([pa.array(c) for c in zip(*rows_[i : i + 100])], ["k0", "v"]) for i in range(0, 3000, 100)]
+    out = [r for b in histogram._partial_buckets(1, 256)(iter(batches)) for r in b.to_pylist()]
+    for k in range(6):
+        v = [x for i, x in rows_ if i == k]
+        mine, w = [r for r in out if r["k0"] == k], next(iter(plain_histogram(v)))[1]
+        added = {}
+        for r in mine:
+            assert r["w"] <= w and math.floor(r["lo"] / w) == math.floor(r["hi"] / w)
+            n, t = added.get((math.floor(r["lo"] / w), w), (0, 0.0))
+            added[math.floor(r["lo"] / w), w] = (n + r["n"], t + r["total"])
+        assert added == plain_histogram(v)
+
+
+def test_histogram_reads_pixels_once(spark, tmp_path):
+    spark.range(100).selectExpr("id % 3 AS scene_id", "id * 0.5D AS v").write.parquet(str(tmp_path / "px"))
+    plan = otsu_threshold(spark.read.parquet(str(tmp_path / "px")), "v", ["scene_id"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Join" not in plan
+
+
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
 def test_salted_join_equals_broadcast(spark, how):
     big = spark.range(5000).selectExpr("IF(id % 3 = 0, 7, id % 50) AS k", "id AS x")
