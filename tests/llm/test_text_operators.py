@@ -11,9 +11,10 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from inundation.llm import flat, ngram_lm, pieces, poisson_mix, pu_quality, queries, secret_ledger, simhash, substring_dedup, text_rules, word_lm
+from inundation.llm import flat, pieces, poisson_mix, pu_quality, queries, secret_ledger, simhash, substring_dedup, text_rules, word_lm
 from inundation.llm.components import least_reachable
 from inundation.llm.fm_index import FMIndex, repeated_windows
+from inundation.llm.shared import keep
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -77,52 +78,6 @@ def test_span_hashes_depend_on_the_run_only():
 # --- n-gram models --------------------------------------------------------------------------------------------------
 
 
-def plain_losses(train, text):
-    """Witten-Bell interpolation, word for word as its definition has it."""
-    counts = [Counter() for _ in range(ngram_lm.ORDER + 1)]
-    sym = lambda t: [0] * (ngram_lm.ORDER - 1) + [int(ngram_lm.SYMBOL_OF[b]) for b in (t or "").encode()]
-    for t in train:
-        s = sym(t)
-        for i in range(ngram_lm.ORDER - 1, len(s)):
-            for k in range(1, ngram_lm.ORDER + 1):
-                counts[k][tuple(s[i - k + 1 : i + 1])] += 1
-    after, kinds = Counter(), Counter()
-    for k in range(1, ngram_lm.ORDER + 1):
-        for g, n in counts[k].items():
-            after[g[:-1]] += n
-            kinds[g[:-1]] += 1
-
-    def share(g):
-        lower = share(g[1:]) if len(g) > 1 else 1 / ngram_lm.SYMBOLS
-        h = g[:-1]
-        return (counts[len(g)][g] + kinds[h] * lower) / (after[h] + kinds[h]) if after[h] else lower
-
-    s = sym(text)
-    return [-math.log(share(tuple(s[i - ngram_lm.ORDER + 1 : i + 1]))) for i in range(ngram_lm.ORDER - 1, len(s))]
-
-
-def test_cross_entropy_difference(spark, odd):
-    target = spark.createDataFrame([(1,), (1,), (9,), (None,)], "target_id long")
-    got = rows(ngram_lm.cross_entropy_difference(odd, target))
-    all_texts, good = [t for _, t in ODD], [t for i, t in ODD if i in (1, 9)]
-    want = []
-    for i, t in ODD:
-        a, b = plain_losses(good, t), plain_losses(all_texts, t)
-        mean = lambda x: sum(x) / len(x) if x else None
-        want.append((i, len(a), mean(a), mean(b), mean([x - y for x, y in zip(a, b, strict=True)])))
-    want.sort(key=str)
-    assert len(got) == len(want)
-    for g, x in zip(sorted(got, key=lambda r: (str(r[0]), r[1])), sorted(want, key=lambda r: (str(r[0]), r[1])), strict=True):
-        assert g[:2] == x[:2] and g[2:] == pytest.approx(x[2:], abs=1e-4)
-
-
-def test_cross_entropy_difference_of_nothing(spark, odd):
-    none = spark.createDataFrame([], "target_id long")
-    assert ngram_lm.cross_entropy_difference(odd.limit(0), none).collect() == []
-    uniform = [r.target_loss for r in ngram_lm.cross_entropy_difference(odd, none).collect() if r.n_tokens]
-    assert uniform == pytest.approx([math.log(ngram_lm.SYMBOLS)] * len(uniform), abs=1e-5)
-
-
 def plain_word_losses(train, everything, text):
     """Witten-Bell bigrams of words, word for word as the definition has it."""
     split = lambda t: WORD.findall(t or "")
@@ -143,14 +98,18 @@ def plain_word_losses(train, everything, text):
     return [-math.log(share(h, w)) for h, w in zip([None, *split(text)], split(text))]
 
 
-@pytest.mark.parametrize("how", [{}, {"chunk_words": 1, "bucket_keys": 7}, {"chunk_words": 50, "bucket_keys": 100}])
-@pytest.mark.parametrize("target", [(1, 1, 9, None), ()])
+HOW = [{}, {"chunk_words": 1, "bucket_keys": 40}, {"chunk_words": 50, "bucket_keys": 200, "fan": 4}]
+
+
+@pytest.mark.parametrize("how", HOW)
+@pytest.mark.parametrize("target", [(1, 1, 9, 6, None), ()])
 def test_word_cross_entropy_difference(spark, odd, how, target):
+    """Both models without the text that is scored; the vocabulary is that of all texts."""
     got = rows(word_lm.cross_entropy_difference(odd, spark.createDataFrame([(x,) for x in target], "target_id long"), **how))
-    everything, good = [t for _, t in ODD], [t for i, t in ODD if i is not None and i in target]
+    everything, good = [t for _, t in ODD], [j for j, (i, _) in enumerate(ODD) if i is not None and i in target]
     want = []
-    for i, t in ODD:
-        a, b = plain_word_losses(good, everything, t), plain_word_losses(everything, everything, t)
+    for j, (i, t) in enumerate(ODD):
+        a, b = (plain_word_losses([everything[o] for o in of if o != j], everything, t) for of in (good, range(len(ODD))))
         mean = lambda x: sum(x) / len(x) if x else None
         want.append((i, len(a), mean(a), mean(b), mean([x - y for x, y in zip(a, b, strict=True)])))
     assert len(got) == len(want)
@@ -160,11 +119,27 @@ def test_word_cross_entropy_difference(spark, odd, how, target):
     assert word_lm.cross_entropy_difference(odd.limit(0), none, **how).collect() == []
 
 
+def test_word_models_send_rows_by_the_words(spark, monkeypatch):
+    """Four times the chunks and the buckets send four times the rows a step, where each chunk sent one to each bucket."""
+    kept = {}
+    monkeypatch.setattr(word_lm, "_keep", lambda df, name: kept.setdefault(name, []).append(keep(df, name)) or kept[name][-1])
+    text, n = "concat_ws(' ', transform(sequence(1, 100), i -> concat(id, ':', i))) AS text", []
+    for chunks in (8, 32):
+        kept.clear()
+        docs = spark.range(0, chunks, 1, chunks).selectExpr("id AS doc_id", text)
+        word_lm.cross_entropy_difference(docs, spark.createDataFrame([(1,)], "target_id long"), chunk_words=100, bucket_keys=100, fan=4)
+        sent = kept["lm-bigrams"] + kept["lm-bigrams-parts"]
+        n.append((sum(df.where("chunk IS NOT NULL").count() for df in sent), len(kept["lm-bigrams"])))
+    (once, steps), (four, more) = n
+    assert four <= 4.5 * once * more / steps and four < 32 * 32
+
+
 def test_op1_tells_words_apart_that_share_byte_classes(spark, tmp_path):
     """Accents, case and digits that the 64 symbols put together."""
     texts = [(1, "caf\u00e9 A1 [x"), (2, "caf\u00e8 a2 {x"), (3, "caf\u00e9 A1 [x"), (4, "caf\u00e8 a2 {x")]
     spark.createDataFrame(texts, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
-    spark.createDataFrame([(1, 1)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    # A good text is scored by the other one, as its own counts are taken off.
+    spark.createDataFrame([(1, 1), (3, 1)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
     ce = {r.doc_id: r.ce_difference for r in queries.op1_ngram_lm(spark, str(tmp_path)).collect()}
     assert ce[1] == ce[3] < ce[4] == ce[2]
 
