@@ -160,8 +160,8 @@ def _found(ranges: DataFrame, groups: DataFrame, n_ranges: int, k: int) -> DataF
     names = ["number", "is_group", "ids", "values", "width", "floors"]
     held = ranges.withColumns({"is_group": F.lit(False), "floors": F.lit(None).cast("binary")}).select(*names)
     rows = held.unionByName(groups.withColumn("is_group", F.lit(True)).select(*names))
-    # As many tasks as ranges: few bytes are much work here, and Spark would put them together by the bytes.
-    dealt = rows.repartition(max(1, n_ranges), "number").sortWithinPartitions("number", "is_group")
+    # A task for each range: few bytes are much work here, and Spark would put them together by the bytes, or several by a hash.
+    dealt = rows.repartitionById(max(1, n_ranges), F.col("number").cast("int")).sortWithinPartitions("number", "is_group")
     return dealt.mapInArrow(_search(k), "query_id long, score double, vec_id long")
 
 
