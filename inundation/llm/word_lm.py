@@ -40,7 +40,7 @@ from inundation.llm.shared import keep
 CHUNK_WORDS = 1 << 19
 BUCKET_KEYS = 1 << 19
 #: Parts that a chunk's entries are cut into at most by a step.
-FAN = 256
+FAN = 1024
 #: Chunks or buckets that have a task each; of more, a task takes 64 or so.
 MOST_SINGLE = 4096
 _CHUNK = "chunk long, ids array<long>, sizes binary, is_target binary, vocabulary binary, tokens binary, n_words long, n_kinds long"
@@ -161,17 +161,23 @@ def _send_bigrams(step: int):
     return run
 
 
-def _meet(parts: list[dict], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The distinct keys of some parts and their summed counts; where each part ends, each entry's key, and whether it is a key's first."""
+def _union(parts: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct keys of some parts; where each part ends, each entry's key, and whether it is a key's first."""
     keys = [_keys(r["keys"]) for r in parts]
-    counts = np.concatenate([_wide(r["counts"], width * len(k)).reshape(width, -1) for r, k in zip(parts, keys, strict=True)], axis=1)
     every, first, at = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
-    sums = np.zeros((width, len(every)), np.int64)
-    for k in range(width):
-        np.add.at(sums[k], at, counts[k])
     is_first = np.zeros(len(at), bool)
     is_first[first] = True
-    return every, sums, np.cumsum([len(k) for k in keys]), at, is_first
+    return every, np.cumsum([len(k) for k in keys]), at, is_first
+
+
+def _sums(parts: list[dict], n: int, ends: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
+    """The parts' counts, summed by key."""
+    sizes = np.diff(ends, prepend=0)
+    counts = np.concatenate([_wide(r["counts"], width * k).reshape(width, -1) for r, k in zip(parts, sizes, strict=True)], axis=1)
+    sums = np.zeros((width, n), np.int64)
+    for k in range(width):
+        np.add.at(sums[k], at, counts[k])
+    return sums
 
 
 def _answers(parts: list[dict], ends: np.ndarray, counts: np.ndarray, firsts: np.ndarray, targets: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -190,7 +196,8 @@ def _add_up(width: int):
         The first part with a key is told so, and whether the target has it, so that a key is counted as one kind.
         """
         for parts in _runs(batches, "bucket"):
-            _, sums, ends, at, first = _meet(parts, width)
+            every, ends, at, first = _union(parts)
+            sums = _sums(parts, len(every), ends, at, width)
             yield from _answers(parts, ends, sums[:, at], first, first & (sums[0] > 0)[at])
             totals = [int((sums[0] > 0).sum()), int((sums[1] > 0).sum()), int(sums[0].sum()), int(sums[1].sum())]
             yield _batch(_SUMS, bucket=[parts[0]["bucket"]], chunk=[None], n=[None], counts=[None], firsts=[None], targets=[None], totals=[totals])
@@ -202,8 +209,8 @@ def _merge(width: int, step: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A node sends on what its parts have in common, once, cut for the next step."""
         for parts in _runs(batches, "node"):
-            every, sums, *_ = _meet(parts, width)
-            yield _parts(parts[0]["node"], every, sums, step)
+            every, ends, at, _ = _union(parts)
+            yield _parts(parts[0]["node"], every, _sums(parts, len(every), ends, at, width), step)
 
     return run
 
@@ -213,7 +220,7 @@ def _pass_on(width: int):
         """A node's parts, then what the node was answered: each part gets its entries' share, the first with a key what the node was told."""
         for both in _runs(batches, "node"):
             parts, told = [r for r in both if r["kind"] == 0], [r for r in both if r["kind"] == 1]
-            _, _, ends, at, first = _meet(parts, width)
+            _, ends, at, first = _union(parts)
             counts = np.concatenate([_wide(r["counts"], width * r["n"]).reshape(width, -1) for r in told], axis=1)
             firsts, targets = (np.concatenate([np.unpackbits(np.frombuffer(r[c], np.uint8), count=r["n"]) for r in told]).astype(bool) for c in ("firsts", "targets"))
             yield from _answers(parts, ends, counts[:, at], first & firsts[at], first & targets[at])
@@ -247,12 +254,13 @@ def _added(sent: DataFrame, senders: int, steps: list[int], width: int, fan: int
         return _keep(dealt.mapInArrow(_add_up(width), _SUMS), name)
     # About ``fan`` senders of a bucket meet in a node.
     groups = -(-senders // fan)
-    parts = _keep(sent, f"{name}-parts").withColumn("node", F.pmod(F.xxhash64("chunk"), F.lit(groups)) * buckets + F.col("bucket"))
+    parts = sent.withColumn("node", F.pmod(F.xxhash64("chunk"), F.lit(groups)) * buckets + F.col("bucket"))
     tasks = _tasks(groups * buckets)
     up = parts.repartition(tasks, "node").sortWithinPartitions("node", "chunk").mapInArrow(_merge(width, steps[1]), _PART)
     above = _added(up, groups, steps[1:], width, fan, name)
     told = above.where("chunk IS NOT NULL").withColumn("kind", F.lit(1)).withColumnRenamed("chunk", "node").drop("totals")
-    both = parts.withColumn("kind", F.lit(0)).unionByName(told, allowMissingColumns=True)
+    # The parts are made again rather than kept, without their counts.
+    both = parts.drop("counts").withColumn("kind", F.lit(0)).unionByName(told, allowMissingColumns=True)
     down = both.repartition(tasks, "node").sortWithinPartitions("node", "kind", "bucket", "chunk").mapInArrow(_pass_on(width), _SUMS)
     return _keep(down.unionByName(above.where("chunk IS NULL")), name)
 
