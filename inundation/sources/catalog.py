@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from ..functions.geometry import footprint_edges, literal_edges, polygons_meet
 from ..functions.grid import num
+from ..operators.lookup import lookup_join
+from .control import settle
 
 # What the radar archive is filtered on, and the default windows and limits.
 INSTRUMENT_MODE = "IW"
@@ -31,8 +33,8 @@ _ZONES_AROUND, _ZONES_UP = 16, 8
 
 #: Side of the matching cells, in degrees.  A scene or area touches a few.
 MATCH_CELL_DEG = 4.0
-#: Parts of a cell's scenes.
-MATCH_SALTS = 8
+#: Scenes that a part of a cell and period holds; those of fuller ones are dealt over parts.
+MATCH_PART = 1024
 
 RADAR_QUALITY = f"instrument_mode = '{INSTRUMENT_MODE}' AND resolution_meters = {RESOLUTION_M}"
 
@@ -129,9 +131,10 @@ def match_scenes(scenes: DataFrame, events: DataFrame, days: int) -> DataFrame:
 
     Candidates meet on (period, matching cell), so any number of events is one equi-join.  A period is as long as the search
     window, so an event touches two of them.  A pair sharing several cells is kept only at the cell holding the south-west
-    corner of its overlap.  Scenes of one cell are spread, with the events of the cell beside each part, so that a popular place
-    and period isn't one task's work.  The span of all events in time and latitude, and in longitude where no area goes over
-    180 degrees, limits the scan of the catalog.
+    corner of its overlap.  Scenes of a crowded cell and period are dealt over parts, with the events of the cell beside each, so that
+    a popular place isn't one task's work; other cells are one part.  Both sides are sorted and merged, as the sizes that a plan
+    expects don't tell how many cells an event has.  The span of all events in time and latitude, and in longitude where no area goes
+    over 180 degrees, limits the scan of the catalog.
     """
 
     def cell(v):
@@ -169,37 +172,45 @@ def match_scenes(scenes: DataFrame, events: DataFrame, days: int) -> DataFrame:
         events.selectExpr(
             "event_id",
             "event_ts",
+            f"event_ts - {window} AS opens_at",
+            f"event_ts + {window} AS closes_at",
             "min_lon AS a_min_lon", "min_lat AS a_min_lat", f"{east('min_lon', 'max_lon')} AS a_max_lon", "max_lat AS a_max_lat",
             *(["parts"] if exact else []),
             f"explode(sequence({period(f'event_ts - {window}')}, {period(f'event_ts + {window}')})) AS period",
         )
+        # One file of events may be one task's, whose rows are many times as many from here on.
+        .repartition("event_id", "period")
         .selectExpr("*", f"{lon_cells('a_min_lon', 'a_max_lon')} AS cx")
         .selectExpr("*", f"{cells('a_min_lat', 'a_max_lat')} AS cy")
-        .selectExpr("*", f"explode(sequence(0, {MATCH_SALTS - 1})) AS part_of_cell")
     )
     sc = (
         scenes.selectExpr(
             "scene_id",
             "acquired_at",
             *_BOX,
-            *(["footprint"] if exact else []),
+            *([f"{footprint_edges()} AS fp"] if exact else []),
             f"{period('acquired_at')} AS period",
-            f"CAST(pmod(xxhash64(scene_id), {MATCH_SALTS}) AS INT) AS part_of_cell",
         )
         .selectExpr("*", f"{lon_cells('min_lon', 'max_lon')} AS cx")
         .selectExpr("*", f"{cells('min_lat', 'max_lat')} AS cy")
     )
+    on = ["period", "cx", "cy"]
+    crowded = settle(sc.groupBy(*on).agg(F.expr(f"CAST(ceil(count(*) / {MATCH_PART}) AS INT) AS parts_of_cell")).where("parts_of_cell > 1"))
+    if n_crowded := crowded.count():
+        sc = lookup_join(sc, crowded, on, n_crowded, "left").withColumn("part_of_cell", F.expr("pmod(xxhash64(scene_id), coalesce(parts_of_cell, 1))"))
+        ev = lookup_join(ev, crowded, on, n_crowded, "left").withColumn("part_of_cell", F.expr("explode(sequence(0L, coalesce(parts_of_cell, 1) - 1L))"))
+        sc, ev, on = sc.drop("parts_of_cell"), ev.drop("parts_of_cell"), [*on, "part_of_cell"]
     # A scene may meet an area a turn further on; of wide ones that do so twice, one turn counts.
     meets = "(min_lon <= a_max_lon + {0} AND max_lon >= a_min_lon + {0})"
     shift = " ".join(f"WHEN {meets.format(n)} THEN {n}" for n in (0, 360, -360))
     met = (
-        sc.join(ev, ["period", "cx", "cy", "part_of_cell"])
-        .where(f"acquired_at >= event_ts - {window} AND acquired_at < event_ts + {window} AND min_lat <= a_max_lat AND max_lat >= a_min_lat")
+        sc.join(ev.hint("merge"), on)
+        .where("acquired_at >= opens_at AND acquired_at < closes_at AND min_lat <= a_max_lat AND max_lat >= a_min_lat")
         .selectExpr("*", f"CASE {shift} END AS turn")
         .where(f"turn IS NOT NULL AND cx = pmod({cell('greatest(min_lon, a_min_lon + turn)')}, {turn}) AND cy = {cell('greatest(min_lat, a_min_lat)')}")
     )
     if exact:
-        met = met.selectExpr("*", f"{footprint_edges()} AS fp").where(f"exists(parts, p -> {polygons_meet('fp', 'p')})")
+        met = met.where(f"exists(parts, p -> {polygons_meet('fp', 'p')})")
     before = "acquired_at < event_ts"
     return met.selectExpr(
         "event_id",

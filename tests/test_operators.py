@@ -503,6 +503,28 @@ def test_catalog_scan_is_limited_by_the_events(spark, tmp_path):
     assert rows(met, "scene_id") == [("a",)]
 
 
+def test_cells_of_events_are_merged_with_scenes_and_crowded_ones_dealt_out(spark, monkeypatch):
+    rng = random.Random(5)
+    boxes = [(x, y, x + 3, y + 2) for x, y in ((rng.uniform(-20, 20), rng.uniform(-10, 10)) for _ in range(60))]
+    s = scene(spark, *[(f"s{i}", f"2025-06-{1 + i % 9:02d}T00:00:00", b) for i, b in enumerate(boxes)])
+    ev = spark.createDataFrame(
+        [(i, datetime(2025, 6, 5), x, y, x + 30, y + 15) for i, (x, y, _, _) in enumerate(boxes[:20])],
+        "event_id long, event_ts timestamp_ntz, min_lon double, min_lat double, max_lon double, max_lat double",
+    )
+    want = []
+    for i, (x, y, _, _) in enumerate(boxes[:20]):
+        for j, (a, b, c, d) in enumerate(boxes):
+            if a <= x + 30 and c >= x and b <= y + 15 and d >= y and 2 <= 1 + j % 9 < 8:
+                want.append((i, f"s{j}"))
+    for part in (catalog.MATCH_PART, 2):
+        monkeypatch.setattr(catalog, "MATCH_PART", part)
+        met = catalog.match_scenes(s, ev, 3)
+        joins = [x for x in met._jdf.queryExecution().executedPlan().toString().splitlines() if "Join" in x and " Inner" in x]
+        # The rows of events are many times what a plan expects of them, so they must not go through the driver.
+        assert joins and all("SortMergeJoin" in x for x in joins)
+        assert rows(met, "event_id", "scene_id") == sorted(want)
+
+
 def test_footprints_are_tested_exactly(spark):
     ring = lambda *p: [[(float(a), float(b)) for a, b in p]]
     shapes = {
