@@ -224,38 +224,46 @@ def match_scenes(scenes: DataFrame, events: DataFrame, days: int) -> DataFrame:
 
 
 _SCENE = ("gap", "scene_id", "acquired_at", *_BOX)
+_SIDES = ("pre", "post")
 
 
-def scene_choice(matched: DataFrame, events: DataFrame) -> DataFrame:
-    """Per event: scene counts, usability, and the scene nearest in time on each side (structs ``pre``, ``post``).
-
-    The last scene before the event and the first from it on; ties go to the smaller scene id.  Events without scenes are
-    listed too.  A minimum over structs combines map-side, so an event with very many scenes never gathers in one task.
-    """
-    scene = f"struct({', '.join(_SCENE)})"
-    sides = ("pre", "post")
-    n = matched.groupBy("event_id").agg(
-        F.expr("count(*) AS n"),
-        *[F.expr(f"count_if(side = '{s}') AS {s}_n") for s in sides],
-        *[F.expr(f"min(CASE WHEN side = '{s}' THEN {scene} END) AS {s}") for s in sides],
-    )
+def _listed(events: DataFrame, counts: DataFrame) -> DataFrame:
+    """All events with their counts (event_id, n, pre_n, post_n and more) and usability; those without scenes too."""
     known = "min_lon IS NOT NULL" if "min_lon" in events.columns else "true"
-    listed = events.selectExpr("event_id", f"{known} AS has_area").join(n, "event_id", "left")
-    return listed.selectExpr(
+    more = [c for c in counts.columns if c not in ("event_id", "n", "pre_n", "post_n")]
+    return events.selectExpr("event_id", f"{known} AS has_area").join(counts, "event_id", "left").selectExpr(
         "event_id",
         "coalesce(n, 0L) AS n_scenes",
         "coalesce(pre_n, 0L) AS n_pre",
         "coalesce(post_n, 0L) AS n_post",
         f"CASE WHEN NOT has_area THEN 'no_area' WHEN coalesce(n, 0) < {MIN_SCENES} THEN 'too_few_scenes' WHEN pre_n = 0 THEN 'no_pre_scene' "
         "WHEN post_n = 0 THEN 'no_post_scene' ELSE 'ok' END AS status",
-        "pre",
-        "post",
+        *more,
     )
 
 
+_COUNTS = ("count(*) AS n", *(f"count_if(side = '{s}') AS {s}_n" for s in _SIDES))
+
+
+def scene_choice(matched: DataFrame, events: DataFrame) -> DataFrame:
+    """Per event: scene counts, usability, and the scene nearest in time on each side (structs ``pre``, ``post``).
+
+    The last scene before the event and the first from it on; ties go to the smaller scene id.  Events without scenes are
+    listed too.  Counts and least gaps are sums in memory; only scenes at those gaps are compared by id, so the many others are never
+    sorted.
+    """
+    gaps = (f"min(CASE WHEN side = '{s}' THEN gap END) AS {s}_gap" for s in _SIDES)
+    counts = settle(matched.groupBy("event_id").agg(*[F.expr(e) for e in (*_COUNTS, *gaps)]))
+    least = counts.select("event_id", *[f"{s}_gap" for s in _SIDES])
+    nearest = lookup_join(matched, least, ["event_id"], counts.count()).where("gap = IF(side = 'pre', pre_gap, post_gap)")
+    scene = f"struct({', '.join(_SCENE)})"
+    picks = nearest.groupBy("event_id").agg(*[F.expr(f"min(CASE WHEN side = '{s}' THEN {scene} END) AS {s}") for s in _SIDES])
+    return _listed(events, counts.drop("pre_gap", "post_gap").join(picks, "event_id", "left"))
+
+
 def scene_coverage(matched: DataFrame, events: DataFrame) -> DataFrame:
     """Scene counts and usability per event."""
-    return scene_choice(matched, events).drop("pre", "post")
+    return _listed(events, matched.groupBy("event_id").agg(*[F.expr(e) for e in _COUNTS]))
 
 
 def nearest_scenes(choice: DataFrame) -> DataFrame:

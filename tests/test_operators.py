@@ -525,6 +525,20 @@ def test_cells_of_events_are_merged_with_scenes_and_crowded_ones_dealt_out(spark
         assert rows(met, "event_id", "scene_id") == sorted(want)
 
 
+def test_only_scenes_at_the_least_gap_are_sorted(spark):
+    here = (0.0, 5.0, 2.0, 7.0)
+    s = scene(spark, *[(f"s{i}", f"2025-06-{d:02d}T00:00:00", here) for i, d in enumerate((1, 1, 1, 3, 4, 4))])
+    late = event(spark).selectExpr("2L AS event_id", "event_ts + INTERVAL '2' DAY AS event_ts", "min_lon", "min_lat", "max_lon", "max_lat")
+    alone = event(spark, (50.0, 6.0, 51.0, 7.0)).withColumn("event_id", F.lit(3).cast("bigint"))
+    events = event(spark).unionByName(late).unionByName(alone)
+    matched = catalog.match_scenes(s, events, 12)
+    choice = catalog.scene_choice(matched, events)
+    assert rows(catalog.nearest_scenes(choice), "event_id", "side", "scene_id") == [(1, "post", "s3"), (1, "pre", "s0"), (2, "post", "s4"), (2, "pre", "s3")]
+    assert rows(choice.drop("pre", "post"), "*") == rows(catalog.scene_coverage(matched, events), "*") == [(1, 6, 3, 3, "ok"), (2, 6, 4, 2, "ok"), (3, 0, 0, 0, "too_few_scenes")]
+    # All pairs meet a filter by gap before any sort by event.
+    assert "pre_gap" in choice._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_footprints_are_tested_exactly(spark):
     ring = lambda *p: [[(float(a), float(b)) for a, b in p]]
     shapes = {
