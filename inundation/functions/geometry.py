@@ -156,9 +156,12 @@ def footprint_edges(footprint: str = "footprint") -> str:
 
 
 def polygons_meet(edges_a: str, edges_b: str) -> str:
-    """Do two polygons, each an array of edges, overlap or touch?  Some edges meet, or one holds a vertex of the other."""
+    """Do two polygons, each an array of edges, overlap or touch?  One holds a vertex of the other, or some edges meet.
+
+    Vertices come first: most polygons that meet share inside, and a vertex takes one pass of edges, not all pairs of them.
+    """
     return (
-        f"(exists({edges_a}, e -> exists({edges_b}, f -> {_share_a_point('e', 'f')}))"
-        f" OR exists({edges_a}, e -> {_point_inside(edges_b, 'e.lon1', 'e.lat1', 'f')})"
-        f" OR exists({edges_b}, f -> {_point_inside(edges_a, 'f.lon1', 'f.lat1', 'e')}))"
+        f"(exists({edges_a}, e -> {_point_inside(edges_b, 'e.lon1', 'e.lat1', 'f')})"
+        f" OR exists({edges_b}, f -> {_point_inside(edges_a, 'f.lon1', 'f.lat1', 'e')})"
+        f" OR exists({edges_a}, e -> exists({edges_b}, f -> {_share_a_point('e', 'f')})))"
     )

@@ -558,6 +558,17 @@ def test_footprints_are_tested_exactly(spark):
     assert rows(catalog.match_scenes(s, ev, 12), "scene_id") == [("around",), ("crosses",), ("within",)]
 
 
+def test_events_with_parts_do_not_go_through_the_driver(spark):
+    s = scene(spark, ("in", "2025-06-01T00:00:00", (1.1, 6.1, 1.2, 6.2)), ("touches", "2025-06-01T00:00:00", (1.5, 6.5, 2.0, 7.0)), ("holds", "2025-06-01T00:00:00", (0.0, 5.0, 3.0, 8.0)), ("cross", "2025-06-01T00:00:00", (0.0, 6.2, 3.0, 6.3)))
+    corners = (("min_lon", "min_lat"), ("max_lon", "min_lat"), ("max_lon", "max_lat"), ("min_lon", "max_lat"))
+    points = ", ".join(f"named_struct('lon', {x}, 'lat', {y})" for x, y in corners)
+    ring = f"array({points})"
+    ev = event(spark).withColumn("pts", F.expr(ring)).withColumn("parts", F.expr(f"array({G.ring_edges('pts')})")).drop("pts")
+    met = catalog.match_scenes(s.withColumn("footprint", F.expr(f"array({ring})")), ev, 12)
+    assert rows(met, "scene_id") == [("cross",), ("holds",), ("in",), ("touches",)]
+    assert "BroadcastExchange" not in met._jdf.queryExecution().executedPlan().toString()
+
+
 def test_footprint_from_cells(spark):
     df = constant_raster(spark, 1.1, 6.1, 1.11, 6.12).withColumn("scene_id", F.lit(1))
     f = regions.footprints(df, ["scene_id"]).first()
