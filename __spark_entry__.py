@@ -242,9 +242,9 @@ def aoi_geometry(spark, d):
 def _site_rings(spark, d):
     """The rings of every site's document, two parts that overlap, written and read as GeoJSON."""
     path = f"{shared_folder(spark)}/geojson-{uuid.uuid4().hex}"
-    fx.site_documents(spark, d).write.partitionBy("event_id").text(path)
-    rings = read_geojson(spark, path).withColumn("aoi_id", F.regexp_extract("path", r"event_id=(\d+)", 1).cast("bigint"))
-    return rings.select("aoi_id", "part", "ring", "pts")
+    fx.site_documents(spark, d).select("value").write.text(path)
+    # Documents are parsed once; the areas are read by several steps.
+    return settle(read_geojson(spark, path, lines=True).select("aoi_id", "part", "ring", "pts"))
 
 
 def dissolved_area(spark, d):

@@ -208,7 +208,7 @@ def with_footprints(catalog: DataFrame) -> DataFrame:
 
 
 def site_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A GeoJSON document per site: a collection of two features, the site's ring and the same ring a little further on."""
+    """A GeoJSON document per site, with its id: a collection of two features, the site's ring and the same ring a little further on."""
     sites = view(spark, sf_dir, "sites").where(SITE_HAS_AREA)
 
     def feature(dx, dy):
@@ -217,4 +217,4 @@ def site_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         return f"named_struct('type', 'Feature', 'geometry', named_struct('type', 'Polygon', 'coordinates', array(array({points}))))"
 
     features = ", ".join(feature(dx, dy) for dx, dy in ((0, 0), SITE_SHIFT))
-    return sites.selectExpr("event_id", f"to_json(named_struct('type', 'FeatureCollection', 'features', array({features}))) AS value")
+    return sites.selectExpr("event_id", f"to_json(named_struct('type', 'FeatureCollection', 'id', CAST(event_id AS BIGINT), 'features', array({features}))) AS value")

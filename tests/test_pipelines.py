@@ -1,6 +1,7 @@
 import json
 import re
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -360,6 +361,27 @@ def test_geojson_kinds(spark, tmp_path):
     assert [tuple(p) for p in one.pts] == SQUARE
 
 
+def test_geojson_lines_have_ids_of_their_own(spark, tmp_path):
+    doc = lambda i, x: json.dumps(poly([(x, 6.1), (x + 0.5, 6.1), (x, 6.2)]) | ({} if i is None else {"id": i}))
+    lines = lambda name, *docs: write(tmp_path / name, "\n".join([*docs, ""]))
+    got = read_geojson(spark, lines("two.geojsonl", doc(7, 1.0), doc(-8, 2.0)), lines=True).selectExpr("aoi_id", "part", "ring", "pts[0].lon").collect()
+    assert sorted(map(tuple, got)) == [(-8, 0, 0, 2.0), (7, 0, 0, 1.0)]
+    for name, docs, why in (("twice", (doc(7, 1.0), doc(7, 2.0)), "7 repeats"), ("none", (doc(None, 1.0),), "is missing"), ("bad", (doc(1, 1.0), "{not"), "Invalid GeoJSON")):
+        with pytest.raises(ValueError, match=why):
+            read_geojson(spark, lines(f"{name}.geojsonl", *docs), lines=True)
+
+
+@pytest.mark.parametrize("name", ["geojson_area", "dissolved_area", "dissolved_geometry"])
+def test_documents_of_sites_share_files(spark, name):
+    folder = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(folder.glob("geojson-*"))
+    found = entry.queries()[name](spark, SMALL).count()
+    (written,) = set(folder.glob("geojson-*")) - before
+    files = len(list(written.rglob("part-*")))
+    documents = sum(len(f.read_text().splitlines()) for f in written.rglob("part-*"))
+    assert found == documents and files < documents
+
+
 def test_geojson_errors_and_fallback(spark, tmp_path):
     with pytest.raises(ValueError, match="GeoJSON file not found"):
         read_geojson(spark, str(tmp_path / "missing.geojson"))
