@@ -25,6 +25,9 @@ from .components import least_linked
 UNIT = 1e12
 TOUCH = 2.0
 
+#: Pieces of borders that are traced together.
+TRACE_EDGES = 8192
+
 _SEGMENT = ["x1", "y1", "x2", "y2"]
 #: Which points belong to the result, from the numbers of parts of the first (``a``) and the second area (``b``) that hold them.
 OPERATIONS = {"union": "{a} + {b} > 0", "intersection": "{a} > 0 AND {b} > 0", "difference": "{a} > 0 AND {b} = 0"}
@@ -177,13 +180,14 @@ def border_measures(edges: DataFrame) -> DataFrame:
 
 
 def _trace(edges: pd.DataFrame) -> list[list[int]]:
-    """Rings of directed edges, each the row numbers of its edges in order.
+    """Rings of directed edges, each the row numbers of its edges in order; edges of different borders share no point.
 
     Where several edges leave a point, the ring goes on along the first one clockwise from where it came, which bounds the same corner of
     the inside.
     """
-    start = list(zip(edges["x1"], edges["y1"], strict=True))
-    end = list(zip(edges["x2"], edges["y2"], strict=True))
+    own = edges["aoi_id"], edges["root"]
+    start = list(zip(*own, edges["x1"], edges["y1"], strict=True))
+    end = list(zip(*own, edges["x2"], edges["y2"], strict=True))
     angle = np.arctan2(edges["y2"] - edges["y1"], edges["x2"] - edges["x1"]).to_numpy()
     leaving: dict[tuple, list[int]] = {}
     for i, p in enumerate(start):
@@ -205,10 +209,12 @@ def _trace(edges: pd.DataFrame) -> list[list[int]]:
 
 
 def _rings_of(group: pd.DataFrame) -> pd.DataFrame:
-    group = group.sort_values(_SEGMENT, ignore_index=True)
+    """The rings of some whole borders."""
+    group = group.sort_values(["aoi_id", "root", *_SEGMENT], ignore_index=True)
+    ids, ends = group["aoi_id"].to_numpy(), group[_SEGMENT].to_numpy()
     out = []
     for ring in _trace(group):
-        xy = group.loc[ring, ["x1", "y1"]].to_numpy()
+        xy = ends[ring, :2]
         x, y = (xy - xy[0]).T
         area = float((x * np.roll(y, -1) - np.roll(x, -1) * y).sum() / 2)
         # Points on a straight line between their neighbours were cuts, not corners.
@@ -216,16 +222,15 @@ def _rings_of(group: pd.DataFrame) -> pd.DataFrame:
         d, e = xy - before, after - xy
         bend = np.abs(d[:, 0] * e[:, 1] - d[:, 1] * e[:, 0]) > 4 * TOUCH * np.maximum(np.hypot(*d.T), np.hypot(*e.T))
         corner = xy[bend] if bend.sum() >= 3 else xy
-        first = group.loc[ring[0]]
-        out.append((group["aoi_id"][0], area, *first[_SEGMENT], [{"lon": a / UNIT, "lat": b / UNIT} for a, b in corner]))
+        out.append((ids[ring[0]], area, *ends[ring[0]], [{"lon": a / UNIT, "lat": b / UNIT} for a, b in corner.tolist()]))
     return pd.DataFrame(out, columns=["aoi_id", "a", "ex1", "ey1", "ex2", "ey2", "pts"])
 
 
 def rings(edges: DataFrame) -> DataFrame:
     """The area frame (``aoi_id, part, ring, pts``) that a :func:`border` encloses: a part per outer ring, with its holes.
 
-    Pieces that hang together are found by merging labels, so a task holds the pieces of one connected border, which is the row
-    that a ring is.
+    Pieces that hang together are found by merging labels, so a ring is traced from the pieces of one connected border, which is the row
+    that a ring is.  Small borders are traced some at a time: a group holds about ``TRACE_EDGES`` pieces, or one border that has more.
     """
     edges = settle(edges)
     point = lambda x, y: f"xxhash64({x}, {y})"
@@ -234,7 +239,8 @@ def rings(edges: DataFrame) -> DataFrame:
     # The least label of a group has no link to a lesser one.
     grouped = named.join(roots, ["aoi_id", "a"], "left").selectExpr("aoi_id", *_SEGMENT, "coalesce(root, a) AS root")
     schema = "aoi_id bigint, a double, ex1 double, ey1 double, ex2 double, ey2 double, pts array<struct<lon:double,lat:double>>"
-    traced = grouped.groupBy("aoi_id", "root").applyInPandas(lambda g: _rings_of(g), schema)
+    n = edges.count() // TRACE_EDGES + 1
+    traced = grouped.groupBy(F.expr(f"pmod(xxhash64(aoi_id, root), {n})")).applyInPandas(lambda g: _rings_of(g), schema)
     traced = settle(traced.where("a <> 0").withColumn("id", F.struct(F.signum("a").alias("s"), F.abs("a").alias("size"), "ex1", "ey1", "ex2", "ey2")))
     shells, holes = traced.where("a > 0"), traced.where("a < 0")
     # A hole belongs to the smallest outer ring around it.

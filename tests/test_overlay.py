@@ -187,3 +187,12 @@ def test_level_keeps_to_the_budget_and_the_area(spark, pixels, budget, n_images)
 def test_budget_must_be_positive(pixels):
     with pytest.raises(ValueError):
         pyramid.area_within(pixels, max_pixels=0)
+
+
+def test_small_borders_are_traced_together(spark, monkeypatch):
+    area = frame(spark, PARTS)
+    whole = {tuple(r) for r in overlay.dissolve(area).selectExpr("aoi_id", "part", "ring", "to_json(pts)").collect()}
+    edges = overlay.border(area).selectExpr("*", "0L AS root").toPandas()
+    assert set(overlay._rings_of(edges)["aoi_id"]) == set(PARTS)
+    monkeypatch.setattr(overlay, "TRACE_EDGES", 1)
+    assert {tuple(r) for r in overlay.dissolve(area).selectExpr("aoi_id", "part", "ring", "to_json(pts)").collect()} == whole
