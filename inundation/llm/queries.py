@@ -65,7 +65,8 @@ def op5_poisson_mix(spark, d):
 def op6_warc(spark, d):
     folder = new_folder(spark, "warc")
     records = warc.with_revisits(_table(spark, d, "pages"), "page_id", "html", "url")
-    written = keep(warc.write_monolithic(records, f"{folder}/crawl"), "warc-archives")
+    # The payloads that were shuffled are in the archives by then.
+    written = keep(warc.write_monolithic(records, f"{folder}/crawl"), "warc-archives", release=True)
     keep(warc.normalise(written, f"{folder}/crawl", f"{folder}/records"), "warc-index")
     read = warc.read_records(warc.read_index(spark, f"{folder}/records"), f"{folder}/records", payloads=False)
     # Read once; revisits are then put to the responses.

@@ -37,11 +37,25 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def keep(df: DataFrame, name: str) -> DataFrame:
-    """Writes a table and reads it back: later steps neither repeat its work nor lose it with an executor."""
-    path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+#: Spark's setting for shuffle files to go when the query that wrote them has ended, not at some garbage collection of the driver.
+RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def keep(df: DataFrame, name: str, release: bool = False) -> DataFrame:
+    """Writes a table and reads it back: later steps neither repeat its work nor lose it with an executor.
+
+    ``release`` gives back the shuffle files of the write at its end.  It is for tables that don't go back to cached ones.
+    """
+    spark, path = df.sparkSession, new_folder(df.sparkSession, name)
+    before = spark.conf.get(RELEASE, "false")
+    if release:
+        spark.conf.set(RELEASE, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if release:
+            spark.conf.set(RELEASE, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def clear(spark: SparkSession) -> None:

@@ -99,6 +99,21 @@ def test_warc_streams_of_any_shape():
         list(warc.split_records(iter([b"no record\r\n\r\n"])))
 
 
+def test_shuffled_payloads_are_gone_before_archives_are_rewritten(spark, monkeypatch):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffled = lambda: {f for f in (str(files.getAllFiles().apply(i)) for i in range(files.getAllFiles().size())) if "shuffle_" in f and f.endswith(".data")}
+    before, left, rewrite = shuffled(), [], warc.normalise
+
+    def normalise(*args):
+        left.append(shuffled() - before)
+        return rewrite(*args)
+
+    monkeypatch.setattr(warc, "normalise", normalise)
+    assert queries.op6_warc(spark, "/root/testdata/sf0.001").count() > 0
+    assert left == [set()]
+    assert spark.conf.get(shared.RELEASE) == "false"
+
+
 def test_warc_of_nothing(spark, tmp_path):
     df = spark.createDataFrame([], "page_id long, url string, html string")
     _, index = archive(spark, df, tmp_path)
