@@ -13,7 +13,20 @@ from math import floor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geometry import footprint_edges, literal_edges, polygons_meet
+from ..functions.geometry import (
+    MARGIN_DEG,
+    OUTLINE,
+    common_box,
+    footprint_edges,
+    literal_edges,
+    may_meet,
+    moved_edges,
+    outline_moved,
+    outlines,
+    polygons_meet,
+    polygons_meet_in,
+    surely_meet,
+)
 from ..functions.grid import num
 from ..operators.lookup import lookup_join
 from .control import settle
@@ -31,8 +44,8 @@ ZONE_COLUMN = "zone"
 ZONE_DEG = 22.5
 _ZONES_AROUND, _ZONES_UP = 16, 8
 
-#: Side of the matching cells, in degrees.  A scene or area touches a few.
-MATCH_CELL_DEG = 4.0
+#: Sides of the matching cells, in degrees, by whole numbers around the globe.  A scene lies in the smallest it isn't larger than.
+MATCH_SIDES_DEG = (4, 8, 24, 40, 72, 120, 360)
 #: Scenes that a part of a cell and period holds; those of fuller ones are dealt over parts.
 MATCH_PART = 1024
 
@@ -130,35 +143,36 @@ def match_scenes(scenes: DataFrame, events: DataFrame, days: int) -> DataFrame:
     arrays of edges, against which a catalog with footprints is tested exactly.  Event-time scenes are post.
 
     Candidates meet on (period, matching cell), so any number of events is one equi-join.  A period is as long as the search
-    window, so an event touches two of them.  A pair sharing several cells is kept only at the cell holding the south-west
-    corner of its overlap.  Scenes of a crowded cell and period are dealt over parts, with the events of the cell beside each, so that
-    a popular place isn't one task's work; other cells are one part.  Both sides are sorted and merged, as the sizes that a plan
-    expects don't tell how many cells an event has.  The span of all events in time and latitude, and in longitude where no area goes
-    over 180 degrees, limits the scan of the catalog.
+    window, so an event touches two of them.  A scene is in the cell of its south-west corner only, and an area in all cells where such a
+    corner may lie, for the scenes of each side of cells that there are; so a pair meets once.  Footprints and areas have outlines, made
+    once each, that settle most pairs by a few comparisons; only the other pairs have their polygons tested.  Scenes of a crowded cell
+    and period are dealt over parts, with the events of the cell beside each, so that a popular place isn't one task's work; other cells
+    are one part.  Both sides are sorted and merged, as the sizes that a plan expects don't tell how many cells an event has.  The span
+    of all events in time and latitude, and in longitude where no area goes over 180 degrees, limits the scan of the catalog.
     """
 
-    def cell(v):
-        return f"CAST(floor(({v}) / {num(MATCH_CELL_DEG)}) AS INT)"
+    exact = "parts" in events.columns and "footprint" in scenes.columns
 
-    def cells(low, high):
-        return f"explode(sequence({cell(low)}, {cell(high)}))"
+    def cell(v):
+        return f"CAST(floor(({v}) / cell_deg) AS INT)"
 
     # Longitudes run on over 180 degrees; the cells of the turn that follows are those of this one.
-    turn = int(360 / MATCH_CELL_DEG)
+    around = "CAST(360 / cell_deg AS INT)"
 
     def east(low, high):
         return f"CASE WHEN {low} > {high} THEN {high} + 360 ELSE {high} END"
 
-    def lon_cells(low, high):
-        steps = f"sequence({cell(low)}, least({cell(high)}, {cell(low)} + {turn - 1}))"
-        return f"explode(array_distinct(transform({steps}, c -> pmod(c, {turn}))))"
+    # Where the south-west corners of scenes over an area are.
+    m = num(MARGIN_DEG)
+    west_cells = f"sequence({cell(f'a_min_lon - wide - {m}')}, least({cell(f'a_max_lon + {m}')}, {cell(f'a_min_lon - wide - {m}')} + {around} - 1))"
+    lon_cells = f"explode(array_distinct(transform({west_cells}, c -> pmod(c, {around}))))"
+    lat_cells = f"explode(sequence({cell(f'a_min_lat - high - {m}')}, {cell('a_max_lat')}))"
 
     window = f"make_dt_interval({int(days)})"
 
     def period(day):
         return f"floor(unix_date(to_date({day})) / {2 * int(days)})"
 
-    exact = "parts" in events.columns and "footprint" in scenes.columns
     events = events.where("min_lon IS NOT NULL")
     first, last, south, north, west, end, over = events.agg(
         *[F.expr(e) for e in ("date_format(min(event_ts), 'yyyy-MM-dd')", "date_format(max(event_ts), 'yyyy-MM-dd')", "min(min_lat)", "max(max_lat)", "min(min_lon)", "max(max_lon)", "max(min_lon > max_lon)")]
@@ -168,6 +182,12 @@ def match_scenes(scenes: DataFrame, events: DataFrame, days: int) -> DataFrame:
         scenes = scenes.where(f"{in_dates(day(first, -int(days)), day(last, int(days) + 1))} AND min_lat <= {num(north)} AND max_lat >= {num(south)}")
         if not over:
             scenes = scenes.where(in_bounds(west, south, end, north))
+    across = ("max_lon - min_lon", "max_lat - min_lat")
+    sides = " ".join(f"WHEN greatest({', '.join(across)}) <= {s} THEN {s}" for s in MATCH_SIDES_DEG)
+    scenes = scenes.withColumn("cell_deg", F.expr(f"CASE {sides} ELSE {MATCH_SIDES_DEG[-1]} END"))
+    # The largest scene of each side; none has to reach around more than once.
+    largest = scenes.groupBy("cell_deg").agg(*[F.expr(f"coalesce(max(least(nanvl({d}, 360D), 360D)), 0D)") for d in across]).collect()
+    reach = ", ".join(f"named_struct('cell_deg', {s}, 'wide', {num(w)}, 'high', {num(h)})" for s, w, h in largest or [(MATCH_SIDES_DEG[0], 0, 0)])
     ev = (
         events.selectExpr(
             "event_id",
@@ -180,21 +200,24 @@ def match_scenes(scenes: DataFrame, events: DataFrame, days: int) -> DataFrame:
         )
         # One file of events may be one task's, whose rows are many times as many from here on.
         .repartition("event_id", "period")
-        .selectExpr("*", f"{lon_cells('a_min_lon', 'a_max_lon')} AS cx")
-        .selectExpr("*", f"{cells('a_min_lat', 'a_max_lat')} AS cy")
-    )
-    sc = (
-        scenes.selectExpr(
-            "scene_id",
-            "acquired_at",
-            *_BOX,
-            *([f"{footprint_edges()} AS fp"] if exact else []),
-            f"{period('acquired_at')} AS period",
-        )
-        .selectExpr("*", f"{lon_cells('min_lon', 'max_lon')} AS cx")
-        .selectExpr("*", f"{cells('min_lat', 'max_lat')} AS cy")
+        .transform(lambda df: outlines(df, "parts", "a_") if exact else df)
+        .selectExpr("*", f"inline(array({reach}))")
+        .selectExpr("*", f"{lon_cells} AS cx")
+        .selectExpr("*", f"{lat_cells} AS cy")
+        .drop("wide", "high")
     )
-    on = ["period", "cx", "cy"]
+    sc = scenes.selectExpr(
+        "scene_id",
+        "acquired_at",
+        *_BOX,
+        *([f"{footprint_edges()} AS fp"] if exact else []),
+        f"{period('acquired_at')} AS period",
+        "cell_deg",
+        # Never null, or the join would have the formulas tested for it over and over in the scan; a scene without a box fails the comparisons.
+        f"coalesce(pmod({cell('min_lon')}, {around}), 0) AS cx",
+        f"coalesce({cell('min_lat')}, 0) AS cy",
+    ).transform(lambda df: outlines(df, "array(fp)", "f_") if exact else df)
+    on = ["period", "cell_deg", "cx", "cy"]
     crowded = settle(sc.groupBy(*on).agg(F.expr(f"CAST(ceil(count(*) / {MATCH_PART}) AS INT) AS parts_of_cell")).where("parts_of_cell > 1"))
     if n_crowded := crowded.count():
         sc = lookup_join(sc, crowded, on, n_crowded, "left").withColumn("part_of_cell", F.expr("pmod(xxhash64(scene_id), coalesce(parts_of_cell, 1))"))
@@ -207,10 +230,22 @@ def match_scenes(scenes: DataFrame, events: DataFrame, days: int) -> DataFrame:
         sc.join(ev.hint("merge"), on)
         .where("acquired_at >= opens_at AND acquired_at < closes_at AND min_lat <= a_max_lat AND max_lat >= a_min_lat")
         .selectExpr("*", f"CASE {shift} END AS turn")
-        .where(f"turn IS NOT NULL AND cx = pmod({cell('greatest(min_lon, a_min_lon + turn)')}, {turn}) AND cy = {cell('greatest(min_lat, a_min_lat)')}")
+        .where("turn IS NOT NULL")
     )
     if exact:
-        met = met.where(f"exists(parts, p -> {polygons_meet('fp', 'p')})")
+        pair = ("event_id", "event_ts", "scene_id", "acquired_at", *_BOX)
+        # Only pairs left open keep their polygons.  The task's number, which is never negative, keeps their test out of the merge, which
+        # would then run uncompiled for all pairs of a cell.
+        kept = {"fp": "fp", "parts": "parts", "common": common_box("f_", "a_")}
+        left_open = (f"IF(meets IS NULL AND spark_partition_id() >= 0, {e}, NULL) AS {c}" for c, e in kept.items())
+        moved = f"IF(turn = 0, parts, transform(parts, p -> {moved_edges('p', 'turn')}))"
+        met = (
+            met.selectExpr(*pair, "fp", "parts", *[f"f_{c}" for c in OUTLINE], *[f"a_{c}" for c in OUTLINE], "CAST(coalesce(turn, 0) AS DOUBLE) AS turn")
+            .selectExpr(*pair, "fp", "parts", "turn", *[f"f_{c}" for c in OUTLINE], *outline_moved("a_", "turn"))
+            .selectExpr("*", f"CASE WHEN {surely_meet('f_', 'a_')} THEN true WHEN NOT {may_meet('f_', 'a_')} THEN false END AS meets")
+            .selectExpr(*pair, "turn", "meets", *left_open)
+            .where(f"coalesce(meets, exists({moved}, p -> {polygons_meet_in('common', 'fp', 'p')}))")
+        )
     before = "acquired_at < event_ts"
     return met.selectExpr(
         "event_id",

@@ -569,6 +569,103 @@ def test_events_with_parts_do_not_go_through_the_driver(spark):
     assert "BroadcastExchange" not in met._jdf.queryExecution().executedPlan().toString()
 
 
+def shaped(spark, shapes, key="scene_id"):
+    """Shapes given as parts, each a list of rings, with their boxes; the footprint is the first part."""
+    rows_ = [(k, [[[(float(a), float(b)) for a, b in r] for r in part] for part in v]) for k, v in shapes.items()]
+    df = spark.createDataFrame(rows_, f"{key} string, polygons array<array<array<struct<lon:double,lat:double>>>>")
+    points = "flatten(flatten(polygons))"
+    box = [f"array_{f}(transform({points}, p -> p.{c})) AS {f}_{c}" for f in ("min", "max") for c in ("lon", "lat")]
+    return df.selectExpr(key, "polygons[0] AS footprint", f"transform(polygons, p -> {G.footprint_edges('p')}) AS parts", *box)
+
+
+def star(rng, x, y, r, n, hole=0.0):
+    """A ring around a place, concave in parts, and maybe a hole."""
+    at = [2 * math.pi * i / n for i in range(n)]
+    ring = [(x + r * rng.uniform(0.5, 1) * math.cos(a), y + r * rng.uniform(0.5, 1) * math.sin(a)) for a in at]
+    return [ring] + ([[(x + hole * r * math.cos(a), y + hole * r * math.sin(a)) for a in at]] if hole else [])
+
+
+def test_outlines_agree_with_the_polygons(spark):
+    rng = random.Random(11)
+    place = lambda: (rng.uniform(-4, 4), rng.uniform(-4, 4))
+    shapes = {f"star{i}": [star(rng, *place(), rng.uniform(0.3, 3), rng.randint(3, 9), 0.3 * (i % 3 == 0))] for i in range(40)}
+    shapes |= {f"two{i}": [star(rng, *place(), 0.6, 4), star(rng, *place(), 1.0, 5)] for i in range(10)}
+    # On a lattice many only touch, by corners and sides.
+    corner = lambda: (rng.randint(-4, 4), rng.randint(-4, 4))
+    shapes |= {f"box{i}": [[[(x, y), (x + w, y), (x + w, y + h), (x, y + h)]]] for i, ((x, y), w, h) in enumerate((corner(), rng.randint(1, 3), rng.randint(1, 3)) for _ in range(20))}
+    shapes |= {f"tip{i}": [[[(x - 1, y), (x, y - 1), (x + 1, y), (x, y + 1)]]] for i, (x, y) in enumerate(corner() for _ in range(20))}
+    shapes |= {"flat": [[[(0, 0), (2, 0), (1, 0)]]], "point": [[[(1, 1)]]], "none": [[[]]]}
+    made = G.outlines(shaped(spark, shapes, "k"), "parts", "o_").drop("footprint", "min_lon", "max_lon", "min_lat", "max_lat")
+    sides = [made.select(*[F.col(c).alias(f"{s}_{c}") for c in made.columns]) for s in "ab"]
+    tested = sides[0].crossJoin(sides[1]).withColumn("common", F.expr(G.common_box("a_o_", "b_o_"))).selectExpr(
+        f"exists(a_parts, p -> exists(b_parts, q -> {G.polygons_meet('p', 'q')})) AS meet",
+        f"exists(a_parts, p -> exists(b_parts, q -> {G.polygons_meet_in('common', 'p', 'q')})) AS near",
+        f"{G.surely_meet('a_o_', 'b_o_')} AS sure",
+        f"{G.may_meet('a_o_', 'b_o_')} AS may",
+    )
+    n = {tuple(r)[:4]: r.n for r in tested.groupBy("meet", "near", "sure", "may").agg(F.count("*").alias("n")).collect()}
+    assert all(meet == near and (meet or not sure) and (may or not meet) for meet, near, sure, may in n), n
+    # Both of them settle most pairs.
+    assert n[True, True, True, True] > n[True, True, False, True] and n[False, False, False, False] > n[False, False, False, True], n
+
+
+def exact_case(spark):
+    ring = lambda *p: [[list(p)]]
+    tip = lambda x, y: ring((x - 1, y), (x, y - 1), (x + 1, y), (x, y + 1))
+    scenes_ = {"in": tip(5, 5), "side": tip(11, 5), "corner": tip(10.8, 10.15), "past": tip(10.8, 10.8), "far": tip(20, 5)}
+    s = shaped(spark, scenes_).drop("parts").withColumn("acquired_at", F.expr("TIMESTAMP_NTZ '2025-06-01 00:00:00'"))
+    ev = shaped(spark, {"1": ring((0, 0), (10, 0), (10, 10), (0, 10))}, "event_id").drop("footprint").withColumn("event_ts", F.expr("TIMESTAMP_NTZ '2025-06-02 00:00:00'"))
+    return s, ev
+
+
+def test_polygons_are_tested_after_the_merge_and_only_where_outlines_leave_a_pair_open(spark, monkeypatch):
+    s, ev = exact_case(spark)
+    met = catalog.match_scenes(s, ev, 12)
+    assert rows(met, "scene_id") == [("corner",), ("in",), ("side",)]
+    joins = [x for x in met._jdf.queryExecution().executedPlan().toString().splitlines() if "SortMergeJoin" in x]
+    assert joins and not any("exists(" in x for x in joins)
+    monkeypatch.setattr(catalog, "polygons_meet_in", lambda box, a, b: "raise_error('tested') IS NULL")
+    assert rows(catalog.match_scenes(s.where("scene_id != 'corner'"), ev, 12), "scene_id") == [("in",), ("side",)]
+    with pytest.raises(Exception, match="tested"):
+        catalog.match_scenes(s, ev, 12).collect()
+
+
+def test_footprints_over_180_degrees_are_tested_exactly(spark):
+    tip = lambda x: [[[(x - 1, 0), (x, -1), (x + 1, 0), (x, 1)]]]
+    s = shaped(spark, {"west": tip(-178.5), "east": tip(178.5), "over": tip(179.5), "far": tip(-170)}).drop("parts").withColumn("acquired_at", F.expr("TIMESTAMP_NTZ '2025-06-01 00:00:00'"))
+    # Settled by outlines, and by polygons: a slanted area, of whose inner box the outer scenes keep clear.
+    areas_ = {"1": [[[(177, -1), (183, -1), (183, 1), (177, 1)]]], "2": [[[(179.2, -1.4), (181.3, 0.7), (180.9, 1.5), (178.8, -0.6)]]]}
+    ev = shaped(spark, areas_, "event_id").drop("footprint").withColumn("event_ts", F.expr("TIMESTAMP_NTZ '2025-06-02 00:00:00'"))
+    ev = ev.withColumn("max_lon", F.expr("max_lon - 360"))
+    assert rows(catalog.match_scenes(s, ev, 12), "event_id", "scene_id") == [("1", "east"), ("1", "over"), ("1", "west"), ("2", "east"), ("2", "over"), ("2", "west")]
+
+
+def test_scenes_of_all_sizes_meet_an_event_once(spark):
+    rng = random.Random(3)
+    sizes = (0.0, 0.5, 4.0, 4.5, 8.0, 20.0, 39.0, 70.0, 110.0, 200.0, 360.0)
+    boxes = []
+    for i in range(150):
+        w, h = rng.choice(sizes), min(rng.choice(sizes), 170.0)
+        x, y = rng.choice((rng.uniform(-180, 180), -180.0, 176.0, 0.0)), rng.uniform(-90, 90 - h)
+        boxes.append((x, y, x + w, y + h))
+    s = scene(spark, *[(f"s{i}", "2025-06-01T00:00:00", b) for i, b in enumerate(boxes)])
+    areas_ = [(x, y, x + w, y + h) for x, y, w, h in ((rng.choice((rng.uniform(-180, 180), 179.0, -180.0, 172.0)), rng.uniform(-90, 70), rng.choice((0.0, 1.0, 8.0, 50.0)), rng.choice((0.0, 1.0, 16.0))) for _ in range(40))]
+    ev = spark.createDataFrame(
+        [(i, datetime(2025, 6, 2), a, b, c - 360 if c > 180 else c, d) for i, (a, b, c, d) in enumerate(areas_)],
+        "event_id long, event_ts timestamp_ntz, min_lon double, min_lat double, max_lon double, max_lat double",
+    )
+    want = [
+        (i, f"s{j}")
+        for i, (a, b, c, d) in enumerate(areas_)
+        for j, (w, x, y, z) in enumerate(boxes)
+        if x <= d and z >= b and any(w <= c + t and y >= a + t for t in (0, 360, -360))
+    ]
+    met = catalog.match_scenes(s, ev, 3)
+    assert rows(met, "event_id", "scene_id") == sorted(want)
+    # A scene is in one cell, however large it is.
+    assert "explode" not in "".join(x for x in met._jdf.queryExecution().executedPlan().toString().splitlines() if "scene_id" in x)
+
+
 def test_footprint_from_cells(spark):
     df = constant_raster(spark, 1.1, 6.1, 1.11, 6.12).withColumn("scene_id", F.lit(1))
     f = regions.footprints(df, ["scene_id"]).first()
